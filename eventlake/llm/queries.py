@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 
 from eventlake.llm._common import table
 from eventlake.llm.bpe import decoded, encoded
+from eventlake.llm.chat import chat_windows, read_back
 from eventlake.llm.decontaminate import contamination
 from eventlake.llm.near_dedup import near_duplicates
+from eventlake.llm.pii import KINDS, personal_spans, span_list
+from eventlake.llm.sharding import sharded
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -26,17 +29,47 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded(tokens, RANKS).select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    of = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    base = span_list(F.filter("spans", lambda s: ~s["disguised"]))
+    return found.select("row.doc_id", *[of(k) for k in KINDS], F.sha2(base, 256).alias("base_sha256"), span_list("spans").alias("spans"))
+
+
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharded(table(spark, sf_dir, "documents"), 8)
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"), F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = r"\### Assistant: </turn> ok"
+    extra = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    back = read_back(chat_windows(turns))
+    whole = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return back.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(whole, 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_minhash_near_dedup,
         op2_byte_bpe,
+        op3_pii,
+        op4_sharding,
         op9_decontamination,
+        op10_chat_format,
     )
 }
 

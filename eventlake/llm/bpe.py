@@ -1,14 +1,11 @@
-"""Byte-level BPE with two tiers: a minimal perfect hash for whole pre-tokens, merges over linked bytes for the rest.
-
-The merges of a pre-token pop its lowest-ranked adjacent pair, leftmost first, until none is left.
-Long pre-tokens use a heap. Short ones, of which a shard misses hundreds of thousands, hold so few
-pairs that the tops of all their queues are taken at once, one per pre-token and round.
-"""
+"""Byte-level BPE in two tiers: a minimal perfect hash resolves whole pre-tokens of the vocabulary; the
+others pop a heap of adjacent pairs, lowest rank and leftmost first, over linked bytes."""
 
 from __future__ import annotations
 
 import base64
 import unicodedata
+from array import array
 from collections.abc import Callable, Iterator
 from functools import cache
 from heapq import heapify, heappop, heappush
@@ -24,13 +21,11 @@ from pyspark.sql import types as T
 from eventlake.llm._common import U64, in_arrow, mix, pieces, utf8
 
 LETTER, NUMBER, SPACE, OTHER = 1, 2, 3, 0
-NEVER = np.int32(2**31 - 1)  # the rank of a pair that is no token
 #: The code points of Unicode's White_Space property.
 WHITE_SPACE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 #: The endings that the pre-token pattern splits off after an apostrophe.
 ENDINGS = ["s", "t", "re", "ve", "m", "ll", "d"]
-SHORT = 32  # bytes of a pre-token up to which it is merged together with others
-REMEMBERED = 200_000  # merged pre-tokens that a task remembers at once; older ones are merged again
+REMEMBERED = 300_000  # merged pre-tokens that a task remembers at once; older ones are merged again
 
 
 @cache
@@ -141,60 +136,12 @@ class Vocabulary:
         self.whole_length = np.zeros(len(keys), dtype=np.int64)
         self.whole_length[self.whole.find(keys)] = [len(t) for t in tokens]
         self.merged: dict[int, bytes] = {}
-        self.byte_id = np.array([self.rank[bytes([b])] for b in range(256)], dtype=np.int32)
-        pairs = [(self.rank[t[:k]] << 32 | self.rank[t[k:]], r) for t, r in self.rank.items() for k in range(1, len(t)) if t[:k] in self.rank and t[k:] in self.rank]
-        keys = np.array([p for p, _ in pairs], dtype=U64)
-        self.pair = PerfectHash(keys)
-        self.pair_rank = np.zeros(len(keys) + 1, dtype=np.int32)
-        self.pair_rank[self.pair.find(keys)] = [r for _, r in pairs]
-        self.pair_rank[-1] = NEVER
-
-    def pair_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """The rank of each pair of ids as one token, NEVER where it is none or an id is -1."""
-        key = (left.astype(np.int64) << 32 | right).astype(U64)
-        out = self.pair_rank[self.pair.find(key)]
-        out[(left < 0) | (right < 0)] = NEVER
-        return out
-
-    def merge_short(self, tokens: list[bytes]) -> list[bytes]:
-        """merge() of many pre-tokens of SHORT bytes at most, in rounds."""
-        out: list[bytes] = [b""] * len(tokens)
-        sizes = np.array([len(t) for t in tokens])
-        for low, high in ((1, 6), (7, 10), (11, 16), (17, SHORT)):
-            rows = np.flatnonzero((sizes >= low) & (sizes <= high))
-            if not len(rows):
-                continue
-            inside = np.arange(high)[None, :] < sizes[rows, None]
-            ids = np.full(inside.shape, -1, dtype=np.int32)
-            ids[inside] = self.byte_id[np.frombuffer(b"".join([tokens[k] for k in rows]), dtype=np.uint8)]
-            rank = self.pair_ranks(ids[:, :-1].ravel(), ids[:, 1:].ravel()).reshape(len(rows), high - 1)
-            while len(rows):
-                at = rank.argmin(axis=1) if rank.shape[1] else np.zeros(len(rows), dtype=np.int64)
-                best = rank[np.arange(len(rows)), at] if rank.shape[1] else np.full(len(rows), NEVER)
-                done = best == NEVER
-                for k, own, n in zip(rows[done], ids[done].astype("<u4"), (ids[done] >= 0).sum(axis=1)):
-                    out[k] = own[:n].tobytes()
-                rows, ids, rank, at, best = rows[~done], ids[~done], rank[~done], at[~done], best[~done]
-                if not len(rows):
-                    break
-                each, width = np.arange(len(rows)), ids.shape[1] - 1
-                col = np.arange(width)[None, :]
-                ids = np.take_along_axis(ids, col + (col > at[:, None]), axis=1)
-                ids[each, at] = best
-                col = col[:, :-1]
-                rank = np.take_along_axis(rank, col + (col > at[:, None]), axis=1)
-                here = at < width - 1
-                rank[each[here], at[here]] = self.pair_ranks(ids[each[here], at[here]], ids[each[here], at[here] + 1])
-                here = at > 0
-                rank[each[here], at[here] - 1] = self.pair_ranks(ids[each[here], at[here] - 1], ids[each[here], at[here]])
-        return out
 
     def merge(self, piece: bytes) -> bytes:
         """The ids of one pre-token, as little-endian 32-bit integers: a heap of adjacent pairs over linked bytes."""
-        rank, n = self.rank, len(piece)
-        ids = [rank[piece[i : i + 1]] for i in range(n)]
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        pair = [rank.get(piece[i : i + 2], -1) for i in range(n - 1)]
+        get, n = self.rank.get, len(piece)
+        after, before = list(range(1, n + 2)), list(range(-1, n))
+        pair = [get(piece[i : i + 2], -1) for i in range(n - 1)]
         pair.append(-1)
         heap = [r << 32 | i for i, r in enumerate(pair) if r >= 0]
         heapify(heap)
@@ -202,27 +149,26 @@ class Vocabulary:
             top = heappop(heap)
             i = top & 0xFFFFFFFF
             if pair[i] != top >> 32:
-                continue
-            ids[i] = pair[i]
+                continue  # one of its parts has been merged meanwhile
             j = after[i]
             k = after[i] = after[j]
             pair[j] = pair[i] = -1
             if k < n:
                 before[k] = i
-                r = rank.get(piece[i : after[k]], -1)
+                r = pair[i] = get(piece[i : after[k]], -1)
                 if r >= 0:
-                    pair[i] = r
                     heappush(heap, r << 32 | i)
             h = before[i]
             if h >= 0:
-                r = pair[h] = rank.get(piece[h:k], -1)
+                r = pair[h] = get(piece[h:k], -1)
                 if r >= 0:
                     heappush(heap, r << 32 | h)
-        out, i = [], 0
+        out, i = array("I"), 0
         while i < n:
-            out.append(ids[i])
-            i = after[i]
-        return np.array(out, dtype="<u4").tobytes()
+            k = after[i]
+            out.append(get(piece[i:k]))
+            i = k
+        return out.tobytes()
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows, and the offsets of the rows in them."""
@@ -248,14 +194,10 @@ class Vocabulary:
             self.merged.clear()
         merged, text = self.merged, body.tobytes()
         missed = key[~known].tolist()
-        new = [(h, k) for h, k in zip(missed, np.flatnonzero(~known).tolist()) if h not in merged]
-        fresh = [text[a:b] for a, b in zip(start[sample[[k for _, k in new]]].tolist(), end[sample[[k for _, k in new]]].tolist())] if new else []
-        short = [i for i, t in enumerate(fresh) if len(t) <= SHORT]
-        for i, done in zip(short, self.merge_short([fresh[i] for i in short])):
-            merged[new[i][0]] = done
-        for i, t in enumerate(fresh):
-            if len(t) > SHORT:
-                merged[new[i][0]] = self.merge(t)
+        misses = sample[~known]
+        for h, a, b in zip(missed, start[misses].tolist(), end[misses].tolist()):
+            if h not in merged:
+                merged[h] = self.merge(text[a:b])
         parts = [merged[h] for h in missed]
         size[~known] = [len(p) >> 2 for p in parts]
         flat = np.zeros(int(size.sum()), dtype="<u4")

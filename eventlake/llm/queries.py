@@ -12,9 +12,11 @@ from eventlake.llm._common import table
 from eventlake.llm.bpe import decoded, encoded
 from eventlake.llm.chat import chat_windows, read_back
 from eventlake.llm.decontaminate import contamination
+from eventlake.llm.html_text import extracted
 from eventlake.llm.near_dedup import near_duplicates
 from eventlake.llm.pii import KINDS, personal_spans, span_list
 from eventlake.llm.sharding import sharded
+from eventlake.llm.toxicity import toxicity
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -40,6 +42,15 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharded(table(spark, sf_dir, "documents"), 8)
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = extracted(table(spark, sf_dir, "pages"))
+    return found.select("row.page_id", "row.url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"), F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
@@ -68,6 +79,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_byte_bpe,
         op3_pii,
         op4_sharding,
+        op6_html_text,
+        op7_toxicity,
         op9_decontamination,
         op10_chat_format,
     )

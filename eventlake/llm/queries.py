@@ -13,6 +13,7 @@ from eventlake.llm.bpe import decoded, encoded
 from eventlake.llm.chat import chat_windows, read_back
 from eventlake.llm.decontaminate import contamination
 from eventlake.llm.html_text import extracted
+from eventlake.llm.merkle import fingerprint, fingerprints, likeness, merkle_tree, with_next
 from eventlake.llm.near_dedup import near_duplicates
 from eventlake.llm.pii import KINDS, personal_spans, span_list
 from eventlake.llm.sharding import sharded
@@ -42,6 +43,24 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharded(table(spark, sf_dir, "documents"), 8)
 
 
+def op5_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_next(fingerprints(table(spark, sf_dir, "documents")))
+    n = F.length("text")
+    half = F.floor(n / 2).cast("int")
+    edited = F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("next_text"), F.lit(1), half))
+    docs = docs.select("doc_id", n.cast("long").alias("n_chars"), "fingerprint", "next_print", edited.alias("edited"))
+    docs = docs.select("*", merkle_tree(F.col("edited")).alias("tree")).select("*", fingerprint(F.col("tree")).alias("edited_fingerprint"))
+    return docs.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        "fingerprint",
+        "edited_fingerprint",
+        likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
+        likeness(F.col("fingerprint"), F.col("next_print")).alias("near_next"),
+    )
+
+
 def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = extracted(table(spark, sf_dir, "pages"))
     return found.select("row.page_id", "row.url", "text", F.length("text").cast("long").alias("n_chars"))
@@ -79,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_byte_bpe,
         op3_pii,
         op4_sharding,
+        op5_merkle,
         op6_html_text,
         op7_toxicity,
         op9_decontamination,

@@ -13,6 +13,7 @@ from eventlake.llm.bpe import decoded, encoded
 from eventlake.llm.chat import chat_windows, read_back
 from eventlake.llm.decontaminate import contamination
 from eventlake.llm.html_text import extracted
+from eventlake.llm.line_dedup import line_dedup
 from eventlake.llm.merkle import fingerprint, fingerprints, likeness, merkle_tree, with_next
 from eventlake.llm.near_dedup import near_duplicates
 from eventlake.llm.pii import KINDS, personal_spans, span_list
@@ -70,6 +71,12 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    gone = F.size("removed").cast("long").alias("n_removed")
+    return found.select("row.doc_id", "n_lines", gone, F.array_join(F.transform("removed", lambda k: k.cast("string")), ",").alias("removed"), F.sha2("text", 256).alias("text_sha256"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"), F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
@@ -101,9 +108,31 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op5_merkle,
         op6_html_text,
         op7_toxicity,
+        op8_line_dedup,
         op9_decontamination,
         op10_chat_format,
     )
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op8_line_dedup": """
+WITH split AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents),
+line AS (SELECT doc_id, unnest(lines) AS line, unnest(range(0, len(lines))) AS pos FROM split),
+worded AS (SELECT doc_id, pos, list_sort(list_distinct(list_filter(regexp_split_to_array(lower(line), '\\s+'), w -> w <> ''))) AS w FROM line),
+big AS (SELECT doc_id, pos, w, len(w) AS n FROM worded WHERE len(w) >= 5),
+sets AS (SELECT w, any_value(n) AS n, min((doc_id, pos)) AS at, row_number() OVER () AS sid FROM big GROUP BY w),
+word AS (SELECT sid, n, unnest(w) AS t FROM sets),
+rarity AS (SELECT t, count(*) AS c FROM word GROUP BY t),
+placed AS (SELECT word.sid, word.n, word.t, row_number() OVER (PARTITION BY word.sid ORDER BY c, word.t) AS r FROM word JOIN rarity USING (t)),
+prefix AS (SELECT sid, n, t FROM placed WHERE r <= n - ceil(n * 0.75) + 1),
+pair AS (SELECT DISTINCT a.sid AS a, b.sid AS b FROM prefix a JOIN prefix b ON a.t = b.t AND a.sid <> b.sid WHERE 4 * a.n >= 3 * b.n AND 4 * b.n >= 3 * a.n),
+gone AS (SELECT DISTINCT l.sid FROM pair JOIN sets e ON e.sid = pair.a JOIN sets l ON l.sid = pair.b
+  WHERE e.at < l.at AND 4 * len(list_intersect(e.w, l.w)) >= 3 * (e.n + l.n - len(list_intersect(e.w, l.w)))),
+removed AS (SELECT big.doc_id, list(big.pos ORDER BY big.pos) AS r FROM big JOIN sets USING (w) LEFT JOIN gone ON gone.sid = sets.sid
+  WHERE gone.sid IS NOT NULL OR (big.doc_id, big.pos) <> sets.at GROUP BY big.doc_id)
+SELECT split.doc_id, CAST(len(lines) AS BIGINT) AS n_lines, CAST(coalesce(len(r), 0) AS BIGINT) AS n_removed,
+  coalesce(array_to_string(r, ','), '') AS removed,
+  sha256(CASE WHEN r IS NULL THEN array_to_string(lines, chr(10)) ELSE coalesce(array_to_string(list_transform(list_filter(range(0, len(lines)), i -> NOT list_contains(r, i)), i -> lines[i + 1]), chr(10)), '') END) AS text_sha256
+FROM split LEFT JOIN removed USING (doc_id)
+""",
+}

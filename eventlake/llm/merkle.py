@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKET_ROWS = 256  # rows that are put in order together, on average
+BROADCAST_BUCKETS = 1_000_000  # buckets up to which the keys of their first rows are broadcast; more are shuffled
 _SENTENCE = r"(?<=[.!?] )"
 _PARAGRAPH = r"(?<=\n)"
 
@@ -58,28 +59,37 @@ def edited_paragraphs(a: Column, b: Column) -> Column:
 def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
     """docs -> doc_id, text, fingerprint. Null texts count as empty; the empty text has no leaves."""
     body = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    return body.withColumn("tree", merkle_tree(F.col("text"))).select("doc_id", "text", fingerprint(F.col("tree")).alias("fingerprint"))
+    return _printed(body)
+
+
+def _printed(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("tree", merkle_tree(F.col("text"))).withColumn("fingerprint", fingerprint(F.col("tree"))).drop("tree")
 
 
 def with_next(docs: DataFrame) -> DataFrame:
-    """docs(doc_id, text, fingerprint) with next_text and next_print of the next row by doc_id, then
-    text; after the last the first. A null doc_id comes first.
+    """docs(doc_id, text) -> doc_id, text, fingerprint, next_text, next_print: the next row by doc_id, then a
+    hash of the text; after the last the first. A null doc_id comes first.
 
-    Rows are dealt to buckets of the id's range and led inside them; only the first row of each bucket
-    crosses to its neighbour. The buckets are ordered in two levels, so no task sees all of them.
+    Rows are dealt to buckets of the id's range and led inside them: one shuffle of the texts. Only the
+    first row of each bucket crosses to its neighbour; the buckets are ordered in two levels, so no
+    task sees all of them.
     """
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     low, high, n = docs.agg(F.min("doc_id"), F.max("doc_id"), F.count("*")).first()
     width = max(1, ((high - low + 1) if low is not None else 1) * BUCKET_ROWS // max(1, n))
     bucket = F.coalesce(F.floor((F.col("doc_id") - F.lit(low if low is not None else 0)) / F.lit(width)), F.lit(-1)).cast("long")
-    dealt = docs.withColumn("bucket", bucket)
-    order = Window.partitionBy("bucket").orderBy(F.col("doc_id").asc_nulls_first(), "text")
-    led = dealt.select("*", F.lead(F.struct("text", "fingerprint")).over(order).alias("next"), F.row_number().over(order).alias("at"))
-    buckets = docs.select(bucket.alias("bucket")).distinct().withColumn("upper", F.floor(F.col("bucket") / 4096))
-    uppers = buckets.groupBy("upper").agg(F.min("bucket").alias("first"))
+    dealt = docs.withColumns({"bucket": bucket, "h": F.xxhash64("text")})
+    firsts = dealt.groupBy("bucket").agg(F.min(F.struct("doc_id", "h")).alias("k")).withColumn("upper", F.floor(F.col("bucket") / 4096))
+    uppers = firsts.groupBy("upper").agg(F.min("bucket").alias("first"))
     uppers = uppers.select("upper", F.lead("first").over(Window.orderBy("upper")).alias("later"), F.min("first").over(Window.partitionBy()).alias("wrap"))
-    after = buckets.select("bucket", "upper", F.lead("bucket").over(Window.partitionBy("upper").orderBy("bucket")).alias("near")).join(uppers, "upper")
-    after = after.select("bucket", F.coalesce("near", "later", "wrap").alias("next_bucket"))
-    first = led.where("at = 1").select(F.col("bucket").alias("next_bucket"), F.struct("text", "fingerprint").alias("first")).join(after, "next_bucket").select("bucket", "first")
-    inner = led.where("next is not null").select("doc_id", "text", "fingerprint", "next")
-    outer = led.where("next is null").join(first, "bucket").select("doc_id", "text", "fingerprint", F.col("first").alias("next"))
-    return inner.unionByName(outer).select("doc_id", "text", "fingerprint", F.col("next.text").alias("next_text"), F.col("next.fingerprint").alias("next_print"))
+    after = firsts.select("bucket", "upper", F.lead("bucket").over(Window.partitionBy("upper").orderBy("bucket")).alias("near")).join(uppers, "upper")
+    after = after.select(F.col("bucket").alias("previous"), F.coalesce("near", "later", "wrap").alias("bucket"))
+    keys = firsts.join(after, "bucket").select("bucket", "previous", F.col("k.doc_id").alias("first_id"), F.col("k.h").alias("h"))
+    if n // BUCKET_ROWS <= BROADCAST_BUCKETS:
+        keys = F.broadcast(keys)
+    crossing = dealt.join(keys, ["bucket", "h"]).where(F.col("doc_id").eqNullSafe(F.col("first_id"))).select("previous", "text").dropDuplicates(["previous"])
+    crossing = _printed(crossing).select(F.col("previous").alias("bucket"), F.struct("text", "fingerprint").alias("crossing"))
+    order = Window.partitionBy("bucket").orderBy(F.col("doc_id").asc_nulls_first(), "h")
+    led = _printed(dealt).select("*", F.lead(F.struct("text", "fingerprint")).over(order).alias("inner"))
+    led = led.join(crossing, "bucket", "left").withColumn("next", F.coalesce("inner", "crossing"))
+    return led.select("doc_id", "text", "fingerprint", F.col("next.text").alias("next_text"), F.col("next.fingerprint").alias("next_print"))

@@ -14,7 +14,7 @@ from eventlake.llm.chat import chat_windows, read_back
 from eventlake.llm.decontaminate import contamination
 from eventlake.llm.html_text import extracted
 from eventlake.llm.line_dedup import line_dedup
-from eventlake.llm.merkle import fingerprint, fingerprints, likeness, merkle_tree, with_next
+from eventlake.llm.merkle import fingerprint, likeness, merkle_tree, with_next
 from eventlake.llm.near_dedup import near_duplicates
 from eventlake.llm.pii import KINDS, personal_spans, span_list
 from eventlake.llm.sharding import sharded
@@ -45,7 +45,7 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = with_next(fingerprints(table(spark, sf_dir, "documents")))
+    docs = with_next(table(spark, sf_dir, "documents"))
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("next_text"), F.lit(1), half))
@@ -118,7 +118,7 @@ ORACLE_SQL: dict[str, str] = {
     "op8_line_dedup": """
 WITH split AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents),
 line AS (SELECT doc_id, unnest(lines) AS line, unnest(range(0, len(lines))) AS pos FROM split),
-worded AS (SELECT doc_id, pos, list_sort(list_distinct(list_filter(regexp_split_to_array(lower(line), '\\s+'), w -> w <> ''))) AS w FROM line),
+worded AS (SELECT doc_id, pos, list_sort(list_distinct(list_filter(string_split(lower(line), ' '), lambda w: w <> ''))) AS w FROM line),
 big AS (SELECT doc_id, pos, w, len(w) AS n FROM worded WHERE len(w) >= 5),
 sets AS (SELECT w, any_value(n) AS n, min((doc_id, pos)) AS at, row_number() OVER () AS sid FROM big GROUP BY w),
 word AS (SELECT sid, n, unnest(w) AS t FROM sets),
@@ -132,7 +132,7 @@ removed AS (SELECT big.doc_id, list(big.pos ORDER BY big.pos) AS r FROM big JOIN
   WHERE gone.sid IS NOT NULL OR (big.doc_id, big.pos) <> sets.at GROUP BY big.doc_id)
 SELECT split.doc_id, CAST(len(lines) AS BIGINT) AS n_lines, CAST(coalesce(len(r), 0) AS BIGINT) AS n_removed,
   coalesce(array_to_string(r, ','), '') AS removed,
-  sha256(CASE WHEN r IS NULL THEN array_to_string(lines, chr(10)) ELSE coalesce(array_to_string(list_transform(list_filter(range(0, len(lines)), i -> NOT list_contains(r, i)), i -> lines[i + 1]), chr(10)), '') END) AS text_sha256
+  sha256(CASE WHEN r IS NULL THEN array_to_string(lines, chr(10)) ELSE coalesce(array_to_string(list_transform(list_filter(range(0, len(lines)), lambda i: NOT list_contains(r, i)), lambda i: lines[i + 1]), chr(10)), '') END) AS text_sha256
 FROM split LEFT JOIN removed USING (doc_id)
 """,
 }

@@ -81,22 +81,10 @@ def test_no_cutover_before_the_fence(spark):
     assert [r.block_number for r in H.hybrid_union(history, live, cut).collect()] == [580]
 
 
-class Numbers:
-    schema = "number bigint"
-
-    @staticmethod
-    def height():
-        return 25
-
-    @staticmethod
-    def query(low, high):
-        return iter([(n,) for n in range(low, high)])
-
-
 def test_page_and_live_sources(spark, tmp_path):
     spark.dataSource.register(PageSource)
     spark.dataSource.register(LiveSource)
-    name = f"{__name__}:Numbers"
+    name = "tests.numbers_source:Numbers"
     df = spark.read.format("eventlake-pages").option("provider", name).option("page_blocks", 10).load()
     assert df.rdd.getNumPartitions() == 3 and df.agg(F.sum("number")).first()[0] == 300
     q = spark.readStream.format("eventlake-live").option("provider", name).option("page_blocks", 10).load().writeStream.format("memory").queryName("live").option("checkpointLocation", str(tmp_path / "c")).start()

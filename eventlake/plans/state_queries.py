@@ -118,7 +118,7 @@ def _(s, d):
     return T.validate_desired_state(o, i)
 
 
-@query("own11_topology_diff", _with(_PRINT, "SELECT owner_id, CASE WHEN owner_id = 'errors' THEN 'removed' WHEN owner_id LIKE 'user%' THEN 'changed' ELSE 'listed' END AS change, CASE WHEN owner_id = 'errors' THEN -1 ELSE 2 END AS generation FROM prints UNION ALL SELECT 'new', 'added', 2"))
+@query("own11_topology_diff", _with(_PRINT, "SELECT owner_id, CASE WHEN owner_id = 'errors' THEN 'removed' WHEN owner_id IN (SELECT owner_id FROM interests WHERE owner_id LIKE 'user%' AND len(addresses) > 1) THEN 'changed' ELSE 'listed' END AS change, CASE WHEN owner_id = 'errors' THEN -1 ELSE 2 END AS generation FROM prints UNION ALL SELECT 'new', 'added', 2"))
 def _(s, d):
     i = D.interests(s, d)
     old = T.interest_fingerprints(i).withColumn("generation", F.lit(1))

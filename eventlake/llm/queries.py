@@ -114,7 +114,32 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
 ORACLE_SQL: dict[str, str] = {
+    "op1_minhash_near_dedup": rf"""
+WITH RECURSIVE worded AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+sized AS (SELECT doc_id, w, least(5, len(w)) AS size FROM worded WHERE len(w) > 0),
+shingle AS (SELECT DISTINCT doc_id, array_to_string(w[p : p + size - 1], ' ') AS s FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS p FROM sized)),
+n AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+link AS (SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT reach.a, link.b FROM reach JOIN link ON link.a = reach.b)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, r.c AS component_id, d.doc_id = r.c AS kept
+FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS c FROM reach GROUP BY a) r USING (doc_id)
+""",
+    "op9_decontamination": rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+i AS (SELECT item_id, w, least(13, len(w)) AS size FROM (SELECT item_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark) WHERE len(w) > 0),
+iw AS (SELECT DISTINCT item_id, size, array_to_string(w[p : p + size - 1], ' ') AS key FROM (SELECT item_id, w, size, unnest(range(1, len(w) - size + 2)) AS p FROM i)),
+dw AS (SELECT doc_id, size, p, array_to_string(w[p : p + size - 1], ' ') AS key FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS p FROM d, (SELECT DISTINCT size FROM iw) WHERE len(w) >= size)),
+m AS (SELECT doc_id, item_id, p, size FROM dw JOIN iw USING (size, key)),
+hit AS (SELECT doc_id, count(DISTINCT h) AS n FROM (SELECT doc_id, unnest(range(p, p + size)) AS h FROM m) GROUP BY doc_id),
+item AS (SELECT doc_id, count(*) AS n, string_agg(id, ',' ORDER BY id) AS ids FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM m) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(hit.n, 0) AS BIGINT) AS n_hit, CAST(coalesce(item.n, 0) AS BIGINT) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AND 20 * coalesce(hit.n, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN item USING (doc_id)
+""",
     "op8_line_dedup": """
 WITH split AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents),
 line AS (SELECT doc_id, unnest(lines) AS line, unnest(range(0, len(lines))) AS pos FROM split),

@@ -263,6 +263,24 @@ def test_lines_are_those_of_brute_force(spark):
             assert r.text == "\n".join(x for p, x in enumerate(rows[r.doc_id][1].split("\n")) if (r.doc_id, p) not in gone)
 
 
+def test_short_lines_are_those_of_brute_force(spark):
+    rng = random.Random(12)
+    words = ["a", "b", "c", "d", "e", "F", "x\ty", "日本語の行です"]
+    rows = [(k, "\n".join(" ".join(rng.sample(words, rng.randint(0, 4))) for _ in range(2))) for k in range(60)]
+    rows += [(60, "Menu\none two three"), (61, "menu\nfour one two three"), (62, "col1\tcol2\n\n   \nMenu"), (63, "col1\tcol2\n\n   \nshare  this"), (64, "This share share\nsolo")]
+    seen, gone = [], set()
+    for k, t in rows:
+        for pos, line in enumerate(t.split("\n")):
+            own = {w for w in line.lower().split(" ") if w}
+            if own:
+                if any(4 * len(own & o) >= 3 * len(own | o) for o in seen):
+                    gone.add((k, pos))
+                seen.append(own)
+    assert {(61, 0), (61, 1), (62, 3), (63, 0), (64, 0)} <= gone and not {(62, 1), (62, 2), (63, 1), (64, 1)} & gone
+    out = line_dedup.line_dedup(table(spark, rows)).selectExpr("row.doc_id", "removed").collect()
+    assert {(r.doc_id, p) for r in out for p in r.removed} == gone
+
+
 def alnum(text):
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate({c: c + 32 for c in range(65, 91)}))
 

@@ -57,8 +57,8 @@ _DISGUISES = re.compile(
     re.IGNORECASE,
 )
 _SPELLED = re.compile(rf"\b(?:{_WORD}|dot|punto|punkt|point)\b", re.IGNORECASE)
-#: What a text must hold for the disguise rules to apply at all.
-_HINT = re.compile(rf"[\[({{<]\s*(?:{_AT}|{_DOT})\s*[\])}}>]|\b(?:dot|punto|punkt|point|arroba)\b|\s@|@\s|\b(?:{_WORD})[\s,.-]+(?:{_WORD})\b", re.IGNORECASE)
+#: What a text must hold for a disguise rule to apply at all: found wherever _DISGUISES is.
+_HINT = re.compile(rf"[\[({{<]\s*(?:{_AT}|{_DOT})\s*[\])}}>]|\b(?:dot|punto|punkt|point|arroba)\b|\sat\s+{_NAME}\.[A-Za-z0-9-]|\s@|@\s|\b(?:{_WORD})[\s,.-]+(?:{_WORD})\b", re.IGNORECASE)
 
 
 def _luhn(digits: str) -> bool:
@@ -103,6 +103,19 @@ def _plain(char: str) -> str:
     return wide if wide.isascii() else char
 
 
+@cache
+def _mapped() -> np.ndarray:
+    """Of each code point of two bytes in UTF-8 whether it stands for something else."""
+    return np.array([c >= 0x80 and _plain(chr(c)) != chr(c) for c in range(0x800)])
+
+
+def _foreign(body: np.ndarray) -> np.ndarray:
+    """The bytes that begin a character which the transducer may rewrite."""
+    after = np.append(body[1:], np.uint8(0)) & 0x3F
+    pair = (body >= 0xC2) & (body < 0xE0)
+    return (body >= 0xE0) | (pair & _mapped()[((body & 0x1F).astype(np.int64) << 6) | after])
+
+
 def rewritten(text: str) -> tuple[str, list[int], list[int]]:
     """The normalised text and, of each of its characters, the source span [start, end) behind it."""
     chars, start, end = [], [], []
@@ -155,15 +168,12 @@ def personal_data(text: str, disguised: bool = True) -> tuple[list[tuple[int, in
 def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     digit_or_at = np.zeros(256, dtype=bool)
     digit_or_at[[*range(0x30, 0x3A), 0x40]] = True
-    foreign = np.zeros(256, dtype=bool)
-    foreign[0xCD:] = True  # beyond the Latin blocks
-    foreign[0xC2] = True
     for batch in batches:
         for part in pieces(batch, "text"):
             column = part.column("text")
             body, offsets = utf8(column)
             plain = np.add.reduceat(np.append(digit_or_at[body], False), offsets[:-1]) * (np.diff(offsets) > 0)
-            odd = np.add.reduceat(np.append(foreign[body], False), offsets[:-1]) * (np.diff(offsets) > 0)
+            odd = np.add.reduceat(np.append(_foreign(body), False), offsets[:-1]) * (np.diff(offsets) > 0)
             found = []
             for k in range(part.num_rows):
                 base = added = ()

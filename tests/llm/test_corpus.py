@@ -167,6 +167,18 @@ def test_pii_leaves_prose_alone(spark):
     assert sorted(len(r.spans) for r in rows) == [0, 0, 1, 1]
 
 
+def test_pii_gate_lets_every_disguise_through(spark):
+    rng = random.Random(23)
+    parts = ["john", "at", "AT", "arroba", "dot", "punto", "example", "com", "one", "zwei", "nine", "plus", "b-c"] * 2 + ["@", ".", "(", ")", "[at]", "ſ", "ʰ", "ĳ", "ö", "ß", "é", "е", "１", "\u00ad", "4", "\n", ",", "-", "\u00a0"]
+    texts = ["mail john at example.com now", "boſs@maiſ.com", "jo\u02b0n@e\u02b0.com", "we met at dawn. Later"]
+    texts += ["".join(rng.choice(parts) + rng.choice(["", " ", " ", "  "]) for _ in range(rng.randint(1, 9))) for _ in range(20_000)]
+    spans = {r.doc_id: [(s["kind"], s["start"], s["end"], s["disguised"]) for s in r.spans] for r in pii.personal_spans(table(spark, list(enumerate(texts)))).selectExpr("row.doc_id", "spans").collect()}
+    assert spans[0] == [("email", 5, 24, True)] and spans[1][-1] == ("email", 0, 13, True) and spans[2][-1][3]
+    for k, text in enumerate(texts):
+        base, added = pii.personal_data(text)
+        assert spans[k] == [(pii.KINDS[s[0]], *s[1:], d) for d, found in ((False, base), (True, added)) for s in found], text
+
+
 def test_shards(spark, corpus):
     rows = sharding.sharded(table(spark, corpus)).collect()
     assert len(rows) == len(corpus)

@@ -22,14 +22,22 @@ def new_deliveries(stored: DataFrame, incoming: DataFrame, digest: str = "digest
     return j.where("had is null").drop("had"), j.where(F.col("had").isNotNull() & (F.col("had") != F.col(digest))).select(F.lit("slot_conflict").alias("rule"), *SLOT)
 
 
+def slot_clashes(incoming: DataFrame, digest: str = "digest") -> DataFrame:
+    """(rule, slot): slots that one batch fills with different contents."""
+    of = incoming.groupBy(*SLOT).agg(F.count("*").alias("n"), F.count(digest).alias("known"), F.min(digest).alias("a"), F.max(digest).alias("b"))
+    return of.where((F.col("a") != F.col("b")) | ((F.col("known") > 0) & (F.col("known") < F.col("n")))).select(F.lit("slot_conflict").alias("rule"), *SLOT)
+
+
 def write_deliveries(incoming: DataFrame, path: str, digest: str = "digest") -> int:
-    """Appends new deliveries to a Parquet log, partitioned by session; raises on a slot conflict.
+    """Appends new deliveries to a Parquet log, partitioned by session; raises on a slot conflict,
+    with the log or inside the batch, before anything is written.
 
     Running it again with the same batch appends nothing, so it serves as a foreachBatch sink.
     """
     from eventlake.operators.validate import strict
 
     spark = incoming.sparkSession
+    strict(slot_clashes(incoming, digest))
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     if hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
         rows, bad = new_deliveries(spark.read.parquet(path), incoming, digest)

@@ -9,6 +9,7 @@ from eventlake.operators import hybrid as H
 from eventlake.operators import scan as S
 from eventlake.operators import topology as T
 from eventlake.operators import validate as V
+from eventlake.plans import queries as Q
 from eventlake.sources.providers import LiveSource, PageSource
 from eventlake.streaming.tracker import step
 
@@ -65,6 +66,28 @@ def test_redelivery_and_conflict(spark, tmp_path):
         L.write_deliveries(row("b"), path)
 
 
+def test_conflict_inside_a_batch(spark, tmp_path):
+    rows = lambda *digests: spark.createDataFrame([("s", 1, k, d) for k, d in digests], "session_id string, chain_id bigint, sequence bigint, digest string")
+    path = str(tmp_path / "log")
+    for second in ("b", None):
+        with pytest.raises(V.Violation):
+            L.write_deliveries(rows((1, "a"), (1, second)), path)
+    assert L.write_deliveries(rows((1, "a"), (1, "a"), (2, "a")), path) == 2
+    with pytest.raises(V.Violation):
+        L.write_deliveries(rows((3, "a"), (3, "b")), path)
+    assert spark.read.parquet(path).count() == 2
+
+
+def test_delivery_of_a_full_hour(spark, tmp_path):
+    """More than 100,000 logs in a block: none shares its slot with the next block's."""
+    hour = F.when(F.col("id") < 100_005, 0).otherwise(1)
+    events = spark.range(100_020).select(F.col("id").alias("event_id"), F.expr("TIMESTAMP_NTZ'2024-01-01 00:00:00'").alias("t"), hour.alias("h"), F.lit(1).cast("long").alias("user_id"), F.lit("view").alias("event_type"), F.lit('{"k": 1}').alias("props"), F.lit(1.0).alias("value"))
+    events.selectExpr("event_id", "timestampadd(HOUR, h, t) AS ts", "user_id", "event_type", "props", "value").write.parquet(f"{tmp_path}/events.parquet")
+    got = Q.QUERIES["str1_src7_deliver_stream"](spark, str(tmp_path))
+    assert {(r.block_number, r["count"]) for r in got.groupBy("block_number").count().collect()} == {(0, 100_005), (1, 15)}
+    assert got.distinct().count() == 100_020
+
+
 def test_anchor_must_touch_the_backfill(spark):
     o = spark.createDataFrame([("x", False, 10, 20)], "owner_id string, canonical boolean, from_block bigint, to_block_excl bigint")
     assert T.add_owner(o, o, 9).count() == T.add_owner(o, o, 10).count() == 1

@@ -46,6 +46,15 @@ def cut(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(*tables: DataFrame) -> None:
+    """Delete tables that `cut` wrote. Call it once all that reads them is itself written."""
+    for df in tables:
+        spark = df.sparkSession
+        for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def in_arrow(df: DataFrame, fn, schema: str, rows: int = 2000) -> DataFrame:
     """mapInArrow with batches of a bounded number of rows."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

@@ -140,11 +140,11 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(hit.n, 0) AS B
   sha256(coalesce(ids, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AND 20 * coalesce(hit.n, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN item USING (doc_id)
 """,
-    "op8_line_dedup": """
+    "op8_line_dedup": r"""
 WITH split AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents),
 line AS (SELECT doc_id, unnest(lines) AS line, unnest(range(0, len(lines))) AS pos FROM split),
-worded AS (SELECT doc_id, pos, list_sort(list_distinct(list_filter(string_split(lower(line), ' '), lambda w: w <> ''))) AS w FROM line),
-big AS (SELECT doc_id, pos, w, len(w) AS n FROM worded WHERE len(w) >= 5),
+worded AS (SELECT doc_id, pos, list_sort(list_distinct(list_filter(string_split_regex(lower(line), '[ \t\n\x0B\f\r]+'), lambda w: w <> ''))) AS w FROM line),
+big AS (SELECT doc_id, pos, w, len(w) AS n FROM worded WHERE len(w) >= 1),
 sets AS (SELECT w, any_value(n) AS n, min((doc_id, pos)) AS at, row_number() OVER () AS sid FROM big GROUP BY w),
 word AS (SELECT sid, n, unnest(w) AS t FROM sets),
 rarity AS (SELECT t, count(*) AS c FROM word GROUP BY t),

@@ -262,7 +262,7 @@ def test_lines_are_those_of_brute_force(spark):
     for k, t in rows:
         for pos, line in enumerate(t.split("\n")):
             own = set(line.lower().split())
-            if len(own) >= 5:
+            if own:
                 if any(4 * len(own & o) >= 3 * len(own | o) for o in seen):
                     gone.add((k, pos))
                 seen.append(own)
@@ -275,24 +275,54 @@ def test_lines_are_those_of_brute_force(spark):
             assert r.text == "\n".join(x for p, x in enumerate(rows[r.doc_id][1].split("\n")) if (r.doc_id, p) not in gone)
 
 
-def test_short_lines_are_those_of_brute_force(spark):
-    rng = random.Random(12)
-    words = ["a", "b", "c", "d", "e", "F", "x\ty", "日本語の行です"]
-    rows = [(k, "\n".join(" ".join(rng.sample(words, rng.randint(0, 4))) for _ in range(2))) for k in range(60)]
-    rows += [(60, "Menu\none two three"), (61, "menu\nfour one two three"), (62, "col1\tcol2\n\n   \nMenu"), (63, "col1\tcol2\n\n   \nshare  this"), (64, "This share share\nsolo")]
+def duplicate_lines(rows):
+    """(row number, line number) of each line that an earlier one matches, by all pairs."""
     seen, gone = [], set()
-    for k, t in rows:
-        for pos, line in enumerate(t.split("\n")):
-            own = {w for w in line.lower().split(" ") if w}
+    for k, text in enumerate(rows):
+        for pos, line in enumerate((text or "").split("\n")):
+            own = {w for w in re.split(r"[ \t\x0b\f\r]+", line.lower()) if w}
             if own:
                 if any(4 * len(own & o) >= 3 * len(own | o) for o in seen):
                     gone.add((k, pos))
                 seen.append(own)
-    assert {(61, 0), (61, 1), (62, 3), (63, 0), (64, 0)} <= gone and not {(62, 1), (62, 2), (63, 1), (64, 1)} & gone
-    out = line_dedup.line_dedup(table(spark, rows)).selectExpr("row.doc_id", "removed").collect()
+    return gone
+
+
+def test_short_lines_are_those_of_brute_force(spark):
+    rng = random.Random(12)
+    words = ["a", "b", "c", "d", "e", "F", "g\th", "日本語の行です"]
+    rows = ["\n".join(" ".join(rng.sample(words, rng.randint(0, 4))) for _ in range(2)) for _ in range(60)]
+    rows += ["Menu\none two three", "menu\nfour one two three", "col1\tcol2\n\n   \nMenu", "col2  col1\r\n\n   \nshare  this", "This share share\nsolo"]
+    gone = duplicate_lines(rows)
+    assert {(61, 0), (61, 1), (62, 3), (63, 0), (64, 0)} <= gone and not {(62, 0), (62, 1), (62, 2), (63, 1), (64, 1)} & gone
+    out = line_dedup.line_dedup(table(spark, list(enumerate(rows)))).selectExpr("row.doc_id", "removed").collect()
     assert {(r.doc_id, p) for r in out for p in r.removed} == gone
 
 
+@pytest.mark.parametrize("limit", [500_000, 0])
+def test_long_hot_and_repeated_lines(spark, monkeypatch, limit):
+    """One text of thousands of lines, a large group of near copies, very long lines, repeated rows and ids."""
+    monkeypatch.setattr(line_dedup, "BROADCAST_DOCS", limit)
+    rng = random.Random(14)
+    words = [f"w{k}" for k in range(3000)]
+    base = prose(rng, words, 30).split()
+    near = []
+    for _ in range(300):
+        copy = list(base)
+        for _ in range(rng.randint(0, 4)):
+            copy[rng.randrange(30)] = rng.choice(words)
+        near.append(" ".join(copy))
+    giant = " ".join(words)
+    rows = ["\n".join(near[:150]), *near[150:], giant, giant + " more", None, "", "\n\n", "\n".join(["same line"] * 3000)]
+    gone = duplicate_lines(rows)
+    assert (152, 0) in gone and len([g for g in gone if g[0] == len(rows) - 1]) == 2999
+    got = line_dedup.line_dedup(table(spark, list(enumerate(rows)))).selectExpr("row.doc_id", "removed", "text").collect()
+    assert {(r.doc_id, p) for r in got for p in r.removed} == gone
+    assert {r.doc_id: r.text for r in got}[len(rows) - 1] == "same line"
+    twice = line_dedup.line_dedup(table(spark, [(1, "a b c d\nx"), (1, "a b c d\nx"), (1, "y z"), (2, "y z\na b c d e")])).selectExpr("row.doc_id", "row.text AS t", "removed").collect()
+    assert sorted((r.doc_id, r.t, list(r.removed)) for r in twice) == [(1, "a b c d\nx", []), (1, "a b c d\nx", []), (1, "y z", []), (2, "y z\na b c d e", [0, 1])]
+
+
 def alnum(text):
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate({c: c + 32 for c in range(65, 91)}))
 

@@ -211,6 +211,54 @@ def test_html(spark):
     assert got == {1: want, 2: want, 3: "", 4: "", 5: ""}
 
 
+BODY = "<h1>Short title</h1><p>" + "word " * 60 + "</p><p>It is.</p><p>more " + "text " * 40 + "</p>"
+PROSE = " ".join(re.sub(r"<[^>]*>", " ", BODY).split())
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f'<body class="has-sidebar">{BODY}</body>',
+        f'<article class="post no-comments">{BODY}</article>',
+        f"<form action=x>{BODY}</form>",
+        f"<nav><div>{BODY}</div>",
+        f"<p>{BODY[4:]}".replace("Short", "<h1>Short", 1),
+        f'<div>{BODY}<div class="ad-box">Buy now</div></div><div id="comments"><p>{"nice " * 30}</p></div>',
+        f"<aside>{'side ' * 50}</aside>{BODY}<div role=contentinfo>{'foot ' * 40}</div>",
+    ],
+)
+def test_html_frames_and_hints(page):
+    assert html_text.main_text(page, {}) == PROSE
+
+
+def test_html_run_follows_what_labelled_pages_teach(spark):
+    """Kinds that nothing hints at: only the learned weights keep them out of the best run."""
+    page = "<div class=x9>" + "<i>link text here</i>" * 12 + "</div><{0}>" + BODY + "</{0}><section class=q7>" + "tail " * 30 + "</section>"
+    learned: dict = {}
+    for _ in range(50):
+        for kind, seen in html_text.tag_counts(page.format("article")).items():
+            of = learned.setdefault(kind, [0, 0, 0])
+            of[0], of[1], of[2] = of[0] + seen[0], of[1] + seen[1], max(of[2], seen[2])
+    assert html_text.main_text(page.format("section"), learned) == PROSE
+    assert html_text.main_text(page.format("section"), {}) != PROSE
+    pages = spark.createDataFrame([(k, page.format("article" if k < 50 else "section")) for k in range(60)], "page_id bigint, html string")
+    assert {r.text for r in html_text.extracted(pages).collect()} == {PROSE}
+    assert html_text.extracted(pages.limit(0)).count() == 0
+
+
+def test_html_run_alone_leaves_thin_text_out(monkeypatch):
+    """Elements of no known kind: single words between tags cost more than they score."""
+    thin = "<div><span>go</span></div>" * 15
+    assert html_text.main_text(thin + BODY + thin, {}) == PROSE
+    monkeypatch.setattr(html_text, "UNSEEN_PENALTY", 0.0)
+    assert html_text.main_text(thin + BODY + thin, {}) != PROSE
+
+
+def test_html_long_page_is_linear():
+    page = "<div>" + "<p>word <b>bold</b></p>" * 50_000 + "</div>"
+    assert len(html_text.main_text(page, {}).split()) == 100_000
+
+
 def test_toxicity(spark):
     rng = random.Random(5)
     words = [f"w{k}" for k in range(300)]

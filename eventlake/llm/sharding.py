@@ -29,7 +29,7 @@ def jump(keys: np.ndarray, shards: int) -> np.ndarray:
 def _jumper(shards: int):
     @F.pandas_udf("int")
     def shard(key: pd.Series) -> pd.Series:
-        return pd.Series(jump(key.fillna(0).to_numpy(dtype=np.int64), shards).astype(np.int32))
+        return pd.Series(jump(key.to_numpy(dtype=np.int64), shards).astype(np.int32))
 
     return shard
 
@@ -39,8 +39,8 @@ def sharded(docs: DataFrame, shards: int = 8, key: str = "doc_id", text: str = "
 
     The shard depends on the key and the number of shards alone, so copies of a text lie where their
     keys put them; a null key counts as 0. A null text has size 1 and the checksum of no bytes.
-    Slots number the rows of a shard from 0 without gaps, by bucket of the key, then key, size and
-    checksum; rows that repeat get slots of their own. The numbering is counted by bucket first, so
+    Slots number the rows of a shard from 0 without gaps, by bucket of key, size and checksum, then by
+    them, so rows of one key spread; rows that repeat get slots of their own. The numbering is counted by bucket first, so
     no task sorts a whole shard. Other columns are ignored.
     """
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
@@ -49,9 +49,10 @@ def sharded(docs: DataFrame, shards: int = 8, key: str = "doc_id", text: str = "
         (F.octet_length(body).cast("long") + 1).alias("size"),
         F.crc32(F.encode(body, "UTF-8")).alias("text_crc32"),
     )
-    rows = rows.withColumn("shard", _jumper(shards)("doc_id")).withColumn("grown_shard", _jumper(shards + 1)("doc_id"))
+    stable = F.coalesce("doc_id", F.lit(0).cast("long"))  # a null would turn its whole batch to floats
+    rows = rows.withColumn("shard", _jumper(shards)(stable)).withColumn("grown_shard", _jumper(shards + 1)(stable))
     buckets = max(128, docs.count() // (shards * BUCKET_ROWS))
-    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(buckets)).cast("int"))
+    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "size", "text_crc32"), F.lit(buckets)).cast("int"))
     counts = rows.groupBy("shard", "bucket").agg(F.count("*").alias("n"))
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))

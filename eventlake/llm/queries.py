@@ -87,11 +87,10 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
     back = read_back(chat_windows(turns))
-    whole = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return back.select(
         "conv_id",
-        F.size("turns").cast("long").alias("n_turns"),
-        F.sha2(whole, 256).alias("turns_sha256"),
+        "n_turns",
+        F.sha2("turns", 256).alias("turns_sha256"),
         F.length("loss").cast("long").alias("loss_chars"),
         F.sha2("loss", 256).alias("loss_sha256"),
         "formatted_chars",

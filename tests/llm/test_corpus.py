@@ -187,6 +187,10 @@ def test_shards(spark, corpus):
         assert slots == list(range(len(slots)))
     assert all(r.grown_shard in (r.shard, 8) for r in rows)
     keys = np.arange(50_000)
+    wide = [(1 << 60) + k for k in range(50)]
+    shard_of = lambda ids: {r.doc_id: (r.shard, r.grown_shard) for r in sharding.sharded(table(spark, [(i, "x") for i in ids])).collect()}
+    alone, beside = shard_of(wide), shard_of([None, *wide])
+    assert {i: beside[i] for i in wide} == alone and alone[wide[0]][0] == sharding.jump(np.array(wide[:1]), 8)[0]
     counts = np.bincount(sharding.jump(keys, 8))
     assert counts.min() > 5900 and (sharding.jump(keys, 9) != sharding.jump(keys, 8)).mean() == pytest.approx(1 / 9, abs=0.01)
 
@@ -410,7 +414,7 @@ def test_contamination_is_that_of_brute_force(spark, monkeypatch, block):
         assert (r.n_words, r.n_hit, r.item_ids, r.contaminated) == (len(w), n, sorted(found), n > 0 and 20 * n >= len(w))
 
 
-@pytest.mark.parametrize("budget, history", [(1024, 256), (30, 10), (5, 0)])
+@pytest.mark.parametrize("budget, history", [(1024, 256), (60, 20), (5, 0)])
 def test_chat_reads_back(spark, budget, history):
     rng = random.Random(17)
     bits = ["hello", "### x: ", "</turn>", " </turn>\n### user: ", "\\", "%3C", "%", "é", "", "a" * 100, "\n"]
@@ -419,15 +423,53 @@ def test_chat_reads_back(spark, budget, history):
         for t in range(rng.randint(1, 8)):
             role = "system" if t == 0 and c % 3 == 0 else rng.choice(["user", "assistant", "a:b", None])
             rows.append((c, t, role, rng.choice([None, "".join(rng.choice(bits) for _ in range(5))])))
-    rows += [(None, 0, "user", "x"), (3, 0, "user", "twice"), (3, 0, "user", "twice")]
-    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    rows += [(None, 0, "user", "x"), (None, None, "user", "y"), (3, 0, "user", "twice"), (3, 0, "user", "twice"), (50, 0, "system", "alone")]
+    rows += [(60, 5000 * t, "assistant", f"far {t}") for t in range(9)]
+    df = spark.createDataFrame([(*r, "clash", 1) for r in rows], "conv_id bigint, turn bigint, role string, text string, key string, idx int")
     windows = chat.chat_windows(df, budget, history)
     back = {r.conv_id: r for r in chat.read_back(windows).collect()}
+    formed = {}
+    for r in windows.collect():
+        formed.setdefault(r.conv_id, []).append((r.window, r.n_repeated, r.formatted))
+    order = lambda r: (r[1] is not None, r[1] or 0, r[2] or "", r[3] or "")
+    written = lambda t: f"\n### {t[0]}: {t[1]} </turn>"
+    esc = lambda x: x.replace("%", "%25").replace("#", "%23").replace("<", "%3C")
     for c in {r[0] for r in rows}:
-        turns = sorted((r[1], r[2] or "", r[3] or "") for r in rows if r[0] == c)
-        assert [(t.role, t.text) for t in back[c].turns] == [(r, x) for _, r, x in turns]
-        assert back[c].loss == "".join(x for _, r, x in turns if r == "assistant")
-    assert windows.where("window > 0").count() > 0 or budget == 1024
+        turns = [(r[2] or "", r[3] or "") for r in sorted((r for r in rows if r[0] == c), key=order)]
+        assert (back[c].turns, back[c].n_turns) == ("".join(f"{r}\n{x}\n" for r, x in turns), len(turns))
+        assert back[c].loss == "".join(x for r, x in turns if r == "assistant")
+        system = turns[0] if turns[0][0] == "system" and len(turns) > 1 else None
+        shown = [(esc(r).replace(":", "%3A"), esc(x)) for r, x in turns]
+        for k, (at, repeated, text) in enumerate(sorted(formed[c])):
+            assert k == 0 or at > sorted(formed[c])[k - 1][0]
+            if k and system:
+                assert repeated >= 1 and text.startswith(written(shown[0]))
+            past = repeated - (1 if k and system else 0)
+            lead = [shown[0]] if system else []
+            assert text.startswith("".join(map(written, (lead if k else []) + shown[at - past : at])) if k else "".join(map(written, lead)))
+            assert sum(-(-len(f"\n### :  </turn>{r}{x}".encode()) // 4) for r, x in turns[at - past : at]) <= history if k else repeated == 0
+
+
+def test_chat_windows_keep_the_budget(spark):
+    rows = [(1, t, "system" if t == 0 else "assistant" if t % 2 else "user", "x" * (400 if t == 0 else 40 + 997 * t % 900)) for t in range(300)]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").withColumn("own", F.length("text"))
+    for tokens, of in ((None, lambda text: -(-len(text) // 4)), ("own", None)):
+        got = chat.chat_windows(df, 1024 if tokens is None else 4096, 256, tokens=tokens).collect()
+        if of:
+            assert max(of(r.formatted) for r in got) <= 1024
+        else:
+            assert max(r.formatted.count("x") for r in got) <= 4096
+        assert len(got) < 200 and sum(r.formatted.count("</turn>") - r.n_repeated for r in got) == 300
+
+
+@pytest.mark.parametrize("turns, size", [(4_000, 1000), (40_000, 100)])
+def test_chat_of_one_long_conversation(spark, turns, size):
+    said = F.concat(F.col("id").cast("string"), F.lit(" "), F.repeat(F.lit("a"), size))
+    df = spark.range(turns).select(F.lit(7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"), said.alias("text"))
+    back = chat.read_back(chat.chat_windows(df)).collect()
+    whole = "".join(f"{'assistant' if t % 2 else 'user'}\n{t} {'a' * size}\n" for t in range(turns))
+    assert len(back) == 1 and back[0].n_turns == turns and back[0].turns == whole
+    assert chat.chat_windows(df.limit(0)).count() == 0
 
 
 def test_pipeline_keeps_clean_documents(spark, tmp_path):

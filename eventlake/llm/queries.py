@@ -14,7 +14,7 @@ from eventlake.llm.chat import chat_windows, read_back
 from eventlake.llm.decontaminate import contamination
 from eventlake.llm.html_text import extracted
 from eventlake.llm.line_dedup import line_dedup
-from eventlake.llm.merkle import fingerprint, likeness, merkle_tree, with_next
+from eventlake.llm.merkle import edited_range, fingerprint, likeness, merkle_tree, with_next
 from eventlake.llm.near_dedup import near_duplicates
 from eventlake.llm.pii import KINDS, personal_spans, span_list
 from eventlake.llm.sharding import sharded
@@ -59,6 +59,7 @@ def op5_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
         "edited_fingerprint",
         likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
         likeness(F.col("fingerprint"), F.col("next_print")).alias("near_next"),
+        edited_range(F.col("fingerprint"), F.col("edited_fingerprint")).alias("edited_paragraphs"),
     )
 
 

@@ -201,8 +201,87 @@ def test_merkle(spark):
     assert out[0, rows[0][1]].fingerprint == out[4, rows[0][1]].fingerprint != out[1, rows[1][1]].fingerprint
     assert out[None, "x"].next_text == rows[0][1] and out[4, rows[0][1]].next_text == "x"
     pair = spark.createDataFrame([(out[0, rows[0][1]].fingerprint, out[1, rows[1][1]].fingerprint)], "a string, b string")
-    got = pair.select(merkle.likeness(F.col("a"), F.col("b")), merkle.edited_paragraphs(F.col("a"), F.col("b")), merkle.likeness(F.col("a"), F.col("a"))).first()
-    assert got[0] == pytest.approx(2 / 3) and list(got[1]) == [1] and got[2] == 1.0
+    got = pair.select(merkle.likeness(F.col("a"), F.col("b")), merkle.edited_range(F.col("a"), F.col("b")), merkle.likeness(F.col("a"), F.col("a")), merkle.edited_range(F.col("a"), F.col("a"))).first()
+    assert got[0] == pytest.approx(2 / 3) and tuple(got[1]) == (1, 2) and got[2] == 1.0 and got[3] is None
+
+
+def sha(x):
+    return hashlib.sha256(x.encode()).hexdigest()
+
+
+def tree(text):
+    """Sections of paragraphs of (hash, leaf hashes), by plain loops."""
+    out = [[]]
+    for p in re.split(r"(?<=\n)", text) if text else []:
+        at = [0]
+        for k in range(1, len(p) + 1):
+            if re.fullmatch(r"[.!?] ", p[k - 2 : k]) or k - at[-1] == 64:
+                at.append(k)
+        cuts = [p[a:b] for a, b in zip(at, [*at[1:], len(p)]) if a < b]
+        own = [sha(x) for x in cuts]
+        out[-1].append((sha("".join(own)), own))
+        if out[-1][-1][0][0] < "4":
+            out.append([])
+    return out
+
+
+def printed(text):
+    t = tree(text)
+    whole = [sha("".join(h + "," for h, _ in s)) for s in t]
+    body = ";".join(w[:8] + "=" + "".join(h[:8] + "-" + ".".join(x[:6] for x in own) + "," for h, own in s) for w, s in zip(whole, t))
+    return sha("".join(whole)) + ":" + body
+
+
+def alike(a, b):
+    """Likeness of two texts by their trees."""
+    if a == b:
+        return 1.0
+    x, y = tree(a), tree(b)
+    keys = [{repr(s) for s in t} for t in (x, y)]
+    same = [s for k, s in {repr(s): s for s in x}.items() if k in keys[1]]
+    px, py = ({h: own for s in t if repr(s) not in keys[1 - k] for h, own in s} for k, t in enumerate((x, y)))
+    n = sum(len(own) for s in same for _, own in s) + sum(len(own) for h, own in px.items() if h in py)
+    lx, ly = ({v for h, own in p.items() if h not in q for v in own} for p, q in ((px, py), (py, px)))
+    total = 2 * n + len(lx) + len(ly)
+    return 2 * (n + len(lx & ly)) / total if total else 0.0
+
+
+def test_merkle_is_that_of_brute_force(spark, tmp_path):
+    from eventlake.llm import queries
+
+    rng = random.Random(31)
+    words = ["one", "two.", "three!", "é", "😀", "日本語の行です", "x" * 150]
+    rows = [(k * 3, "".join(rng.choice(words) + rng.choice([" ", "\n", "", ". "]) for _ in range(rng.randint(0, 40)))) for k in range(60)]
+    rows += [(200, None), (201, ""), (-(1 << 62), "a" * 5000), (1 << 62, "no dot here " * 50), (203, rows[0][1])]
+    table(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in queries.op5_merkle(spark, str(tmp_path)).collect()}
+    rows = sorted((i, t or "") for i, t in rows)
+    for k, (i, t) in enumerate(rows):
+        after = rows[(k + 1) % len(rows)][1]
+        half = len(t) // 2
+        edited = t[: len(t) - half] + after[:half]
+        r = got[i]
+        assert (r.n_chars, r.edited_sha256, r.fingerprint, r.edited_fingerprint) == (len(t), sha(edited), printed(t), printed(edited))
+        assert r.near_edited == pytest.approx(alike(t, edited)) and r.near_next == pytest.approx(alike(t, after))
+        x, y = ([h for s in tree(v) for h, _ in s] for v in (t, edited))
+        if t != edited:
+            front = next((j for j in range(max(len(x), len(y))) if x[j : j + 1] != y[j : j + 1]), 0)
+            back = 0
+            while back < min(len(x), len(y)) - front and x[-1 - back] == y[-1 - back]:
+                back += 1
+            assert tuple(r.edited_paragraphs) == (front, len(y) - back)
+    assert got[1 << 62].near_edited > 0.4
+
+
+def test_merkle_buckets_are_small(spark):
+    ids = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
+    odd = spark.createDataFrame([(10**12, "y"), ((1 << 63) - 1, "z"), (-(1 << 63), "w")], "doc_id bigint, text string")
+    same = spark.range(5_000).select(F.lit(70_000).cast("long").alias("doc_id"), F.col("id").cast("string").alias("text"))
+    dealt, n = merkle._bucketed(ids.union(odd).union(same))
+    assert n == 25_003 and dealt.groupBy("bucket").count().agg(F.max("count")).first()[0] <= 6_000
+    order = [(r.doc_id, r.bucket) for r in dealt.collect()]
+    assert [b for _, b in sorted(order)] == sorted(b for _, b in order)
+    assert dealt.where("doc_id < 20000").groupBy("bucket").count().agg(F.max("count")).first()[0] < 1_000
 
 
 PAGE = "<html><head><title>T</title></head><body><nav><a>home</a></nav><div class='cookie'>We use cookies</div><{0}><h1>Big  title</h1><p>First &amp; long\nparagraph of words<br>with a break</p><div class=ad>Buy now</div><p>Second <b>bold</b> part<script>x('</p>')</script></p></{0}><div id=comments><p>nice one</p></div><footer>foot</footer></body></html>"

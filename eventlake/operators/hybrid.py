@@ -240,6 +240,9 @@ def validate_witnesses(witnesses: DataFrame, head: int) -> DataFrame:
     return violations(witnesses, rules, F.col("identity")).unionByName(violations(twice, {"repeated_identity": F.col("n") > 1}, F.col("identity")))
 
 
-def owner_only_reorgs(reorgs: DataFrame, activation: int) -> DataFrame:
-    """Reorgs whose old tip is below the activation block: no broadcast stream can represent them."""
-    return reorgs.where(F.col("old_tip") < activation)
+def owner_only_reorgs(reorgs: DataFrame, owners: DataFrame, activation: int) -> DataFrame:
+    """Reorgs whose old tip is below the activation block and outside a global backfill: no broadcast stream
+    can represent them."""
+    from eventlake.operators.routing import counts_for_all, global_backfill
+
+    return reorgs.where(~counts_for_all(F.col("old_tip"), activation, global_backfill(owners, F.col("old_tip"))))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HEADER, LOG, PROGRESS = 0, 1, 2
+MAX_FILTERS = 4096
 
 
 def log_matches(topics: Column, address: Column, addresses: Column, accepted: Column) -> Column:
@@ -19,13 +20,33 @@ def covers(number: Column, from_block: str = "from_block", to_excl: str = "to_bl
     return F.coalesce((F.col(from_block) <= number) & (F.col(to_excl).isNull() | (number < F.col(to_excl))), F.lit(False))
 
 
-def interest_active(number: Column, activation: int, global_backfill: Column | None = None) -> Column:
+def global_backfill(owners: DataFrame, number: Column) -> Column:
+    """Whether the own backfill of a canonical owner holds the block: then everything counts for everyone.
+
+    Canonical owners are configuration, one as a rule and MAX_FILTERS at most (checked), so their
+    ranges become part of the expression.
+    """
+    spans = owners.where("canonical AND from_block IS NOT NULL").select("from_block", "to_block_excl").distinct().limit(MAX_FILTERS + 1).collect()
+    if len(spans) > MAX_FILTERS:
+        raise ValueError("too many canonical owners")
+    held = F.lit(False)
+    for low, high in spans:
+        held = held | ((number >= low) & (F.lit(True) if high is None else number < high))
+    return held
+
+
+def interest_active(number: Column, activation: int, everyone: Column | None = None) -> Column:
     base = (number >= activation) | covers(number)
-    return base if global_backfill is None else base | global_backfill
+    return base if everyone is None else base | everyone
+
 
+def counts_for_all(number: Column, activation: int, everyone: Column | None = None) -> Column:
+    """Whether a block is part of the coverage: live, or in a global backfill."""
+    return number >= activation if everyone is None else (number >= activation) | everyone
 
-def scope_of(number: Column, activation: int) -> Column:
-    return F.when(number >= activation, "CANONICAL_PROGRESS").otherwise("OWNER_CATCHUP")
+
+def scope_of(number: Column, activation: int, everyone: Column | None = None) -> Column:
+    return F.when(counts_for_all(number, activation, everyone), "CANONICAL_PROGRESS").otherwise("OWNER_CATCHUP")
 
 
 def advances_canonical(scope: Column) -> Column:
@@ -38,79 +59,123 @@ def attach_block_context(logs: DataFrame, blocks: DataFrame) -> tuple[DataFrame,
     return logs.drop("block_timestamp").join(b, "block_number"), logs.join(b, "block_number", "left_anti")
 
 
+def _targets(interests: DataFrame, owners: DataFrame) -> DataFrame:
+    """The log interests of owners that are there, each as one target. Their number is checked."""
+    i = interests.where("kind = 'log'").join(owners, "owner_id")
+    return i.select("addresses", F.struct(F.col("topics").alias("accepted"), "owner_id", "canonical", "from_block", "to_block_excl").alias("target"))
+
+
+def _checked(config: DataFrame) -> DataFrame:
+    """Configured rows that become part of every row's plan: MAX_FILTERS at most."""
+    if config.limit(MAX_FILTERS + 1).count() > MAX_FILTERS:
+        raise ValueError("too many rows of configuration")
+    return config
+
+
 def route_logs(logs: DataFrame, interests: DataFrame, owners: DataFrame, activation: int) -> DataFrame:
-    """Every log with its audience. Address filters join on the address; wildcards are a small table.
+    """The logs that reach anyone, with canonical (everyone) and owners (sorted, distinct, or none for everyone).
 
-    Interests are the configured filters (4096 distinct ones at most), so their wildcard part may be
-    broadcast; the address part is exploded and joined by key, whatever its size.
+    One pass: a log meets the targets that list its address, gathered by address, and those that take
+    any address, which are a checked few; its audience is read off them in its own row. Addresses are joined
+    by key, whatever their number.
     """
-    i = interests.where("kind = 'log'").join(owners, "owner_id").withColumnRenamed("topics", "accepted")
-    wild = i.where(F.size("addresses") == 0).drop("addresses", "kind", "interest_id")
-    listed = i.where(F.size("addresses") > 0).withColumn("address", F.explode(F.array_distinct("addresses"))).drop("addresses", "kind", "interest_id")
-    no_address = F.array().cast("array<string>")
-    match = log_matches(F.col("topics"), F.col("address"), no_address, F.col("accepted"))
-    n = F.col("block_number")
-    keep = match & interest_active(n, activation)
-    found = logs.join(F.broadcast(wild), keep).unionByName(logs.join(listed, "address").where(keep).select(*logs.columns, *wild.columns))
-    return audience(found, ["block_number", "transaction_index", "log_index"], activation)
+    targets = _targets(interests, owners)
+    wild = _checked(targets.where(F.size("addresses") == 0).select("target")).agg(F.collect_list("target").alias("wild"))
+    listed = targets.withColumn("address", F.explode(F.array_distinct("addresses"))).groupBy("address").agg(F.collect_list("target").alias("listed"))
+    everyone = global_backfill(owners, F.col("block_number"))
+    live = F.col("block_number") >= activation
+    met = logs.join(listed, "address", "left").join(F.broadcast(wild)).withColumns({"everyone": everyone, "live": live})  # wild is one row
+    none = F.array().cast(listed.schema["listed"].dataType)
+
+    def reached(t: Column) -> Column:
+        own = F.coalesce((t["from_block"] <= F.col("block_number")) & (t["to_block_excl"].isNull() | (F.col("block_number") < t["to_block_excl"])), F.lit(False))
+        match = F.forall(F.transform(t["accepted"], lambda v, k: (F.size(v) == 0) | F.coalesce(F.array_contains(v, F.get("topics", k)), F.lit(False))), lambda ok: ok)
+        return (F.col("everyone") | F.col("live") | own) & match
+
+    met = met.withColumn("met", F.filter(F.concat(F.coalesce("listed", none), "wild"), reached)).where(F.size("met") > 0)
+    met = met.withColumn("canonical", F.col("everyone") | F.exists("met", lambda t: t["canonical"] & F.col("live")))
+    names = F.array_sort(F.array_distinct(F.transform(F.filter("met", lambda t: ~t["canonical"] | F.col("live")), lambda t: t["owner_id"])))
+    out = met.select(*logs.columns, "canonical", F.when(F.col("canonical"), F.array().cast("array<string>")).otherwise(names).alias("owners"))
+    return drop_unrouted(out)
 
 
-def audience(matches: DataFrame, key: list[str], activation: int) -> DataFrame:
-    """key, canonical, owners: sorted distinct owners, or everyone (no list) when the base owner is reached."""
-    base = F.col("canonical") & (F.col("block_number") >= activation)
-    m = matches.where(~F.col("canonical") | base)
-    out = m.groupBy(*key).agg(F.bool_or(base).alias("canonical"), F.array_sort(F.collect_set("owner_id")).alias("owners"))
-    return out.withColumn("owners", F.when(F.col("canonical"), F.array().cast("array<string>")).otherwise(F.col("owners")))
+def header_rows(blocks: DataFrame, interests: DataFrame, owners: DataFrame, activation: int) -> DataFrame:
+    """Headers wanted by an active owner with a block interest: blocks, canonical, owners."""
+    wanting = interests.where("kind = 'block'").join(owners, "owner_id").select("owner_id", "canonical", "from_block", "to_block_excl").distinct()
+    every = _checked(wanting).agg(F.collect_list(F.struct("owner_id", "canonical", "from_block", "to_block_excl")).alias("wanting"))
+    n = F.col("number")
+    rows = blocks.join(F.broadcast(every)).withColumns({"everyone": global_backfill(owners, n), "live": n >= activation})  # one row
+    own = lambda t: F.coalesce((t["from_block"] <= n) & (t["to_block_excl"].isNull() | (n < t["to_block_excl"])), F.lit(False))
+    rows = rows.withColumn("met", F.filter("wanting", lambda t: F.col("everyone") | F.col("live") | own(t))).where(F.size("met") > 0)
+    rows = rows.withColumn("canonical", F.col("everyone") | (F.col("live") & F.exists("met", lambda t: t["canonical"])))
+    names = F.array_sort(F.array_distinct(F.transform("met", lambda t: t["owner_id"])))
+    return rows.select(*blocks.columns, "canonical", F.when(F.col("canonical"), F.array().cast("array<string>")).otherwise(names).alias("owners"))
 
 
-def header_rows(blocks: DataFrame, interests: DataFrame, owners: DataFrame, activation: int) -> DataFrame:
-    """Headers wanted by an active owner with a block interest."""
-    wanting = interests.where("kind = 'block'").join(owners, "owner_id").select("owner_id", "canonical", "from_block", "to_block_excl")
-    hit = blocks.select(F.col("number").alias("block_number")).join(F.broadcast(wanting), interest_active(F.col("block_number"), activation))
-    return audience(hit, ["block_number"], activation).withColumnRenamed("block_number", "number")
+def progress_rows(blocks: DataFrame, owners: DataFrame, activation: int) -> DataFrame:
+    """The blocks that count as coverage, for everyone: live ones and those of a global backfill."""
+    held = counts_for_all(F.col("number"), activation, global_backfill(owners, F.col("number")))
+    return blocks.where(held).withColumns({"canonical": F.lit(True), "owners": F.array().cast("array<string>")})
 
 
-def progress_rows(blocks: DataFrame, activation: int) -> DataFrame:
-    return blocks.where(F.col("number") >= activation).select("number", F.lit(True).alias("canonical"), F.array().cast("array<string>").alias("owners"))
+PAYLOAD = {"transaction_hash": "string", "address": "string", "topics": "array<string>", "data": "string", "removed": "boolean"}
 
 
 def normalize(blocks: DataFrame, logs: DataFrame, interests: DataFrame, owners: DataFrame, activation: int, page_blocks: int) -> DataFrame:
     """The event table: header (0), log (1) and progress (2) rows, routed and ordered within each page.
 
-    Rows that reach neither everyone nor an owner are dropped. Pages bound the ordering window, so no
-    task sorts more than a page.
+    Columns: number, kind, transaction_index, log_index, canonical, owners, block_hash, block_timestamp, the
+    fields of a log (null in the other rows), scope, page_id, ordinal. Rows that reach neither everyone
+    nor an owner are dropped. Pages bound the ordering window, so no task sorts more than a page.
     """
     zero = F.lit(0).cast("long")
-    head = header_rows(blocks, interests, owners, activation).select("number", F.lit(HEADER).cast("long").alias("kind"), zero.alias("transaction_index"), zero.alias("log_index"), "canonical", "owners")
-    log = route_logs(logs, interests, owners, activation).select(F.col("block_number").alias("number"), F.lit(LOG).cast("long").alias("kind"), "transaction_index", "log_index", "canonical", "owners")
-    progress = progress_rows(blocks, activation).select("number", F.lit(PROGRESS).cast("long").alias("kind"), zero.alias("transaction_index"), zero.alias("log_index"), "canonical", "owners")
-    rows = drop_unrouted(head.unionByName(log).unionByName(progress))
+    none = [F.lit(None).cast(kind).alias(c) for c, kind in PAYLOAD.items()]
+    of_block = lambda df, kind: df.select("number", F.lit(kind).cast("long").alias("kind"), zero.alias("transaction_index"), zero.alias("log_index"), "canonical", "owners", F.col("hash").alias("block_hash"), F.col("timestamp").alias("block_timestamp"), *none)
+    head, progress = of_block(header_rows(blocks, interests, owners, activation), HEADER), of_block(progress_rows(blocks, owners, activation), PROGRESS)
+    log = route_logs(logs, interests, owners, activation).select(F.col("block_number").alias("number"), F.lit(LOG).cast("long").alias("kind"), "transaction_index", "log_index", "canonical", "owners", "block_hash", "block_timestamp", *PAYLOAD)
+    rows = head.unionByName(log).unionByName(progress)
     page = F.floor(F.col("number") / page_blocks)
     order = Window.partitionBy(page).orderBy("number", "kind", "transaction_index", "log_index")
-    return rows.select("*", scope_of(F.col("number"), activation).alias("scope"), page.alias("page_id"), F.row_number().over(order).cast("long").alias("ordinal"))
+    scope = scope_of(F.col("number"), activation, global_backfill(owners, F.col("number")))
+    return rows.select("*", scope.alias("scope"), page.alias("page_id"), F.row_number().over(order).cast("long").alias("ordinal"))
 
 
 def drop_unrouted(records: DataFrame) -> DataFrame:
     return records.where(F.col("canonical") | (F.size("owners") > 0))
 
 
-def certify_tail(records: DataFrame, blocks: DataFrame, activation: int, page_blocks: int) -> DataFrame:
-    """Progress rows for page heads that no broadcast record of a non-empty page certifies."""
-    head = page_head(blocks, activation, page_blocks)
-    page = records.groupBy("page_id").agg(F.max(F.when(F.col("canonical"), F.col("number"))).alias("top"))
-    return head.join(page, "page_id").where(F.col("head_number").isNotNull() & (F.col("top").isNull() | (F.col("top") < F.col("head_number")))).select("page_id", F.col("head_number").alias("number"))
+def certify_tail(records: DataFrame, heads: DataFrame) -> DataFrame:
+    """The records, and a progress row for each page with records whose head no broadcast header or progress
+    row names. A log does not certify its block. The row stands behind the page's last one."""
+    certified = records.where(F.col("canonical") & (F.col("kind") != LOG)).select("page_id", F.col("number").alias("head_number")).distinct()
+    last = records.groupBy("page_id").agg((F.max("ordinal") + 1).alias("ordinal"))
+    bare = heads.where("head_number IS NOT NULL AND NOT carried").join(last, "page_id").join(certified, ["page_id", "head_number"], "left_anti")
+    row = {"number": F.col("head_number"), "kind": F.lit(PROGRESS).cast("long"), "canonical": F.lit(True), "owners": F.array().cast("array<string>"), "block_hash": F.col("head_hash"), "scope": F.lit("CANONICAL_PROGRESS"), "page_id": F.col("page_id"), "ordinal": F.col("ordinal")}
+    zero = {"transaction_index": F.lit(0).cast("long"), "log_index": F.lit(0).cast("long")}
+    filled = row | zero
+    return records.unionByName(bare.select(*[filled.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in records.schema.fields]))
 
 
-def page_head(blocks: DataFrame, activation: int, page_blocks: int) -> DataFrame:
-    """page_id, head_number, head_hash: the highest block of each page that counts as coverage, or null."""
-    n = F.when(F.col("number") >= activation, F.col("number"))
-    return blocks.groupBy(F.floor(F.col("number") / page_blocks).alias("page_id")).agg(F.max(n).alias("head_number"), F.max_by("hash", n).alias("head_hash"))
+def page_head(blocks: DataFrame, owners: DataFrame, activation: int, page_blocks: int) -> DataFrame:
+    """page_id, head_number, head_hash, carried: the highest block of each page that counts as coverage; a page
+    without one keeps the head of the page before (carried), and pages before the first have null.
+
+    Pages are few beside blocks; the heads of a thousand pages are carried together.
+    """
+    n = F.when(counts_for_all(F.col("number"), activation, global_backfill(owners, F.col("number"))), F.col("number"))
+    heads = blocks.groupBy(F.floor(F.col("number") / page_blocks).alias("page_id")).agg(F.max_by(F.struct("number", "hash"), n).alias("own"))
+    heads = heads.withColumn("block", F.floor(F.col("page_id") / 1024))
+    tops = heads.groupBy("block").agg(F.max_by("own", F.when(F.col("own").isNotNull(), F.col("page_id"))).alias("top"))
+    tops = tops.select("block", F.last("top", ignorenulls=True).over(Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)).alias("before"))
+    inside = Window.partitionBy("block").orderBy("page_id").rowsBetween(Window.unboundedPreceding, 0)
+    kept = heads.join(tops, "block").withColumn("head", F.coalesce(F.last("own", ignorenulls=True).over(inside), "before"))
+    return kept.select("page_id", F.col("head.number").alias("head_number"), F.col("head.hash").alias("head_hash"), F.col("own").isNull().alias("carried"))
 
 
 def empty_page_barriers(pages: DataFrame, records: DataFrame, heads: DataFrame, revision: int) -> DataFrame:
-    """Pages without records -> their barrier; neutral where the page moves no head."""
+    """Pages without records -> their barrier with the head so far; neutral where the page moves no head."""
     empty = pages.select("page_id", "next_block").join(records.select("page_id").distinct(), "page_id", "left_anti").join(heads, "page_id", "left")
-    return empty.select("page_id", F.concat_ws(":", F.lit("source-progress"), F.lit(str(revision)), F.col("next_block").cast("string")).alias("barrier_id"), "head_number", F.col("head_number").isNull().alias("checkpoint_neutral"))
+    return empty.select("page_id", F.concat_ws(":", F.lit("source-progress"), F.lit(str(revision)), F.col("next_block").cast("string")).alias("barrier_id"), "head_number", (F.col("head_number").isNull() | F.col("carried")).alias("checkpoint_neutral"))
 
 
 def number_deliveries(rows: DataFrame, session: list[str], page: str, control: Column, base: int = 0) -> DataFrame:
@@ -120,14 +185,28 @@ def number_deliveries(rows: DataFrame, session: list[str], page: str, control: C
 
 
 def decode_batch(records: DataFrame) -> DataFrame:
-    """One row a record with its status and source; removed logs come back as reorged."""
+    """One row a record with its block context, status and source. Removed logs come back as reorged."""
     return records.withColumns({
+        "block": F.struct(F.col("number"), F.col("block_hash").alias("hash"), F.col("block_timestamp").alias("timestamp")),
         "confirmations": F.lit(0).cast("long"),
         "status": F.when(F.coalesce(F.col("removed"), F.lit(False)), "reorged").otherwise("included"),
         "source": F.when(F.col("scope") == "OWNER_CATCHUP", "backfill").otherwise("subscription"),
     })
 
 
+def deduplicable(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(records that may be deduplicated, those that always pass): removals and reorged records are signals."""
+    signal = F.coalesce(F.col("removed"), F.lit(False)) | (F.col("status") == "reorged")
+    return records.where(~signal), records.where(signal)
+
+
+def proves_coverage(kind: Column, status: Column, number: Column) -> Column:
+    """Whether an input proves that its block is covered: a record that is included, safe or finalized,
+    progress, or a barrier with a block. Safe and finalized controls and blockless barriers do not."""
+    record = (kind == "record") & status.isin("included", "safe", "finalized")
+    return F.coalesce(record | (kind == "progress") | ((kind == "barrier") & number.isNotNull()), F.lit(False))
+
+
 def compact_progress(records: DataFrame) -> DataFrame:
     """The highest progress of each page, as its trailing control."""
     return records.where(F.col("kind") == PROGRESS).groupBy("page_id").agg(F.max("number").alias("number"))

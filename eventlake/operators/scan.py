@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventlake.operators.routing import log_matches
+from eventlake.operators.routing import MAX_FILTERS, log_matches
 
-MAX_FILTERS = 4096
 MAX_PAGE_BLOCKS, MAX_PAGE_LOGS, MAX_PAGE_BYTES = 2000, 10000, 16 << 20
 
 

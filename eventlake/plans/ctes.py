@@ -1,11 +1,21 @@
 """The same derived tables as common table expressions for the SQL oracles."""
 
-_ADDRESS = "substr(sha256('a:' || {}), 1, 40)"
 
-TABLES = """
-ev AS (SELECT event_id, CAST(floor((epoch(ts) - 1704067200) / 3600) AS BIGINT) AS number, user_id, event_type, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, value FROM events),
+
+def everyone(number: str) -> str:
+    """Whether the base owner's own backfill holds a block."""
+    return f"({number} BETWEEN 240 AND 299)"
+
+
+def covered(number: str) -> str:
+    """Whether a block counts for everyone: from the activation on, or in the base owner's backfill."""
+    return f"({number} >= 360 OR {everyone(number)})"
+
+
+TABLES = f"""
+ev AS (SELECT event_id, CAST(event_id // 18 * 13 + greatest(0, event_id % 18 - 5) AS BIGINT) AS number, user_id, event_type, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, value FROM events),
 blocks AS (SELECT number, sha256('b:' || number || ':0') AS hash, sha256('b:' || (number - 1) || ':0') AS parent_hash, 1704067200 + 3600 * number AS timestamp
-  FROM (SELECT unnest(range(0, (SELECT max(number) + 1 FROM ev))) AS number)),
+  FROM (SELECT DISTINCT number FROM ev)),
 arrivals AS (
   SELECT CAST(1 AS BIGINT) AS chain_id, number * 10 + 5 AS arrival, number, hash, parent_hash, timestamp FROM blocks
   UNION ALL SELECT 1, CASE WHEN number % 50 = 48 THEN number * 10 ELSE (number - 1) * 10 + 1 END, number, sha256('b:' || number || ':1'),
@@ -19,15 +29,15 @@ log_arrivals AS (
   UNION ALL SELECT *, CASE WHEN block_number % 50 = 48 THEN block_number * 10 ELSE (block_number - 1) * 10 + 1 END FROM copies
   UNION ALL SELECT * REPLACE (true AS removed), CASE WHEN block_number % 50 = 48 THEN block_number * 10 + 4 ELSE (block_number - 1) * 10 + 4 END FROM copies),
 owners AS (
-  SELECT * FROM (VALUES ('', true, NULL, NULL), ('errors', false, NULL, NULL), ('pool', false, 100, 200), ('low', false, 300, NULL), ('heads', false, 50, 60)) t(owner_id, canonical, from_block, to_block_excl)
-  UNION ALL SELECT DISTINCT 'user' || (user_id % 97), false, (user_id % 97) * 100, (user_id % 97) * 100 + 150 FROM ev WHERE user_id % 97 < 5),
+  SELECT * FROM (VALUES ('', true, 240, 300), ('errors', false, NULL, NULL), ('pool', false, 100, 200), ('low', false, 300, NULL), ('heads', false, 50, 60)) t(owner_id, canonical, from_block, to_block_excl)
+  UNION ALL SELECT DISTINCT 'user' || (user_id // 3), false, (user_id // 3) % 50 * 100, (user_id // 3) % 50 * 100 + 150 FROM ev),
 interests AS (
   SELECT '' AS owner_id, 'base' AS interest_id, 'log' AS kind, CAST([] AS VARCHAR[]) AS addresses, [sha256('t0:purchase')] AS t0, CAST([] AS VARCHAR[]) AS t1, 1 AS width
   UNION ALL SELECT 'errors', 'all', 'log', [], [sha256('t0:error')], [], 2
   UNION ALL SELECT 'pool', 'two', 'log', [substr(sha256('a:46'), 1, 40), substr(sha256('a:8'), 1, 40), substr(sha256('a:46'), 1, 40)], [], [], 0
   UNION ALL SELECT 'low', 'k', 'log', [], [], [sha256('t1:' || i) FOR i IN range(1, 10)], 2
   UNION ALL SELECT 'heads', 'any', 'block', [], [], [], 0
-  UNION ALL SELECT 'user' || (user_id % 97), 'own', 'log', list_sort(list_distinct(list(substr(sha256('a:' || user_id), 1, 40)))), [], [], 0 FROM ev WHERE user_id % 97 < 5 GROUP BY user_id % 97),
+  UNION ALL SELECT 'user' || (user_id // 3), 'own', 'log', list_sort(list_distinct(list(substr(sha256('a:' || user_id), 1, 40)))), [], [], 0 FROM ev GROUP BY user_id // 3),
 pages AS (SELECT number // 50 AS page_id, min(number) AS from_block, max(number) + 1 AS next_block, (SELECT max(number) + 1 FROM blocks) AS archive_height, min(number) AS guard_first,
   arg_min(parent_hash, number) AS guard_first_parent, max(number) AS guard_tip, arg_max(hash, number) AS guard_tip_hash, max(timestamp) AS guard_tip_timestamp FROM blocks GROUP BY 1),
 plan AS (
@@ -39,16 +49,17 @@ deliveries AS (SELECT 's' || s AS session_id, CAST(1 AS BIGINT) AS chain_id, row
   lpad(lower(to_hex(row_number() OVER (PARTITION BY s ORDER BY page_id, payload_kind = 'data'))), 16, '0') AS token FROM plan, range(0, 8) r(s)),
 acks AS (SELECT session_id, chain_id, sequence, token FROM deliveries QUALIFY sequence < max(sequence) OVER (PARTITION BY session_id)),
 matched AS (SELECT l.block_number, l.transaction_index, l.log_index, i.owner_id, o.canonical,
-  l.block_number >= 360 OR coalesce(o.from_block <= l.block_number AND (o.to_block_excl IS NULL OR l.block_number < o.to_block_excl), false) AS active
+  {covered('l.block_number')} OR coalesce(o.from_block <= l.block_number AND (o.to_block_excl IS NULL OR l.block_number < o.to_block_excl), false) AS active
   FROM logs l JOIN interests i ON i.kind = 'log' AND (len(i.addresses) = 0 OR list_contains(i.addresses, l.address)) AND (len(i.t0) = 0 OR list_contains(i.t0, l.topic0)) AND (len(i.t1) = 0 OR list_contains(i.t1, l.topic1))
   JOIN owners o USING (owner_id)),
-audience AS (SELECT block_number, transaction_index, log_index, bool_or(canonical AND block_number >= 360) AS canonical,
-  CASE WHEN bool_or(canonical AND block_number >= 360) THEN '' ELSE coalesce(string_agg(DISTINCT owner_id, ',' ORDER BY owner_id), '') END AS owners FROM matched WHERE active AND (NOT canonical OR block_number >= 360) GROUP BY ALL),
+audience AS (SELECT block_number, transaction_index, log_index, bool_or(everyone OR canonical) AS canonical,
+  CASE WHEN bool_or(everyone OR canonical) THEN '' ELSE coalesce(string_agg(DISTINCT owner_id, ',' ORDER BY owner_id), '') END AS owners FROM (SELECT *, {everyone('block_number')} AS everyone FROM matched WHERE active) GROUP BY block_number, transaction_index, log_index),
 routed AS (
-  SELECT block_number AS number, CAST(0 AS BIGINT) AS kind, CAST(0 AS BIGINT) AS transaction_index, CAST(0 AS BIGINT) AS log_index, false AS canonical, 'heads' AS owners FROM (SELECT number AS block_number FROM blocks WHERE number >= 360 OR number BETWEEN 50 AND 59)
-  UNION ALL SELECT block_number, 1, transaction_index, log_index, canonical, owners FROM audience
-  UNION ALL SELECT number, 2, 0, 0, true, '' FROM blocks WHERE number >= 360),
-ordered AS (SELECT *, CASE WHEN number >= 360 THEN 'CANONICAL_PROGRESS' ELSE 'OWNER_CATCHUP' END AS scope, row_number() OVER (PARTITION BY number // 50 ORDER BY number, kind, transaction_index, log_index) AS ordinal FROM routed)
+  SELECT number, CAST(0 AS BIGINT) AS kind, CAST(0 AS BIGINT) AS transaction_index, CAST(0 AS BIGINT) AS log_index, {everyone('number')} AS canonical, CASE WHEN {everyone('number')} THEN '' ELSE 'heads' END AS owners,
+    hash AS block_hash, timestamp AS block_timestamp, CAST(NULL AS VARCHAR) AS transaction_hash, CAST(NULL AS VARCHAR) AS address, CAST(NULL AS VARCHAR) AS topics, CAST(NULL AS VARCHAR) AS data, CAST(NULL AS BOOLEAN) AS removed FROM blocks WHERE {covered('number')} OR number BETWEEN 50 AND 59
+  UNION ALL SELECT block_number, 1, transaction_index, log_index, a.canonical, a.owners, l.block_hash, l.block_timestamp, l.transaction_hash, l.address, l.topic0 || ',' || l.topic1, l.data, l.removed FROM audience a JOIN logs l USING (block_number, transaction_index, log_index)
+  UNION ALL SELECT number, 2, 0, 0, true, '', hash, timestamp, NULL, NULL, NULL, NULL, NULL FROM blocks WHERE {covered('number')}),
+ordered AS (SELECT *, CASE WHEN {covered('number')} THEN 'CANONICAL_PROGRESS' ELSE 'OWNER_CATCHUP' END AS scope, row_number() OVER (PARTITION BY number // 50 ORDER BY number, kind, transaction_index, log_index) AS ordinal FROM routed)
 """
 
 

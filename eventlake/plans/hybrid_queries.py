@@ -9,6 +9,7 @@ from eventlake.operators import canonical as K
 from eventlake.operators import routing as R
 from eventlake.operators.scan import violations
 from eventlake.plans.canonical_queries import _CHAINS, _REORGS, CHAIN, _with, chains
+from eventlake.plans.ctes import covered
 from eventlake.plans.registry import query
 from eventlake.plans.state_queries import _DIG, _records
 from eventlake.sources import derived as D
@@ -61,10 +62,6 @@ def _(s, d):
     return H.reconcile_controls(r.unionByName(p), _cut(s, d)[2]).select("chain_id", "kind", "arrival", "keep")
 
 
-@query("str8_recover_from_anchor", "SELECT block_number, log_index, data FROM logs")
-def _(s, d):
-    live = D.log_arrivals(s, d).where(C("block_hash") == D.block_hash(C("block_number")))
-    return H.recover_from_anchor(D.logs(s, d), live, 400).select("block_number", "log_index", "data")
 
 
 _SEEN = "seen AS (SELECT block_number, transaction_hash, log_index, block_hash, removed, arrival, o.owner_id, CAST(arrival // 10 // 50 AS BIGINT) AS epoch FROM log_arrivals, owners o WHERE o.owner_id IN ('errors', 'pool')), twice AS (SELECT * FROM seen UNION ALL SELECT * REPLACE (arrival + 1 AS arrival) FROM seen WHERE log_index % 3 = 0)"
@@ -85,10 +82,10 @@ def _(s, d):
     return H.control_phases(a, ["chain_id", "batch"])
 
 
-@query("agg14_batch_accounting", "SELECT block_number AS batch, count(*) FILTER (WHERE NOT removed) AS records, count(*) FILTER (WHERE removed) AS controls, CAST(sum(octet_length(encode(data)) + 512) AS BIGINT) AS bytes, count(*) > 30 OR sum(octet_length(encode(data)) + 512) > 15000 AS over FROM log_arrivals GROUP BY 1")
+@query("agg14_batch_accounting", "SELECT block_number AS batch, count(*) FILTER (WHERE NOT removed) AS records, count(*) FILTER (WHERE removed) AS controls, CAST(sum(octet_length(encode(data)) + 512) AS BIGINT) AS bytes, count(*) > 5 OR sum(octet_length(encode(data)) + 512) > 15000 AS over FROM log_arrivals GROUP BY 1")
 def _(s, d):
     a = D.log_arrivals(s, d).select(C("block_number").alias("batch"), C("removed").alias("control"), (F.octet_length("data") + 512).alias("bytes"))
-    return H.batch_accounting(a, ["batch"], (2048, 30, 15000))
+    return H.batch_accounting(a, ["batch"], (2048, 5, 15000))
 
 
 @query("str13_live_buffer_bounds", _with(_CHAINS, "SELECT chain_id, min(arrival) AS poisoned_at FROM (SELECT *, sum(number) OVER (PARTITION BY chain_id ORDER BY arrival) AS r FROM chains) WHERE r > 5000 GROUP BY chain_id"))
@@ -117,10 +114,10 @@ def _(s, d):
     return H.source_positions(D.deliveries(s, d).where("payload_kind = 'data'"), ["session_id"])
 
 
-@query("str17_idle_progress", "SELECT number, NOT EXISTS (SELECT 1 FROM audience a WHERE a.block_number = number AND a.owners = '') AS idle FROM blocks WHERE number >= 360")
+@query("str17_idle_progress", f"SELECT number, NOT EXISTS (SELECT 1 FROM audience a WHERE a.block_number = number AND a.owners = '') AS idle FROM blocks WHERE {covered('number')}")
 def _(s, d):
     a = R.route_logs(D.logs(s, d), D.interests(s, d), D.owners(s, d), ACTIVATION).where("canonical").select(C("block_number").alias("number"), F.lit(False).alias("busy")).distinct()
-    return R.progress_rows(D.blocks(s, d), ACTIVATION).select("number").join(a, "number", "left").select("number", C("busy").isNull().alias("idle"))
+    return R.progress_rows(D.blocks(s, d), D.owners(s, d), ACTIVATION).select("number").join(a, "number", "left").select("number", C("busy").isNull().alias("idle"))
 
 
 _AUD = "aud AS (SELECT user_id, bool_or(event_type = 'purchase') AS everyone, list_sort(list_distinct(list(event_type))) AS kinds FROM ev GROUP BY user_id)"
@@ -177,11 +174,11 @@ def _(s, d):
 @query(
     "agg2_merge_duplicates",
     _with(_DIG.format("log_arrivals"), """SELECT transaction_hash, log_index, bool_or(log_index % 4 = 0) AS everyone, CASE WHEN bool_or(log_index % 4 = 0) THEN '' ELSE string_agg(DISTINCT CASE WHEN removed THEN 'b' ELSE 'a' END, ',' ORDER BY CASE WHEN removed THEN 'b' ELSE 'a' END) END AS owners,
-CASE WHEN max(block_number) >= 360 THEN 'CANONICAL_PROGRESS' ELSE 'OWNER_CATCHUP' END AS scope, count(DISTINCT digest) > 1 AS conflict FROM dig GROUP BY transaction_hash, log_index"""),
+CASE WHEN bool_or(block_number >= 360 OR block_number BETWEEN 240 AND 299) THEN 'CANONICAL_PROGRESS' ELSE 'OWNER_CATCHUP' END AS scope, count(DISTINCT digest) > 1 AS conflict FROM dig GROUP BY transaction_hash, log_index"""),
 )
 def _(s, d):
     r = H.payload_digest(D.log_arrivals(s, d))
-    r = r.withColumns({"owner_id": F.when(C("log_index") % 4 == 0, F.lit(None)).when(C("removed"), "b").otherwise("a"), "scope": R.scope_of(C("block_number"), ACTIVATION)})
+    r = r.withColumns({"owner_id": F.when(C("log_index") % 4 == 0, F.lit(None)).when(C("removed"), "b").otherwise("a"), "scope": R.scope_of(C("block_number"), ACTIVATION, R.global_backfill(D.owners(s, d), C("block_number")))})
     return H.merge_duplicates(r, ["transaction_hash", "log_index"]).withColumn("owners", F.array_join("owners", ","))
 
 
@@ -258,6 +255,6 @@ def _(s, d):
     return violations(x, {"scan_ahead": C("next_block") > C("head_number") + 1}, F.concat_ws(":", "session_id", "sequence"))
 
 
-@query("aud14_owner_only_reorg", _with(f"{_CHAINS}, {_REORGS}", "SELECT chain_id, ancestor, old_tip FROM reorgs WHERE old_tip < 360"))
+@query("aud14_owner_only_reorg", _with(f"{_CHAINS}, {_REORGS}", "SELECT chain_id, ancestor, old_tip FROM reorgs WHERE old_tip < 360 AND NOT old_tip BETWEEN 240 AND 299"))
 def _(s, d):
-    return H.owner_only_reorgs(K.reorg_events(chains(s, d), CHAIN), ACTIVATION).select("chain_id", "ancestor", "old_tip")
+    return H.owner_only_reorgs(K.reorg_events(chains(s, d), CHAIN), D.owners(s, d), ACTIVATION).select("chain_id", "ancestor", "old_tip")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from eventlake.operators import routing as R
 from eventlake.operators import scan as S
+from eventlake.plans.ctes import covered, everyone
 from eventlake.plans.registry import query
 from eventlake.sources import derived as D
 from eventlake.sources.derived import ACTIVATION, PAGE_BLOCKS
@@ -35,9 +36,13 @@ def _(s, d):
     return S.scan_logs(D.logs(s, d), D.interests(s, d), 100, 400).select("block_number", "log_index", "address")
 
 
-@query("src3_project_blocks", "SELECT number, hash, parent_hash, timestamp FROM blocks")
+@query("src3_project_blocks", "SELECT number, hash, 'full' AS columns, number * 2 AS size FROM blocks UNION ALL SELECT number, hash, 'compact', NULL FROM blocks")
 def _(s, d):
-    return S.project_blocks(D.blocks(s, d), D.interests(s, d).where("kind = 'log'"))
+    """With a block interest all columns come, without any the compact ones."""
+    b, i = D.blocks(s, d).withColumn("size", C("number") * 2), D.interests(s, d)
+    full, compact = S.project_blocks(b, i), S.project_blocks(b, i.where("kind = 'log'"))
+    rows = full.select("number", "hash", F.lit("full").alias("columns"), "size")
+    return rows.unionByName(compact.withColumn("columns", F.lit("compact")).select("number", "hash", "columns"), allowMissingColumns=True)
 
 
 @query("src4_lookup_blocks", "SELECT number, hash, parent_hash, timestamp FROM blocks WHERE number IN (SELECT from_block FROM owners)")
@@ -84,11 +89,11 @@ def _(s, d):
 
 @query(
     "pag3_admit_pages",
-    """SELECT b.page_id, n_blocks, coalesce(n_logs, 0) AS n_logs, CAST(coalesce(bytes, 0) AS BIGINT) AS bytes, n_blocks <= 50 AND coalesce(n_logs, 0) <= 690 AND coalesce(bytes, 0) <= 60000 AS admitted
+    """SELECT b.page_id, n_blocks, coalesce(n_logs, 0) AS n_logs, CAST(coalesce(bytes, 0) AS BIGINT) AS bytes, n_blocks <= 50 AND coalesce(n_logs, 0) <= 69 AND coalesce(bytes, 0) <= 60000 AS admitted
 FROM (SELECT number // 50 AS page_id, count(*) AS n_blocks FROM blocks GROUP BY 1) b LEFT JOIN (SELECT block_number // 50 AS page_id, count(*) AS n_logs, sum(64 + octet_length(encode(data))) AS bytes FROM logs GROUP BY 1) l USING (page_id)""",
 )
 def _(s, d):
-    return S.admit_pages(D.blocks(s, d), D.logs(s, d), PAGE_BLOCKS, 50, 690, 60000)
+    return S.admit_pages(D.blocks(s, d), D.logs(s, d), PAGE_BLOCKS, 50, 69, 60000)
 
 
 @query(
@@ -144,28 +149,26 @@ def _(s, d):
     return portable_interests(D.interests(s, d).withColumn("has_options", C("kind") == "block")).select("owner_id", "interest_id", "portable", "problem")
 
 
-@query("flt6_interest_active", "SELECT o.owner_id, count(*) AS n_blocks, min(number) AS first_block FROM owners o JOIN blocks b ON b.number >= 360 OR coalesce(from_block <= number AND (to_block_excl IS NULL OR number < to_block_excl), false) GROUP BY o.owner_id")
+@query("flt6_interest_active", f"SELECT o.owner_id, count(*) AS n_blocks, min(number) AS first_block FROM owners o JOIN blocks b ON {covered('b.number')} OR coalesce(from_block <= number AND (to_block_excl IS NULL OR number < to_block_excl), false) GROUP BY o.owner_id")
 def _(s, d):
-    m = D.blocks(s, d).join(F.broadcast(D.owners(s, d)), R.interest_active(C("number"), ACTIVATION))
+    o = D.owners(s, d)
+    m = D.blocks(s, d).join(o, R.interest_active(C("number"), ACTIVATION, R.global_backfill(o, C("number"))))
     return m.groupBy("owner_id").agg(F.count("*").alias("n_blocks"), F.min("number").alias("first_block"))
 
 
 @query("flt8_drop_unrouted", "SELECT count(*) AS kept, (SELECT count(*) FROM logs) AS scanned FROM routed WHERE kind = 1")
 def _(s, d):
     logs = D.logs(s, d)
-    a = R.route_logs(logs, D.interests(s, d), D.owners(s, d), ACTIVATION)
-    every = logs.select("block_number", "transaction_index", "log_index").join(a, ["block_number", "transaction_index", "log_index"], "left")
-    every = every.select(F.coalesce("canonical", F.lit(False)).alias("canonical"), F.coalesce("owners", F.array().cast("array<string>")).alias("owners"))
-    kept = R.drop_unrouted(every).agg(F.count("*").alias("kept"))
-    return kept.join(every.agg(F.count("*").alias("scanned")))
+    kept = R.route_logs(logs, D.interests(s, d), D.owners(s, d), ACTIVATION).agg(F.count("*").alias("kept"))
+    return kept.join(logs.agg(F.count("*").alias("scanned")))  # one row each
 
 
-@query("flt9_flt12_coverage", "SELECT scope, count(*) AS n, CAST(sum(CASE WHEN scope = 'CANONICAL_PROGRESS' THEN 1 ELSE 0 END) AS BIGINT) AS advancing, max(number) AS proven FROM ordered GROUP BY scope")
+@query("flt9_coverage", "SELECT scope, count(*) AS n, CAST(sum(CASE WHEN scope = 'CANONICAL_PROGRESS' THEN 1 ELSE 0 END) AS BIGINT) AS advancing, max(number) AS proven FROM ordered GROUP BY scope")
 def _(s, d):
     return _normal(s, d).groupBy("scope").agg(F.count("*").alias("n"), F.count_if(R.advances_canonical(C("scope"))).alias("advancing"), F.max("number").alias("proven"))
 
 
-@query("flt10_flt11_dropped_blocks", "SELECT block_number, block_hash, count(*) AS n FROM log_arrivals WHERE removed GROUP BY ALL")
+@query("flt10_dropped_blocks", "SELECT block_number, block_hash, count(*) AS n FROM log_arrivals WHERE removed GROUP BY ALL")
 def _(s, d):
     from eventlake.operators.hybrid import dropped_block
 
@@ -181,16 +184,17 @@ def _(s, d):
 
 @query("jn3_agg1_route_events", "SELECT block_number, transaction_index, log_index, canonical, owners FROM audience")
 def _(s, d):
-    return _owners_text(R.route_logs(D.logs(s, d), D.interests(s, d), D.owners(s, d), ACTIVATION))
+    routed = R.route_logs(D.logs(s, d), D.interests(s, d), D.owners(s, d), ACTIVATION)
+    return _owners_text(routed.select("block_number", "transaction_index", "log_index", "canonical", "owners"))
 
 
 def _normal(s, d):
     return R.normalize(D.blocks(s, d), D.logs(s, d), D.interests(s, d), D.owners(s, d), ACTIVATION, PAGE_BLOCKS)
 
 
-@query("nrm1_normalize", "SELECT number, kind, transaction_index, log_index, canonical, owners, scope, ordinal FROM ordered")
+@query("nrm1_normalize", "SELECT number, kind, transaction_index, log_index, canonical, owners, scope, ordinal, block_hash, block_timestamp, transaction_hash, address, topics, data, removed FROM ordered")
 def normalized(s, d):
-    return _owners_text(_normal(s, d)).select("number", "kind", "transaction_index", "log_index", "canonical", "owners", "scope", "ordinal")
+    return _owners_text(_normal(s, d)).withColumn("topics", F.array_join("topics", ",")).drop("page_id")
 
 
 @query("nrm2_event_order", "SELECT number // 50 AS page_id, count(*) AS n, max(ordinal) AS top FROM ordered GROUP BY 1")
@@ -198,33 +202,47 @@ def _(s, d):
     return _normal(s, d).groupBy("page_id").agg(F.count("*").alias("n"), F.max("ordinal").alias("top"))
 
 
-@query("nrm3_progress_rows", "SELECT number FROM blocks WHERE number >= 360")
+@query("nrm3_progress_rows", f"SELECT number FROM blocks WHERE {covered('number')}")
 def _(s, d):
-    return R.progress_rows(D.blocks(s, d), ACTIVATION).select("number")
+    return R.progress_rows(D.blocks(s, d), D.owners(s, d), ACTIVATION).select("number")
 
 
-@query("nrm4_scope_of", "SELECT CASE WHEN block_number >= 360 THEN 'CANONICAL_PROGRESS' ELSE 'OWNER_CATCHUP' END AS scope, count(*) AS n FROM logs GROUP BY 1")
+@query("nrm4_scope_of", f"SELECT CASE WHEN {covered('block_number')} THEN 'CANONICAL_PROGRESS' ELSE 'OWNER_CATCHUP' END AS scope, count(*) AS n FROM logs GROUP BY 1")
 def _(s, d):
-    return D.logs(s, d).groupBy(R.scope_of(C("block_number"), ACTIVATION).alias("scope")).agg(F.count("*").alias("n"))
+    n = C("block_number")
+    return D.logs(s, d).groupBy(R.scope_of(n, ACTIVATION, R.global_backfill(D.owners(s, d), n)).alias("scope")).agg(F.count("*").alias("n"))
 
 
-@query("nrm5_certify_tail", "SELECT p.page_id, p.guard_tip AS number FROM pages p WHERE guard_tip >= 360 AND EXISTS (SELECT 1 FROM ordered o WHERE o.number // 50 = p.page_id AND o.kind = 1) AND coalesce((SELECT max(number) FROM ordered o WHERE o.number // 50 = p.page_id AND o.kind = 1 AND o.canonical), -1) < guard_tip")
+@query(
+    "nrm5_certify_tail",
+    f"""SELECT page_id, number, kind, ordinal FROM (SELECT number // 50 AS page_id, number, kind, ordinal FROM ordered WHERE kind <> 2
+UNION ALL SELECT t.page_id, t.top, 2, r.last + 1 FROM (SELECT number // 50 AS page_id, max(number) FILTER (WHERE {covered('number')}) AS top FROM blocks GROUP BY 1) t
+  JOIN (SELECT number // 50 AS page_id, max(ordinal) AS last FROM ordered WHERE kind <> 2 GROUP BY 1) r USING (page_id)
+  WHERE t.top IS NOT NULL AND NOT EXISTS (SELECT 1 FROM ordered o WHERE o.kind = 0 AND o.canonical AND o.number = t.top))""",
+)
 def _(s, d):
-    return R.certify_tail(_normal(s, d).where("kind = 1"), D.blocks(s, d), ACTIVATION, PAGE_BLOCKS)
+    """Of the table without its progress rows: headers for everyone certify the pages of the global backfill only."""
+    heads = R.page_head(D.blocks(s, d), D.owners(s, d), ACTIVATION, PAGE_BLOCKS)
+    return R.certify_tail(_normal(s, d).where("kind <> 2"), heads).select("page_id", "number", "kind", "ordinal")
+
 
+_HEADS = f"""heads AS (SELECT page_id, own IS NULL AS carried, last_value(own IGNORE NULLS) OVER w AS head_number, last_value(hash IGNORE NULLS) OVER w AS head_hash
+  FROM (SELECT number // 50 AS page_id, max(number) FILTER (WHERE {covered('number')}) AS own, arg_max(hash, number) FILTER (WHERE {covered('number')}) AS hash FROM blocks GROUP BY 1) WINDOW w AS (ORDER BY page_id))"""
 
-@query("nrm6_page_head", "SELECT number // 50 AS page_id, max(number) FILTER (WHERE number >= 360) AS head_number, arg_max(hash, number) FILTER (WHERE number >= 360) AS head_hash FROM blocks GROUP BY 1")
+
+@query("nrm6_page_head", f", {_HEADS}\nSELECT page_id, head_number, head_hash, carried FROM heads")
 def _(s, d):
-    return R.page_head(D.blocks(s, d), ACTIVATION, PAGE_BLOCKS)
+    return R.page_head(D.blocks(s, d), D.owners(s, d), ACTIVATION, PAGE_BLOCKS)
 
 
 @query(
     "nrm7_fn5_empty_page_to_barrier",
-    "SELECT page_id, 'source-progress:1:' || next_block AS barrier_id, CASE WHEN guard_tip >= 360 THEN guard_tip END AS head_number, guard_tip < 360 AS checkpoint_neutral FROM pages WHERE page_id NOT IN (SELECT block_number // 50 FROM audience WHERE owners = 'errors')",
+    f", {_HEADS}\nSELECT p.page_id, 'source-progress:1:' || p.next_block AS barrier_id, h.head_number, h.head_number IS NULL OR h.carried AS checkpoint_neutral FROM pages p JOIN heads h USING (page_id) WHERE p.page_id NOT IN (SELECT block_number // 50 FROM audience WHERE owners = 'errors')",
 )
 def _(s, d):
     a = R.route_logs(D.logs(s, d), D.interests(s, d), D.owners(s, d), ACTIVATION).where("array_join(owners, ',') = 'errors'")
-    return R.empty_page_barriers(D.pages(s, d), a.select(F.floor(C("block_number") / PAGE_BLOCKS).alias("page_id")), R.page_head(D.blocks(s, d), ACTIVATION, PAGE_BLOCKS), 1)
+    heads = R.page_head(D.blocks(s, d), D.owners(s, d), ACTIVATION, PAGE_BLOCKS)
+    return R.empty_page_barriers(D.pages(s, d), a.select(F.floor(C("block_number") / PAGE_BLOCKS).alias("page_id")), heads, 1)
 
 
 @query("nrm8_number_deliveries", "SELECT session_id, page_id, payload_kind, sequence FROM deliveries")
@@ -233,9 +251,42 @@ def _(s, d):
     return R.number_deliveries(rows, ["session_id"], "page_id", C("payload_kind") != "data")
 
 
-@query("nrm9_decode_batch", "SELECT number, kind, log_index, CASE WHEN scope = 'OWNER_CATCHUP' THEN 'backfill' ELSE 'subscription' END AS source, 'included' AS status FROM ordered")
+@query(
+    "nrm9_decode_batch",
+    """SELECT number, kind, log_index, CASE WHEN scope = 'OWNER_CATCHUP' THEN 'backfill' ELSE 'subscription' END AS source, CASE WHEN kind = 1 AND number % 7 = 3 THEN 'reorged' ELSE 'included' END AS status,
+  0 AS confirmations, block_hash AS hash, block_timestamp AS timestamp FROM ordered""",
+)
+def _(s, d):
+    removed = F.when(C("kind") == R.LOG, C("number") % 7 == 3)
+    rows = R.decode_batch(_normal(s, d).withColumn("removed", removed))
+    return rows.select("number", "kind", "log_index", "source", "status", "confirmations", "block.hash", "block.timestamp")
+
+
+@query("flt11_deduplicable", "SELECT block_number, log_index, arrival, NOT removed AS deduplicable FROM log_arrivals")
+def _(s, d):
+    a = D.log_arrivals(s, d).withColumn("status", F.when(C("removed"), "reorged").otherwise("included"))
+    may, never = (x.select("block_number", "log_index", "arrival") for x in R.deduplicable(a))
+    return may.withColumn("deduplicable", F.lit(True)).unionByName(never.withColumn("deduplicable", F.lit(False)))
+
+
+@query(
+    "flt12_proves_coverage",
+    """SELECT kind, status, proves, count(*) AS n FROM (
+SELECT CASE WHEN kind = 2 THEN 'progress' ELSE 'record' END AS kind, CASE WHEN kind = 2 THEN '' ELSE ['included', 'safe', 'finalized', 'pending', 'reorged'][number % 5 + 1] END AS status, kind = 2 OR number % 5 < 3 AS proves FROM ordered
+UNION ALL SELECT payload_kind, CASE WHEN payload_kind = 'barrier' AND sequence % 2 = 0 THEN 'blockful' ELSE '' END, false FROM deliveries
+UNION ALL SELECT 'barrier', 'blockful', true FROM deliveries WHERE payload_kind = 'data' UNION ALL SELECT CASE WHEN number % 2 = 0 THEN 'safe' ELSE 'finalized' END, '', false FROM blocks) GROUP BY ALL""",
+)
 def _(s, d):
-    return R.decode_batch(_normal(s, d).withColumn("removed", F.lit(False))).select("number", "kind", "log_index", "source", "status")
+    """Records and progress of the event table, controls of the deliveries, barriers with a block, and finality marks."""
+    n = C("number")
+    record = _normal(s, d).select(F.when(C("kind") == R.PROGRESS, "progress").otherwise("record").alias("kind"), F.when(C("kind") == R.PROGRESS, "").otherwise(F.element_at(F.array(*[F.lit(x) for x in ("included", "safe", "finalized", "pending", "reorged")]), (n % 5 + 1).cast("int"))).alias("status"), "number")
+    none = F.lit(None).cast("long").alias("number")
+    sent = D.deliveries(s, d)
+    control = sent.select(C("payload_kind").alias("kind"), F.lit("").alias("status"), none)
+    barrier = sent.where("payload_kind = 'data'").select(F.lit("barrier").alias("kind"), F.lit("blockful").alias("status"), C("head_number").alias("number"))
+    mark = D.blocks(s, d).select(F.when(n % 2 == 0, "safe").otherwise("finalized").alias("kind"), F.lit("").alias("status"), "number")
+    rows = record.unionByName(control).unionByName(barrier).unionByName(mark)
+    return rows.groupBy("kind", "status", R.proves_coverage(C("kind"), C("status"), n).alias("proves")).agg(F.count("*").alias("n"))
 
 
 @query("nrm10_compact_progress", "SELECT number // 50 AS page_id, max(number) AS number FROM ordered WHERE kind = 2 GROUP BY 1")

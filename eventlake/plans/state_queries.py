@@ -25,7 +25,7 @@ def _text(c):
 
 # ------------------------------------------------------------------ topology
 
-_REQ = """req AS (SELECT 's' || (user_id % 50) AS session_id, event_id AS ordinal, row_number() OVER (PARTITION BY user_id % 50 ORDER BY event_id) AS r FROM ev WHERE user_id % 50 < 20),
+_REQ = """req AS (SELECT 's' || user_id AS session_id, event_id AS ordinal, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS r FROM ev),
 requests AS (SELECT session_id, ordinal * 4 AS ordinal, r - 1 AS expected_revision, r AS new_revision, 'd' || r AS digest, 'applied' AS outcome FROM req
   UNION ALL SELECT session_id, ordinal * 4 + 1, r - 1, r, 'd' || r, 'duplicate' FROM req WHERE r % 3 = 0 UNION ALL SELECT session_id, ordinal * 4 + 2, r - 2, r - 1, 'x', 'conflict' FROM req WHERE r % 5 = 0
   UNION ALL SELECT session_id, ordinal * 4 + 3, r + 5, r + 6, 'y', 'conflict' FROM req WHERE r % 7 = 0)"""
@@ -34,7 +34,7 @@ requests AS (SELECT session_id, ordinal * 4 AS ordinal, r - 1 AS expected_revisi
 def requests(s, d):
     from pyspark.sql import Window
 
-    e = D.events(s, d).where("user_id % 50 < 20").select(F.concat(F.lit("s"), (C("user_id") % 50).cast("string")).alias("session_id"), C("event_id").alias("ordinal"))
+    e = D.events(s, d).select(F.concat(F.lit("s"), C("user_id").cast("string")).alias("session_id"), C("event_id").alias("ordinal"))
     e = e.withColumn("r", F.row_number().over(Window.partitionBy("session_id").orderBy("ordinal")).cast("long"))
     row = lambda o, a, b, g: F.struct((C("ordinal") * 4 + o).alias("ordinal"), a.alias("expected_revision"), b.alias("new_revision"), g.alias("digest"))
     r, same = C("r"), F.concat(F.lit("d"), C("r").cast("string"))
@@ -145,13 +145,15 @@ def _(s, d):
 
 @query("bkf1_backfill_covers", "SELECT owner_id, count(*) AS n FROM owners JOIN blocks ON from_block <= number AND (to_block_excl IS NULL OR number < to_block_excl) GROUP BY owner_id")
 def _(s, d):
-    return D.blocks(s, d).join(F.broadcast(D.owners(s, d)), R.covers(C("number"))).groupBy("owner_id").agg(F.count("*").alias("n"))
+    return D.blocks(s, d).join(D.owners(s, d), R.covers(C("number"))).groupBy("owner_id").agg(F.count("*").alias("n"))
 
 
-@query("bkf3_global_backfill", "SELECT number BETWEEN 90 AND 189 AS everyone, count(*) AS n FROM blocks GROUP BY 1")
+@query("bkf3_global_backfill", "SELECT number BETWEEN 90 AND 189 OR number >= 500 AS everyone, count(*) AS n FROM blocks GROUP BY 1")
 def _(s, d):
+    """The base owner's own backfill, and beside it a second canonical one that is open-ended."""
     base = T.base_owner(D.owners(s, d), 90).withColumn("to_block_excl", F.lit(190).cast("long"))
-    return D.blocks(s, d).join(F.broadcast(base)).groupBy(R.covers(C("number")).alias("everyone")).agg(F.count("*").alias("n"))
+    o = D.owners(s, d).where("owner_id <> ''").unionByName(base).unionByName(base.withColumns({"from_block": F.lit(500).cast("long"), "to_block_excl": F.lit(None).cast("long")}))
+    return D.blocks(s, d).groupBy(R.global_backfill(o, C("number")).alias("everyone")).agg(F.count("*").alias("n"))
 
 
 @query("bkf4_backfill_complete", "SELECT owner_id, coalesce(to_block_excl, 360) AS target, 320 >= coalesce(to_block_excl, 360) AS complete FROM owners WHERE from_block IS NOT NULL")
@@ -218,8 +220,7 @@ def _(s, d):
 
 
 def _records(s, d):
-    a = R.route_logs(D.logs(s, d), D.interests(s, d), D.owners(s, d), ACTIVATION)
-    return D.logs(s, d).join(a, ["block_number", "transaction_index", "log_index"]).withColumn("page_id", F.floor(C("block_number") / PAGE_BLOCKS))
+    return R.route_logs(D.logs(s, d), D.interests(s, d), D.owners(s, d), ACTIVATION).withColumn("page_id", F.floor(C("block_number") / PAGE_BLOCKS))
 
 
 @query("pag6_fn12_delivery_size", "SELECT block_number // 50 AS page_id, CAST(sum(640 + octet_length(encode(l.data)) + CASE WHEN a.owners = '' THEN 0 ELSE length(replace(a.owners, ',', '')) + 32 * len(string_split(a.owners, ',')) END) + 16 AS BIGINT) AS bytes FROM logs l JOIN audience a USING (block_number, transaction_index, log_index) GROUP BY 1")

@@ -1,7 +1,7 @@
 """The event-log tables that the registered queries derive from the star schema's `events` table.
 
-One block an hour from the first to the last hour of the events, empty hours included; one log an
-event; owners and interests from the users seen. The layout is documented in FIXTURES.md.
+Thirteen blocks for eighteen events in a row, the first of six logs and the others of one, so heights and
+all that stands on them grow with the events; owners and interests from the users seen.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = spark.read.parquet(f"{sf_dir}/events.parquet")
     return e.select(
         "event_id",
-        F.expr("cast(timestampdiff(HOUR, TIMESTAMP_NTZ'2024-01-01 00:00:00', ts) as bigint)").alias("number"),
+        F.expr("event_id div 18 * 13 + greatest(0, event_id % 18 - 5)").alias("number"),
         "user_id",
         "event_type",
         F.get_json_object("props", "$.k").cast("long").alias("k"),
@@ -33,7 +33,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = events(spark, sf_dir).agg(F.max("number").alias("top")).select(F.explode(F.sequence(F.lit(0).cast("long"), F.col("top"))).alias("number"))
+    n = events(spark, sf_dir).select("number").distinct()
     c = F.col("number")
     return n.select("number", block_hash(c).alias("hash"), block_hash(c - 1).alias("parent_hash"), (F.lit(GENESIS) + 3600 * c).alias("timestamp"))
 
@@ -85,12 +85,12 @@ def log_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def owners(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """owner_id, canonical, from_block, to_block_excl: the base owner, four named ones and five by user."""
-    fixed = "values ('', true, null, null), ('errors', false, null, null), ('pool', false, 100, 200), ('low', false, 300, null), ('heads', false, 50, 60)"
+    """owner_id, canonical, from_block, to_block_excl: the base owner, four named ones and one for every three users."""
+    fixed = "values ('', true, 240, 300), ('errors', false, null, null), ('pool', false, 100, 200), ('low', false, 300, null), ('heads', false, 50, 60)"
     base = spark.sql(f"select cast(col1 as string) owner_id, col2 canonical, cast(col3 as bigint) from_block, cast(col4 as bigint) to_block_excl from {fixed}")
-    j = F.col("user_id") % 97
-    user = events(spark, sf_dir).where(j < 5).select(j.alias("j")).distinct()
-    user = user.select(F.concat(F.lit("user"), F.col("j").cast("string")).alias("owner_id"), F.lit(False).alias("canonical"), (F.col("j") * 100).alias("from_block"), (F.col("j") * 100 + 150).alias("to_block_excl"))
+    user = events(spark, sf_dir).select(F.expr("user_id div 3").alias("j")).distinct()
+    start = (F.col("j") % 50) * 100
+    user = user.select(F.concat(F.lit("user"), F.col("j").cast("string")).alias("owner_id"), F.lit(False).alias("canonical"), start.alias("from_block"), (start + 150).alias("to_block_excl"))
     return base.unionByName(user)
 
 
@@ -108,8 +108,7 @@ def interests(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("'heads'", "any", "block", none, "cast(array() as array<array<string>>)"),
     ]
     base = spark.sql(" union all ".join(f"select {o} owner_id, '{i}' interest_id, '{k}' kind, {ad} addresses, {t} topics" for o, i, k, ad, t in rows))
-    j = F.col("user_id") % 97
-    user = events(spark, sf_dir).where(j < 5).groupBy(j.alias("j")).agg(F.sort_array(F.collect_set(address(F.col("user_id")))).alias("addresses"))
+    user = events(spark, sf_dir).groupBy(F.expr("user_id div 3").alias("j")).agg(F.sort_array(F.collect_set(address(F.col("user_id")))).alias("addresses"))
     user = user.select(F.concat(F.lit("user"), F.col("j").cast("string")).alias("owner_id"), F.lit("own").alias("interest_id"), F.lit("log").alias("kind"), "addresses", F.expr("cast(array() as array<array<string>>)").alias("topics"))
     return base.unionByName(user)
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,6 +12,7 @@ from eventlake.operators.scan import violations
 
 SLOT = ["session_id", "chain_id", "sequence"]
 SESSION = SLOT[:2]
+MANY_SESSIONS = 1000
 
 
 def token(sequence: str | Column) -> Column:
@@ -32,7 +36,8 @@ def write_deliveries(incoming: DataFrame, path: str, digest: str = "digest") ->
     """Appends new deliveries to a Parquet log, partitioned by session; raises on a slot conflict,
     with the log or inside the batch, before anything is written.
 
-    Running it again with the same batch appends nothing, so it serves as a foreachBatch sink.
+    Running it again with the same batch appends nothing, so it serves as a foreachBatch sink. Of the log
+    only the sequences of the batch are read, and of up to MANY_SESSIONS sessions only their folders.
     """
     from eventlake.operators.validate import strict
 
@@ -40,7 +45,12 @@ def write_deliveries(incoming: DataFrame, path: str, digest: str = "digest") ->
     strict(slot_clashes(incoming, digest))
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     if hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
-        rows, bad = new_deliveries(spark.read.parquet(path), incoming, digest)
+        low, high = incoming.agg(F.min("sequence"), F.max("sequence")).first()
+        stored = spark.read.parquet(path).where(F.col("sequence").between(low, high))
+        sessions = [r[0] for r in incoming.select("session_id").distinct().limit(MANY_SESSIONS + 1).collect()]
+        if len(sessions) <= MANY_SESSIONS:
+            stored = stored.where(F.col("session_id").isin(sessions))
+        rows, bad = new_deliveries(stored, incoming, digest)
         strict(bad)
     else:
         rows = incoming
@@ -52,18 +62,36 @@ def write_deliveries(incoming: DataFrame, path: str, digest: str = "digest") ->
     return n
 
 
+def _ack_outcomes(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The outcome of each ack of a partition in order of session and ordinal; the state is one sequence."""
+    session, done = None, 0
+    for f in frames:
+        out = []
+        for own, chain, sequence, known, right in zip(f["session_id"], f["chain_id"], f["sequence"], f["known"], f["right"]):
+            if (own, chain) != session:
+                session, done = (own, chain), 0
+            if not known:
+                out.append("none_pending")
+            elif right and sequence == done + 1:
+                done += 1
+                out.append("committed")
+            else:
+                out.append("duplicate" if right and sequence == done else "mismatch")
+        yield f[[*SESSION, "ordinal", "sequence"]].assign(outcome=out)
+
+
 def classify_acks(deliveries: DataFrame, acks: DataFrame) -> DataFrame:
     """acks(session, chain, ordinal, sequence, token) -> outcome: committed, duplicate, mismatch or none_pending.
 
-    The pending delivery is the one after the last committed; a session's acks are read in order.
+    Only an ack of the delivery after the last committed one, with its token, commits; a right ack
+    that comes early changes nothing. A repeat of the last committed ack is a duplicate. A session's acks
+    stream through one task in order of their ordinal, whatever their number.
     """
-    w = Window.partitionBy(*SESSION).orderBy("ordinal").rowsBetween(Window.unboundedPreceding, -1)
     known = deliveries.select(*SLOT, F.col("token").alias("expected"))
-    j = acks.join(known, SLOT, "left").withColumn("right", F.coalesce(F.col("token") == F.col("expected"), F.lit(False)))
-    done = F.coalesce(F.max(F.when(F.col("right"), F.col("sequence"))).over(w), F.lit(0))
-    j = j.withColumn("done", done)
-    outcome = F.when(F.col("expected").isNull(), "none_pending").when(~F.col("right"), "mismatch").when(F.col("sequence") == F.col("done") + 1, "committed").when(F.col("sequence") == F.col("done"), "duplicate").otherwise("mismatch")
-    return j.select(*SESSION, "ordinal", "sequence", outcome.alias("outcome"))
+    j = acks.join(known, SLOT, "left").withColumns({"known": F.col("expected").isNotNull(), "right": F.coalesce(F.col("token") == F.col("expected"), F.lit(False))})
+    j = j.select(*SESSION, "ordinal", "sequence", "known", "right").repartition(*SESSION).sortWithinPartitions(*SESSION, "ordinal")
+    kinds = {f.name: f.dataType.simpleString() for f in j.schema.fields}
+    return j.mapInPandas(_ack_outcomes, ", ".join(f"{c} {kinds[c]}" for c in (*SESSION, "ordinal", "sequence")) + ", outcome string")
 
 
 def session_state(deliveries: DataFrame, acks: DataFrame) -> DataFrame:
@@ -107,15 +135,22 @@ def accounted_bytes(topics: str | Column, data: str | Column, owners: str | Colu
     return 512 + 32 * F.size(t) + F.octet_length(d) + 64 + F.aggregate(o, F.lit(0), lambda a, x: a + F.octet_length(x) + 32)
 
 
+def control_bytes(identifier: str | Column) -> Column:
+    """Estimated bytes of a control."""
+    return 256 + F.coalesce(F.octet_length(F.col(identifier) if isinstance(identifier, str) else identifier), F.lit(0))
+
+
 def cursor_regressions(deliveries: DataFrame) -> DataFrame:
-    """(rule, session, sequence): a cursor other than a reorg's that goes back or loses its head, and gaps in sequence or token."""
+    """(rule, session, sequence): a cursor other than a reorg's that goes back, loses its head or changes it at
+    its height, and gaps in sequence or token."""
     w = Window.partitionBy(*SESSION).orderBy("sequence")
     lag = lambda c: F.lag(c).over(w)
-    d = deliveries.select("*", lag("next_block").alias("p_next"), lag("head_number").alias("p_head"), lag("sequence").alias("p_seq"))
+    d = deliveries.select("*", lag("next_block").alias("p_next"), lag("head_number").alias("p_head"), lag("head_hash").alias("p_hash"), lag("sequence").alias("p_seq"))
     plain = (F.col("payload_kind") != "reorg") & F.col("p_seq").isNotNull()
     rules = {
         "next_block_regressed": plain & ~F.col("checkpoint_neutral") & (F.col("next_block") < F.col("p_next")),
         "head_regressed": plain & (F.col("head_number") < F.col("p_head")),
+        "head_changed": plain & (F.col("head_number") == F.col("p_head")) & (F.col("head_hash") != F.col("p_hash")),
         "head_dropped": plain & F.col("p_head").isNotNull() & F.col("head_number").isNull(),
         "sequence_gap": F.col("sequence") != F.coalesce(F.col("p_seq"), F.lit(0)) + 1,
         "token_mismatch": F.col("token") != token("sequence"),
@@ -123,6 +158,17 @@ def cursor_regressions(deliveries: DataFrame) -> DataFrame:
     return violations(d, rules, F.concat_ws(":", "session_id", "sequence"))
 
 
+def reorg_geometry(reorgs: DataFrame) -> DataFrame:
+    """(rule, key) of reorg controls(session, sequence, p_head, p_hash, ancestor, old_tip, old_tip_hash, new_tip,
+    next_block): the old tip is the acknowledged head, both tips are above the ancestor, and the cursor follows it."""
+    rules = {
+        "reorg_old_tip": ~(F.col("old_tip").eqNullSafe(F.col("p_head")) & F.col("old_tip_hash").eqNullSafe(F.col("p_hash"))),
+        "reorg_tips_below_ancestor": F.least("old_tip", "new_tip") <= F.col("ancestor"),
+        "reorg_cursor": F.col("next_block") != F.col("ancestor") + 1,
+    }
+    return violations(reorgs, rules, F.concat_ws(":", "session_id", "sequence"))
+
+
 def validate_progress(deliveries: DataFrame) -> DataFrame:
     """Cursor regressions, and declared heads that do not fit the scan cursor."""
     rules = {"head_ahead_of_scan": F.col("head_number") >= F.col("next_block"), "next_not_after_head": (F.col("payload_kind") == "data") & (F.col("next_block") != F.col("head_number") + 1)}
@@ -162,13 +208,31 @@ def validate_state_rows(state: DataFrame) -> DataFrame:
     return violations(state, rules, F.col("session_id"))
 
 
-def reorg_promises(deliveries: DataFrame) -> DataFrame:
-    """After a reorg the next data delivery must reach past its ancestor: sequence of the promise and its fulfilment."""
+def reorg_promises(deliveries: DataFrame, block_rows: DataFrame) -> DataFrame:
+    """What follows each reorg's promise of a new tip, up to the delivery that keeps it.
+
+    deliveries have new_tip and new_tip_hash at reorgs; block_rows(page_id, number, hash, parent_hash) are the
+    block rows of data deliveries. -> session, sequence, promised_at, verdict: kept (the page holds the new
+    tip and from it a linked chain up to its head, and the cursor follows that head), not_certified,
+    second_reorg, or waiting (other controls pass).
+    """
     w = Window.partitionBy(*SESSION).orderBy("sequence")
-    promise = F.last(F.when(F.col("payload_kind") == "reorg", F.struct("sequence", "head_number")), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    prior = F.lag("payload_kind").over(w)
-    d = deliveries.select("*", promise.alias("p"), prior.alias("prior"))
-    return d.where("prior = 'reorg'").select(*SLOT, F.col("p.sequence").alias("promised_at"), ((F.col("payload_kind") == "data") & (F.col("head_number") > F.col("p.head_number"))).alias("kept"))
+    promise = F.last(F.when(F.col("payload_kind") == "reorg", F.struct(F.col("sequence").alias("at"), F.col("new_tip").alias("number"), F.col("new_tip_hash").alias("hash"))), ignorenulls=True)
+    d = deliveries.withColumn("p", promise.over(w.rowsBetween(Window.unboundedPreceding, -1))).where("p IS NOT NULL")
+    before = block_rows.select("page_id", (F.col("number") + 1).alias("number"), F.col("hash").alias("before"))
+    linked = block_rows.join(before, ["page_id", "number"], "left").select("page_id", "number", "hash", (F.col("before").isNull() | (F.col("before") != F.col("parent_hash"))).alias("bent"))
+    above = d.where("payload_kind = 'data'").select(*SLOT, "page_id", "p").join(linked, "page_id").where(F.col("number") >= F.col("p.number"))
+    own = F.col("number") == F.col("p.number")
+    seen = above.groupBy(*SLOT).agg(
+        F.count_if(own & (F.col("hash") == F.col("p.hash"))).alias("tips"), F.count_if(~own & F.col("bent")).alias("bent"), F.max("number").alias("top"), F.max_by("hash", "number").alias("top_hash")
+    )
+    d = d.join(seen, SLOT, "left")
+    held = (F.col("tips") == 1) & (F.col("bent") == 0) & (F.col("top") == F.col("head_number")) & (F.col("top_hash") == F.col("head_hash")) & (F.col("next_block") == F.col("head_number") + 1)
+    d = d.withColumn("kept", F.coalesce(held, F.lit(False)))
+    since = Window.partitionBy(*SESSION, "p.at").orderBy("sequence").rowsBetween(Window.unboundedPreceding, -1)
+    open_ = d.withColumn("done", F.coalesce(F.max("kept").over(since), F.lit(False))).where(~F.col("done"))
+    verdict = F.when(F.col("kept"), "kept").when(F.col("payload_kind") == "data", "not_certified").when(F.col("payload_kind") == "reorg", "second_reorg").otherwise("waiting")
+    return open_.select(*SLOT, F.col("p.at").alias("promised_at"), verdict.alias("verdict"))
 
 
 def delivery_sizes(records: DataFrame, by: list[str]) -> DataFrame:

@@ -41,11 +41,11 @@ interests AS (
 pages AS (SELECT number // 50 AS page_id, min(number) AS from_block, max(number) + 1 AS next_block, (SELECT max(number) + 1 FROM blocks) AS archive_height, min(number) AS guard_first,
   arg_min(parent_hash, number) AS guard_first_parent, max(number) AS guard_tip, arg_max(hash, number) AS guard_tip_hash, max(timestamp) AS guard_tip_timestamp FROM blocks GROUP BY 1),
 plan AS (
-  SELECT page_id, 'data' AS payload_kind, next_block, guard_tip AS head_number, guard_tip_hash AS head_hash FROM pages
-  UNION ALL SELECT page_id, 'reorg', next_block - 2, next_block - 3, sha256('b:' || (next_block - 3) || ':0') FROM pages WHERE next_block % 50 = 0
-  UNION ALL SELECT -1, 'barrier', 0, NULL, NULL FROM pages WHERE page_id = 0),
+  SELECT page_id, 'data' AS payload_kind, next_block, guard_tip AS head_number, guard_tip_hash AS head_hash, CAST(NULL AS BIGINT) AS new_tip, CAST(NULL AS VARCHAR) AS new_tip_hash FROM pages
+  UNION ALL SELECT page_id, 'reorg', next_block - 2, next_block - 3, sha256('b:' || (next_block - 3) || ':0'), guard_tip, guard_tip_hash FROM pages WHERE next_block % 50 = 0
+  UNION ALL SELECT -1, 'barrier', 0, NULL, NULL, NULL, NULL FROM pages WHERE page_id = 0),
 deliveries AS (SELECT 's' || s AS session_id, CAST(1 AS BIGINT) AS chain_id, row_number() OVER (PARTITION BY s ORDER BY page_id, payload_kind = 'data') AS sequence, CAST(1 AS BIGINT) AS query_revision, payload_kind, page_id,
-  next_block, head_number, head_hash, payload_kind = 'barrier' AS checkpoint_neutral,
+  next_block, head_number, head_hash, new_tip, new_tip_hash, payload_kind = 'barrier' AS checkpoint_neutral,
   lpad(lower(to_hex(row_number() OVER (PARTITION BY s ORDER BY page_id, payload_kind = 'data'))), 16, '0') AS token FROM plan, range(0, 8) r(s)),
 acks AS (SELECT session_id, chain_id, sequence, token FROM deliveries QUALIFY sequence < max(sequence) OVER (PARTITION BY session_id)),
 matched AS (SELECT l.block_number, l.transaction_index, l.log_index, i.owner_id, o.canonical,

@@ -133,9 +133,9 @@ def _(s, d):
     return T.exclusive_topology(D.owners(s, d), D.interests(s, d))
 
 
-@query("agg11_interest_quotas", "SELECT 'addresses_per_interest' AS rule, owner_id AS key, len(addresses) AS value FROM interests WHERE len(addresses) > 3 UNION ALL SELECT 'owners', 'all', count(*) FROM owners HAVING count(*) > 8 UNION ALL SELECT 'bounded_span', 'all', max(to_block_excl - from_block) FROM owners HAVING max(to_block_excl - from_block) > 120")
+@query("agg11_interest_quotas", "SELECT 'addresses_per_interest' AS rule, owner_id AS key, len(addresses) AS value FROM interests WHERE len(addresses) > 2 UNION ALL SELECT 'owners', 'all', count(*) FROM owners HAVING count(*) > 8 UNION ALL SELECT 'bounded_span', 'all', max(to_block_excl - from_block) FROM owners HAVING max(to_block_excl - from_block) > 120")
 def _(s, d):
-    return T.interest_quotas(D.owners(s, d), D.interests(s, d), {"addresses_per_interest": 3, "owners": 8, "bounded_span": 120, "interests": 10_000})
+    return T.interest_quotas(D.owners(s, d), D.interests(s, d), {"addresses_per_interest": 2, "owners": 8, "bounded_span": 120, "interests": 10_000})
 
 
 @query("agg15_bkf2_min_backfill", "SELECT min(from_block) AS low, count(from_block) AS n FROM owners")
@@ -191,12 +191,19 @@ def _(s, d):
     return new.select("session_id", "sequence", F.lit("new").alias("status")).unionByName(bad.select("session_id", "sequence", F.lit("conflict").alias("status")))
 
 
-@query("snk2_commit_acks", "SELECT session_id, sequence * 2 AS ordinal, sequence, 'committed' AS outcome FROM acks UNION ALL SELECT session_id, sequence * 2 + 1, sequence, CASE WHEN sequence % 3 = 0 THEN 'duplicate' ELSE 'mismatch' END FROM acks WHERE sequence % 5 < 2 UNION ALL SELECT session_id, 999, 777, 'none_pending' FROM acks WHERE sequence = 1")
+@query(
+    "snk2_commit_acks",
+    """SELECT session_id, sequence * 4 AS ordinal, sequence, 'committed' AS outcome FROM acks
+UNION ALL SELECT session_id, sequence * 4 + 1, sequence, CASE WHEN sequence % 3 = 0 THEN 'duplicate' ELSE 'mismatch' END FROM acks WHERE sequence % 5 < 2
+UNION ALL SELECT session_id, (sequence - 3) * 4 + 2, sequence, 'mismatch' FROM acks WHERE sequence % 7 = 5 UNION ALL SELECT session_id, 3, -777, 'none_pending' FROM acks WHERE sequence = 1""",
+)
 def _(s, d):
+    """Acks in turn, repeats with and without the right token, right acks that come three deliveries early, and one of no delivery."""
     a = D.acks(s, d)
-    again = a.where("sequence % 5 < 2").withColumns({"ordinal": C("sequence") * 2 + 1, "token": F.when(C("sequence") % 3 == 0, C("token")).otherwise(F.lit("ff"))})
-    lost = a.where("sequence = 1").withColumns({"ordinal": F.lit(999).cast("long"), "sequence": F.lit(777).cast("long")})
-    every = a.withColumn("ordinal", C("sequence") * 2).unionByName(again).unionByName(lost)
+    again = a.where("sequence % 5 < 2").withColumns({"ordinal": C("sequence") * 4 + 1, "token": F.when(C("sequence") % 3 == 0, C("token")).otherwise(F.lit("ff"))})
+    early = a.where("sequence % 7 = 5").withColumn("ordinal", (C("sequence") - 3) * 4 + 2)
+    lost = a.where("sequence = 1").withColumns({"ordinal": F.lit(3).cast("long"), "sequence": F.lit(-777).cast("long")})
+    every = a.withColumn("ordinal", C("sequence") * 4).unionByName(again).unionByName(early).unionByName(lost)
     return L.classify_acks(D.deliveries(s, d), every).drop("chain_id")
 
 
@@ -254,11 +261,13 @@ def _(s, d):
 
 def _broken(s, d):
     x = D.deliveries(s, d)
+    changed = (C("sequence") % 13 == 8) & (C("payload_kind") == "data")  # the head of the reorg before it, under another hash
+    x = x.withColumns({"head_number": F.when(changed, C("head_number") - 2).otherwise(C("head_number")), "head_hash": F.when(changed, F.lit("zz")).otherwise(C("head_hash"))})
     return x.withColumns({"next_block": F.when(C("sequence") % 9 == 6, C("next_block") - 200).otherwise(C("next_block")), "token": F.when(C("sequence") % 11 == 3, F.lit("ff")).otherwise(C("token"))})
 
 
-_BROKEN = "broken AS (SELECT * REPLACE (CASE WHEN sequence % 9 = 6 THEN next_block - 200 ELSE next_block END AS next_block, CASE WHEN sequence % 11 = 3 THEN 'ff' ELSE token END AS token) FROM deliveries), lagged AS (SELECT *, lag(next_block) OVER w AS p_next, lag(head_number) OVER w AS p_head, lag(sequence) OVER w AS p_seq FROM broken WINDOW w AS (PARTITION BY session_id ORDER BY sequence))"
-_REGRESS = "SELECT 'next_block_regressed' AS rule, session_id || ':' || sequence AS key FROM lagged WHERE payload_kind <> 'reorg' AND p_seq IS NOT NULL AND NOT checkpoint_neutral AND next_block < p_next UNION ALL SELECT 'head_regressed', session_id || ':' || sequence FROM lagged WHERE payload_kind <> 'reorg' AND head_number < p_head UNION ALL SELECT 'token_mismatch', session_id || ':' || sequence FROM lagged WHERE sequence % 11 = 3"
+_BROKEN = "broken AS (SELECT * REPLACE (CASE WHEN sequence % 13 = 8 AND payload_kind = 'data' THEN head_number - 2 ELSE head_number END AS head_number, CASE WHEN sequence % 13 = 8 AND payload_kind = 'data' THEN 'zz' ELSE head_hash END AS head_hash, CASE WHEN sequence % 9 = 6 THEN next_block - 200 ELSE next_block END AS next_block, CASE WHEN sequence % 11 = 3 THEN 'ff' ELSE token END AS token) FROM deliveries), lagged AS (SELECT *, lag(next_block) OVER w AS p_next, lag(head_number) OVER w AS p_head, lag(head_hash) OVER w AS p_hash, lag(sequence) OVER w AS p_seq FROM broken WINDOW w AS (PARTITION BY session_id ORDER BY sequence))"
+_REGRESS = "SELECT 'next_block_regressed' AS rule, session_id || ':' || sequence AS key FROM lagged WHERE payload_kind <> 'reorg' AND p_seq IS NOT NULL AND NOT checkpoint_neutral AND next_block < p_next UNION ALL SELECT 'head_regressed', session_id || ':' || sequence FROM lagged WHERE payload_kind <> 'reorg' AND head_number < p_head UNION ALL SELECT 'head_changed', session_id || ':' || sequence FROM lagged WHERE payload_kind <> 'reorg' AND head_number = p_head AND head_hash <> p_hash UNION ALL SELECT 'token_mismatch', session_id || ':' || sequence FROM lagged WHERE sequence % 11 = 3"
 
 
 @query("win4_win5_cursor_regressions", _with(_BROKEN, _REGRESS))
@@ -302,9 +311,28 @@ def _(s, d):
     return L.resume_positions(hellos, st).drop("chain_id")
 
 
-@query("str3_str4_reorg_promises", "SELECT session_id, sequence + 1 AS sequence, sequence AS promised_at, true AS kept FROM deliveries WHERE payload_kind = 'reorg'")
-def _(s, d):
-    return L.reorg_promises(D.deliveries(s, d)).drop("chain_id")
+_PROMISES = """sent AS (SELECT session_id, sequence, page_id, CASE WHEN payload_kind = 'data' AND page_id % 4 = 2 THEN 'reorg' WHEN payload_kind = 'data' AND page_id % 8 = 3 THEN 'barrier' ELSE payload_kind END AS kind,
+  CASE WHEN payload_kind = 'reorg' AND page_id % 4 = 1 THEN 'zz' WHEN payload_kind = 'data' AND page_id % 4 = 2 THEN head_hash ELSE new_tip_hash END AS promised, head_number, head_hash FROM deliveries),
+promise AS (SELECT *, max(CASE WHEN kind = 'reorg' THEN sequence END) OVER w AS promised_at FROM sent WINDOW w AS (PARTITION BY session_id ORDER BY sequence ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+judged AS (SELECT x.*, x.kind = 'data' AND p.promised = x.head_hash AS kept FROM promise x JOIN sent p ON p.session_id = x.session_id AND p.sequence = x.promised_at)"""
+
+
+@query(
+    "str3_str4_reorg_promises",
+    _with(
+        _PROMISES,
+        """SELECT session_id, sequence, promised_at, CASE WHEN kept THEN 'kept' WHEN kind = 'data' THEN 'not_certified' WHEN kind = 'reorg' THEN 'second_reorg' ELSE 'waiting' END AS verdict FROM judged j
+WHERE NOT EXISTS (SELECT 1 FROM judged k WHERE k.session_id = j.session_id AND k.promised_at = j.promised_at AND k.sequence < j.sequence AND k.kept)""",
+    ),
+)
+def _(s, d):
+    """Of every four pages one keeps its promise, one has another tip, one sends a second reorg, one sends a barrier or keeps it."""
+    data, page = C("payload_kind") == "data", C("page_id")
+    kind = F.when(data & (page % 4 == 2), "reorg").when(data & (page % 8 == 3), "barrier").otherwise(C("payload_kind"))
+    tip = F.when((C("payload_kind") == "reorg") & (page % 4 == 1), F.lit("zz")).when(data & (page % 4 == 2), C("head_hash")).otherwise(C("new_tip_hash"))
+    sent = D.deliveries(s, d).withColumns({"payload_kind": kind, "new_tip_hash": tip, "new_tip": F.coalesce("new_tip", "head_number")})
+    rows = D.blocks(s, d).withColumn("page_id", F.floor(C("number") / PAGE_BLOCKS))
+    return L.reorg_promises(sent, rows).drop("chain_id")
 
 
 @query("jn11_audience_known", "SELECT block_number, log_index, o AS owner_id FROM (SELECT block_number, log_index, unnest(string_split(owners, ',')) AS o FROM audience WHERE owners <> '') WHERE o IN ('pool', 'user1')")

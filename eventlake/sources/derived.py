@@ -132,10 +132,11 @@ def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The delivery log of each session: an activation barrier, then by page a reorg control and the data."""
     p = pages(spark, sf_dir).select("page_id", "next_block", F.col("guard_tip").alias("head_number"), F.col("guard_tip_hash").alias("head_hash"))
     reorg = p.where(F.col("next_block") % PAGE_BLOCKS == 0).select(
-        "page_id", F.lit("reorg").alias("payload_kind"), (F.col("next_block") - 2).alias("next_block"), (F.col("next_block") - 3).alias("head_number"), block_hash(F.col("next_block") - 3).alias("head_hash")
+        "page_id", F.lit("reorg").alias("payload_kind"), (F.col("next_block") - 2).alias("next_block"), (F.col("next_block") - 3).alias("head_number"), block_hash(F.col("next_block") - 3).alias("head_hash"),
+        F.col("head_number").alias("new_tip"), F.col("head_hash").alias("new_tip_hash"),
     )
-    data = p.withColumn("payload_kind", F.lit("data"))
-    start = p.where("page_id = 0").select(F.lit(-1).cast("long").alias("page_id"), F.lit("barrier").alias("payload_kind"), F.lit(0).cast("long").alias("next_block"), F.lit(None).cast("long").alias("head_number"), F.lit(None).cast("string").alias("head_hash"))
+    data = p.withColumns({"payload_kind": F.lit("data"), "new_tip": F.lit(None).cast("long"), "new_tip_hash": F.lit(None).cast("string")})
+    start = p.where("page_id = 0").select(F.lit(-1).cast("long").alias("page_id"), F.lit("barrier").alias("payload_kind"), F.lit(0).cast("long").alias("next_block"), F.lit(None).cast("long").alias("head_number"), F.lit(None).cast("string").alias("head_hash"), F.lit(None).cast("long").alias("new_tip"), F.lit(None).cast("string").alias("new_tip_hash"))
     rows = data.unionByName(reorg).unionByName(start)
     rows = rows.withColumn("session", F.explode(F.sequence(F.lit(0), F.lit(SESSIONS - 1))))
     order = Window.partitionBy("session").orderBy("page_id", F.col("payload_kind") == "data")
@@ -149,6 +150,8 @@ def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
         "next_block",
         "head_number",
         "head_hash",
+        "new_tip",
+        "new_tip_hash",
         (F.col("payload_kind") == "barrier").alias("checkpoint_neutral"),
     ).withColumn("token", F.lpad(F.lower(F.hex("sequence")), 16, "0"))
 

@@ -15,32 +15,37 @@ OUTPUT = "chain_id bigint, arrival bigint, outcome string, number bigint, hash s
 
 
 def step(chain: list[list], block: dict[str, Any], depth: int) -> tuple[list[list], str, int | None, int | None]:
-    """(chain, outcome, ancestor, old tip) after one block; a chain is [number, hash] pairs, oldest first.
+    """(chain, outcome, ancestor, old tip) after one block; a chain is [number, hash, parent hash, timestamp], oldest first.
 
-    Outcomes are new, duplicate, reorg, gap, unknown_parent and exhausted; on the last three the chain
-    stays as it was.
+    Outcomes are new, duplicate, reorg, conflicting_metadata (the same hash with another parent or time),
+    gap, unknown_parent (the retained block before it has another hash) and exhausted (that block is
+    not retained, or the successor of the tip has another parent); on the last four the chain stays as it was.
     """
-    number, hash_, parent = block["number"], block["hash"], block["parent_hash"]
+    row = [block[c] for c in ("number", "hash", "parent_hash", "timestamp")]
+    number, hash_, parent, _ = row
     if not chain:
-        return [[number, hash_]], "new", None, None
+        return [row], "new", None, None
     low, tip = chain[0][0], chain[-1][0]
     if number > tip + 1:
         return chain, "gap", None, None
+    if number == tip + 1:
+        return ([*chain, row][-depth:], "new", None, None) if chain[-1][1] == parent else (chain, "exhausted", None, None)
     if number < low:
         return chain, "exhausted", None, None
     at = number - low
-    if number <= tip and chain[at][1] == hash_:
-        return chain, "duplicate", None, None
+    if chain[at][1] == hash_:
+        return chain, "duplicate" if chain[at] == row else "conflicting_metadata", None, None
+    if number == 0:
+        return chain, "unknown_parent", None, None
     if number == low:
         return chain, "exhausted", None, None
     if chain[at - 1][1] != parent:
         return chain, "unknown_parent", None, None
-    out = [*chain[:at], [number, hash_]][-depth:]
-    return (out, "new", None, None) if number == tip + 1 else (out, "reorg", number - 1, tip)
+    return [*chain[:at], row], "reorg", number - 1, tip
 
 
 def track_canonical(arrivals: DataFrame, depth: int = 64) -> DataFrame:
-    """A stream of (chain_id, arrival, number, hash, parent_hash) -> one row an arrival with its outcome.
+    """A stream of (chain_id, arrival, number, hash, parent_hash, timestamp) -> one row an arrival with its outcome.
 
     The state of a chain is its newest `depth` blocks, so it is bounded whatever the stream's length.
     Within a micro-batch a chain's arrivals are taken in the order of `arrival`.

@@ -37,13 +37,32 @@ def test_reorg_triple(spark):
 
 def test_tracker_outcomes():
     chain, said = [], []
-    rows = [(100, "10", "0f"), (101, "11", "10"), (102, "12", "11"), (102, "12", "11"), (104, "14", "13"), (102, "22", "11"), (103, "33", "zz"), (90, "xx", "yy")]
+    rows = [(100, "10", "0f"), (101, "11", "10"), (102, "12", "11"), (102, "12", "11"), (104, "14", "13"), (102, "22", "11"), (103, "33", "zz"), (90, "xx", "yy"), (102, "22", "zz"), (102, "44", "zz"), (100, "55", "0f")]
     for number, hash_, parent in rows:
-        chain, outcome, ancestor, tip = step(chain, {"number": number, "hash": hash_, "parent_hash": parent}, 64)
+        chain, outcome, ancestor, tip = step(chain, {"number": number, "hash": hash_, "parent_hash": parent, "timestamp": number}, 64)
         said.append((outcome, ancestor, tip))
-    assert [s[0] for s in said] == ["new", "new", "new", "duplicate", "gap", "reorg", "unknown_parent", "exhausted"]
+    assert [s[0] for s in said] == ["new", "new", "new", "duplicate", "gap", "reorg", "exhausted", "exhausted", "conflicting_metadata", "unknown_parent", "exhausted"]
     assert said[5][1:] == (101, 102)
-    assert [h for _, h in chain] == ["10", "11", "22"]
+    assert [row[1] for row in chain] == ["10", "11", "22"]
+    assert step([[0, "a", "z", 1]], {"number": 0, "hash": "b", "parent_hash": "y", "timestamp": 1}, 64)[1] == "unknown_parent"
+
+
+def test_only_acks_in_turn_commit(spark):
+    sent = spark.createDataFrame([("s", 1, k, f"t{k}") for k in range(1, 7)], "session_id string, chain_id bigint, sequence bigint, token string")
+    acks = [(1, 1, "t1"), (2, 5, "t5"), (3, 2, "t2"), (4, 6, "t6"), (5, 2, "t2"), (6, 3, "xx"), (7, 3, "t3"), (8, 9, "t9")]
+    df = spark.createDataFrame([("s", 1, *a) for a in acks], "session_id string, chain_id bigint, ordinal bigint, sequence bigint, token string")
+    got = {r.ordinal: r.outcome for r in L.classify_acks(sent, df).collect()}
+    assert [got[k] for k in range(1, 9)] == ["committed", "mismatch", "committed", "mismatch", "duplicate", "mismatch", "committed", "none_pending"]
+
+
+def test_what_follows_a_promised_tip(spark):
+    sent = "session_id string, chain_id bigint, sequence bigint, payload_kind string, page_id bigint, next_block bigint, head_number bigint, head_hash string, new_tip bigint, new_tip_hash string"
+    rows = [(1, "reorg", None, 102, 101, "11", 103, "23"), (2, "barrier", None, 102, None, None, None, None), (3, "data", 7, 105, 104, "24", None, None), (4, "data", 8, 106, 105, "25", None, None)]
+    rows += [(5, "reorg", None, 104, 103, "23", 104, "34"), (6, "reorg", None, 104, 103, "23", 104, "44"), (7, "data", 9, 106, 105, "45", None, None), (8, "data", 10, 106, 105, "45", None, None)]
+    d = spark.createDataFrame([("s", 1, *r) for r in rows], sent)
+    blocks = [(7, 103, "23", "12"), (7, 104, "24", "23"), (8, 105, "25", "24"), (9, 104, "44", "23"), (9, 105, "45", "xx"), (10, 104, "44", "23"), (10, 105, "45", "44")]
+    got = L.reorg_promises(d, spark.createDataFrame(blocks, "page_id bigint, number bigint, hash string, parent_hash string")).collect()
+    assert sorted((r.sequence, r.promised_at, r.verdict) for r in got) == [(2, 1, "waiting"), (3, 1, "kept"), (6, 5, "second_reorg"), (7, 6, "not_certified"), (8, 6, "kept")]
 
 
 def test_strict_raises(spark):
@@ -83,7 +102,7 @@ def test_delivery_of_every_log(spark, tmp_path):
     events.write.parquet(f"{tmp_path}/events.parquet")
     got = Q.QUERIES["str1_src7_deliver_stream"](spark, str(tmp_path))
     assert got.distinct().count() == got.count() == 20_000
-    assert got.agg(F.max("block_number")).first()[0] == 14_444
+    assert got.agg(F.max("block_number")).first()[0] == 14_443
 
 
 def test_anchor_must_touch_the_backfill(spark):

@@ -2,9 +2,11 @@
 
 A shard is a run of a partition's documents. Its suffix array holds the word suffixes, in the order
 of their first 13 words, that can begin a benchmark window at all (their first words occur at the
-same place of some window). Every window, as a test suffix, is binary-searched in it; the range found
-is the list of all its verbatim locations. The benchmark is the query set: it goes to the executors
-in blocks of a checked size, one after another when it is larger than a block. No rows are shuffled.
+same place of some window). Every test suffix is binary-searched in it by its window; the range found
+is the list of its verbatim locations. Windows that follow each other at locations that follow each other
+are one match, so the longest verbatim match of a document with an item, and where it stands in both,
+is the longest such run. The benchmark is the query set: it goes to the executors in blocks of a checked
+size. No rows are shuffled, but for the hits where there is more than one block.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ LEADING = 4  # words of a suffix that are looked at before it is sorted
 _KEY = f"S{8 * WINDOW}"
 _TABLE = 20  # bits of the tables of leading words
 
-HITS = "n_words bigint, n_hit bigint, longest bigint, item_ids array<string>, spans array<struct<start:bigint,n_words:bigint>>"
+HITS = "n_words bigint, n_hit bigint, item_ids array<string>, spans array<struct<start:bigint,n_words:bigint>>, matches array<struct<item_id:string,n_words:bigint,start:bigint,item_start:bigint>>"
 
 
 class TestSuffixes:
@@ -51,11 +53,14 @@ class TestSuffixes:
         grid = np.concatenate(rows) if rows else np.zeros((0, WINDOW), dtype=U64)
         length = np.concatenate(lengths) if rows else np.zeros(0, dtype=np.int64)
         keys, self.key_of = np.unique(_keys(grid), return_inverse=True)
+        sequence = self.key_of
         self.item_of = np.concatenate(items) if rows else np.zeros(0, dtype=np.int64)
         pairs = np.unique(self.key_of * max(1, len(ids)) + self.item_of)
         self.key_of, self.item_of = pairs // max(1, len(ids)), pairs % max(1, len(ids))
         self.from_key = np.searchsorted(self.key_of, np.arange(len(keys) + 1))
         self.keys, self.length = keys, np.zeros(len(keys), dtype=np.int64)
+        self.windows = np.split(sequence, np.cumsum([len(r) for r in rows])[:-1]) if rows else []  # of each item with words, its keys in order
+        self.item_with_words = [int(k[0]) for k in items]
         if rows:
             self.length[np.searchsorted(keys, _keys(grid))] = length
         self.after = self._upper(keys, self.length)
@@ -73,18 +78,46 @@ class TestSuffixes:
         raw[np.arange(8 * WINDOW)[None, :] >= 8 * length[:, None]] = 255
         return raw.view(_KEY).ravel()
 
-    def search(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(hit mask over the words, 0/1; rows and items of occurring windows, each pair once)."""
+    def _longest(self, words: Words, at: np.ndarray, low: np.ndarray, high: np.ndarray) -> dict[int, list[tuple[int, int, int, int]]]:
+        """Of each row its longest match with each item: (item, words, start in the row, start in the item).
+
+        The locations of an item's windows are taken in the order of the item. A location that follows one
+        of the window before is the same match, one word longer.
+        """
+        out: dict[int, list[tuple[int, int, int, int]]] = {}
+        for item, keys in zip(self.item_with_words, self.windows):
+            best: dict[int, tuple[int, int, int]] = {}
+            before, run = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+            last = -2
+            for q in np.flatnonzero(high[keys] > low[keys]):
+                here = np.sort(at[low[keys[q]] : high[keys[q]]])
+                length = np.ones(len(here), dtype=np.int64)
+                if q == last + 1:
+                    k = np.minimum(np.searchsorted(before, here - 1), len(before) - 1)
+                    length += np.where((before[k] == here - 1) & (words.row[here] == words.row[here - 1]), run[k], 0)
+                rows = words.row[here]
+                order = np.lexsort((here, -length, rows))
+                first = order[np.concatenate([[True], rows[order][1:] != rows[order][:-1]])]
+                for row, n, place in zip(rows[first].tolist(), length[first].tolist(), here[first].tolist()):
+                    if n > best.get(row, (0, 0, 0))[0]:
+                        best[row] = (n, place - n + 1, int(q) - n + 1)
+                before, run, last = here, length, q
+            for row, (n, place, start) in best.items():
+                out.setdefault(row, []).append((item, n + int(self.length[keys[0]]) - 1, place - int(words.first[row]), start))
+        return out
+
+    def search(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, dict[int, list[tuple[int, int, int, int]]]]:
+        """(hit mask over the words, 0/1; rows and items of occurring windows, each pair once; longest matches)."""
         n = len(words.hash)
         empty = np.zeros(0, dtype=np.int64)
         if not n or not len(self.keys):
-            return np.zeros(n, dtype=bool), empty, empty, empty
+            return np.zeros(n, dtype=bool), empty, empty, {}
         at = np.arange(n)
         for k, seen in enumerate(self.leading):
             at = at[at + k < n]
             at = at[seen[words.hash[at + k] >> U64(64 - _TABLE)]]
         if not len(at):
-            return np.zeros(n, dtype=bool), empty, empty, empty
+            return np.zeros(n, dtype=bool), empty, empty, {}
         end = words.first[words.row[at] + 1]
         grid = np.zeros((len(at), WINDOW), dtype=U64)
         for k in range(WINDOW):
@@ -107,76 +140,92 @@ class TestSuffixes:
         row = np.repeat(row, many)
         item = self.item_of[np.repeat(self.from_key[key] - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())] if len(key) else empty
         pairs = np.unique(row * len(self.ids) + item) if len(row) else empty
-        return np.cumsum(edge[:-1]) > 0, pairs // max(1, len(self.ids)), pairs % max(1, len(self.ids)), place
+        return np.cumsum(edge[:-1]) > 0, pairs // max(1, len(self.ids)), pairs % max(1, len(self.ids)), self._longest(words, at, low, high) if len(found) else {}
 
 
 def _keys(grid: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(grid.astype(">u8")).view(_KEY).ravel()
 
 
-def _searcher(shared, earlier: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _searcher(shared) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tests = TestSuffixes(*shared.value)
         for batch in batches:
             for part in pieces(batch, "text", SHARD_BYTES):
                 words = Words(part.column("text"), ALNUM)
-                hit, rows, items, _ = tests.search(words)
-                past = part.column("found").to_pylist() if earlier else None
-                n_words, n_hit, longest, ids, spans = [], [], [], [], []
+                hit, rows, items, longest = tests.search(words)
+                n_words, n_hit, ids, spans, matches = [], [], [], [], []
                 from_row = np.searchsorted(rows, np.arange(part.num_rows + 1))
                 for k in range(part.num_rows):
-                    own = hit[words.first[k] : words.first[k + 1]].copy()
-                    mine = set(tests.ids[items[from_row[k] : from_row[k + 1]]])
-                    if past is not None:
-                        for s in past[k]["spans"]:
-                            own[s["start"] : s["start"] + s["n_words"]] = True
-                        mine |= set(past[k]["item_ids"])
+                    own = hit[words.first[k] : words.first[k + 1]]
                     edges = np.flatnonzero(np.diff(np.concatenate([[False], own, [False]]).astype(np.int8)))
-                    begin, size = edges[::2], edges[1::2] - edges[::2]
                     n_words.append(len(own))
                     n_hit.append(int(own.sum()))
-                    longest.append(int(size.max()) if len(size) else 0)
-                    ids.append(sorted(mine))
-                    spans.append([{"start": int(b), "n_words": int(s)} for b, s in zip(begin, size)])
-                found = pa.StructArray.from_arrays(
-                    [pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(longest, pa.int64()), pa.array(ids, pa.list_(pa.string())), pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("n_words", pa.int64())])))],
-                    names=["n_words", "n_hit", "longest", "item_ids", "spans"],
-                )
-                names = [n for n in part.schema.names if n != "found"]
-                yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), found], names=[*names, "found"])
+                    ids.append(sorted(set(tests.ids[items[from_row[k] : from_row[k + 1]]])))
+                    spans.append([{"start": int(b), "n_words": int(e - b)} for b, e in zip(edges[::2], edges[1::2])])
+                    matches.append([{"item_id": tests.ids[i], "n_words": n, "start": a, "item_start": q} for i, n, a, q in longest.get(k, ())])
+                kinds = [pa.int64(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.struct([(c, pa.int64()) for c in ("start", "n_words")]))]
+                kinds.append(pa.list_(pa.struct([("item_id", pa.string()), *((c, pa.int64()) for c in ("n_words", "start", "item_start"))])))
+                found = pa.StructArray.from_arrays([pa.array(v, kind) for v, kind in zip((n_words, n_hit, ids, spans, matches), kinds)], names=["n_words", "n_hit", "item_ids", "spans", "matches"])
+                kept = [n for n in part.schema.names if n not in ("found", "text")]
+                yield pa.RecordBatch.from_arrays([*(part.column(n) for n in kept), found], names=[*kept, "found"])
 
     return run
 
 
+def _joined(spans: F.Column) -> F.Column:
+    """Spans that overlap or touch as one, in order."""
+    end = lambda s: s["start"] + s["n_words"]
+    last = lambda a: F.element_at(a, -1)
+    longer = lambda a, s: F.concat(F.slice(a, F.lit(1), F.size(a) - 1), F.array(F.struct(last(a)["start"].alias("start"), (F.greatest(end(last(a)), end(s)) - last(a)["start"]).alias("n_words"))))
+    none = F.array().cast("array<struct<start:bigint,n_words:bigint>>")
+    return F.aggregate(F.array_sort(spans), none, lambda a, s: F.when(F.size(a) == 0, F.array(s)).when(s["start"] <= end(last(a)), longer(a, s)).otherwise(F.concat(a, F.array(s))))
+
+
 def benchmark_hits(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
-    """docs -> (row: all columns of docs as they are, text, found: n_words, n_hit, longest, item_ids, spans).
+    """docs -> (row: all columns of docs as they are, found: n_words, n_hit, item_ids, spans, matches).
 
     Words are runs of letters and digits (A-Z lower-cased, any non-ASCII code point a letter). A
     window is 13 consecutive words of an item; an item of fewer words, but not none, is one window. A
-    document word inside any occurrence of a window is hit; spans are the maximal runs of hit words
-    and longest the longest of them. Null and empty texts have no words and no hits. Items with a
+    document word inside any occurrence of a window is hit; spans are the maximal runs of hit words.
+    matches has for each item with hits the longest verbatim match: its words, and where it starts in the
+    document and in the item. Null and empty texts have no words and no hits. Items with a
     null id or without words are ignored; rows that repeat an item count once. An empty benchmark
     hits nothing. Documents that repeat, and columns of any name, pass through unchanged.
+
+    A benchmark of more than BLOCK_BYTES takes several passes over the texts, which are written once with
+    a number for each row; what the passes find is joined by that number.
     """
     spark = docs.sparkSession
     items = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("string").alias("id"), F.col("text").cast("string").alias("text"))
     total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()["bytes"]
     blocks = max(1, math.ceil(total / BLOCK_BYTES))
-    out = docs.select(F.struct("*").alias("row"), F.col(text).cast("string").alias("text"))
-    schema = T.StructType([*out.schema.fields, T.StructField("found", T._parse_datatype_string(HITS))]).simpleString()[len("struct<") : -1]
+    held = docs.select(F.struct("*").alias("row"), F.col(text).cast("string").alias("text"))
+    if blocks > 1:
+        held = cut(held.withColumn("number", F.monotonically_increasing_id()), "numbered")
+    own = "row" if blocks == 1 else "number"
+    schema = T.StructType([held.schema[own], T.StructField("found", T._parse_datatype_string(HITS))]).simpleString()[len("struct<") : -1]
+    parts = []
     for k in range(blocks):
-        part = items.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == k).collect()
+        part = items.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == k).distinct().collect()
         shared = spark.sparkContext.broadcast(([r["id"] for r in part], [r["text"] for r in part]))
-        out = in_arrow(out, _searcher(shared, k > 0), schema)
-        if blocks > 1:
-            out = cut(out, "hits")
-    return out
+        parts.append(in_arrow(held.select(own, "text"), _searcher(shared), schema))
+    if blocks == 1:
+        return parts[0]
+    hits = parts[0].select("number", "found")
+    for more in parts[1:]:
+        hits = hits.unionByName(more.where("found.n_hit > 0"))
+    every = hits.groupBy("number").agg(F.max("found.n_words").alias("n_words"), *[F.flatten(F.collect_list(f"found.{c}")).alias(c) for c in ("item_ids", "spans", "matches")])
+    every = every.select("number", "n_words", F.array_sort(F.array_distinct("item_ids")).alias("item_ids"), _joined(F.col("spans")).alias("spans"), F.array_sort("matches").alias("matches"))
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["n_words"])
+    found = F.struct("n_words", n_hit.alias("n_hit"), "item_ids", "spans", "matches")
+    return held.join(every.select("number", found.alias("found")), "number").select("row", "found")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, n_words, n_hit, item_ids, contaminated (n_hit > 0 and 20 * n_hit >= n_words), and spans."""
+    """doc_id, n_words, n_hit, item_ids, contaminated (n_hit > 0 and 20 * n_hit >= n_words), spans and matches."""
     found = benchmark_hits(docs.select("doc_id", "text"), benchmark)
-    return found.select("row.doc_id", "found.n_words", "found.n_hit", "found.item_ids", "found.longest", "found.spans").withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
+    return found.select("row.doc_id", "found.n_words", "found.n_hit", "found.item_ids", "found.spans", "found.matches").withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

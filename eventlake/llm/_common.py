@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -22,9 +23,11 @@ _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared scratch folder; a temporary one only where none is set (tests)."""
+    """The cluster's shared scratch folder; a temporary one only where none is set and all runs in one process."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not re.fullmatch(r"local(\[[^,]*\])?", spark.conf.get("spark.master", "")):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and the executors share")
         folder = os.path.join(tempfile.gettempdir(), "eventlake-checkpoints")
     return folder.rstrip("/")
 
@@ -55,9 +58,8 @@ def release(*tables: DataFrame) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def in_arrow(df: DataFrame, fn, schema: str, rows: int = 2000) -> DataFrame:
-    """mapInArrow with batches of a bounded number of rows."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def in_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
+    """mapInArrow. Spark bounds a batch by bytes (spark.sql.execution.arrow.maxBytesPerBatch) and by rows."""
     return df.mapInArrow(fn, schema)
 
 

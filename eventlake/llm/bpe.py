@@ -256,11 +256,11 @@ def encoded(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(Path(path).read_bytes())
     held = docs.select(F.struct("*").alias("row"), F.col(text).cast("string").alias("text"))
     schema = T.StructType([held.schema["row"], T.StructField("ids", T.BinaryType()), T.StructField("n_tokens", T.LongType())]).simpleString()
-    return in_arrow(held, _encoder(shared), schema[len("struct<") : -1], 500)
+    return in_arrow(held, _encoder(shared), schema[len("struct<") : -1])
 
 
 def decoded(tokens: DataFrame, path: str) -> DataFrame:
     """Adds decoded, the bytes of the column ids; null ids decode to null, no ids to no bytes."""
     shared = tokens.sparkSession.sparkContext.broadcast(Path(path).read_bytes())
     schema = T.StructType([*tokens.schema.fields, T.StructField("decoded", T.BinaryType())]).simpleString()
-    return in_arrow(tokens, _decoder(shared), schema[len("struct<") : -1], 500)
+    return in_arrow(tokens, _decoder(shared), schema[len("struct<") : -1])

@@ -267,4 +267,4 @@ def extracted(pages: DataFrame, html_column: str = "html") -> DataFrame:
     learned = learned_counts(pages, html_column)
     held = pages.select(F.struct("*").alias("row"), F.col(html_column).cast("string").alias("html"))
     schema = T.StructType([held.schema["row"], T.StructField("text", T.StringType())]).simpleString()
-    return in_arrow(held, _extractor(learned), schema[len("struct<") : -1], 500)
+    return in_arrow(held, _extractor(learned), schema[len("struct<") : -1])

@@ -26,6 +26,7 @@ COORDINATES = 64  # minwise values kept of each set
 TREES = 9
 EARLY = 3  # trees whose groups are confirmed first; of the others only what may join components
 NODE, LARGEST_NODE = 24, 256  # sets of a node that are compared exhaustively: at the root, and below as it doubles
+BROADCAST_HUBS = 50_000  # hubs of a level up to which they are broadcast; more are shuffled
 CHUNK = 16  # sets of a chunk of a larger node
 PLAUSIBLE = 0.55  # estimated similarity from which a pair is worth the exact check
 VERY_LIKE = 0.75  # estimated similarity to the hub from which a set leaves the recursion; its chunk still meets it
@@ -99,6 +100,9 @@ def candidate_groups(sets: DataFrame) -> DataFrame:
             break
         crowd = crowd.join(sets, "rep")
         hubs = crowd.groupBy("node").agg(F.min_by(F.struct("rep", "sig"), F.xxhash64("rep", "node")).alias("hub"))
+        hubs = cut(hubs, "hubs")
+        if hubs.count() <= BROADCAST_HUBS:  # else a crowded node would meet its hub in one task
+            hubs = F.broadcast(hubs)
         chunk = F.xxhash64("node", F.lit(depth), F.pmod(F.xxhash64("rep", "node", F.lit(1)), F.ceil(F.col("n") / CHUNK)))
         crowd = crowd.join(hubs, "node").withColumn("like", _agreement("sig", "hub.sig"))
         first = F.pmod(F.xxhash64("node", F.lit(2)), F.lit(COORDINATES))
@@ -117,7 +121,7 @@ def candidate_groups(sets: DataFrame) -> DataFrame:
     for more in small[1:]:
         rows = rows.unionByName(more)
     grouped = rows.join(sets, "rep").groupBy("gid").agg(F.collect_list(F.struct("rep", "sig")).alias("m"), F.bool_or("early").alias("early"))
-    plausible = in_arrow(grouped.select("m", "early"), _plausible, "members array<bigint>, early boolean", 500)
+    plausible = in_arrow(grouped.select("m", "early"), _plausible, "members array<bigint>, early boolean")
     return plausible.groupBy("members").agg(F.bool_or("early").alias("early"))
 
 
@@ -188,29 +192,25 @@ def full_sets(docs: DataFrame, groups: DataFrame) -> DataFrame:
     """
     ids = groups.select(F.explode("members").alias("doc_id")).distinct()
     wanted = docs.join(ids.hint("shuffle_hash"), "doc_id", "left_semi")
-    return cut(in_arrow(wanted, _sets, "rep bigint, members binary", 500).dropDuplicates(["rep"]), "full-sets")
+    return cut(in_arrow(wanted, _sets, "rep bigint, members binary").dropDuplicates(["rep"]), "full-sets")
 
 
 def confirmed(full: DataFrame, groups: DataFrame) -> DataFrame:
     """groups(gid, members) -> (a, b): links that span what is linked in each group, on the full sets."""
     member = groups.select("gid", F.explode("members").alias("rep"))
     together = member.join(full, "rep").groupBy("gid").agg(F.collect_list(F.struct("rep", "members")).alias("m"))
-    return in_arrow(together.select("m"), _links, "a bigint, b bigint", 64)
+    return in_arrow(together.select("m"), _links, "a bigint, b bigint")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """docs(doc_id, text) -> doc_id, n_shingles, component_id, kept.
+def _linked(docs: DataFrame, same: DataFrame | None) -> DataFrame:
+    """docs(doc_id, text) whose ids, but for nulls, are distinct -> doc_id, n_shingles, component.
 
-    Documents link when 100 * |A and B| >= 75 * |A or B| of their shingle sets; a component is named
-    by its smallest doc_id. Null and empty texts, and texts of white space, have no shingles and are
-    alone. Rows with a null doc_id link with nothing: component_id is null and kept is true. Rows
-    that repeat a doc_id with other text share that id's component. Other columns are ignored.
+    same(a, b), if any, are more links.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     seen = cut(in_arrow(docs, _features, "doc_id bigint, n_shingles bigint, h1 bigint, h2 bigint, sig array<int>"), "sets")
     real = seen.where("n_shingles > 0 and doc_id is not null")
     rep = cut(real.groupBy("h1", "h2", "n_shingles").agg(F.min("doc_id").alias("rep")), "reps")
-    sets = real.join(rep, ["h1", "h2", "n_shingles"]).where("doc_id = rep").select("rep", "sig").dropDuplicates(["rep"])
+    sets = real.join(rep, ["h1", "h2", "n_shingles"]).where("doc_id = rep").select("rep", "sig")
     sets = cut(sets, "reps-sig")
     groups = cut(candidate_groups(sets).select(F.xxhash64("members").alias("gid"), "members", "early"), "groups")
     full = full_sets(docs, groups)
@@ -221,9 +221,40 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     late = late.join(known, "id", "left").groupBy("gid").agg(F.countDistinct(F.coalesce("component", "id")).alias("n")).where("n > 1")
     more = confirmed(full, groups.join(late.select("gid"), "gid", "left_semi"))
     links = links.unionByName(more)
-    # Equal sets under one id and repeated ids with other texts are links as well.
-    found = components(links).withColumnRenamed("id", "rep").withColumnRenamed("component", "found")
-    out = seen.select("doc_id", "n_shingles", "h1", "h2").join(rep, ["h1", "h2", "n_shingles"], "left").join(found, "rep", "left")
-    component = F.when(F.col("doc_id").isNull(), None).when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.coalesce("found", "rep"))
-    out = out.select("doc_id", "n_shingles", component.alias("component_id"))
+    if same is not None:
+        of = real.select("doc_id", "h1", "h2", "n_shingles").join(rep, ["h1", "h2", "n_shingles"]).select("doc_id", "rep")
+        at = lambda c: of.select(F.col("doc_id").alias(c), F.col("rep").alias(f"{c}_rep"))
+        named = same.join(at("a"), "a", "left").join(at("b"), "b", "left")
+        links = links.unionByName(named.select(F.coalesce("a_rep", "a").alias("a"), F.coalesce("b_rep", "b").alias("b")))
+    found = components(links).withColumnRenamed("id", "key").withColumnRenamed("component", "found")
+    out = seen.select("doc_id", "n_shingles", "h1", "h2").join(rep, ["h1", "h2", "n_shingles"], "left").withColumn("key", F.coalesce("rep", "doc_id")).join(found, "key", "left")
+    return out.select("doc_id", "n_shingles", F.coalesce("found", "key").alias("component"))
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """docs(doc_id, text) -> doc_id, n_shingles, component_id, kept.
+
+    Documents link when 100 * |A and B| >= 75 * |A or B| of their shingle sets; a component is named
+    by its smallest doc_id. Null and empty texts, and texts of white space, have no shingles and are
+    alone. Rows with a null doc_id link with nothing: component_id is null and kept is true. Rows
+    that repeat a doc_id are one document: their component is that of all their texts together. Other
+    columns are ignored.
+    """
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    if docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
+        out = _linked(docs, None).select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("component")).alias("component_id"))
+    else:
+        # Each text of an id is an element of its own; those of one id are linked, and an element's name
+        # gives way to the smallest id of its component.
+        row = F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", F.coalesce("text", F.lit(""))))
+        rows = cut(docs.select("doc_id", row.alias("row"), "text"), "rows")
+        first = rows.where("row is not null").groupBy("doc_id").agg(F.min("row").alias("a"))
+        same = rows.where("row is not null").select("doc_id", F.col("row").alias("b")).distinct().join(first, "doc_id").where("a <> b").select("a", "b")
+        elements = rows.select(F.col("row").alias("doc_id"), "text").dropDuplicates(["doc_id"])
+        linked = cut(_linked(elements, same).select(F.col("doc_id").alias("row"), "n_shingles", "component"), "elements")
+        own = rows.select("doc_id", "row").where("row is not null").join(linked, "row")
+        least = own.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+        out = own.join(least, "component").select("doc_id", "n_shingles", "component_id")
+        bare = in_arrow(rows.where("row is null").select("doc_id", "text"), _features, "doc_id bigint, n_shingles bigint, h1 bigint, h2 bigint, sig array<int>")
+        out = out.unionByName(bare.select("doc_id", "n_shingles", F.lit(None).cast("long").alias("component_id")))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

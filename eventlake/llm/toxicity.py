@@ -176,7 +176,7 @@ def trained(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     known = labels.where("toxic in (0, 1)").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("label"))
     known = known.where(~held_out()).orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(sample)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(F.broadcast(known), "doc_id")
-    packed = in_arrow(rows.select("text", "label"), _sampled, "own binary, other binary, label int", 500)
+    packed = in_arrow(rows.select("text", "label"), _sampled, "own binary, other binary, label int")
     rows = packed.orderBy(F.xxhash64("own"), "label").limit(2 * sample).collect()
     return fit([(bytes(r["own"]), None if r["other"] is None else bytes(r["other"]), r["label"]) for r in rows])
 

@@ -67,6 +67,17 @@ def test_near_duplicates_are_those_of_brute_force(spark, corpus):
             assert (r.n_shingles, r.component_id, r.kept) == (len(sets[r.doc_id]), label[r.doc_id], r.doc_id == label[r.doc_id])
 
 
+def test_near_duplicates_of_repeated_ids(spark):
+    rng = random.Random(4)
+    words = [f"w{k}" for k in range(500)]
+    a, b, c, x = (prose(rng, words, 60) for _ in range(4))
+    near = lambda t: t + " end"
+    rows = [(4, a), (5, a), (5, b), (6, b), (7, near(a)), (8, near(b)), (9, c), (9, c), (10, ""), (5, ""), (11, None), (None, a), (12, x)]
+    got = {(r.doc_id, r.n_shingles, r.component_id, r.kept) for r in near_dedup.near_duplicates(table(spark, rows)).collect()}
+    component = {4: 4, 5: 4, 6: 4, 7: 4, 8: 4, 9: 9, 10: 10, 11: 11, 12: 12, None: None}
+    assert got == {(i, len(shingles(t)), component[i], i is None or component[i] == i) for i, t in rows}
+
+
 def test_near_duplicates_of_a_large_group(spark):
     rng = random.Random(3)
     words = [f"w{k}" for k in range(5000)]
@@ -491,6 +502,23 @@ def test_contamination_is_that_of_brute_force(spark, monkeypatch, block):
                     hit[a : a + size] = [True] * size
         n = sum(hit)
         assert (r.n_words, r.n_hit, r.item_ids, r.contaminated) == (len(w), n, sorted(found), n > 0 and 20 * n >= len(w))
+        assert sum(s["n_words"] for s in r.spans) == n
+        best = {}
+        for i, t in items:
+            x = alnum(t)
+            size = min(13, len(x))
+            for q in range(len(x) if i is not None else 0):
+                for a in range(len(w)):
+                    k = 0
+                    while q + k < len(x) and a + k < len(w) and x[q + k] == w[a + k]:
+                        k += 1
+                    if k >= size:
+                        best[str(i)] = max(best.get(str(i), 0), k)
+        longest = {}
+        for m in r.matches:
+            longest[m["item_id"]] = max(longest.get(m["item_id"], 0), m["n_words"])
+            assert any(w[m["start"] : m["start"] + m["n_words"]] == alnum(t)[m["item_start"] : m["item_start"] + m["n_words"]] for i, t in items if str(i) == m["item_id"])
+        assert longest == best
 
 
 @pytest.mark.parametrize("budget, history", [(1024, 256), (60, 20), (5, 0)])

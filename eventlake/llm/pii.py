@@ -51,8 +51,8 @@ _AT, _DOT = "at|arroba|chez|@", r"dot|punto|punkt|point|\."
 _NAME = r"[A-Za-z0-9-]+"
 _DOTTED = rf"(?:\s*[\[({{<]\s*(?:{_DOT})\s*[\])}}>]\s*|\s+(?:dot|punto|punkt|point)\s+|\.)"
 _DISGUISES = re.compile(
-    rf"(?P<at>\s*[\[({{<]\s*(?:{_AT})\s*[\])}}>]\s*|(?<=[A-Za-z0-9])\s+(?:at|arroba)\s+(?={_NAME}{_DOTTED}{_NAME})|(?<=[A-Za-z0-9])\s+@\s*(?={_NAME}\.)|(?<=[A-Za-z0-9])@\s+(?={_NAME}\.))"
-    rf"|(?P<dot>\s*[\[({{<]\s*(?:{_DOT})\s*[\])}}>]\s*|(?<=[A-Za-z0-9])\s+(?:dot|punto|punkt|point)\s+(?=[A-Za-z0-9]))"
+    rf"(?P<at>[\[({{<]\s*(?:{_AT})\s*[\])}}>]\s*|(?<=[A-Za-z0-9])\s+(?:at|arroba)\s+(?={_NAME}{_DOTTED}{_NAME})|(?<=[A-Za-z0-9])\s+@\s*(?={_NAME}\.)|(?<=[A-Za-z0-9])@\s+(?={_NAME}\.))"
+    rf"|(?P<dot>[\[({{<]\s*(?:{_DOT})\s*[\])}}>]\s*|(?<=[A-Za-z0-9])\s+(?:dot|punto|punkt|point)\s+(?=[A-Za-z0-9]))"
     rf"|(?P<digits>\b(?:{_WORD})(?:(?:\s+(?:dot|punto|punkt|point)\s+|[\s,.-]+)(?:{_WORD}))+\b)",
     re.IGNORECASE,
 )
@@ -133,7 +133,10 @@ def rewritten(text: str) -> tuple[str, list[int], list[int]]:
         stop.extend(end[done:to])
 
     for m in _DISGUISES.finditer(text):
-        keep(m.start())
+        first = m.start()
+        while not m["digits"] and first > done and text[first - 1].isspace():  # in the pattern, this would take each run of spaces time and again
+            first -= 1
+        keep(first)
         if m["digits"]:
             for w in _SPELLED.finditer(text, *m.span()):
                 out.append(SPELLED.get(w[0].lower(), "."))
@@ -141,7 +144,7 @@ def rewritten(text: str) -> tuple[str, list[int], list[int]]:
                 stop.append(end[w.end() - 1])
         else:
             out.append("@" if m["at"] else ".")
-            begin.append(start[m.start()])
+            begin.append(start[first])
             stop.append(end[m.end() - 1])
         done = m.end()
     keep(len(text))

@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import html
 import itertools
 import random
 import re
@@ -190,6 +191,55 @@ def test_pii_gate_lets_every_disguise_through(spark):
         assert spans[k] == [(pii.KINDS[s[0]], *s[1:], d) for d, found in ((False, base), (True, added)) for s in found], text
 
 
+def test_pii_of_long_texts_is_linear(spark):
+    odd = "a (at) b [dot] com " + " " * 200_000 + "x" + "\t(" * 50_000 + " one  two" * 20_000 + " @ " * 20_000 + "[ " * 50_000
+    base, added = pii.personal_data(odd)
+    assert base == [] and added[0] == (0, 0, 18)
+    assert [len(r.spans) for r in pii.personal_spans(table(spark, [(1, odd)])).collect()] == [len(added)]
+
+
+def test_queries_return_what_their_contracts_say(spark):
+    """The registered queries over the smallest tables, against plain loops."""
+    import zlib
+
+    from eventlake.llm import queries
+
+    sf = "/root/testdata/sf0.001"
+    docs = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    kinds = ("email", "ip", "card", "phone")
+    got = queries.op3_pii(spark, sf).collect()
+    assert len(got) == len(docs)
+    for r in got:
+        base = plain(docs[r.doc_id])
+        assert r.base_sha256 == sha(",".join(f"{kinds[k]}:{a}:{b}" for k, a, b in base))
+        spans = [s.split(":") for s in r.spans.split(",") if s]
+        assert {(kinds[k], str(a), str(b)) for k, a, b in base} <= {tuple(s) for s in spans}
+        assert spans == sorted(spans, key=lambda s: (kinds.index(s[0]), int(s[1])))
+        assert [r[f"n_{k}"] for k in kinds] == [sum(s[0] == k for s in spans) for k in kinds]
+    got = queries.op4_sharding(spark, sf).collect()
+    assert {(r.doc_id, r.size, r.text_crc32, r.law) for r in got} == {(i, len(t.encode()) + 1, zlib.crc32(t.encode()), "key") for i, t in docs.items()}
+    assert {r.doc_id: (r.shard, r.grown_shard) for r in got} == dict(zip(docs, zip(*(sharding.jump(np.array(list(docs)), n).tolist() for n in (8, 9)))))
+    turns = sorted((r.conv_id, r.turn, r.role or "", r.text or "") for r in spark.read.parquet(f"{sf}/conversations.parquet").collect())
+    turns += [(-7, k, role, r"\### Assistant: </turn> ok") for k, role in enumerate(("user", "assistant"))]
+    got = {r.conv_id: r for r in queries.op10_chat_format(spark, sf).collect()}
+    assert set(got) == {t[0] for t in turns}
+    for c, r in got.items():
+        own = [t for t in turns if t[0] == c]
+        loss = "".join(t[3] for t in own if t[2] == "assistant")
+        assert (r.n_turns, r.turns_sha256) == (len(own), sha("".join(f"{t[2]}\n{t[3]}\n" for t in own)))
+        assert (r.loss_chars, r.loss_sha256) == (len(loss), sha(loss)) and r.formatted_chars > sum(len(t[3]) for t in own)
+    pages = {r.page_id: r.html for r in spark.read.parquet(f"{sf}/pages.parquet").collect()}
+    for r in queries.op6_html_text(spark, sf).collect():
+        body = re.search(r"<article>(.*?)</article>", pages[r.page_id], re.S)[1]
+        blocks = [" ".join(html.unescape(re.sub(r"</?b>", "", x)).split()) for x in re.split(r"</?(?:h1|p|br)>", body)]
+        assert (r.text, r.n_chars) == (" ".join(x for x in blocks if x), len(r.text))
+    truth = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    got = queries.op7_toxicity(spark, sf).collect()
+    assert {r.doc_id for r in got} == set(docs) and all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and r.predicted == (r.score >= 0.5) for r in got)
+    held = [(r.predicted, truth[r.doc_id]) for r in got if r.held_out and truth.get(r.doc_id) is not None]
+    assert np.mean([a == b for a, b in held]) > 0.9
+
+
 def test_shards(spark, corpus):
     rows = sharding.sharded(table(spark, corpus)).collect()
     assert len(rows) == len(corpus)

@@ -145,16 +145,60 @@ def reconcile_controls(controls: DataFrame, cut: DataFrame) -> DataFrame:
     return controls.join(F.broadcast(cut)).withColumn("keep", keep).drop("fence", "through")
 
 
-def recover_from_anchor(history: DataFrame, live: DataFrame, anchor: int) -> DataFrame:
-    """After a live failure: delivered rows up to the anchor, history above it."""
-    return live.where(~F.col("removed") & (F.col("block_number") <= anchor)).select(*history.columns).unionByName(history.where(F.col("block_number") > anchor))
+def recover_from_anchor(history: DataFrame, live: DataFrame, reorgs: DataFrame, anchor: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """After a live failure -> (rows with source, rebased reorgs, violations).
 
+    A history reorg below the anchor moves it down to its ancestor and is rebased: its old tip becomes the
+    tip that live had delivered. Up to the anchor live's delivered rows stand and history's copies are
+    suppressed; above it history delivers. A live row up to the anchor that history does not have is a
+    violation and goes.
+    """
+    moved = F.broadcast(reorgs.where(F.col("ancestor") < anchor).agg(F.coalesce(F.min("ancestor"), F.lit(anchor)).alias("anchor")))  # one row
+    tip = F.broadcast(live.where("not removed").agg(F.max("block_number").alias("live_tip")))  # one row
+    delivered = live.where(~F.col("removed")).join(moved).where(F.col("block_number") <= F.col("anchor")).drop("anchor")
+    stood = delivered.join(history.select(*IDENTITY), IDENTITY, "left_semi").select(*history.columns, F.lit("live").alias("source"))
+    alien = delivered.join(history.select(*IDENTITY), IDENTITY, "left_anti").select(F.lit("not_in_history").alias("rule"), *IDENTITY)
+    missed = history.join(moved).where(F.col("block_number") <= F.col("anchor")).drop("anchor").join(delivered.select(*IDENTITY), IDENTITY, "left_anti")
+    rest = history.join(moved).where(F.col("block_number") > F.col("anchor")).unionByName(missed, allowMissingColumns=True).select(*history.columns, F.lit("history").alias("source"))
+    return stood.unionByName(rest), reorgs.join(tip).withColumn("old_tip", F.greatest("old_tip", "live_tip")).drop("live_tip"), alien
 
-def deduplicate(records: DataFrame, key: list[str], epoch: list[str]) -> DataFrame:
-    """records(key, epoch, owner_id, arrival, removed) -> with deliver: the first time an owner meets an input on
-    a branch. Removals always pass; a new branch epoch forgets what it displaced."""
-    w = Window.partitionBy(*key, *epoch, "owner_id", "removed").orderBy("arrival")
-    return records.withColumn("deliver", F.col("removed") | (F.row_number().over(w) == 1))
+
+def branch_epochs(records: DataFrame, reorgs: DataFrame, bucket: int = 64) -> DataFrame:
+    """records(block_number, arrival) with epoch: how many reorgs had displaced the height before the arrival.
+
+    Reorgs are joined by buckets of the heights that they displace.
+    """
+    r = reorgs.select("ancestor", "old_tip", F.col("arrival").alias("at"), F.explode(F.sequence(F.floor((F.col("ancestor") + 1) / bucket), F.floor(F.col("old_tip") / bucket))).alias("bucket"))
+    held = records.select("block_number", "arrival").distinct().withColumn("bucket", F.floor(F.col("block_number") / bucket))
+    n = F.col("block_number")
+    hit = held.join(r, "bucket").where((F.col("ancestor") < n) & (n <= F.col("old_tip")) & (F.col("at") <= F.col("arrival")))
+    count = hit.groupBy("block_number", "arrival").agg(F.count("*").alias("epoch"))
+    return records.join(count, ["block_number", "arrival"], "left").na.fill(0, ["epoch"])
+
+
+def deduplicate(records: DataFrame, key: list[str], reorgs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """records(key, block_number, owner_id, arrival, removed, digest) -> (with epoch and deliver, conflicts).
+
+    Delivered is the first time that an owner meets an input. A reorg forgets what it displaced, so
+    an input that comes back on a new branch is delivered again. Removals always pass. One identity
+    with two payloads is a conflict (removals tell nothing of the payload).
+    """
+    seen = branch_epochs(records, reorgs)
+    w = Window.partitionBy(*key, "epoch", "owner_id", "removed").orderBy("arrival")
+    payloads = records.where(~F.col("removed")).groupBy(*key).agg(F.count_distinct("digest").alias("payloads")).where("payloads > 1")
+    return seen.withColumn("deliver", F.col("removed") | (F.row_number().over(w) == 1)), payloads.select(F.lit("payload_conflict").alias("rule"), *key)
+
+
+def log_identity() -> Column:
+    return F.struct("chain_id", "block_hash", "transaction_hash", "log_index", F.lit("log").alias("kind"))
+
+
+def block_identity() -> Column:
+    return F.struct("chain_id", "hash", "number")
+
+
+def pending_identity() -> Column:
+    return F.struct("chain_id", "transaction_hash")
 
 
 def control_phases(rows: DataFrame, batch: list[str]) -> DataFrame:
@@ -213,33 +257,68 @@ def compare_sources(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def pair_arrivals(a: DataFrame, b: DataFrame, chain: list[str]) -> DataFrame:
-    """Blocks seen by both sources with equal hash, less each chain's first: the delay of a after b."""
-    j = a.select(*chain, "number", "hash", F.col("seen").alias("a_seen")).join(b.select(*chain, "number", "hash", F.col("seen").alias("b_seen")), [*chain, "number", "hash"])
+    """Blocks seen (at, and after which time) by both sources with equal hash, less each chain's first: the delay of a after b."""
+    j = a.select(*chain, "number", "hash", F.col("seen").alias("a_seen"), F.col("took").alias("a_took")).join(b.select(*chain, "number", "hash", F.col("seen").alias("b_seen"), F.col("took").alias("b_took")), [*chain, "number", "hash"])
     first = j.groupBy(*chain).agg(F.min("number").alias("first"))
-    return j.join(first, chain).where("number > first").select(*chain, "number", (F.col("a_seen") - F.col("b_seen")).alias("delta"))
+    return j.join(first, chain).where("number > first").select(*chain, "number", (F.col("a_seen") - F.col("b_seen")).alias("delta"), F.col("a_took"), F.col("b_took"))
 
 
 def compare_stats(pairs: DataFrame, by: list[str]) -> DataFrame:
-    return pairs.groupBy(*by).agg(F.median("delta").alias("median"), F.avg("delta").alias("mean"), F.min("delta").alias("least"), F.max("delta").alias("most"))
+    """Latency figures of paired arrivals and, where both sides' durations are there, how many times faster b was."""
+    return pairs.groupBy(*by).agg(
+        F.median("delta").alias("median"), F.avg("delta").alias("mean"), F.min("delta").alias("least"), F.max("delta").alias("most"), F.try_divide(F.sum("a_took"), F.sum("b_took")).alias("speed_up")
+    )
 
 
 def validate_source_positions(positions: DataFrame, coordinator: DataFrame) -> DataFrame:
-    """(rule, key): source heads beyond the coordinator's, and tokens without a head."""
+    """(rule, key): source heads beyond the coordinator's or another block at its height, and tokens without a
+    head, a digest or certified coverage."""
     from eventlake.operators.scan import violations
 
-    j = positions.join(coordinator.select("chain_id", F.col("head").alias("coordinator_head")), "chain_id")
-    return violations(j, {"ahead_of_coordinator": F.col("head") > F.col("coordinator_head"), "token_without_head": F.col("token").isNotNull() & F.col("head").isNull()}, F.concat_ws(":", "chain_id", "source"))
+    j = positions.join(coordinator.select("chain_id", F.col("head").alias("coordinator_head"), F.col("hash").alias("coordinator_hash")), "chain_id", "left")
+    held = F.col("token").isNotNull()
+    rules = {
+        "unknown_chain": F.col("coordinator_head").isNull(),
+        "ahead_of_coordinator": F.col("head") > F.col("coordinator_head"),
+        "other_block_at_head": (F.col("head") == F.col("coordinator_head")) & (F.col("hash") != F.col("coordinator_hash")),
+        "token_without_head": held & F.col("head").isNull(),
+        "token_without_digest": held & F.col("digest").isNull(),
+        "token_without_coverage": held & (F.col("coverage").isNull() | (F.col("coverage") < F.col("head"))),
+    }
+    return violations(j, rules, F.concat_ws(":", "chain_id", "source"))
 
 
-def validate_witnesses(witnesses: DataFrame, head: int) -> DataFrame:
-    """(rule, key) of a journal: repeated identities, missing digests, generations ahead, blocks ahead of the head."""
+def validate_witnesses(witnesses: DataFrame, head: int, chain_id: int = 1) -> DataFrame:
+    """(rule, key) of a journal(identity, chain_id, kind, status, digest, generation, current_generation,
+    block_number, identity_block, coverage, proof_generation)."""
     from eventlake.operators.scan import violations
 
-    rules = {"digest_missing": F.col("digest").isNull(), "generation_ahead": F.col("generation") > F.col("current_generation"), "block_ahead": F.col("block_number") > head}
+    pending = F.col("kind") == "pending"
+    rules = {
+        "wrong_chain": F.col("chain_id") != chain_id,
+        "digest_missing": F.col("digest").isNull(),
+        "generation_ahead": F.col("generation") > F.col("current_generation"),
+        "lifecycle_of_kind": pending != (F.col("status") == "pending"),
+        "block_of_identity": ~F.col("block_number").eqNullSafe(F.col("identity_block")),
+        "block_ahead": F.col("block_number") > head,
+        "coverage_ahead": F.col("coverage") > head,
+        "proof_of_other_generation": F.col("proof_generation").isNotNull() & (F.col("proof_generation") != F.col("current_generation")),
+        "proof_ahead": F.col("proof_generation").isNotNull() & (F.col("coverage").isNull() | (F.col("coverage") < F.col("block_number"))),
+    }
     twice = witnesses.groupBy("identity").agg(F.count("*").alias("n"))
     return violations(witnesses, rules, F.col("identity")).unionByName(violations(twice, {"repeated_identity": F.col("n") > 1}, F.col("identity")))
 
 
+def coverage_state(cursors: DataFrame, scanned: DataFrame) -> DataFrame:
+    """(rule, key) of cursors(session_id, sequence, next_block, head_number, head_hash): the scan is at most one past
+    the coverage, and the scanned block at the coverage height is the coverage block."""
+    from eventlake.operators.scan import violations
+
+    j = cursors.join(scanned.select(F.col("number").alias("head_number"), F.col("hash").alias("scanned_hash")), "head_number", "left")
+    rules = {"scan_ahead": F.col("next_block") > F.col("head_number") + 1, "coverage_block": F.col("scanned_hash") != F.col("head_hash")}
+    return violations(j, rules, F.concat_ws(":", "session_id", "sequence"))
+
+
 def owner_only_reorgs(reorgs: DataFrame, owners: DataFrame, activation: int) -> DataFrame:
     """Reorgs whose old tip is below the activation block and outside a global backfill: no broadcast stream
     can represent them."""

@@ -107,10 +107,12 @@ def _(s, d):
 
 @query(
     "agg9_coverage_certificate",
-    "SELECT page_id, progress, broadcast FROM (SELECT number // 50 AS page_id, max(number) FILTER (WHERE kind = 2 AND number % 10 < 8) AS progress, max(number) FILTER (WHERE canonical AND kind <> 2) AS broadcast FROM routed WHERE number >= 400 GROUP BY 1) WHERE broadcast IS NOT NULL AND coalesce(progress, -1) < broadcast",
+    "SELECT page_id, progress, broadcast FROM (SELECT number // 50 AS page_id, max(CASE WHEN number % 10 >= 8 THEN number - 3 ELSE number END) FILTER (WHERE kind = 2) AS progress, max(number) FILTER (WHERE canonical AND kind <> 2) AS broadcast FROM routed GROUP BY 1) WHERE broadcast IS NOT NULL AND coalesce(progress, -1) < broadcast",
 )
 def _(s, d):
-    return V.coverage_certificates(_normal(s, d).where("number >= 400 and (kind <> 2 or number % 10 < 8)"))
+    """Progress at heights that end on 8 or 9 names a lower block."""
+    lower = (C("kind") == 2) & (C("number") % 10 >= 8)
+    return V.coverage_certificates(_normal(s, d).withColumn("number", F.when(lower, C("number") - 3).otherwise(C("number"))))
 
 
 @query(
@@ -137,15 +139,13 @@ def _(s, d):
     return K.canonical_chain_bounded(chains(s, d), CHAIN, 64).select("chain_id", "number", "hash")
 
 
-@query(
-    "jn5_common_ancestor",
-    _with(_CHAINS, "SELECT chain_id, max(number) AS ancestor, CAST(0 AS BIGINT) AS conflicts FROM (SELECT a.chain_id, a.number FROM chains a JOIN chains b ON a.chain_id = b.chain_id AND a.number = b.number AND a.hash = b.hash WHERE a.arrival % 10 = 5 AND a.number < 149 AND b.arrival % 10 <> 5 OR (a.arrival % 10 = 5 AND b.arrival % 10 = 5 AND a.chain_id = b.chain_id AND a.number = b.number AND a.number < 140)) GROUP BY chain_id"),
-)
+@query("jn5_common_ancestor", _with(_CHAINS, "SELECT chain_id, max(number) FILTER (WHERE number < 140) AS ancestor, count(*) FILTER (WHERE number < 140 AND number % 20 = 7) AS conflicts FROM chains WHERE arrival % 10 = 5 GROUP BY chain_id"))
 def _(s, d):
+    """Observed: all arrivals, from height 140 on under another hash, below it at some heights with another time."""
     c = chains(s, d)
-    retained = c.where("arrival % 10 = 5 and number < 149")
-    observed = c.where("arrival % 10 <> 5 or number < 140")
-    return K.common_ancestor(retained, observed, CHAIN)
+    n = C("number")
+    observed = c.withColumns({"hash": F.when(n >= 140, F.lit("zz")).otherwise(C("hash")), "timestamp": C("timestamp") + F.when(n % 20 == 7, 1).otherwise(0)})
+    return K.common_ancestor(K.canonical_chain(c, CHAIN), observed, CHAIN)
 
 
 @query("jn9_displaced", _with(f"{_CHAINS}, {_REORGS}", "SELECT DISTINCT c.chain_id, c.number, c.hash FROM chains c JOIN reorgs r ON r.chain_id = c.chain_id AND c.number > r.ancestor AND c.number <= r.old_tip AND c.arrival < r.arrival"))
@@ -154,10 +154,16 @@ def _(s, d):
     return K.displaced(c, K.reorg_events(c, CHAIN), CHAIN).select("chain_id", "number", "hash")
 
 
-@query("jn6_verify_baselines", "SELECT owner_id, rule FROM (SELECT 'user' || (user_id % 97) AS owner_id, 'differs' AS rule FROM ev WHERE user_id % 97 < 5 GROUP BY user_id % 97 HAVING user_id % 97 = 2)")
+@query(
+    "jn6_verify_baselines",
+    """SELECT o.owner_id, unnest(list_filter([CASE WHEN b.number IS NULL THEN 'unknown' WHEN o.owner_id IN ('pool', 'user2') THEN 'differs' END, CASE WHEN o.from_block = 100 THEN 'disagree' END], lambda x: x IS NOT NULL)) AS rule
+FROM owners o LEFT JOIN blocks b ON b.number = o.from_block WHERE o.from_block IS NOT NULL""",
+)
 def _(s, d):
-    o = D.owners(s, d).where("owner_id like 'user%'").select("owner_id", C("from_block").alias("number"))
-    b = o.join(D.blocks(s, d), "number").withColumn("timestamp", F.when(C("owner_id") == "user2", C("timestamp") + 1).otherwise(C("timestamp")))
+    """Every owner with a backfill names its first block; one names another time, one another hash, and some a block that is not there."""
+    n = C("number")
+    o = D.owners(s, d).where("from_block is not null").select("owner_id", C("from_block").alias("number"))
+    b = o.select("owner_id", "number", F.when(C("owner_id") == "pool", F.lit("zz")).otherwise(D.block_hash(n)).alias("hash"), D.block_hash(n - 1).alias("parent_hash"), (F.lit(D.GENESIS) + 3600 * n + F.when(C("owner_id") == "user2", 1).otherwise(0)).alias("timestamp"))
     return K.verify_baselines(b, D.blocks(s, d))
 
 

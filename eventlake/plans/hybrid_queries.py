@@ -64,15 +64,63 @@ def _(s, d):
 
 
 
-_SEEN = "seen AS (SELECT block_number, transaction_hash, log_index, block_hash, removed, arrival, o.owner_id, CAST(arrival // 10 // 50 AS BIGINT) AS epoch FROM log_arrivals, owners o WHERE o.owner_id IN ('errors', 'pool')), twice AS (SELECT * FROM seen UNION ALL SELECT * REPLACE (arrival + 1 AS arrival) FROM seen WHERE log_index % 3 = 0)"
+_ONE = f"chains AS (SELECT * FROM arrivals), {_REORGS}"
+_RECOVERED = "moved AS (SELECT coalesce(min(ancestor), 400) AS anchor FROM reorgs WHERE ancestor < 400 AND ancestor >= 300)"
 
 
-@query("str9_str10_str11_dedup", _with(_SEEN, "SELECT owner_id, removed, removed OR row_number() OVER (PARTITION BY block_hash, transaction_hash, log_index, epoch, owner_id, removed ORDER BY arrival) = 1 AS deliver, block_hash, log_index, arrival FROM twice"))
+@query(
+    "str8_recover_from_anchor",
+    _with(
+        f"{_ONE}, {_RECOVERED}",
+        """SELECT 'row' AS kind, block_number AS number, log_index AS at, CASE WHEN block_number <= anchor THEN 'live' ELSE 'history' END AS said FROM logs, moved
+UNION ALL SELECT 'reorg', ancestor, greatest(old_tip, (SELECT max(block_number) FROM log_arrivals)), '' FROM reorgs WHERE ancestor >= 300
+UNION ALL SELECT 'violation', block_number, log_index, 'not_in_history' FROM log_arrivals, moved WHERE NOT removed AND block_number <= anchor AND block_hash <> sha256('b:' || block_number || ':0')""",
+    ),
+)
 def _(s, d):
-    o = D.owners(s, d).where("owner_id in ('errors', 'pool')").select("owner_id")
-    seen = D.log_arrivals(s, d).crossJoin(F.broadcast(o)).withColumn("epoch", F.floor(C("arrival") / 500))
-    twice = seen.unionByName(seen.where("log_index % 3 = 0").withColumn("arrival", C("arrival") + 1))
-    return H.deduplicate(twice, H.IDENTITY, ["epoch"]).select("owner_id", "removed", "deliver", "block_hash", "log_index", "arrival")
+    """All that live had sent, stale branches too, fails at block 400; history tells of reorgs from height 300 on."""
+    reorgs = K.reorg_events(D.block_arrivals(s, d), CHAIN).where("ancestor >= 300").select("ancestor", "old_tip")
+    live = D.log_arrivals(s, d)
+    rows, rebased, alien = H.recover_from_anchor(D.logs(s, d), live, reorgs, 400)
+    out = rows.select(F.lit("row").alias("kind"), C("block_number").alias("number"), C("log_index").alias("at"), C("source").alias("said"))
+    out = out.unionByName(rebased.select(F.lit("reorg").alias("kind"), C("ancestor").alias("number"), C("old_tip").alias("at"), F.lit("").alias("said")))
+    number = live.select("block_hash", "block_number").distinct()
+    return out.unionByName(alien.join(number, "block_hash").select(F.lit("violation").alias("kind"), C("block_number").alias("number"), C("log_index").alias("at"), C("rule").alias("said")))
+
+
+_SEEN = """seen AS (SELECT l.block_number, l.transaction_hash, l.log_index, l.block_hash, l.removed, l.arrival, l.data, unnest(string_split(a.owners, ',')) AS owner_id FROM log_arrivals l JOIN audience a USING (block_number, transaction_index, log_index)),
+twice AS (SELECT * FROM seen UNION ALL SELECT * REPLACE (arrival + 1 AS arrival, CASE WHEN CAST(data AS BIGINT) % 11 = 0 THEN 'other' ELSE data END AS data) FROM seen WHERE log_index % 3 = 0),
+epochs AS (SELECT t.*, (SELECT count(*) FROM reorgs r WHERE r.arrival <= t.arrival AND r.ancestor < t.block_number AND t.block_number <= r.old_tip) AS epoch FROM twice t)"""
+
+
+def _deduplicated(s, d):
+    """Routed live arrivals, every third log twice, of those some with another payload."""
+    r = R.route_logs(D.log_arrivals(s, d), D.interests(s, d), D.owners(s, d), ACTIVATION)
+    seen = r.withColumn("owner_id", F.explode(F.when(C("canonical"), F.array(F.lit(""))).otherwise(C("owners"))))
+    again = seen.where("log_index % 3 = 0").withColumns({"arrival": C("arrival") + 1, "data": F.when(C("data").cast("long") % 11 == 0, "other").otherwise(C("data"))})
+    records = seen.unionByName(again).withColumn("digest", F.sha2("data", 256))
+    return H.deduplicate(records, H.IDENTITY, K.reorg_events(D.block_arrivals(s, d), CHAIN))
+
+
+@query(
+    "str9_str10_str11_dedup",
+    _with(f"{_ONE}, {_SEEN}", "SELECT owner_id, removed, epoch, removed OR row_number() OVER (PARTITION BY block_hash, transaction_hash, log_index, epoch, owner_id, removed ORDER BY arrival) = 1 AS deliver, block_hash, log_index, arrival FROM epochs"),
+)
+def _(s, d):
+    return _deduplicated(s, d)[0].select("owner_id", "removed", "epoch", "deliver", "block_hash", "log_index", "arrival")
+
+
+@query("str9_payload_conflicts", _with(f"{_ONE}, {_SEEN}", "SELECT 'payload_conflict' AS rule, block_hash, transaction_hash, log_index FROM twice WHERE NOT removed GROUP BY block_hash, transaction_hash, log_index HAVING count(DISTINCT data) > 1"))
+def _(s, d):
+    return _deduplicated(s, d)[1]
+
+
+@query("fn8_identities", _with(_CHAINS, "SELECT 'log' AS kind, count(DISTINCT (block_hash, transaction_hash, log_index)) AS n FROM log_arrivals UNION ALL SELECT 'block', count(DISTINCT (chain_id, hash, number)) FROM chains UNION ALL SELECT 'pending', count(DISTINCT transaction_hash) FROM logs"))
+def _(s, d):
+    one = F.lit(1).cast("long")
+    count = lambda df, identity, kind: df.select(identity.alias("i")).distinct().agg(F.lit(kind).alias("kind"), F.count("*").alias("n"))
+    out = count(D.log_arrivals(s, d).withColumn("chain_id", one), H.log_identity(), "log")
+    return out.unionByName(count(chains(s, d), H.block_identity(), "block")).unionByName(count(D.logs(s, d).withColumn("chain_id", one), H.pending_identity(), "pending"))
 
 
 @query("str12_control_phases", "SELECT chain_id, number // 50 AS batch, arrival AS ordinal, CASE WHEN arrival % 10 <> 5 AND number % 50 = 48 THEN 0 WHEN arrival % 10 = 5 THEN 1 ELSE 2 END AS phase, arrival % 10 <> 5 AND number % 50 = 48 AS violation FROM arrivals")
@@ -210,13 +258,13 @@ def _(s, d):
     return H.compare_sources(a, b.unionByName(a.where(C("data").cast("long") % 50 == 2)))
 
 
-_PAIRS = "pairs AS (SELECT chain_id, number, 7 + number % 13 AS delta FROM (SELECT DISTINCT chain_id, number, hash FROM chains WHERE arrival % 10 = 5) WHERE number % 2 = 0 AND number > 0)"
+_PAIRS = "pairs AS (SELECT chain_id, number, 7 + number % 13 AS delta, 20 + number % 3 AS a_took, 10 + number % 5 AS b_took FROM (SELECT DISTINCT chain_id, number, hash FROM chains WHERE arrival % 10 = 5) WHERE number % 2 = 0 AND number > 0)"
 
 
 def _pairs(s, d):
     a = chains(s, d).where("arrival % 10 = 5")
-    left = a.select("chain_id", "number", "hash", (C("timestamp") + 7 + C("number") % 13).alias("seen"))
-    return H.pair_arrivals(left, a.where("number % 2 = 0").select("chain_id", "number", "hash", C("timestamp").alias("seen")), CHAIN)
+    left = a.select("chain_id", "number", "hash", (C("timestamp") + 7 + C("number") % 13).alias("seen"), (20 + C("number") % 3).alias("took"))
+    return H.pair_arrivals(left, a.where("number % 2 = 0").select("chain_id", "number", "hash", C("timestamp").alias("seen"), (10 + C("number") % 5).alias("took")), CHAIN)
 
 
 @query("jn13_pair_arrivals", _with(f"{_CHAINS}, {_PAIRS}", "SELECT * FROM pairs"))
@@ -224,23 +272,50 @@ def _(s, d):
     return _pairs(s, d)
 
 
-@query("agg13_compare_stats", _with(f"{_CHAINS}, {_PAIRS}", "SELECT chain_id, median(delta) AS median, avg(delta) AS mean, min(delta) AS least, max(delta) AS most FROM pairs GROUP BY chain_id"))
+@query("agg13_compare_stats", _with(f"{_CHAINS}, {_PAIRS}", "SELECT chain_id, median(delta) AS median, avg(delta) AS mean, min(delta) AS least, max(delta) AS most, sum(a_took) / sum(b_took) AS speed_up FROM pairs GROUP BY chain_id"))
 def _(s, d):
     return H.compare_stats(_pairs(s, d), CHAIN)
 
 
-@query("aud9_validate_source_positions", _with(_CHAINS, "SELECT CASE WHEN chain_id % 2 = 0 THEN 'ahead_of_coordinator' ELSE 'token_without_head' END AS rule, chain_id || ':live' AS key FROM (SELECT DISTINCT chain_id FROM chains)"))
+@query(
+    "aud9_validate_source_positions",
+    _with(
+        _CHAINS,
+        """SELECT ['ahead_of_coordinator', 'other_block_at_head', 'token_without_head', 'token_without_digest', 'token_without_coverage'][CAST(chain_id AS INTEGER)] AS rule, chain_id || ':live' AS key FROM (SELECT DISTINCT chain_id FROM chains WHERE chain_id <= 5)
+UNION ALL SELECT 'token_without_coverage', '3:live' UNION ALL SELECT 'token_without_coverage', '1:live' UNION ALL SELECT 'unknown_chain', '6:live'""",
+    ),
+)
 def _(s, d):
+    """Of eight chains five break a rule each (the first and third one more), one is unknown and two are right."""
     t = K.tip(K.canonical_chain(chains(s, d), CHAIN), CHAIN)
-    pos = t.select("chain_id", F.lit("live").alias("source"), F.when(C("chain_id") % 2 == 0, C("tip") + 1).alias("head"), F.lit("t").alias("token"))
-    return H.validate_source_positions(pos, t.select("chain_id", C("tip").alias("head")))
+    c = C("chain_id")
+    pos = t.select(
+        "chain_id", F.lit("live").alias("source"), F.when(c == 1, C("tip") + 1).when(c != 3, C("tip")).alias("head"), F.when(c == 2, "zz").otherwise(C("tip_hash")).alias("hash"),
+        F.lit("t").alias("token"), F.when(c != 4, "d").alias("digest"), F.when(c == 5, C("tip") - 1).when(c != 3, C("tip")).alias("coverage"),
+    )
+    return H.validate_source_positions(pos, t.where("chain_id <> 6").select("chain_id", C("tip").alias("head"), C("tip_hash").alias("hash")))
+
+
+_JOURNAL_RULES = ["wrong_chain", "generation_ahead", "lifecycle_of_kind", "block_of_identity", "coverage_ahead", "proof_of_other_generation", "proof_ahead", "digest_missing"]
 
 
-@query("aud10_validate_witnesses", _with(_DIG.format("logs"), "SELECT rule, count(*) AS n FROM (SELECT 'block_ahead' AS rule FROM dig WHERE block_number > 650 UNION ALL SELECT 'digest_missing' FROM dig WHERE log_index = 3 UNION ALL SELECT 'generation_ahead' FROM dig WHERE log_index = 5 UNION ALL SELECT 'repeated_identity' FROM dig WHERE block_number = 7) GROUP BY rule"))
+@query(
+    "aud10_validate_witnesses",
+    f"""SELECT rule, count(*) AS n FROM (SELECT {_JOURNAL_RULES}[CAST(data AS BIGINT) % 40 + 1] AS rule FROM logs WHERE CAST(data AS BIGINT) % 40 < {len(_JOURNAL_RULES)}
+UNION ALL SELECT 'block_ahead' FROM logs WHERE block_number > (SELECT max(number) - 5 FROM blocks) UNION ALL SELECT 'coverage_ahead' FROM logs WHERE block_number > (SELECT max(number) - 5 FROM blocks) AND CAST(data AS BIGINT) % 40 NOT IN (4, 6)
+UNION ALL SELECT 'repeated_identity' FROM logs WHERE block_number = 7) GROUP BY rule""",
+)
 def _(s, d):
-    w = H.payload_digest(D.logs(s, d)).select(F.concat_ws(":", *H.IDENTITY).alias("identity"), F.when(C("log_index") != 3, C("digest")).alias("digest"), F.when(C("log_index") == 5, 3).otherwise(1).alias("generation"), F.lit(2).alias("current_generation"), "block_number")
-    twice = w.unionByName(w.where("block_number = 7").withColumns({"digest": F.lit("x"), "generation": F.lit(1)}))
-    return H.validate_witnesses(twice, 650).groupBy("rule").agg(F.count("*").alias("n"))
+    """One in forty logs breaks each rule; the journal's head is five below the newest block; block 7 stands twice."""
+    head = D.blocks(s, d).agg(F.max("number")).first()[0] - 5
+    k, n = C("data").cast("long") % 40, C("block_number")
+    w = H.payload_digest(D.logs(s, d)).select(
+        F.concat_ws(":", *H.IDENTITY).alias("identity"), F.when(k == 0, 2).otherwise(1).alias("chain_id"), F.lit("log").alias("kind"), F.when(k == 2, "pending").otherwise("included").alias("status"),
+        F.when(k != 7, C("digest")).alias("digest"), F.when(k == 1, 3).otherwise(1).alias("generation"), F.lit(2).alias("current_generation"), "block_number", F.when(k == 3, n + 1).otherwise(n).alias("identity_block"),
+        F.when(k == 4, F.lit(head + 1)).when(k == 6, F.least(n, F.lit(head)) - 1).otherwise(n).alias("coverage"), F.when(k == 5, 1).when(k == 6, 2).alias("proof_generation"),
+    )
+    again = w.where("block_number = 7").withColumns({"chain_id": F.lit(1), "status": F.lit("included"), "digest": F.lit("x"), "generation": F.lit(1), "identity_block": n, "coverage": n, "proof_generation": F.lit(None).cast("int")})
+    return H.validate_witnesses(w.unionByName(again), head).groupBy("rule").agg(F.count("*").alias("n"))
 
 
 @query("aud11_token_reuse", "SELECT token, count(DISTINCT head_hash) AS digests FROM deliveries WHERE payload_kind = 'data' GROUP BY token HAVING count(DISTINCT head_hash) > 1 UNION ALL SELECT lpad(lower(to_hex(sequence)), 16, '0'), 2 FROM deliveries WHERE session_id = 's3' AND sequence = 9")
@@ -249,10 +324,11 @@ def _(s, d):
     return H.token_reuse(x.select("token", F.when((C("session_id") == "s3") & (C("sequence") == 9), F.lit("other")).otherwise(F.coalesce("head_hash", F.lit("-"))).alias("digest")))
 
 
-@query("aud13_coverage_state", "SELECT 'scan_ahead' AS rule, session_id || ':' || sequence AS key FROM deliveries WHERE payload_kind = 'data' AND sequence % 8 = 1")
+@query("aud13_coverage_state", "SELECT 'scan_ahead' AS rule, session_id || ':' || sequence AS key FROM deliveries WHERE payload_kind = 'data' AND sequence % 8 = 1 UNION ALL SELECT 'coverage_block', session_id || ':' || sequence FROM deliveries WHERE payload_kind <> 'barrier' AND sequence % 8 = 3")
 def _(s, d):
-    x = D.deliveries(s, d).where("payload_kind = 'data'").withColumn("next_block", C("next_block") + F.when(C("sequence") % 8 == 1, 5).otherwise(0))
-    return violations(x, {"scan_ahead": C("next_block") > C("head_number") + 1}, F.concat_ws(":", "session_id", "sequence"))
+    k = C("sequence") % 8
+    x = D.deliveries(s, d).withColumns({"next_block": C("next_block") + F.when((k == 1) & (C("payload_kind") == "data"), 5).otherwise(0), "head_hash": F.when(k == 3, "zz").otherwise(C("head_hash"))})
+    return H.coverage_state(x, D.blocks(s, d))
 
 
 @query("aud14_owner_only_reorg", _with(f"{_CHAINS}, {_REORGS}", "SELECT chain_id, ancestor, old_tip FROM reorgs WHERE old_tip < 360 AND NOT old_tip BETWEEN 240 AND 299"))

@@ -76,31 +76,93 @@ def log_block_hash(logs: DataFrame, blocks: DataFrame) -> DataFrame:
     return logs.join(b, "block_number").where("hash <> block_hash").select("block_number", "log_index", "block_hash")
 
 
-def validate_page(blocks: DataFrame, logs: DataFrame, from_block: int, next_block: int) -> DataFrame:
-    """(rule, key) of all structural rules over a range of blocks and its logs."""
+def _log_shape() -> dict[str, Column]:
+    """What makes the fields of a log unusable."""
+    problem = topics_problem()
+    return {
+        "missing_field": F.col("transaction_index").isNull() | F.col("log_index").isNull() | F.col("data").isNull() | F.col("removed").isNull() | F.col("address").isNull(),
+        "address_width": ~fixed_width("address", 20) & F.col("address").isNotNull(),
+        "transaction_hash_width": ~fixed_width("transaction_hash", 32),
+        "too_many_topics": F.coalesce(problem == "too_many_topics", F.lit(False)),
+        "topic_after_null": F.coalesce(problem == "topic_after_null", F.lit(False)),
+        "topic_width": F.exists("topics", lambda t: t.isNotNull() & ~t.rlike("^[0-9a-f]{64}$")),
+    }
+
+
+def validate_page(blocks: DataFrame, logs: DataFrame, from_block: int, next_block: int, target: int | None = None, archive_height: int | None = None, limits: tuple[int, int, int] | None = None) -> DataFrame:
+    """(rule, key) of all structural rules over a range of blocks and its logs.
+
+    Blocks are read once against their predecessors, logs once against their blocks, and once for each of
+    the three keys that must be single. limits are the blocks, logs and bytes of a response.
+    """
     from eventlake.operators.canonical import link_violations
     from eventlake.operators.scan import violations
 
     out = link_violations(blocks, F.lit(0)).select("rule", F.col("number").cast("string").alias("key"))
-    bounds = blocks.agg(F.min("number").alias("low"), F.max("number").alias("high"))
-    out = out.unionByName(violations(bounds, {"starts_elsewhere": F.col("low") != from_block, "ends_elsewhere": F.col("high") != next_block - 1}, F.lit("range")))
-    out = out.unionByName(violations(blocks, {"block_hash_width": ~fixed_width("hash", 32), "parent_hash_width": ~fixed_width("parent_hash", 32), "timestamp_missing": F.col("timestamp").isNull()}, F.col("number")))
+    bounds = blocks.agg(F.min("number").alias("low"), F.max("number").alias("high"), F.count("*").alias("n_blocks"))
+    sizes = logs.agg(F.count("*").alias("n_logs"), F.sum(F.octet_length("data") + 32 * F.size("topics")).alias("bytes"))
+    most = [F.lit(x) for x in limits or (None, None, None)]
+    page = {
+        "starts_elsewhere": F.col("low") != from_block,
+        "ends_elsewhere": F.col("high") != next_block - 1,
+        "no_progress": F.lit(next_block <= from_block),
+        "cursor_beyond_target": F.lit(target is not None and next_block > target),
+        "archive_behind_cursor": F.lit(archive_height is not None and archive_height < next_block),
+        "response_limit": (F.col("n_blocks") > most[0]) | (F.col("n_logs") > most[1]) | (F.col("bytes") > most[2]),
+    }
+    out = out.unionByName(violations(bounds.join(sizes), page, F.lit("range")))  # one row each
+    missing = F.col("number").isNull() | F.col("hash").isNull() | F.col("parent_hash").isNull() | F.col("timestamp").isNull()
+    fields = {"block_hash_width": ~fixed_width("hash", 32), "parent_hash_width": ~fixed_width("parent_hash", 32), "missing_field": missing, "quantity_overflow": F.col("timestamp").cast("decimal(38,0)") > F.lit("18446744073709551615").cast("decimal(38,0)")}
+    out = out.unionByName(violations(blocks, fields, F.col("number")))
+    known = blocks.select(F.col("number").alias("block_number"), F.col("hash").alias("own_hash"))
     rules = {
         "log_out_of_range": (F.col("block_number") < from_block) | (F.col("block_number") >= next_block),
+        "log_without_block": F.col("own_hash").isNull(),
+        "log_block_hash": F.col("own_hash") != F.col("block_hash"),
         "log_removed": F.col("removed"),
-        "address_width": ~fixed_width("address", 20),
-        "transaction_hash_width": ~fixed_width("transaction_hash", 32),
-        "too_many_topics": F.coalesce(topics_problem() == "too_many_topics", F.lit(False)),
-        "topic_after_null": F.coalesce(topics_problem() == "topic_after_null", F.lit(False)),
     }
-    out = out.unionByName(violations(logs, rules, F.concat_ws(":", "block_number", "log_index")))
-    known = blocks.select(F.col("number").alias("block_number"))
-    out = out.unionByName(logs.join(known, "block_number", "left_anti").select(F.lit("log_without_block").alias("rule"), F.concat_ws(":", "block_number", "log_index").alias("key")))
-    out = out.unionByName(log_block_hash(logs, blocks).select(F.lit("log_block_hash").alias("rule"), F.concat_ws(":", "block_number", "log_index").alias("key")))
+    out = out.unionByName(violations(logs.join(known, "block_number", "left"), rules | _log_shape(), F.concat_ws(":", "block_number", "log_index")))
     out = out.unionByName(duplicate_logs(logs).select(F.lit("duplicate_log").alias("rule"), F.concat_ws(":", "block_hash", "log_index").alias("key")))
     return out.unionByName(transaction_conflicts(logs).select("rule", F.concat_ws(":", "block_hash", "key").alias("key")))
 
 
+def validate_records(records: DataFrame, owners: DataFrame, commitment: Column | None = None) -> DataFrame:
+    """(rule, key) of the rules over event-table records: scope, audience, order, log shape, single identities,
+    headers, catch-up and coverage. `commitment` is the hash that a header's own columns give."""
+    from eventlake.operators.hybrid import SCOPES
+    from eventlake.operators.scan import violations
+
+    kind, n_owners = F.col("kind"), F.size("owners")
+    catchup = F.col("scope") == "OWNER_CATCHUP"
+    shape = F.lit(False)
+    for broken in _log_shape().values():
+        shape = shape | F.coalesce(broken, F.lit(False))
+    rules = {
+        "scope_unknown": ~F.coalesce(F.col("scope").isin(*SCOPES), F.lit(False)),
+        "broadcast_names_owners": F.col("canonical") & (n_owners > 0),
+        "owner_audience_empty": ~F.col("canonical") & (n_owners == 0),
+        "owner_repeated": n_owners != F.size(F.array_distinct("owners")),
+        "catchup_broadcast": catchup & F.col("canonical"),
+        "catchup_progress": catchup & (kind == 2),
+        "event_missing": ~F.coalesce(kind.isin(0, 1, 2), F.lit(False)),
+        "log_shape": (kind == 1) & shape,
+    }
+    if commitment is not None:
+        rules["header_mismatch"] = (kind == 0) & (F.col("block_hash") != commitment)
+    key = F.concat_ws(":", "page_id", "ordinal")
+    out = violations(records, rules, key)
+    named = records.select(key.alias("key"), F.explode(F.array_distinct("owners")).alias("owner_id"))
+    out = out.unionByName(named.join(owners.select("owner_id").distinct(), "owner_id", "left_anti").select(F.lit("owner_unknown").alias("rule"), "key"))
+    out = out.unionByName(order_violations(records).select(F.lit("event_order").alias("rule"), key.alias("key")))
+    logs = records.where(kind == 1)
+    out = out.unionByName(duplicate_logs(logs).select(F.lit("duplicate_log").alias("rule"), F.concat_ws(":", "block_hash", "log_index").alias("key")))
+    out = out.unionByName(transaction_conflicts(logs).select(F.lit("transaction_identity").alias("rule"), F.concat_ws(":", "block_hash", "key").alias("key")))
+    of_block = records.where(kind.isin(0, 2)).groupBy("page_id", "number").agg(F.count_if(kind == 0).alias("headers"), F.count_if(kind == 2).alias("progress"), F.count_distinct(F.struct("block_hash", "block_timestamp")).alias("blocks"))
+    single = {"duplicate_header": F.col("headers") > 1, "duplicate_progress": F.col("progress") > 1, "block_identity": F.col("blocks") > 1}
+    out = out.unionByName(violations(of_block, single, F.concat_ws(":", "page_id", "number")))
+    return out.unionByName(coverage_certificates(records).select(F.lit("missing_certificate").alias("rule"), F.col("page_id").cast("string").alias("key")))
+
+
 def validate_guard(pages: DataFrame, blocks: DataFrame, page_blocks: int) -> DataFrame:
     """(rule, key) where a page's guard is not its ends."""
     from eventlake.operators.scan import page_guard, violations

@@ -276,7 +276,8 @@ def _(s, d):
         f"{_BAD}, {_BAD_LOGS}",
         f"""SELECT rule, count(*) AS n FROM (
 SELECT rule, CAST(number AS VARCHAR) AS key FROM ({_LINKS}) UNION ALL SELECT 'parent_hash_width', '200'
-UNION ALL SELECT 'ends_elsewhere', 'range' WHERE (SELECT max(number) FROM bad) <> 699
+UNION ALL SELECT 'ends_elsewhere', 'range' WHERE (SELECT max(number) FROM bad) <> 699 UNION ALL SELECT unnest(['cursor_beyond_target', 'archive_behind_cursor', 'response_limit']), 'range'
+UNION ALL SELECT 'missing_field', '' FROM bad WHERE number = 300 UNION ALL SELECT 'missing_field', data FROM bad_logs WHERE CAST(data AS BIGINT) % 997 = 8 UNION ALL SELECT 'topic_width', data FROM bad_logs WHERE CAST(data AS BIGINT) % 997 = 9
 UNION ALL SELECT 'log_out_of_range', data FROM bad_logs WHERE block_number >= 700 UNION ALL SELECT 'log_removed', data FROM bad_logs WHERE removed
 UNION ALL SELECT 'address_width', data FROM bad_logs WHERE length(address) <> 40 UNION ALL SELECT topics, data FROM bad_logs WHERE topics IS NOT NULL
 UNION ALL SELECT 'log_without_block', data FROM bad_logs WHERE block_number NOT IN (SELECT number FROM bad)
@@ -285,7 +286,11 @@ UNION ALL SELECT 'duplicate_log', block_hash FROM ({_DUP}) UNION ALL SELECT rule
     ),
 )
 def _(s, d):
-    return V.validate_page(bad_blocks(s, d), bad_logs(s, d), 0, 700).groupBy("rule").agg(F.count("*").alias("n"))
+    """A page that is too long, of blocks and logs that break each rule somewhere."""
+    n = C("data").cast("long") % 997
+    blocks = bad_blocks(s, d).withColumn("timestamp", F.when(C("number") != 300, C("timestamp")))
+    logs = bad_logs(s, d).withColumns({"topics": F.when(n == 9, F.array(F.lit("00"))).otherwise(C("topics")), "data": F.when(n != 8, C("data"))})
+    return V.validate_page(blocks, logs, 0, 700, 600, 650, (500, 10**9, 10**15)).groupBy("rule").agg(F.count("*").alias("n"))
 
 
 @query("fn1_fixed_width", _with(_BAD_LOGS, "SELECT length(address) = 40 AS ok, count(*) AS n FROM bad_logs GROUP BY 1"))

@@ -9,7 +9,7 @@ from eventlake.operators import delivery as L
 from eventlake.operators import hybrid as H
 from eventlake.operators import routing as R
 from eventlake.operators import topology as T
-from eventlake.operators.scan import violations
+from eventlake.operators import validate as V
 from eventlake.plans.canonical_queries import _CHAINS, _REORGS, CHAIN, _with, chains
 from eventlake.plans.registry import query
 from eventlake.plans.routing_queries import _normal
@@ -341,9 +341,51 @@ def _(s, d):
     return H.audience_known(a, D.owners(s, d).where("owner_id not in ('pool', 'user1')")).select("block_number", "log_index", "owner_id")
 
 
-@query("aud3_validate_records", "SELECT 'catchup_not_listed' AS rule, count(*) AS n FROM ordered WHERE kind = 1 AND number BETWEEN 100 AND 150 UNION ALL SELECT 'empty_list', count(*) FROM ordered WHERE kind = 1 AND number % 9 = 4 AND NOT (number BETWEEN 100 AND 150) AND NOT canonical")
+_RECORDS = """bad1 AS (SELECT *, CASE WHEN kind = 1 THEN CAST(data AS BIGINT) % 60 ELSE -1 END AS k, CASE WHEN kind <> 1 THEN number % 60 ELSE -1 END AS b FROM ordered),
+bad AS (SELECT number // 50 AS page_id, number, CASE WHEN k = 14 THEN 9 ELSE kind END AS kind, CASE WHEN k = 7 THEN transaction_index + 1000 ELSE transaction_index END AS transaction_index, log_index,
+  CASE WHEN k = 1 THEN true WHEN k IN (2, 3, 4) THEN false ELSE canonical END AS canonical,
+  CASE WHEN k IN (1, 4) THEN ['nobody'] WHEN k = 2 THEN [] WHEN k = 3 THEN ['pool', 'pool'] WHEN owners = '' THEN [] ELSE string_split(owners, ',') END AS owners,
+  CASE WHEN k = 0 THEN 'NOPE' WHEN kind = 2 AND b = 9 THEN 'OWNER_CATCHUP' ELSE scope END AS scope, CASE WHEN kind = 0 AND b = 11 THEN 'zz' ELSE block_hash END AS block_hash, block_timestamp, transaction_hash,
+  k IN (5, 6) AS shapeless, CASE WHEN k = 13 THEN ordinal * 2 + 5 ELSE ordinal * 2 END AS ordinal, k = 8 OR kind = 2 AND b = 10 OR kind = 0 AND b = 12 AS again FROM bad1),
+rec AS (SELECT * FROM bad UNION ALL SELECT * REPLACE (ordinal + 1 AS ordinal) FROM bad WHERE again)"""
+
+
+@query(
+    "aud3_validate_records",
+    _with(
+        _RECORDS,
+        """SELECT rule, count(*) AS n FROM (SELECT 'scope_unknown' AS rule FROM rec WHERE scope = 'NOPE' UNION ALL SELECT 'broadcast_names_owners' FROM rec WHERE canonical AND len(owners) > 0
+UNION ALL SELECT 'owner_audience_empty' FROM rec WHERE NOT canonical AND len(owners) = 0 UNION ALL SELECT 'owner_repeated' FROM rec WHERE len(owners) <> len(list_distinct(owners))
+UNION ALL SELECT 'catchup_broadcast' FROM rec WHERE scope = 'OWNER_CATCHUP' AND canonical UNION ALL SELECT 'catchup_progress' FROM rec WHERE scope = 'OWNER_CATCHUP' AND kind = 2
+UNION ALL SELECT 'event_missing' FROM rec WHERE kind = 9 UNION ALL SELECT 'log_shape' FROM rec WHERE kind = 1 AND shapeless UNION ALL SELECT 'header_mismatch' FROM rec WHERE kind = 0 AND block_hash = 'zz'
+UNION ALL SELECT 'owner_unknown' FROM (SELECT unnest(list_distinct(owners)) AS o FROM rec) WHERE o NOT IN (SELECT owner_id FROM owners)
+UNION ALL SELECT 'event_order' FROM (SELECT lag((number, kind, transaction_index, log_index)) OVER (PARTITION BY page_id ORDER BY ordinal) > (number, kind, transaction_index, log_index) AS bent FROM rec) WHERE bent
+UNION ALL SELECT 'duplicate_log' FROM (SELECT 1 FROM rec WHERE kind = 1 GROUP BY block_hash, log_index HAVING count(*) > 1)
+UNION ALL SELECT 'transaction_identity' FROM (SELECT 1 FROM rec WHERE kind = 1 GROUP BY block_hash, transaction_hash HAVING count(DISTINCT transaction_index) > 1 UNION ALL SELECT 1 FROM rec WHERE kind = 1 GROUP BY block_hash, transaction_index HAVING count(DISTINCT transaction_hash) > 1)
+UNION ALL SELECT 'duplicate_header' FROM (SELECT 1 FROM rec WHERE kind = 0 GROUP BY page_id, number HAVING count(*) > 1) UNION ALL SELECT 'duplicate_progress' FROM (SELECT 1 FROM rec WHERE kind = 2 GROUP BY page_id, number HAVING count(*) > 1)
+UNION ALL SELECT 'block_identity' FROM (SELECT 1 FROM rec WHERE kind IN (0, 2) GROUP BY page_id, number HAVING count(DISTINCT (block_hash, block_timestamp)) > 1)
+UNION ALL SELECT 'missing_certificate' FROM (SELECT max(number) FILTER (WHERE kind = 2) AS p, max(number) FILTER (WHERE canonical AND kind <> 2) AS c FROM rec GROUP BY page_id) WHERE c IS NOT NULL AND coalesce(p, -1) < c) GROUP BY rule""",
+    ),
+)
 def _(s, d):
-    n = _normal(s, d).where("kind = 1")
-    within = C("number").between(100, 150)
-    n = n.withColumns({"mode": F.when(C("canonical") | within, H.ALL).otherwise(H.OWNERS), "owners": F.when((C("number") % 9 == 4) & ~within, F.slice("owners", 1, 0)).otherwise(C("owners"))})
-    return violations(n, H.audience_rules(), C("number")).groupBy("rule").agg(F.count("*").alias("n"))
+    """The event table with each rule broken somewhere, and some records twice."""
+    kind = C("kind")
+    k = F.when(kind == R.LOG, C("data").cast("long") % 60).otherwise(-1)
+    b = F.when(kind != R.LOG, C("number") % 60).otherwise(-1)
+    n = _normal(s, d).withColumns({"k": k, "b": b})
+    k, b = C("k"), C("b")
+    names = lambda *x: F.array(*[F.lit(v) for v in x]).cast("array<string>")
+    n = n.withColumns({
+        "again": (k == 8) | ((kind == 2) & (b == 10)) | ((kind == 0) & (b == 12)),
+        "transaction_index": F.when(k == 7, C("transaction_index") + 1000).otherwise(C("transaction_index")),
+        "canonical": F.when(k == 1, True).when(k.isin(2, 3, 4), False).otherwise(C("canonical")),
+        "owners": F.when(k.isin(1, 4), names("nobody")).when(k == 2, names()).when(k == 3, names("pool", "pool")).otherwise(C("owners")),
+        "scope": F.when(k == 0, "NOPE").when((kind == 2) & (b == 9), "OWNER_CATCHUP").otherwise(C("scope")),
+        "block_hash": F.when((kind == 0) & (b == 11), "zz").otherwise(C("block_hash")),
+        "address": F.when(k == 5, F.substring("address", 1, 39)).otherwise(C("address")),
+        "data": F.when(k != 6, C("data")),
+        "ordinal": F.when(k == 13, C("ordinal") * 2 + 5).otherwise(C("ordinal") * 2),
+        "kind": F.when(k == 14, 9).otherwise(kind).cast("long"),
+    })
+    records = n.unionByName(n.where("again").withColumn("ordinal", C("ordinal") + 1))
+    return V.validate_records(records, D.owners(s, d), D.block_hash(C("number"))).groupBy("rule").agg(F.count("*").alias("n"))

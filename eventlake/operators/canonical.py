@@ -100,10 +100,13 @@ def retain_recent(witnesses: DataFrame, capacity: int, shard: list[str], touched
     return witnesses.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= capacity)
 
 
-def retain_owner_budget(witnesses: DataFrame, budget: int, shard: list[str], touched: str = "last_touch", owners: str = "n_owners") -> DataFrame:
-    """From the newest entry back, those whose owner counts add up to the budget at most."""
-    w = Window.partitionBy(*shard).orderBy(F.col(touched).desc()).rowsBetween(Window.unboundedPreceding, 0)
-    return witnesses.withColumn("total", F.sum(owners).over(w)).where(F.col("total") <= budget)
+def retain_owner_budget(witnesses: DataFrame, budget: int, shard: list[str], touched: str = "last_touch", owners: str = "n_owners", current: str = "current") -> tuple[DataFrame, DataFrame]:
+    """(entries kept, violations): those of the current delivery, then from the newest back, as far as their
+    owner counts add up to the budget. A current delivery that is over the budget by itself is a violation."""
+    w = Window.partitionBy(*shard).orderBy(F.col(current).desc(), F.col(touched).desc()).rowsBetween(Window.unboundedPreceding, 0)
+    kept = witnesses.withColumn("total", F.sum(owners).over(w)).where(F.col(current) | (F.col("total") <= budget))
+    own = witnesses.where(F.col(current)).groupBy(*shard).agg(F.sum(owners).alias("total")).where(F.col("total") > budget)
+    return kept, own.select(F.lit("current_over_budget").alias("rule"), *shard, "total")
 
 
 def tip(history: DataFrame, chain: list[str]) -> DataFrame:

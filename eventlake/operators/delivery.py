@@ -124,9 +124,11 @@ def replay_status(sends: DataFrame) -> DataFrame:
     return sends.withColumn("replay", F.row_number().over(w) > 1)
 
 
-def service_metrics(deliveries: DataFrame, acks: DataFrame) -> DataFrame:
+def service_metrics(deliveries: DataFrame, acks: DataFrame, sends: DataFrame, errors: DataFrame) -> DataFrame:
+    """One row of counts over the delivery log, the acks, the sends (replay_status) and the source's errors."""
     d = deliveries.agg(F.count_distinct("session_id").alias("sessions"), F.count("*").alias("persisted"), F.count_if(F.col("payload_kind") == "reorg").alias("reorgs"), F.count_if("checkpoint_neutral").alias("neutral"))
-    return d.join(acks.agg(F.count("*").alias("acks")))
+    d = d.join(acks.agg(F.count("*").alias("acks"))).join(sends.agg(F.count_if("replay").alias("replayed")))
+    return d.join(errors.agg(F.count("*").alias("source_errors")))
 
 
 def accounted_bytes(topics: str | Column, data: str | Column, owners: str | Column) -> Column:
@@ -204,7 +206,21 @@ def resume_positions(hellos: DataFrame, state: DataFrame) -> DataFrame:
 
 
 def validate_state_rows(state: DataFrame) -> DataFrame:
-    rules = {"pending_not_next": F.col("pending") != F.col("acked") + 1, "revision_missing": F.col("revision").isNull(), "acked_without_cursor": F.col("acked").isNotNull() & F.col("acked_next").isNull()}
+    """(rule, key) of persisted session rows that contradict themselves."""
+    acked, pending = F.col("acked"), F.col("pending")
+    rules = {
+        "session_missing": F.coalesce(F.col("session_id") == "", F.lit(True)),
+        "chain_invalid": F.coalesce(F.col("chain_id") <= 0, F.lit(True)),
+        "revision_missing": F.col("revision").isNull(),
+        "acked_invalid": acked < 1,
+        "acked_without_cursor": acked.isNotNull() & F.col("acked_next").isNull(),
+        "cursor_without_ack": acked.isNull() & F.col("acked_next").isNotNull(),
+        "pending_not_next": pending != F.coalesce(acked, F.lit(0)) + 1,
+        "runtime_without_ack": acked.isNull() & F.col("runtime_head").isNotNull(),
+        "runtime_ahead": F.col("runtime_head") >= F.col("acked_next"),
+        "promise_without_ack": acked.isNull() & F.col("promised").isNotNull(),
+        "promise_ahead": F.col("promised") >= F.col("acked_next"),
+    }
     return violations(state, rules, F.col("session_id"))
 
 

@@ -197,9 +197,18 @@ def _(s, d):
     return K.retain_recent(witnesses(s, d), 20, ["shard"]).select("shard", "user_id", "last_touch", C("rank").cast("long").alias("rank"))
 
 
-@query("win8_retain_owner_budget", _with(_WITNESS, "SELECT shard, user_id, CAST(total AS BIGINT) AS total FROM (SELECT *, sum(n_owners) OVER (PARTITION BY shard ORDER BY last_touch DESC ROWS UNBOUNDED PRECEDING) AS total FROM wit) WHERE total <= 60"))
+@query(
+    "win8_retain_owner_budget",
+    _with(
+        _WITNESS,
+        """SELECT 'kept' AS said, shard, user_id, CAST(total AS BIGINT) AS total FROM (SELECT *, user_id % 5 = 0 AS current, sum(n_owners) OVER (PARTITION BY shard ORDER BY user_id % 5 = 0 DESC, last_touch DESC ROWS UNBOUNDED PRECEDING) AS total FROM wit) WHERE current OR total <= 12
+UNION ALL SELECT 'current_over_budget', shard, -1, sum(n_owners) FROM wit WHERE user_id % 5 = 0 GROUP BY shard HAVING sum(n_owners) > 12""",
+    ),
+)
 def _(s, d):
-    return K.retain_owner_budget(witnesses(s, d), 60, ["shard"]).select("shard", "user_id", "total")
+    """Every fifth user is of the current delivery."""
+    kept, over = K.retain_owner_budget(witnesses(s, d).withColumn("current", C("user_id") % 5 == 0), 12, ["shard"])
+    return kept.select(F.lit("kept").alias("said"), "shard", "user_id", "total").unionByName(over.select(C("rule").alias("said"), "shard", F.lit(-1).cast("long").alias("user_id"), "total"))
 
 
 @query("srt1_sorted_logs", "SELECT block_number, transaction_index, log_index, data FROM logs")

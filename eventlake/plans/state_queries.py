@@ -254,9 +254,12 @@ def _(s, d):
     return D.deliveries(s, d).select("session_id", "sequence", L.token("sequence").alias("token"))
 
 
-@query("agg12_service_metrics", "SELECT count(DISTINCT session_id) AS sessions, count(*) AS persisted, count(*) FILTER (WHERE payload_kind = 'reorg') AS reorgs, count(*) FILTER (WHERE checkpoint_neutral) AS neutral, (SELECT count(*) FROM acks) AS acks FROM deliveries")
+@query("agg12_service_metrics", "SELECT count(DISTINCT session_id) AS sessions, count(*) AS persisted, count(*) FILTER (WHERE payload_kind = 'reorg') AS reorgs, count(*) FILTER (WHERE checkpoint_neutral) AS neutral, (SELECT count(*) FROM acks) AS acks, count(*) FILTER (WHERE sequence % 6 = 0) AS replayed, (SELECT count(*) FROM ev WHERE event_type = 'error') AS source_errors FROM deliveries")
 def _(s, d):
-    return L.service_metrics(D.deliveries(s, d), D.acks(s, d))
+    x = D.deliveries(s, d)
+    sent = x.select("session_id", "sequence", (C("sequence") * 10).alias("sent_at"))
+    sends = L.replay_status(sent.unionByName(sent.where("sequence % 6 = 0").withColumn("sent_at", C("sent_at") + 3)))
+    return L.service_metrics(x, D.acks(s, d), sends, D.events(s, d).where("event_type = 'error'"))
 
 
 def _broken(s, d):
@@ -296,10 +299,41 @@ def _(s, d):
     return L.neutral_flags(D.deliveries(s, d).withColumn("checkpoint_neutral", F.when(C("sequence") % 10 == 2, ~C("checkpoint_neutral")).otherwise(C("checkpoint_neutral")))).drop("chain_id")
 
 
-@query("aud7_validate_state_rows", _with(_STATE, "SELECT 'pending_not_next' AS rule, session_id AS key FROM state WHERE session_id IN ('s1', 's5')"))
+_STATE_RULES = ["chain_invalid", "revision_missing", "acked_without_cursor", "pending_not_next", "runtime_ahead", "promise_ahead", "acked_invalid"]
+
+
+@query(
+    "aud7_validate_state_rows",
+    f"SELECT rule, session_id AS key FROM (SELECT DISTINCT session_id, CAST(substr(session_id, 2) AS INTEGER) AS k FROM deliveries), (SELECT unnest({_STATE_RULES}) AS rule, unnest(range(0, 7)) AS slot) WHERE slot = k UNION ALL SELECT 'pending_not_next', 's6' UNION ALL SELECT unnest(['cursor_without_ack', 'runtime_without_ack', 'pending_not_next']), 's7'",
+)
 def _(s, d):
+    """Each session's row breaks a rule of its own; the last ones, where the ack is wrong, several."""
+    k = C("session_id")
     st = L.session_state(D.deliveries(s, d), D.acks(s, d))
-    return L.validate_state_rows(st.withColumn("pending", F.when(C("session_id").isin("s1", "s5"), C("pending") + 3).otherwise(C("pending"))))
+    none = lambda c, of: F.when(k != of, C(c)).alias(c)
+    bad = st.select(
+        "session_id", F.when(k == "s0", 0).otherwise(C("chain_id")).alias("chain_id"), none("revision", "s1"), F.when(k == "s6", 0).when(k != "s7", C("acked")).alias("acked"), none("acked_next", "s2"),
+        F.when(k == "s4", C("acked_next")).otherwise(C("runtime_head")).alias("runtime_head"), F.when(k == "s3", C("pending") + 3).otherwise(C("pending")).alias("pending"), F.when(k == "s5", C("acked_next") + 2).alias("promised"),
+    )
+    return L.validate_state_rows(bad)
+
+
+@query(
+    "aud4_reorg_geometry",
+    """SELECT rule, session_id || ':' || sequence AS key FROM (SELECT *, lag(head_number) OVER w AS p_head FROM deliveries WINDOW w AS (PARTITION BY session_id ORDER BY sequence)),
+  (SELECT unnest(['reorg_old_tip', 'reorg_tips_below_ancestor', 'reorg_cursor']) AS rule, unnest([0, 1, 2]) AS slot) WHERE payload_kind = 'reorg' AND page_id % 4 = slot OR payload_kind = 'reorg' AND p_head IS NULL AND rule = 'reorg_old_tip'""",
+)
+def _(s, d):
+    """Reorgs of the acknowledged head to its page's tip: of every four pages three break a rule each."""
+    from pyspark.sql import Window
+
+    w = Window.partitionBy("session_id", "chain_id").orderBy("sequence")
+    x = D.deliveries(s, d).withColumns({"p_head": F.lag("head_number").over(w), "p_hash": F.lag("head_hash").over(w)}).where("payload_kind = 'reorg'")
+    k, tip = C("page_id") % 4, F.coalesce(C("p_head"), C("new_tip"))
+    old = F.greatest(tip, C("head_number") + 1)  # the acknowledged head is the page before's tip: it stands for the stale tip
+    r = x.withColumns({"ancestor": C("head_number"), "old_tip": old, "p_head": F.when(C("p_head").isNotNull(), old)})
+    r = r.withColumns({"old_tip_hash": F.when(k == 0, F.lit("zz")).otherwise(C("p_hash")), "new_tip": F.when(k == 1, C("ancestor")).otherwise(C("new_tip")), "next_block": C("next_block") + F.when(k == 2, 1).otherwise(0)})
+    return L.reorg_geometry(r)
 
 
 @query("aud12_jn10_resume_positions", _with(_STATE, "SELECT session_id, sequence, verdict FROM (SELECT session_id, acked AS sequence, 'confirmed' AS verdict FROM state UNION ALL SELECT session_id, 0, 'discovery' FROM state UNION ALL SELECT session_id, pending, 'confirmed' FROM state UNION ALL SELECT session_id, 3, 'rejected' FROM state)"))

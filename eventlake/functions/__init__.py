@@ -1,27 +1 @@
-"""Scalar expressions on columns, gathered from the operators that use them."""
-
-from eventlake.operators.canonical import reorg_shape, same_block
-from eventlake.operators.delivery import accounted_bytes, token
-from eventlake.operators.hybrid import audience, dropped_block, merge_audience, residual_audience
-from eventlake.operators.routing import advances_canonical, covers, interest_active, log_matches, scope_of
-from eventlake.operators.validate import fixed_width, normalize_topics, quantity, topics_problem
-
-__all__ = [
-    "accounted_bytes",
-    "advances_canonical",
-    "audience",
-    "covers",
-    "dropped_block",
-    "fixed_width",
-    "interest_active",
-    "log_matches",
-    "merge_audience",
-    "normalize_topics",
-    "quantity",
-    "reorg_shape",
-    "residual_audience",
-    "same_block",
-    "scope_of",
-    "token",
-    "topics_problem",
-]
+"""Scalar expressions that several operators share."""

@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from eventlake.functions.sizes import accounted_bytes, control_bytes, token  # noqa: F401
 from eventlake.operators.scan import violations
 
 SLOT = ["session_id", "chain_id", "sequence"]
@@ -15,10 +16,6 @@ SESSION = SLOT[:2]
 MANY_SESSIONS = 1000
 
 
-def token(sequence: str | Column) -> Column:
-    return F.lpad(F.lower(F.hex(F.col(sequence) if isinstance(sequence, str) else sequence)), 16, "0")
-
-
 def new_deliveries(stored: DataFrame, incoming: DataFrame, digest: str = "digest") -> tuple[DataFrame, DataFrame]:
     """(rows to append, violations): an identical redelivery is dropped, other content in a slot is a violation."""
     had = stored.select(*SLOT, F.col(digest).alias("had"))
@@ -131,17 +128,6 @@ def service_metrics(deliveries: DataFrame, acks: DataFrame, sends: DataFrame, er
     return d.join(errors.agg(F.count("*").alias("source_errors")))
 
 
-def accounted_bytes(topics: str | Column, data: str | Column, owners: str | Column) -> Column:
-    """Estimated bytes of a log record: fixed parts, topics, data and the audience's owner ids."""
-    t, d, o = (F.col(x) if isinstance(x, str) else x for x in (topics, data, owners))
-    return 512 + 32 * F.size(t) + F.octet_length(d) + 64 + F.aggregate(o, F.lit(0), lambda a, x: a + F.octet_length(x) + 32)
-
-
-def control_bytes(identifier: str | Column) -> Column:
-    """Estimated bytes of a control."""
-    return 256 + F.coalesce(F.octet_length(F.col(identifier) if isinstance(identifier, str) else identifier), F.lit(0))
-
-
 def cursor_regressions(deliveries: DataFrame) -> DataFrame:
     """(rule, session, sequence): a cursor other than a reorg's that goes back, loses its head or changes it at
     its height, and gaps in sequence or token."""

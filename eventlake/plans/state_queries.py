@@ -235,6 +235,11 @@ def _(s, d):
     return L.delivery_sizes(_records(s, d), ["page_id"])
 
 
+@query("fn12_control_bytes", "SELECT session_id, CAST(sum(256 + length(payload_kind)) AS BIGINT) AS bytes FROM deliveries WHERE payload_kind <> 'data' GROUP BY session_id")
+def _(s, d):
+    return D.deliveries(s, d).where("payload_kind <> 'data'").groupBy("session_id").agg(F.sum(L.control_bytes("payload_kind")).cast("long").alias("bytes"))
+
+
 _DIG = "dig AS (SELECT *, sha256(array_to_string(list_transform([CAST(block_number AS VARCHAR), block_hash, transaction_hash, CAST(transaction_index AS VARCHAR), CAST(log_index AS VARCHAR), address, topic0 || ',' || topic1, data, CAST(removed AS VARCHAR)], lambda x: length(x) || ':' || x), '')) AS digest FROM {})"
 
 

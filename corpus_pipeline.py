@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm._common import cut, table
+from eventlake.llm._common import cut, release, table
 from eventlake.llm.bpe import decoded, encoded
 from eventlake.llm.decontaminate import decontaminated
 from eventlake.llm.line_dedup import without_duplicate_lines
@@ -19,12 +19,20 @@ RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that the classifier, fitted on this table's labels, scores at 0.5 or more."""
+    """Drops documents that the classifier, fitted on this table's labels, scores at 0.5 or more.
+
+    Null and empty texts score what the labels' share gives and stay where that is below 0.5; rows that
+    repeat are scored alike; without labels nothing goes.
+    """
     return without_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops lines that an earlier line matches, and documents of which no word is left."""
+    """Drops lines that an earlier line matches, and documents of which no word is left.
+
+    Null, empty and wordless texts stay as they are; of equal lines the first by doc_id stays, a null
+    doc_id comes last; rows that repeat id and text keep the same lines.
+    """
     return without_duplicate_lines(docs)
 
 
@@ -39,12 +47,18 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that the benchmark contaminates: at least a twentieth of their words hit."""
+    """Drops documents that the benchmark contaminates: at least a twentieth of their words hit.
+
+    Null and empty texts, and an empty benchmark, hit nothing; rows that repeat are judged alike.
+    """
     return decontaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Adds the ids of each text (little-endian 32-bit), their number and whether they decode to it."""
+    """Adds the ids of each text (little-endian 32-bit), their number and whether they decode to it.
+
+    A null text is encoded as the empty one and stays null.
+    """
     out = decoded(encoded(docs, RANKS), RANKS)
     same = F.col("decoded") == F.encode(F.coalesce(F.col("row.text"), F.lit("")), "UTF-8")
     return out.select("row.*", "n_tokens", F.col("ids").alias("token_ids"), same.alias("round_trip"))
@@ -60,10 +74,15 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Applies the stages to `documents`; each but the last is written in the shared folder and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """Applies the stages to `documents`; each but the last is written in the shared folder and read again.
+
+    A stage's table goes as soon as the next one is written; the last is read by the result.
+    """
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
         docs = cut(stage(spark, docs, sf_dir), f"stage-{name}")
+        release(*before)
+        before = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)
 
 

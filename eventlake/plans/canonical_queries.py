@@ -233,7 +233,7 @@ def _(s, d):
     return D.block_arrivals(s, d).where(C("hash") != D.block_hash(C("number"))).select("number", "hash")
 
 
-@query("fn10_reorg_shape", _with(f"{_CHAINS}, {_REORGS}", "SELECT chain_id, arrival, true AS ok FROM reorgs"))
+@query("fn10_reorg_shape", _with(f"{_CHAINS}, {_REORGS}", "SELECT chain_id, arrival, chain_id % 4 > 1 AS ok FROM reorgs"))
 def _(s, d):
     c = chains(s, d)
     r = K.reorg_events(c, CHAIN)
@@ -243,6 +243,9 @@ def _(s, d):
     j = j.join(block(c, "hash", "old").withColumnRenamed("old_key", "old_tip_hash"), ["chain_id", "old_tip_hash"])
     # Of the new branch its first block, which is the ancestor's direct child, is held against the shape.
     j = j.withColumn("first", C("ancestor") + 1).join(block(kept, "number", "new").withColumnRenamed("new_key", "first"), ["chain_id", "first"])
+    # Of every four chains one has a later ancestor, and one the same block at both tips.
+    k = C("chain_id") % 4
+    j = j.withColumns({"anc": F.when(k == 0, C("anc").withField("timestamp", F.lit(10**12))).otherwise(C("anc")), "new": F.when(k == 1, C("old")).otherwise(C("new"))})
     return j.select("chain_id", "arrival", K.reorg_shape("anc", "old", "new").alias("ok"))
 
 
@@ -264,12 +267,12 @@ def _(s, d):
     "win13_finality_heads",
     _with(
         _CHAINS,
-        """SELECT chain_id, arrival, max(finalized) OVER w AS head, CASE WHEN finalized > coverage THEN 'above_coverage' WHEN finalized < max(finalized) OVER p THEN 'regressed' END AS rule
-FROM (SELECT chain_id, arrival, number - 64 + CASE WHEN number % 100 = 7 THEN 70 ELSE 0 END AS finalized, number AS coverage FROM chains) WINDOW w AS (PARTITION BY chain_id ORDER BY arrival), p AS (PARTITION BY chain_id ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""",
+        """SELECT chain_id, arrival, max(finalized) OVER w AS head, CASE WHEN finalized > coverage THEN 'above_coverage' WHEN finalized < max(finalized) OVER p THEN 'regressed' WHEN ancestor < max(finalized) OVER p THEN 'reorg_below_finalized' END AS rule
+FROM (SELECT chain_id, arrival, number - 64 + CASE WHEN number % 100 = 7 THEN 70 ELSE 0 END AS finalized, number AS coverage, CASE WHEN number % 100 >= 55 AND number % 100 < 60 THEN number - 67 + number % 10 END AS ancestor FROM chains) WINDOW w AS (PARTITION BY chain_id ORDER BY arrival), p AS (PARTITION BY chain_id ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""",
     ),
 )
 def _(s, d):
-    m = chains(s, d).select("chain_id", "arrival", (C("number") - 64 + F.when(C("number") % 100 == 7, 70).otherwise(0)).alias("finalized"), C("number").alias("coverage"), F.lit(None).cast("long").alias("ancestor"))
+    m = chains(s, d).select("chain_id", "arrival", (C("number") - 64 + F.when(C("number") % 100 == 7, 70).otherwise(0)).alias("finalized"), C("number").alias("coverage"), F.when((C("number") % 100 >= 55) & (C("number") % 100 < 60), C("number") - 67 + C("number") % 10).alias("ancestor"))
     return K.finality_heads(m, CHAIN)
 
 

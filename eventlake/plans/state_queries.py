@@ -128,9 +128,13 @@ def _(s, d):
     return diff.select("owner_id", "change", F.coalesce("generation", F.lit(-1)).cast("long").alias("generation"))
 
 
-@query("own13_exclusive_topology", "SELECT count(*) FILTER (WHERE owner_id = '') AS base, count(*) FILTER (WHERE owner_id <> '') AS named, true AS violated FROM interests")
+@query("own13_exclusive_topology", "SELECT count(*) FILTER (WHERE owner_id = '') AS base, count(*) FILTER (WHERE owner_id <> '') AS named, true AS violated FROM interests UNION ALL SELECT 0, count(*), false FROM interests WHERE owner_id <> '' UNION ALL SELECT count(*), 0, false FROM interests WHERE owner_id = ''")
 def _(s, d):
-    return T.exclusive_topology(D.owners(s, d), D.interests(s, d))
+    """All owners, the named ones alone, and the base owner alone."""
+    o, i = D.owners(s, d), D.interests(s, d)
+    sets = [o, o.where("owner_id <> ''"), o.where("owner_id = ''")]
+    rows = [T.exclusive_topology(x, i) for x in sets]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
 
 
 @query("agg11_interest_quotas", "SELECT 'addresses_per_interest' AS rule, owner_id AS key, len(addresses) AS value FROM interests WHERE len(addresses) > 2 UNION ALL SELECT 'owners', 'all', count(*) FROM owners HAVING count(*) > 8 UNION ALL SELECT 'bounded_span', 'all', max(to_block_excl - from_block) FROM owners HAVING max(to_block_excl - from_block) > 120")

@@ -646,3 +646,24 @@ def test_pipeline_keeps_clean_documents(spark, tmp_path):
     assert sorted(r.doc_id for r in out.collect()) == [i for i, _ in clean]
     assert out.where("not round_trip").count() == 0
     assert hashlib.sha256(out.where("doc_id = 0").first().text.encode()).hexdigest() == hashlib.sha256(clean[0][1].encode()).hexdigest()
+
+
+def test_pipeline_of_odd_rows(spark, tmp_path):
+    """Nulls in every column, empty texts, repeated rows and ids, clashing column names, and empty tables."""
+    pipeline = pytest.importorskip("corpus_pipeline")
+    rng = random.Random(23)
+    words = [f"w{k}" for k in range(3000)]
+    clean = [(k, prose(rng, words, 30)) for k in range(20)]
+    odd = [(100, None), (101, ""), (102, "  \n\t"), (None, None), (None, prose(rng, words, 30)), (103, "x" * 50_000), clean[3], (104, prose(rng, words, 30)), (104, prose(rng, words, 30))]
+    docs = table(spark, clean + odd)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    labels = spark.createDataFrame([(0, 1, 0), (None, 1, 1), (1, None, None), (2, 1, 0)], "doc_id bigint, quality int, toxic int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(None, "a b"), (1, None)], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    out = pipeline.run(spark, str(tmp_path))
+    assert out.columns == [*docs.columns, "n_tokens", "token_ids", "round_trip"]
+    rows = out.collect()
+    assert {(r.doc_id, r.text) for r in rows} == set(clean + odd) and all(r.round_trip or r.text is None for r in rows)
+    for name, df in (("documents", docs), ("labels", labels), ("benchmark", spark.createDataFrame([], "item_id bigint, text string"))):
+        df.limit(0).write.parquet(f"{tmp_path}/empty/{name}.parquet")
+    assert pipeline.run(spark, f"{tmp_path}/empty").count() == 0

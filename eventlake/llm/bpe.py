@@ -117,6 +117,18 @@ class PerfectHash:
         return out
 
 
+def _equal(a: np.ndarray, at: np.ndarray, length: np.ndarray, b: np.ndarray, bt: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Of each span of a whether it is the span of b beside it, byte for byte."""
+    same = length == other
+    n = np.where(same, length, 0)
+    if n.sum():
+        begin = np.cumsum(n) - n
+        inside = np.arange(int(n.sum())) - np.repeat(begin, n)
+        wrong = a[np.repeat(at, n) + inside] != b[np.repeat(bt, n) + inside]
+        same[np.repeat(np.arange(len(n)), n)[wrong]] = False
+    return same
+
+
 class Vocabulary:
     """Token bytes by rank, with the two tiers of encoding."""
 
@@ -135,7 +147,10 @@ class Vocabulary:
         self.whole_rank[self.whole.find(keys)] = list(self.rank.values())
         self.whole_length = np.zeros(len(keys), dtype=np.int64)
         self.whole_length[self.whole.find(keys)] = [len(t) for t in tokens]
-        self.merged: dict[int, bytes] = {}
+        self.whole_start = np.zeros(len(keys), dtype=np.int64)
+        self.whole_start[self.whole.find(keys)] = start
+        self.body = body
+        self.merged: dict[bytes, bytes] = {}
 
     def merge(self, piece: bytes) -> bytes:
         """The ids of one pre-token, as little-endian 32-bit integers: a heap of adjacent pairs over linked bytes."""
@@ -179,26 +194,33 @@ class Vocabulary:
         byte_of = np.append(np.flatnonzero((body & 0xC0) != 0x80), len(body))
         first = np.unique(np.searchsorted(byte_of, offsets[:-1]))
         start = byte_of[pre_token_starts(points, first[first < len(points)])]
-        code, key = pd.factorize(hashes(body, start))
+        end, text = np.append(start[1:], len(body)), body.tobytes()
+        every = hashes(body, start)
+        code, key = pd.factorize(every)
         sample = np.zeros(len(key), dtype=np.int64)
         sample[code[::-1]] = np.arange(len(code))[::-1]
-        end = np.append(start[1:], len(body))
+        if not _equal(body, start, end - start, body, start[sample][code], (end - start)[sample][code]).all():  # two pre-tokens of one hash
+            seen: dict[bytes, int] = {}
+            code = np.array([seen.setdefault(text[a:b], len(seen)) for a, b in zip(start.tolist(), end.tolist())])
+            sample = np.zeros(len(seen), dtype=np.int64)
+            sample[code[::-1]] = np.arange(len(code))[::-1]
+            key = every[sample]
         at = self.whole.find(key)
-        length = end[sample] - start[sample]
-        at[(at >= 0) & (self.whole_length[at] != length)] = -1
+        held = np.flatnonzero(at >= 0)
+        same = _equal(body, start[sample[held]], (end - start)[sample[held]], self.body, self.whole_start[at[held]], self.whole_length[at[held]])
+        at[held[~same]] = -1
         known = at >= 0
         size = np.ones(len(key), dtype=np.int64)
         ids = np.zeros(len(key), dtype="<u4")
         ids[known] = self.whole_rank[at[known]]
         if len(self.merged) > REMEMBERED:
             self.merged.clear()
-        merged, text = self.merged, body.tobytes()
-        missed = key[~known].tolist()
-        misses = sample[~known]
-        for h, a, b in zip(missed, start[misses].tolist(), end[misses].tolist()):
-            if h not in merged:
-                merged[h] = self.merge(text[a:b])
-        parts = [merged[h] for h in missed]
+        merged, misses = self.merged, sample[~known]
+        missed = [text[a:b] for a, b in zip(start[misses].tolist(), end[misses].tolist())]
+        for piece in missed:
+            if piece not in merged:
+                merged[piece] = self.merge(piece)
+        parts = [merged[piece] for piece in missed]
         size[~known] = [len(p) >> 2 for p in parts]
         flat = np.zeros(int(size.sum()), dtype="<u4")
         begin = np.cumsum(size) - size

@@ -29,14 +29,14 @@ COUNTERFACTUAL, RIDGE, ROUNDS = 1.0, 2e-4, 400
 
 #: Words that name a group, by kind, in the four languages of the corpus.
 GROUPS = [
-    "men women boys girls man woman boy girl".split(),
-    "christians muslims jews hindus buddhists atheists christian muslim jewish hindu buddhist atheist".split(),
+    *(pair.split() for pair in ("men women", "boys girls", "man woman", "boy girl", "männer frauen", "schwarze weiße", "schwule lesben", "hommes femmes", "noirs blancs", "homosexuels lesbiennes", "hombres mujeres", "negros blancos", "homosexuales lesbianas")),
+    "christians muslims jews hindus buddhists atheists".split(),
+    "christian muslim jewish hindu buddhist atheist".split(),
     "black white asian latino arab african european american".split(),
     "gay lesbian bisexual straight transgender heterosexual".split(),
-    "immigrants refugees foreigners natives disabled deaf blind elderly".split(),
-    "männer frauen christen muslime juden ausländer schwarze weiße schwule lesben".split(),
-    "hommes femmes chrétiens musulmans juifs étrangers noirs blancs homosexuels lesbiennes".split(),
-    "hombres mujeres cristianos musulmanes judíos extranjeros negros blancos homosexuales lesbianas".split(),
+    "immigrants refugees foreigners natives".split(),
+    "disabled deaf blind".split(),
+    *(words.split() for words in ("christen muslime juden", "chrétiens musulmans juifs", "cristianos musulmanes judíos", "ausländer einheimische", "étrangers locaux", "extranjeros locales")),
 ]
 _OTHER = {w: g[(k + 1) % len(g)] for g in GROUPS for k, w in enumerate(g)}
 _MENTION = re.compile(r"\b(?:" + "|".join(sorted(_OTHER, key=len, reverse=True)) + r")\b", re.I)

@@ -129,6 +129,19 @@ def test_bpe_is_the_library_s(spark):
     assert df.where(F.col("decoded") != F.encode(F.coalesce(F.col("row.text"), F.lit("")), "UTF-8")).count() == 0
 
 
+def test_bpe_compares_bytes_where_hashes_meet(monkeypatch):
+    vocabulary = bpe.Vocabulary(open(RANKS, "rb").read())
+    texts = pa.array(["hello world, the cats and dogs", "zxqv hello", None, "the the"], pa.string())
+    ids, at = vocabulary.encode(texts)
+    own = bpe.hashes
+    monkeypatch.setattr(bpe, "hashes", lambda body, start: own(body, start) % np.uint64(3))
+    again, to = vocabulary.encode(texts)
+    assert ids.tolist() == again.tolist() and at.tolist() == to.tolist()
+    monkeypatch.setattr(bpe, "hashes", lambda body, start: np.full(len(start), own(np.frombuffer(b" the", np.uint8), np.array([0]))[0]))
+    again, to = vocabulary.encode(texts)
+    assert ids.tolist() == again.tolist() and at.tolist() == to.tolist()
+
+
 def test_perfect_hash_is_minimal():
     keys = np.unique(np.random.default_rng(1).integers(0, 2**63, 5000).astype(np.uint64))
     h = bpe.PerfectHash(keys)
@@ -416,6 +429,8 @@ def test_toxicity(spark):
     got = toxicity.toxicity(table(spark, [*rows, (None, None), (9999, "")]), spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int"))
     held = got.where("held_out and doc_id < 600").collect()
     assert np.mean([(r.score >= 0.5) == (r.doc_id % 4 == 0) for r in held]) > 0.97
+    neutral = [r for r in held if r.doc_id % 8 == 1]  # they mention a group, as the toxic ones do
+    assert neutral and not any(r.predicted for r in neutral)
     assert got.count() == 602 and got.where("score is null or score < 0 or score > 1").count() == 0
 
 

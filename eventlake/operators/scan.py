@@ -19,12 +19,19 @@ def block_range(df: DataFrame, number: str, from_block: int, to_excl: int | None
 
 
 def scan_logs(logs: DataFrame, interests: DataFrame, from_block: int, to_excl: int | None = None) -> DataFrame:
-    """Logs of the range that match any log interest. Interests are filters of a checked number."""
+    """Logs of the range that match any log interest. Filters are of a checked number; those that list
+    addresses are gathered by address and joined by it, the others go to every row."""
     filters = compile_filters(interests)
     if filters.count() > MAX_FILTERS:
         raise ValueError("too many distinct filters")
     found = block_range(logs, "block_number", from_block, to_excl)
-    return found.join(F.broadcast(filters.select("addresses", F.col("topics").alias("accepted"))), log_matches(F.col("topics"), F.col("address"), F.col("addresses"), F.col("accepted")), "left_semi")
+    wild = filters.where(F.size("addresses") == 0).agg(F.collect_list("topics").alias("wild"))
+    listed = filters.select(F.explode("addresses").alias("address"), "topics").groupBy("address").agg(F.collect_list("topics").alias("listed"))
+    none = F.array().cast(listed.schema["listed"].dataType)
+    met = found.join(listed, "address", "left").join(F.broadcast(wild))  # wild is one row
+    no_address = F.array().cast("array<string>")
+    hit = F.exists(F.concat(F.coalesce("listed", none), "wild"), lambda accepted: log_matches(F.col("topics"), F.col("address"), no_address, accepted))
+    return met.where(hit).select(*found.columns)
 
 
 def canonical_interests(interests: DataFrame) -> DataFrame:

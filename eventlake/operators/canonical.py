@@ -50,7 +50,8 @@ def reorg_events(arrivals: DataFrame, chain: list[str]) -> DataFrame:
 
 def canonical_chain(arrivals: DataFrame, chain: list[str]) -> DataFrame:
     """The surviving block of each height: no later arrival has a height at or below its own."""
-    after = Window.partitionBy(*chain).orderBy("arrival").rowsBetween(1, Window.unboundedFollowing)
+    # From the last arrival back: a frame that only grows, so that a chain of any length is one pass.
+    after = Window.partitionBy(*chain).orderBy(F.col("arrival").desc()).rowsBetween(Window.unboundedPreceding, -1)
     later = F.min("number").over(after)
     return arrivals.withColumn("later", later).where(F.col("later").isNull() | (F.col("later") > F.col("number"))).drop("later")
 

@@ -19,6 +19,7 @@ from eventlake.llm.near_dedup import near_duplicates
 from eventlake.llm.pii import KINDS, personal_spans, span_list
 from eventlake.llm.sharding import sharded
 from eventlake.llm.toxicity import toxicity
+from eventlake.llm.url_filter import judged
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -98,6 +99,16 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Fixed values of the query: verdict, host and path of each rule.
+URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+
+
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.sql("select * from values " + ", ".join(map(str, URL_RULES)) + " as t(verdict, host, path)")
+    found = judged(table(spark, sf_dir, "pages").select("page_id", "url"), rules)
+    return found.select("row.page_id", "host", "path", "rule", "verdict")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -111,6 +122,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_line_dedup,
         op9_decontamination,
         op10_chat_format,
+        op11_url_filter,
     )
 }
 
@@ -159,5 +171,14 @@ SELECT split.doc_id, CAST(len(lines) AS BIGINT) AS n_lines, CAST(coalesce(len(r)
   coalesce(array_to_string(r, ','), '') AS removed,
   sha256(CASE WHEN r IS NULL THEN array_to_string(lines, chr(10)) ELSE coalesce(array_to_string(list_transform(list_filter(range(0, len(lines)), lambda i: NOT list_contains(r, i)), lambda i: lines[i + 1]), chr(10)), '') END) AS text_sha256
 FROM split LEFT JOIN removed USING (doc_id)
+""",
+    "op11_url_filter": rf"""
+WITH rest AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r FROM pages),
+cased AS (SELECT page_id, r, regexp_extract(r, '^[^/?#]*') AS h FROM rest),
+parts AS (SELECT page_id, translate(h, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(substr(r, length(h) + 1), '^[^?#]*') AS path FROM cased),
+rules AS (SELECT * FROM (VALUES {", ".join(map(str, URL_RULES))}) t(verdict, rule_host, rule_path)),
+fit AS (SELECT page_id, arg_max((rule_host || rule_path, verdict), length(rule_host || rule_path)) AS f FROM parts JOIN rules
+  ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path) GROUP BY page_id)
+SELECT page_id, host, path, f[1] AS rule, coalesce(f[2], 'allow') AS verdict FROM parts LEFT JOIN fit USING (page_id)
 """,
 }

@@ -12,6 +12,7 @@ from eventlake.llm._common import table
 from eventlake.llm.bpe import decoded, encoded
 from eventlake.llm.chat import chat_windows, read_back
 from eventlake.llm.decontaminate import contamination
+from eventlake.llm.hard_negatives import hard_negatives, integer_vectors
 from eventlake.llm.html_text import extracted
 from eventlake.llm.line_dedup import line_dedup
 from eventlake.llm.merkle import edited_range, fingerprint, likeness, merkle_tree, with_next
@@ -109,6 +110,12 @@ def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.page_id", "host", "path", "rule", "verdict")
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v, label = table(spark, sf_dir, "embeddings"), F.col("label").cast("long")
+    noisy = v.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label))
+    return hard_negatives(integer_vectors(noisy), F.col("vec_id") % 50 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -123,6 +130,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_decontamination,
         op10_chat_format,
         op11_url_filter,
+        op12_hard_negatives,
     )
 }
 
@@ -180,5 +188,14 @@ rules AS (SELECT * FROM (VALUES {", ".join(map(str, URL_RULES))}) t(verdict, rul
 fit AS (SELECT page_id, arg_max((rule_host || rule_path, verdict), length(rule_host || rule_path)) AS f FROM parts JOIN rules
   ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path) GROUP BY page_id)
 SELECT page_id, host, path, f[1] AS rule, coalesce(f[2], 'allow') AS verdict FROM parts LEFT JOIN fit USING (page_id)
+""",
+    "op12_hard_negatives": r"""
+WITH v AS (SELECT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pair AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, CAST(list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2])) AS BIGINT) AS score FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+positive AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM pair WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS INTEGER) AS rank, id AS negative_id, positive_score, score AS negative_score
+FROM positive JOIN pair USING (anchor_id) WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) <= 3
 """,
 }

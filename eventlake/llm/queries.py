@@ -19,6 +19,7 @@ from eventlake.llm.merkle import edited_range, fingerprint, likeness, merkle_tre
 from eventlake.llm.near_dedup import near_duplicates
 from eventlake.llm.pii import KINDS, personal_spans, span_list
 from eventlake.llm.sharding import sharded
+from eventlake.llm.token_alignment import aligned
 from eventlake.llm.toxicity import toxicity
 from eventlake.llm.url_filter import judged
 
@@ -116,6 +117,10 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives(integer_vectors(noisy), F.col("vec_id") % 50 == 0)
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aligned(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -131,6 +136,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_chat_format,
         op11_url_filter,
         op12_hard_negatives,
+        op13_token_alignment,
     )
 }
 

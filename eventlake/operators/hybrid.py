@@ -163,19 +163,35 @@ def recover_from_anchor(history: DataFrame, live: DataFrame, reorgs: DataFrame,
     return stood.unionByName(rest), reorgs.join(tip).withColumn("old_tip", F.greatest("old_tip", "live_tip")).drop("live_tip"), alien
 
 
-def branch_epochs(records: DataFrame, reorgs: DataFrame, bucket: int = 64) -> DataFrame:
+def branch_epochs(records: DataFrame, reorgs: DataFrame) -> DataFrame:
     """records(block_number, arrival) with epoch: how many reorgs had displaced the height before the arrival.
 
-    Reorgs are joined by buckets of the heights that they displace.
+    Reorgs are cut into dyadic intervals of heights, at most two of a size, and a height is looked up in the one
+    interval of each size in use that holds it: a reorg of a million heights is forty rows at most, and the
+    join is on equal keys. An interval's row lists the arrivals of the reorgs that have it.
     """
-    r = reorgs.select("ancestor", "old_tip", F.col("arrival").alias("at"), F.explode(F.sequence(F.floor((F.col("ancestor") + 1) / bucket), F.floor(F.col("old_tip") / bucket))).alias("bucket"))
-    held = records.select("block_number", "arrival").distinct().withColumn("bucket", F.floor(F.col("block_number") / bucket))
-    n = F.col("block_number")
-    hit = held.join(r, "bucket").where((F.col("ancestor") < n) & (n <= F.col("old_tip")) & (F.col("at") <= F.col("arrival")))
-    count = hit.groupBy("block_number", "arrival").agg(F.count("*").alias("epoch"))
+    cover = reorgs.select(F.col("arrival").alias("at"), F.explode(dyadic("ancestor + 1", "old_tip + 1")).alias("p")).select("at", "p.*")
+    cover = cover.groupBy("level", "part").agg(F.collect_list("at").alias("times"))
+    levels = F.broadcast(cover.agg(F.collect_set("level").alias("levels")))  # one row
+    held = records.select("block_number", "arrival").distinct().join(levels).select("block_number", "arrival", F.explode("levels").alias("level"))
+    held = held.withColumn("part", F.expr("shiftright(block_number, level)"))
+    before = F.size(F.filter("times", lambda t: t <= F.col("arrival"))).cast("long")
+    count = held.join(cover, ["level", "part"]).groupBy("block_number", "arrival").agg(F.sum(before).alias("epoch"))
     return records.join(count, ["block_number", "arrival"], "left").na.fill(0, ["epoch"])
 
 
+def dyadic(low: str, high: str) -> Column:
+    """The half-open range of two SQL expressions as an array of (level, part): part k of level j is the 2**j numbers from k * 2**j on.
+
+    A level holds the part at the lower end where its number is odd, and the one before the upper end where that is.
+    """
+    part = lambda at: f"array(named_struct('level', x.level, 'part', {at}))"
+    none = "cast(array() as array<struct<level: int, part: bigint>>)"
+    sizes = f"transform(sequence(0, 62), j -> named_struct('level', j, 'a', -shiftright(-cast({low} as bigint), j), 'b', shiftright(cast({high} as bigint), j)))"
+    ends = f"concat(if(x.a % 2 = 1, {part('x.a')}, {none}), if(x.b % 2 = 1, {part('x.b - 1')}, {none}))"
+    return F.expr(f"flatten(transform(filter({sizes}, x -> x.a < x.b), x -> {ends}))")
+
+
 def deduplicate(records: DataFrame, key: list[str], reorgs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """records(key, block_number, owner_id, arrival, removed, digest) -> (with epoch and deliver, conflicts).
 
@@ -189,6 +205,31 @@ def deduplicate(records: DataFrame, key: list[str], reorgs: DataFrame) -> tuple[
     return seen.withColumn("deliver", F.col("removed") | (F.row_number().over(w) == 1)), payloads.select(F.lit("payload_conflict").alias("rule"), *key)
 
 
+def deduplicate_generations(records: DataFrame, key: list[str], reorgs: DataFrame, generations: DataFrame) -> DataFrame:
+    """records(key, block_number, owners, arrival, removed, digest) -> with verdict and the owners it is delivered to.
+
+    The batch form of streaming.journal.dedup_stream without bounds, row for row. generations(owner_id,
+    arrival, generation) tell from when on an owner has which generation (null: gone); before the first it
+    is 0. delivered: to the owners to whom this is the first time, at their generation and since the last
+    reorg that displaced its height, that the input comes with the payload of its first time; suppressed:
+    to nobody; conflict: it has another payload; passed: removals. Arrivals are unique.
+    """
+    of = Window.partitionBy("owner_id").orderBy("arrival")
+    g = generations.select(F.col("owner_id").alias("owner"), F.coalesce("generation", F.lit(0)).alias("generation"), F.col("arrival").alias("since"), F.lead("arrival").over(of).alias("until"))
+    seen = branch_epochs(records, reorgs)
+    first = F.first("digest").over(Window.partitionBy(*key, "epoch", "removed").orderBy("arrival"))
+    seen = seen.withColumn("agrees", ~F.col("removed") & first.eqNullSafe(F.col("digest")))
+    asked = seen.where("agrees").select(*key, "epoch", "arrival", F.explode(F.array_distinct("owners")).alias("owner"))
+    within = (asked["owner"] == g["owner"]) & (F.col("since") <= F.col("arrival")) & (F.col("until").isNull() | (F.col("arrival") < F.col("until")))
+    asked = asked.join(g, within, "left").select(*key, "epoch", "arrival", asked["owner"], F.coalesce("generation", F.lit(0)).alias("generation"))
+    turn = F.row_number().over(Window.partitionBy(*key, "epoch", "owner", "generation").orderBy("arrival"))
+    fresh = asked.withColumn("turn", turn).where("turn = 1").groupBy(*key, "arrival").agg(F.array_sort(F.collect_list("owner")).alias("fresh"))
+    out = seen.join(fresh, [*key, "arrival"], "left")
+    verdict = F.when(F.col("removed"), "passed").when(~F.col("agrees"), "conflict").when(F.col("fresh").isNotNull(), "delivered").otherwise("suppressed")
+    owners = F.when(F.col("removed"), F.array_sort(F.array_distinct("owners"))).otherwise(F.coalesce("fresh", _none()))
+    return out.select(*[c for c in records.columns if c != "owners"], verdict.alias("verdict"), owners.alias("owners"))
+
+
 def log_identity() -> Column:
     return F.struct("chain_id", "block_hash", "transaction_hash", "log_index", F.lit("log").alias("kind"))
 

@@ -115,6 +115,47 @@ def _(s, d):
     return _deduplicated(s, d)[1]
 
 
+#: Fixed values of the queries: from which arrival on an owner has which generation.
+_GENERATIONS = [("", 3000, 1), ("errors", 4000, 1), ("", 5000, 2), ("user3", 2500, 1), ("low", 6100, 4)]
+_COPIES = f"""{_ONE}, seen AS (SELECT l.block_number, l.transaction_hash, l.log_index, l.block_hash, l.removed, l.arrival, l.data, string_split(a.owners, ',') AS asked FROM log_arrivals l JOIN audience a USING (block_number, transaction_index, log_index)),
+copied AS (SELECT * REPLACE (arrival * 1000 + 10 + 2 * log_index AS arrival) FROM seen
+  UNION ALL SELECT * REPLACE ((arrival + 2) * 1000 + 11 + 2 * log_index AS arrival, CASE WHEN CAST(data AS BIGINT) % 11 = 0 THEN 'other' ELSE data END AS data) FROM seen WHERE log_index % 3 = 0 AND NOT removed
+  UNION ALL SELECT * REPLACE ((arrival + 3008) * 1000 + 500 + 2 * log_index AS arrival) FROM seen WHERE CAST(data AS BIGINT) % 4 = 0),
+aged AS (SELECT t.*, (SELECT count(*) FROM reorgs r WHERE r.arrival * 1000 <= t.arrival AND r.ancestor < t.block_number AND t.block_number <= r.old_tip) AS epoch FROM copied t),
+judged AS (SELECT *, NOT removed AND data = first_value(data) OVER (PARTITION BY block_hash, transaction_hash, log_index, epoch, removed ORDER BY arrival) AS agrees FROM aged),
+asked AS (SELECT *, unnest(asked) AS owner FROM judged WHERE agrees),
+generations AS (SELECT * FROM (VALUES {", ".join(map(str, _GENERATIONS))}) t(owner, since, generation)),
+timed AS (SELECT *, coalesce((SELECT max(generation) FROM generations g WHERE g.owner = asked.owner AND g.since * 1000 <= asked.arrival), 0) AS generation FROM asked),
+fresh AS (SELECT block_hash, transaction_hash, log_index, arrival, owner FROM timed QUALIFY row_number() OVER (PARTITION BY block_hash, transaction_hash, log_index, epoch, owner, generation ORDER BY arrival) = 1),
+told AS (SELECT block_hash, transaction_hash, log_index, arrival, string_agg(owner, ',' ORDER BY owner) AS owners FROM fresh GROUP BY ALL)"""
+_VERDICTS = _with(
+    _COPIES,
+    "SELECT j.block_hash, j.log_index, j.arrival, CASE WHEN removed THEN 'passed' WHEN NOT agrees THEN 'conflict' WHEN t.owners IS NOT NULL THEN 'delivered' ELSE 'suppressed' END AS verdict, CASE WHEN removed THEN array_to_string(asked, ',') ELSE coalesce(t.owners, '') END AS owners FROM judged j LEFT JOIN told t USING (block_hash, transaction_hash, log_index, arrival)",
+)
+
+
+def _copies(s, d):
+    """Routed live arrivals: every third log comes twice, some with another payload, and every fourth event again 300 heights later."""
+    r = R.route_logs(D.log_arrivals(s, d), D.interests(s, d), D.owners(s, d), ACTIVATION).where("canonical or size(owners) > 0")
+    r = r.withColumn("owners", F.when(C("canonical"), F.array(F.lit(""))).otherwise(C("owners"))).select(*H.IDENTITY, "block_number", "removed", "arrival", "data", "owners")
+    n, data = C("log_index"), C("data").cast("long")
+    again = r.where(~C("removed") & (n % 3 == 0)).withColumns({"arrival": (C("arrival") + 2) * 1000 + 11 + 2 * n, "data": F.when(data % 11 == 0, "other").otherwise(C("data"))})
+    late = r.where(data % 4 == 0).withColumn("arrival", (C("arrival") + 3008) * 1000 + 500 + 2 * n)
+    rows = r.withColumn("arrival", C("arrival") * 1000 + 10 + 2 * n).unionByName(again).unionByName(late).withColumn("digest", F.sha2("data", 256)).drop("data")
+    reorgs = K.reorg_events(D.block_arrivals(s, d), CHAIN).select("ancestor", "old_tip", (C("arrival") * 1000).alias("arrival"))
+    generations = s.createDataFrame([(o, at * 1000, g) for o, at, g in _GENERATIONS], "owner_id string, arrival bigint, generation bigint")
+    return rows, reorgs, generations
+
+
+def _said(df):
+    return df.select("block_hash", "log_index", "arrival", "verdict", F.array_join("owners", ",").alias("owners"))
+
+
+@query("str9_generations", _VERDICTS)
+def _(s, d):
+    return _said(H.deduplicate_generations(_copies(s, d)[0], H.IDENTITY, *_copies(s, d)[1:]))
+
+
 @query("fn8_identities", _with(_CHAINS, "SELECT 'log' AS kind, count(DISTINCT (block_hash, transaction_hash, log_index)) AS n FROM log_arrivals UNION ALL SELECT 'block', count(DISTINCT (chain_id, hash, number)) FROM chains UNION ALL SELECT 'pending', count(DISTINCT transaction_hash) FROM logs"))
 def _(s, d):
     one = F.lit(1).cast("long")

@@ -21,7 +21,11 @@ def block_hash(number: Column, branch: int | Column = 0) -> Column:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return leveled(spark.read.parquet(f"{sf_dir}/events.parquet"))
+
+
+def leveled(e: DataFrame) -> DataFrame:
+    """Events with their height and the number in their properties."""
     return e.select(
         "event_id",
         F.expr("event_id div 18 * 13 + greatest(0, event_id % 18 - 5)").alias("number"),
@@ -33,7 +37,11 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = events(spark, sf_dir).select("number").distinct()
+    return blocks_of(events(spark, sf_dir))
+
+
+def blocks_of(e: DataFrame) -> DataFrame:
+    n = e.select("number").distinct()
     c = F.col("number")
     return n.select("number", block_hash(c).alias("hash"), block_hash(c - 1).alias("parent_hash"), (F.lit(GENESIS) + 3600 * c).alias("timestamp"))
 
@@ -55,7 +63,12 @@ def block_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = events(spark, sf_dir).withColumn("log_index", F.row_number().over(Window.partitionBy("number").orderBy("event_id")).cast("long") - 1)
+    return logs_of(events(spark, sf_dir))
+
+
+def logs_of(e: DataFrame) -> DataFrame:
+    """The logs of whole blocks."""
+    e = e.withColumn("log_index", F.row_number().over(Window.partitionBy("number").orderBy("event_id")).cast("long") - 1)
     n, tx = F.col("number"), F.floor(F.col("log_index") / 2)
     return e.select(
         n.alias("block_number"),

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from eventlake.operators import scans
+
 BLOCK = ["number", "hash", "parent_hash", "timestamp"]
 BUCKET = 64  # heights that an interval join looks at together
 
@@ -56,6 +58,20 @@ def canonical_chain(arrivals: DataFrame, chain: list[str]) -> DataFrame:
     return arrivals.withColumn("later", later).where(F.col("later").isNull() | (F.col("later") > F.col("number"))).drop("later")
 
 
+def canonical_chain_segmented(arrivals: DataFrame, chain: list[str], size: int = scans.SEGMENT_ROWS) -> DataFrame:
+    """The same where one chain holds most rows: segments of arrivals in tasks of their own, the least number of
+    what follows carried between them. Reorgs may reach back any depth."""
+    back = scans.scan(arrivals.withColumn("back", -F.col("arrival")), chain, ["back"], scans.Surviving(), size)
+    return back.where("survives").select(*arrivals.columns)
+
+
+def reorg_events_segmented(arrivals: DataFrame, chain: list[str], size: int = scans.SEGMENT_ROWS) -> DataFrame:
+    """reorg_events where one chain holds most rows: the tip before a segment and the branches so far are carried."""
+    a = scans.scan(arrivals.select(*chain, "arrival", "number", "hash"), chain, ["arrival"], scans.Branches(), size)
+    tips = a.groupBy(*chain, "branch").agg(F.max("number").alias("new_tip"))
+    return a.where("starts").join(tips, [*chain, "branch"]).select(*chain, "arrival", (F.col("number") - 1).alias("ancestor"), F.col("tip").alias("old_tip"), F.col("tip_hash").alias("old_tip_hash"), "new_tip")
+
+
 def canonical_chain_bounded(arrivals: DataFrame, chain: list[str], depth: int) -> DataFrame:
     """The same for one large chain whose reorgs reach at most `depth` back: an interval anti join by
     height bucket instead of a window over the whole chain."""
@@ -164,3 +180,31 @@ def finality_heads(marks: DataFrame, chain: list[str]) -> DataFrame:
     m = marks.withColumn("before", before)
     rule = F.when(F.col("finalized") > F.col("coverage"), "above_coverage").when(F.col("finalized") < F.col("before"), "regressed").when(F.col("ancestor") < F.col("before"), "reorg_below_finalized")
     return m.select(*chain, "arrival", F.max("finalized").over(w).alias("head"), rule.alias("rule"))
+
+
+def certified_heads(heads: DataFrame, session: list[str], size: int = scans.SEGMENT_ROWS) -> DataFrame:
+    """heads(session, generation, sequence, head_number, ancestor) with certified: the highest head that history has certified.
+
+    It belongs to a generation; a reorg (a row with an ancestor) clears it only where it cuts below it, and a lower
+    page cannot lower it. In a row that has both, the reorg comes first.
+    """
+    return scans.scan(heads, [*session, "generation"], ["sequence"], scans.Certified(), size)
+
+
+def head_marks(marks: DataFrame, chain: list[str], size: int = scans.SEGMENT_ROWS) -> DataFrame:
+    """marks(arrival, safe, finalized, coverage, ancestor) with the safe and the finalized head and the rule a row breaks.
+
+    Heads only rise, but a reorg below the safe head lowers it to the ancestor; one below the finalized head is an
+    error, as are marks above the coverage, below their head, and a finalized head above the safe one.
+    """
+    m = scans.scan(marks, chain, ["arrival"], scans.Marks(), size)
+    c = F.col
+    rule = (
+        F.when(c("finalized") > c("coverage"), "finalized_above_coverage")
+        .when(c("safe") > c("coverage"), "safe_above_coverage")
+        .when(c("ancestor") < c("finalized_before"), "reorg_below_finalized")
+        .when(c("finalized") < c("finalized_before"), "finalized_regressed")
+        .when(c("safe") < F.least(c("safe_before"), F.coalesce(c("ancestor"), c("safe_before"))), "safe_regressed")
+        .when(c("finalized_head") > c("safe_head"), "finalized_above_safe")
+    )
+    return m.select(*marks.columns, "safe_head", "finalized_head", rule.alias("rule"))

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventlake.functions.sizes import accounted_bytes, control_bytes, token  # noqa: F401
+from eventlake.operators import scans
 from eventlake.operators.scan import violations
 
 SLOT = ["session_id", "chain_id", "sequence"]
@@ -91,6 +92,30 @@ def classify_acks(deliveries: DataFrame, acks: DataFrame) -> DataFrame:
     return j.mapInPandas(_ack_outcomes, ", ".join(f"{c} {kinds[c]}" for c in (*SESSION, "ordinal", "sequence")) + ", outcome string")
 
 
+def classify_acks_segmented(deliveries: DataFrame, acks: DataFrame, size: int = scans.SEGMENT_ROWS) -> DataFrame:
+    """classify_acks where one session holds most acks: a session's sequences are cut into segments.
+
+    A right ack is an arrow to the first right ack of the next sequence after it; the committed acks are the path from
+    the first of sequence 1. Each segment says where its entries lead, the path is carried over the
+    segments, and an ack is then judged by when its own sequence and the next were committed.
+    """
+    known = deliveries.select(*SLOT, F.col("token").alias("expected"))
+    j = acks.join(known, SLOT, "left").withColumn("known", F.col("expected").isNotNull()).withColumn("right", F.coalesce(F.col("token") == F.col("expected"), F.lit(False)))
+    j = j.select(*SESSION, "ordinal", "sequence", "known", "right")
+    done = scans.scan(j.where("right").select(*SLOT, "ordinal"), SESSION, ["sequence", "ordinal"], scans.Commits(), size).where("commits")
+    own = done.select(*SLOT, F.col("ordinal").alias("at"))
+    after = done.select(*SESSION, (F.col("sequence") - 1).alias("sequence"), F.col("ordinal").alias("next_at"))
+    j = j.join(own, SLOT, "left").join(after, SLOT, "left")
+    o = F.col("ordinal")
+    outcome = (
+        F.when(~F.col("known"), "none_pending")
+        .when(F.col("right") & (o == F.col("at")), "committed")
+        .when(F.col("right") & (F.col("at") < o) & (F.col("next_at").isNull() | (o < F.col("next_at"))), "duplicate")
+        .otherwise("mismatch")
+    )
+    return j.select(*SESSION, "ordinal", "sequence", outcome.alias("outcome"))
+
+
 def session_state(deliveries: DataFrame, acks: DataFrame) -> DataFrame:
     """Latest revision, acknowledged and pending sequence, cursor and promised tip of each session."""
     d = deliveries.join(acks.select(*SLOT, F.lit(True).alias("acked")), SLOT, "left").withColumn("acked", F.coalesce("acked", F.lit(False)))

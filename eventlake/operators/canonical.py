@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from eventlake.functions.intervals import dyadic
 from eventlake.operators import scans
 
 BLOCK = ["number", "hash", "parent_hash", "timestamp"]
@@ -98,11 +99,18 @@ def common_ancestor(retained: DataFrame, observed: DataFrame, chain: list[str])
 
 
 def displaced(rows: DataFrame, reorgs: DataFrame, chain: list[str], number: str = "number", arrival: str = "arrival") -> DataFrame:
-    """Rows of the old branch in (ancestor, old tip] that arrived before the reorg."""
-    r = reorgs.select(*chain, "ancestor", "old_tip", F.col("arrival").alias("at"))
-    r = r.withColumn("bucket", F.explode(F.sequence(F.floor((F.col("ancestor") + 1) / BUCKET), F.floor(F.col("old_tip") / BUCKET))))
-    j = rows.withColumn("bucket", F.floor(F.col(number) / BUCKET)).join(r, [*chain, "bucket"])
-    return j.where((F.col(number) > F.col("ancestor")) & (F.col(number) <= F.col("old_tip")) & (F.col(arrival) < F.col("at"))).drop("bucket", "ancestor", "old_tip", "at").distinct()
+    """Rows of the old branch in (ancestor, old tip] that arrived before the reorg.
+
+    Reorgs become dyadic intervals of heights, of each only the last arrival counts, and each different height is looked
+    up once a size of interval in use: the work is linear in rows and reorgs, however deep they reach.
+    """
+    cover = reorgs.select(*chain, F.col("arrival").alias("at"), F.explode(dyadic("ancestor + 1", "old_tip + 1")).alias("p"))
+    cover = cover.groupBy(*chain, F.col("p.level").alias("level"), F.col("p.part").alias("part")).agg(F.max("at").alias("at"))
+    levels = F.broadcast(cover.agg(F.collect_set("level").alias("levels")))  # one row
+    heights = rows.select(*chain, F.col(number).alias("height")).distinct().join(levels).select(*chain, "height", F.explode("levels").alias("level"))
+    heights = heights.withColumn("part", F.expr("shiftright(height, level)")).join(cover, [*chain, "level", "part"])
+    last = heights.groupBy(*chain, F.col("height").alias(number)).agg(F.max("at").alias("at"))
+    return rows.join(last, [*chain, number]).where(F.col(arrival) < F.col("at")).select(*rows.columns)
 
 
 def retain_depth(history: DataFrame, depth: int, chain: list[str]) -> DataFrame:

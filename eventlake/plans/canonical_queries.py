@@ -319,3 +319,79 @@ def _(s, d):
 @query("fn3_normalize_topics", _with(_BAD_LOGS, "SELECT coalesce(topics, 'fine') AS problem, count(*) AS n, CAST(sum(CASE topics WHEN 'too_many_topics' THEN 6 WHEN 'topic_after_null' THEN 1 ELSE 2 END) AS BIGINT) AS kept FROM bad_logs GROUP BY 1"))
 def _(s, d):
     return bad_logs(s, d).groupBy(F.coalesce(V.topics_problem(), F.lit("fine")).alias("problem")).agg(F.count("*").alias("n"), F.sum(F.size(V.normalize_topics())).alias("kept"))
+
+
+# ------------------------------------------------------------------ one huge chain or session, in segments
+
+_SINGLE = "chains AS (SELECT * FROM arrivals)"
+SEGMENT = 1 << 10  # rows, so that small tables too have several
+
+
+@query("win10_canonical_chain_segmented", _with(_SINGLE, _CANON))
+def _(s, d):
+    """All arrivals as one chain, over as many tasks as it has segments."""
+    return K.canonical_chain_segmented(D.block_arrivals(s, d), CHAIN, SEGMENT).select("chain_id", "number", "hash")
+
+
+@query("win9_reorg_events_segmented", _with(f"{_SINGLE}, {_REORGS}", "SELECT chain_id, arrival, ancestor, old_tip, old_tip_hash, new_tip FROM reorgs"))
+def _(s, d):
+    return K.reorg_events_segmented(D.block_arrivals(s, d), CHAIN, SEGMENT)
+
+
+#: Of each page and session: a head that came too early, the reorg of its last two heights, a late lower page, its own head.
+_HEADS = """heads AS (SELECT 's' || s AS session_id, CAST(page_id // 40 AS BIGINT) AS generation, page_id * 4 + k AS sequence,
+  CASE WHEN k = 0 AND page_id % 3 <> 1 OR k = 3 THEN guard_tip WHEN k = 2 AND page_id % 4 = 0 THEN guard_tip - 60 END AS head_number,
+  CASE WHEN k = 1 AND next_block % 50 = 0 THEN guard_tip - 2 - page_id % 5 // 4 * 70 WHEN k = 2 AND page_id % 7 = 0 THEN guard_tip END AS ancestor FROM pages, range(0, 4) t(k), range(0, 8) r(s)),
+numbered_heads AS (SELECT *, row_number() OVER (PARTITION BY session_id, generation ORDER BY sequence) AS n FROM heads)"""
+
+
+@query(
+    "win12_certified_heads",
+    _with(
+        _HEADS,
+        """SELECT session_id, generation, sequence, certified FROM (WITH RECURSIVE run AS (
+  SELECT session_id, generation, sequence, n, head_number AS certified FROM numbered_heads WHERE n = 1
+  UNION ALL SELECT h.session_id, h.generation, h.sequence, h.n, greatest(h.head_number, CASE WHEN h.ancestor IS NULL OR r.certified <= h.ancestor THEN r.certified END)
+  FROM run r JOIN numbered_heads h ON h.session_id = r.session_id AND h.generation = r.generation AND h.n = r.n + 1) SELECT * FROM run)""",
+    ),
+)
+def _(s, d):
+    p, k = C("page_id"), C("k")
+    h = D.pages(s, d).withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(3)))).withColumn("session", F.explode(F.sequence(F.lit(0), F.lit(7))))
+    h = h.select(
+        F.concat(F.lit("s"), C("session").cast("string")).alias("session_id"),
+        F.floor(p / 40).alias("generation"),
+        (p * 4 + k).alias("sequence"),
+        F.when(((k == 0) & (p % 3 != 1)) | (k == 3), C("guard_tip")).when((k == 2) & (p % 4 == 0), C("guard_tip") - 60).alias("head_number"),
+        F.when((k == 1) & (C("next_block") % 50 == 0), C("guard_tip") - 2 - F.expr("page_id % 5 div 4") * 70).when((k == 2) & (p % 7 == 0), C("guard_tip")).alias("ancestor"),
+    )
+    return K.certified_heads(h, ["session_id"], SEGMENT).select("session_id", "generation", "sequence", "certified")
+
+
+_MARKS = """marks AS (SELECT chain_id * 1000000 + arrival // 2000 AS chain_id, arrival, CASE WHEN number % 3 = 0 THEN number - 20 + CASE WHEN number % 31 = 7 THEN 25 ELSE 0 END - CASE WHEN number % 29 = 3 THEN 9 ELSE 0 END END AS safe,
+  CASE WHEN number % 5 = 0 THEN number - 40 + CASE WHEN number % 7 = 0 THEN 22 WHEN number % 11 = 0 THEN 41 ELSE 0 END END AS finalized, number AS coverage, CASE WHEN number % 50 = 47 THEN number - 1 - number % 4 * 15 END AS ancestor FROM chains),
+numbered_marks AS (SELECT *, row_number() OVER (PARTITION BY chain_id ORDER BY arrival) AS n FROM marks)"""
+
+
+@query(
+    "win13_head_marks",
+    _with(
+        f"{_CHAINS}, {_MARKS}",
+        """SELECT chain_id, arrival, safe_head, finalized_head, CASE WHEN finalized > coverage THEN 'finalized_above_coverage' WHEN safe > coverage THEN 'safe_above_coverage' WHEN ancestor < finalized_before THEN 'reorg_below_finalized'
+  WHEN finalized < finalized_before THEN 'finalized_regressed' WHEN safe < least(safe_before, ancestor) THEN 'safe_regressed' WHEN finalized_head > safe_head THEN 'finalized_above_safe' END AS rule FROM (WITH RECURSIVE run AS (
+  SELECT *, CAST(NULL AS BIGINT) AS safe_before, CAST(NULL AS BIGINT) AS finalized_before, CASE WHEN safe <= coverage THEN safe END AS safe_head, CASE WHEN finalized <= coverage THEN finalized END AS finalized_head FROM numbered_marks WHERE n = 1
+  UNION ALL SELECT h.*, r.safe_head, r.finalized_head, greatest(CASE WHEN h.safe <= h.coverage THEN h.safe END, CASE WHEN r.safe_head IS NOT NULL THEN least(r.safe_head, h.ancestor) END), greatest(CASE WHEN h.finalized <= h.coverage THEN h.finalized END, r.finalized_head)
+  FROM run r JOIN numbered_marks h ON h.chain_id = r.chain_id AND h.n = r.n + 1) SELECT * FROM run)""",
+    ),
+)
+def _(s, d):
+    n = C("number")
+    m = chains(s, d).select(
+        (C("chain_id") * 1000000 + F.floor(C("arrival") / 2000)).alias("chain_id"),
+        "arrival",
+        F.when(n % 3 == 0, n - 20 + F.when(n % 31 == 7, 25).otherwise(0) - F.when(n % 29 == 3, 9).otherwise(0)).alias("safe"),
+        F.when(n % 5 == 0, n - 40 + F.when(n % 7 == 0, 22).when(n % 11 == 0, 41).otherwise(0)).alias("finalized"),
+        n.alias("coverage"),
+        F.when(n % 50 == 47, n - 1 - n % 4 * 15).alias("ancestor"),
+    )
+    return K.head_marks(m, CHAIN, SEGMENT).select("chain_id", "arrival", "safe_head", "finalized_head", "rule")

@@ -195,20 +195,33 @@ def _(s, d):
     return new.select("session_id", "sequence", F.lit("new").alias("status")).unionByName(bad.select("session_id", "sequence", F.lit("conflict").alias("status")))
 
 
+_ACKED = """SELECT session_id, sequence * 4 AS ordinal, sequence, 'committed' AS outcome FROM acks
+UNION ALL SELECT session_id, sequence * 4 + 1, sequence, CASE WHEN sequence % 3 = 0 THEN 'duplicate' ELSE 'mismatch' END FROM acks WHERE sequence % 5 < 2
+UNION ALL SELECT session_id, (sequence - 3) * 4 + 2, sequence, 'mismatch' FROM acks WHERE sequence % 7 = 5 UNION ALL SELECT session_id, 3, -777, 'none_pending' FROM acks WHERE sequence = 1"""
+
+
 @query(
     "snk2_commit_acks",
-    """SELECT session_id, sequence * 4 AS ordinal, sequence, 'committed' AS outcome FROM acks
-UNION ALL SELECT session_id, sequence * 4 + 1, sequence, CASE WHEN sequence % 3 = 0 THEN 'duplicate' ELSE 'mismatch' END FROM acks WHERE sequence % 5 < 2
-UNION ALL SELECT session_id, (sequence - 3) * 4 + 2, sequence, 'mismatch' FROM acks WHERE sequence % 7 = 5 UNION ALL SELECT session_id, 3, -777, 'none_pending' FROM acks WHERE sequence = 1""",
+    _ACKED,
 )
 def _(s, d):
+    return L.classify_acks(D.deliveries(s, d), _acked(s, d)).drop("chain_id")
+
+
+@query("snk2_commit_acks_segmented", _ACKED)
+def _(s, d):
+    """Each session's acks over as many tasks as it has segments."""
+    return L.classify_acks_segmented(D.deliveries(s, d), _acked(s, d), 1 << 10).drop("chain_id")
+
+
+def _acked(s, d):
     """Acks in turn, repeats with and without the right token, right acks that come three deliveries early, and one of no delivery."""
     a = D.acks(s, d)
     again = a.where("sequence % 5 < 2").withColumns({"ordinal": C("sequence") * 4 + 1, "token": F.when(C("sequence") % 3 == 0, C("token")).otherwise(F.lit("ff"))})
     early = a.where("sequence % 7 = 5").withColumn("ordinal", (C("sequence") - 3) * 4 + 2)
     lost = a.where("sequence = 1").withColumns({"ordinal": F.lit(3).cast("long"), "sequence": F.lit(-777).cast("long")})
     every = a.withColumn("ordinal", C("sequence") * 4).unionByName(again).unionByName(early).unionByName(lost)
-    return L.classify_acks(D.deliveries(s, d), every).drop("chain_id")
+    return every
 
 
 _STATE = "state AS (SELECT session_id, max(query_revision) AS revision, max(sequence) - 1 AS acked, arg_max(next_block, sequence) FILTER (WHERE sequence < n) AS acked_next, arg_max(head_number, sequence) FILTER (WHERE sequence < n AND NOT checkpoint_neutral) AS runtime_head, max(sequence) AS pending FROM (SELECT *, max(sequence) OVER (PARTITION BY session_id) AS n FROM deliveries) GROUP BY session_id)"

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 HEADER, LOG, PROGRESS = 0, 1, 2
 MAX_FILTERS = 4096
+SLICE = 1024  # targets that a row lists
 
 
 def log_matches(topics: Column, address: Column, addresses: Column, accepted: Column) -> Column:
@@ -72,31 +73,60 @@ def _checked(config: DataFrame) -> DataFrame:
     return config
 
 
-def route_logs(logs: DataFrame, interests: DataFrame, owners: DataFrame, activation: int) -> DataFrame:
+def _index(targets: DataFrame, slice_size: int) -> tuple[DataFrame, DataFrame]:
+    """(address, listed) of addresses with up to `slice_size` targets, and (address, slice, listed) of the others.
+
+    The targets of a hot address are dealt into slices by owner, so no row lists more than a few `slice_size`.
+    """
+    flat = targets.withColumn("address", F.explode(F.array_distinct("addresses"))).select("address", "target")
+    n = flat.groupBy("address").agg(F.count("*").alias("n"))
+    hot = n.where(F.col("n") > slice_size).select("address", F.ceil(F.col("n") / slice_size).alias("slices"))
+    cold = flat.join(hot, "address", "left_anti").groupBy("address").agg(F.collect_list("target").alias("listed"))
+    dealt = flat.join(hot, "address").withColumn("slice", F.pmod(F.xxhash64("target.owner_id", "target.accepted"), F.col("slices")))
+    return cold, dealt.groupBy("address", "slice").agg(F.collect_list("target").alias("listed"))
+
+
+def route_logs(logs: DataFrame, interests: DataFrame, owners: DataFrame, activation: int, slice_size: int = SLICE) -> DataFrame:
     """The logs that reach anyone, with canonical (everyone) and owners (sorted, distinct, or none for everyone).
 
-    One pass: a log meets the targets that list its address, gathered by address, and those that take
-    any address, which are a checked few; its audience is read off them in its own row. Addresses are joined
-    by key, whatever their number.
+    A log meets the targets that list its address, gathered by address, and those that take any address, which are a
+    checked few; its audience is read off them in its own row. Addresses are joined by key, whatever their
+    number. An address with more than `slice_size` targets is looked up slice by slice: a log of it meets each slice in a row of its
+    own, and the audiences are merged. Rows that repeat are routed alike and kept.
     """
     targets = _targets(interests, owners)
     wild = _checked(targets.where(F.size("addresses") == 0).select("target")).agg(F.collect_list("target").alias("wild"))
-    listed = targets.withColumn("address", F.explode(F.array_distinct("addresses"))).groupBy("address").agg(F.collect_list("target").alias("listed"))
+    cold, hot = _index(targets, slice_size)
     everyone = global_backfill(owners, F.col("block_number"))
     live = F.col("block_number") >= activation
-    met = logs.join(listed, "address", "left").join(F.broadcast(wild)).withColumns({"everyone": everyone, "live": live})  # wild is one row
-    none = F.array().cast(listed.schema["listed"].dataType)
-
-    def reached(t: Column) -> Column:
-        own = F.coalesce((t["from_block"] <= F.col("block_number")) & (t["to_block_excl"].isNull() | (F.col("block_number") < t["to_block_excl"])), F.lit(False))
-        match = F.forall(F.transform(t["accepted"], lambda v, k: (F.size(v) == 0) | F.coalesce(F.array_contains(v, F.get("topics", k)), F.lit(False))), lambda ok: ok)
-        return (F.col("everyone") | F.col("live") | own) & match
-
-    met = met.withColumn("met", F.filter(F.concat(F.coalesce("listed", none), "wild"), reached)).where(F.size("met") > 0)
-    met = met.withColumn("canonical", F.col("everyone") | F.exists("met", lambda t: t["canonical"] & F.col("live")))
-    names = F.array_sort(F.array_distinct(F.transform(F.filter("met", lambda t: ~t["canonical"] | F.col("live")), lambda t: t["owner_id"])))
-    out = met.select(*logs.columns, "canonical", F.when(F.col("canonical"), F.array().cast("array<string>")).otherwise(names).alias("owners"))
-    return drop_unrouted(out)
+
+    def met(rows: DataFrame) -> DataFrame:
+        """Rows with their `listed` and `wild` targets -> canonical and owners."""
+        none = F.array().cast(cold.schema["listed"].dataType)
+
+        def reached(t: Column) -> Column:
+            own = F.coalesce((t["from_block"] <= F.col("block_number")) & (t["to_block_excl"].isNull() | (F.col("block_number") < t["to_block_excl"])), F.lit(False))
+            match = F.forall(F.transform(t["accepted"], lambda v, k: (F.size(v) == 0) | F.coalesce(F.array_contains(v, F.get("topics", k)), F.lit(False))), lambda ok: ok)
+            return (F.col("everyone") | F.col("live") | own) & match
+
+        rows = rows.withColumns({"everyone": everyone, "live": live})
+        rows = rows.withColumn("met", F.filter(F.concat(F.coalesce("listed", none), F.coalesce("wild", none)), reached)).where(F.size("met") > 0)
+        rows = rows.withColumn("canonical", F.col("everyone") | F.exists("met", lambda t: t["canonical"] & F.col("live")))
+        names = F.array_sort(F.array_distinct(F.transform(F.filter("met", lambda t: ~t["canonical"] | F.col("live")), lambda t: t["owner_id"])))
+        return rows.withColumn("owners", F.when(F.col("canonical"), F.array().cast("array<string>")).otherwise(names))
+
+    one_row = F.broadcast(wild)
+    if hot.isEmpty():  # configuration as a rule has no such address, and logs are then shuffled once
+        return drop_unrouted(met(logs.join(cold, "address", "left").join(one_row)).select(*logs.columns, "canonical", "owners"))
+    plain = met(logs.join(hot, "address", "left_anti").join(cold, "address", "left").join(one_row)).select(*logs.columns, "canonical", "owners")
+    first = hot.groupBy("address").agg(F.min("slice").alias("slice")).withColumn("first", F.lit(True))
+    sliced = logs.join(hot.join(first, ["address", "slice"], "left"), "address").join(one_row)
+    sliced = met(sliced.withColumn("wild", F.when(F.col("first"), F.col("wild")))).select(*logs.columns, "slice", "canonical", "owners")
+    once = sliced.groupBy(*logs.columns, "slice", "canonical", "owners").agg(F.count("*").alias("copies"))
+    merged = once.groupBy(*logs.columns).agg(F.bool_or("canonical").alias("canonical"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("owners")))).alias("owners"), F.max("copies").alias("copies"))
+    merged = merged.withColumn("copy", F.explode(F.expr("sequence(1L, copies)")))
+    merged = merged.select(*logs.columns, "canonical", F.when(F.col("canonical"), F.array().cast("array<string>")).otherwise(F.col("owners")).alias("owners"))
+    return drop_unrouted(plain.unionByName(merged))
 
 
 def header_rows(blocks: DataFrame, interests: DataFrame, owners: DataFrame, activation: int) -> DataFrame:

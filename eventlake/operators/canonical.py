@@ -216,3 +216,8 @@ def head_marks(marks: DataFrame, chain: list[str], size: int = scans.SEGMENT_ROW
         .when(c("finalized_head") > c("safe_head"), "finalized_above_safe")
     )
     return m.select(*marks.columns, "safe_head", "finalized_head", rule.alias("rule"))
+
+
+def content_hash_violations(blocks: DataFrame, commitment: Column) -> DataFrame:
+    """(rule, number, hash) of blocks whose hash is not the one that their own columns give; a null hash or commitment is one too."""
+    return blocks.where(~F.coalesce(F.col("hash") == commitment, F.lit(False))).select(F.lit("content_hash").alias("rule"), "number", "hash")

@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from eventlake.functions.intervals import dyadic
 from eventlake.functions.sizes import accounted_bytes, control_bytes, token  # noqa: F401
 from eventlake.operators import scans
 from eventlake.operators.scan import violations
@@ -235,6 +236,108 @@ def validate_state_rows(state: DataFrame) -> DataFrame:
     return violations(state, rules, F.col("session_id"))
 
 
+PAYLOADS = ["data", "reorg", "finality", "barrier"]
+
+
+def validate_payloads(deliveries: DataFrame) -> DataFrame:
+    """(rule, key) of what a delivery carries, by its kind.
+
+    deliveries(session, chain, sequence, query_revision, checkpoint_neutral, payload_kind, head_number, head_hash, n_records
+    (data), ancestor, old_tip, new_tip (reorg: structs of a block), finality, block_number (finality, barrier), barrier_id).
+    """
+    from eventlake.operators.canonical import reorg_shape
+
+    kind, never = F.col("payload_kind"), F.lit(False)
+    wide = lambda c: F.coalesce(c.rlike("^[0-9a-f]{64}$"), never)
+    activation = F.concat(F.lit("desired-state:"), F.col("query_revision").cast("string"))
+    neutral = (kind == "barrier") & F.col("block_number").isNull() & ((F.col("barrier_id") == activation) | F.col("barrier_id").startswith("source-progress:"))
+    parts = [F.col(c) for c in ("ancestor", "old_tip", "new_tip")]
+    missing, narrow = never, never
+    for part in parts:
+        missing = missing | part.isNull() | part["number"].isNull() | part["hash"].isNull()
+        narrow = narrow | ~wide(part["hash"]) | ~wide(part["parent_hash"])
+    rules = {
+        "payload_missing": ~F.coalesce(kind.isin(*PAYLOADS), never),
+        "head_width": F.col("head_number").isNotNull() & ~wide(F.col("head_hash")),
+        "neutral_flag_wrong": F.col("checkpoint_neutral") != F.coalesce(neutral, never),
+        "reorg_part_missing": (kind == "reorg") & missing,
+        "reorg_part_width": (kind == "reorg") & ~missing & narrow,
+        "reorg_shape": (kind == "reorg") & ~missing & ~F.coalesce(reorg_shape("ancestor", "old_tip", "new_tip"), never),
+        "finality_kind": (kind == "finality") & ~F.coalesce(F.col("finality").isin("safe", "finalized"), never),
+        "finality_block_missing": (kind == "finality") & F.col("block_number").isNull(),
+        "empty_barrier_id": (kind == "barrier") & (F.coalesce(F.length("barrier_id"), F.lit(0)) == 0),
+        "empty_data": (kind == "data") & (F.coalesce(F.col("n_records"), F.lit(0)) == 0),
+    }
+    return violations(deliveries, rules, F.concat_ws(":", "session_id", "sequence"))
+
+
+def validate_session_rows(rows: DataFrame) -> DataFrame:
+    """(rule, key) of whole persisted session rows: desired state, acknowledged and runtime cursor, promise, pending delivery, activation.
+
+    rows(session_id, chain_id, revision, desired_session, desired_chain, desired_revision (null: no desired state),
+    acked, acked_chain, acked_revision, acked_head, runtime, runtime_chain, runtime_revision, runtime_same (whether it is the acknowledged cursor), promised,
+    pending, pending_session, pending_revision, pending_cursor (its cursor's sequence), pending_token, pending_kind, pending_activates, pending_certifies,
+    activation). The rules of validate_state_rows, which reads session_state's columns, are not repeated.
+    """
+    c, never = F.col, F.lit(False)
+    acked, pending = c("acked"), c("pending")
+    held = pending.isNotNull()
+    bare = (c("revision") == 0) & acked.isNull() & c("runtime").isNull() & pending.isNull() & c("promised").isNull()
+    current = F.coalesce(pending, acked, F.lit(0))
+    same = lambda *pairs: _all([F.col(a).eqNullSafe(F.col(b)) for a, b in pairs])
+    desired = c("desired_revision").isNotNull()
+    rules = {
+        "desired_state_missing": ~desired & ~bare,
+        "desired_state_of_other_row": desired & ~same(("desired_session", "session_id"), ("desired_chain", "chain_id"), ("desired_revision", "revision")),
+        "acked_cursor": acked.isNotNull() & ((acked < 1) | (c("acked_chain") != c("chain_id")) | (c("acked_revision") > c("revision"))),
+        "runtime_cursor": c("runtime").isNotNull() & ((c("runtime") < 1) | (c("runtime_chain") != c("chain_id")) | (c("runtime_revision") > c("revision"))),
+        "runtime_without_ack": c("runtime").isNotNull() & acked.isNull(),
+        "runtime_ahead": c("runtime") > acked,
+        "runtime_conflict": (c("runtime") == acked) & ~F.coalesce(c("runtime_same"), never),
+        "promise_behind": c("promised") <= c("acked_head"),
+        "pending_not_next": held & (pending != F.coalesce(acked, F.lit(0)) + 1),
+        "pending_of_other_row": held & ~same(("pending_session", "session_id"), ("pending_revision", "revision")),
+        "pending_cursor": held & ~same(("pending_cursor", "pending")),
+        "pending_token": held & ~F.coalesce(c("pending_token") == token("pending"), never),
+        "pending_payload": held & c("pending_kind").isNull(),
+        "pending_not_certifying": held & c("promised").isNotNull() & ~F.coalesce(c("pending_activates"), never) & ~F.coalesce(c("pending_certifies"), never),
+        "second_reorg": c("promised").isNotNull() & (c("pending_kind") == "reorg"),
+        "activation_ahead": c("activation") > current,
+        "activation_missing": desired & (c("activation") > 0) & (c("activation") <= current) & (F.coalesce(acked, F.lit(0)) < c("activation")) & ~F.coalesce((pending == c("activation")) & c("pending_activates"), never),
+        "revision_not_acknowledged": desired & ((c("activation") == 0) & ~F.coalesce(c("pending_activates"), never) | (c("activation") > 0) & (F.coalesce(acked, F.lit(0)) >= c("activation"))) & ~F.coalesce(c("acked_revision") == c("revision"), never),
+    }
+    return violations(rows, rules, F.concat_ws(":", "session_id", "row"))
+
+
+def _all(conditions: list[Column]) -> Column:
+    out = F.lit(True)
+    for condition in conditions:
+        out = out & condition
+    return out
+
+
+def reorg_then_replacement(reorgs: DataFrame, replacements: DataFrame, acks: DataFrame) -> DataFrame:
+    """The deliveries that reorgs give rise to: first the control, and once it is acknowledged the replacement.
+
+    reorgs(session, sequence, token, ancestor, new_tip), replacements(session, number, ...) the blocks of the new branches, acks(session,
+    sequence, token). -> session, sequence, step (control, replacement, held), number (null: the control) and the
+    other columns of a replacement. A control that is not acknowledged with its token holds its replacement and
+    every later reorg of the session back; blocks at or below the ancestor or above the promised tip are no part of it.
+    """
+    said = acks.select(*SLOT, "token").distinct().withColumn("acked", F.lit(True))
+    r = reorgs.join(said, [*SLOT, "token"], "left").withColumn("acked", F.coalesce("acked", F.lit(False)))
+    before = Window.partitionBy(*SESSION).orderBy("sequence").rowsBetween(Window.unboundedPreceding, -1)
+    r = r.withColumn("reached", F.coalesce(F.min(F.col("acked").cast("int")).over(before), F.lit(1)) == 1)
+    more = [x for x in replacements.columns if x not in (*SESSION, "number")]
+    control = r.select(*SLOT, F.when(F.col("reached"), "control").otherwise("held").alias("step"), F.lit(None).cast("long").alias("number"), *[F.lit(None).cast(replacements.schema[x].dataType).alias(x) for x in more])
+    parts = r.select(*SLOT, "acked", "reached", F.explode(dyadic("ancestor + 1", "new_tip + 1")).alias("p")).select("*", "p.level", "p.part").drop("p")
+    levels = F.broadcast(parts.agg(F.collect_set("level").alias("levels")))  # one row
+    blocks = replacements.join(levels).withColumn("level", F.explode("levels")).withColumn("part", F.expr("shiftright(number, level)"))
+    found = blocks.join(parts, [*SESSION, "level", "part"])
+    step = F.when(F.col("reached") & F.col("acked"), "replacement").otherwise("held")
+    return control.unionByName(found.select(*SLOT, step.alias("step"), "number", *more))
+
+
 def reorg_promises(deliveries: DataFrame, block_rows: DataFrame) -> DataFrame:
     """What follows each reorg's promise of a new tip, up to the delivery that keeps it.
 

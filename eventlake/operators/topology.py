@@ -94,13 +94,24 @@ def build_desired_state(owners: DataFrame, interests: DataFrame) -> DataFrame:
 
 
 def validate_desired_state(owners: DataFrame, interests: DataFrame) -> DataFrame:
-    """(rule, key) of the structural rules of a desired state."""
+    """(rule, key) of the structural rules of a desired state.
+
+    Owners may have baseline_number, baseline_hash and baseline_parent_hash: the retained block right before
+    their backfill. Interests may have block_mode: header, or full, which is not portable.
+    """
     per_owner = owners.groupBy("owner_id").agg(F.count("*").alias("n"), F.bool_or("canonical").alias("canonical"))
     base = owners.agg(F.count_if("canonical").alias("n_canonical"))
     key = F.col("owner_id")
     out = violations(per_owner, {"repeated_owner": F.col("n") > 1, "canonical_with_id": F.col("canonical") & (key != ""), "base_not_canonical": ~F.col("canonical") & (key == "")}, key)
     out = out.unionByName(violations(base, {"several_canonical": F.col("n_canonical") > 1}, F.lit("owners")))
-    out = out.unionByName(violations(owners, {"backfill_order": F.col("from_block") >= F.col("to_block_excl"), "backfill_end_only": F.col("from_block").isNull() & F.col("to_block_excl").isNotNull()}, key))
+    low, high = F.col("from_block"), F.col("to_block_excl")
+    backfill = {"backfill_order": low >= high, "backfill_end_only": low.isNull() & high.isNotNull()}
+    if "baseline_number" in owners.columns:  # an empty range is one that a baseline certifies
+        number, wide = F.col("baseline_number"), lambda c: F.coalesce(F.col(c).rlike("^[0-9a-f]{64}$"), F.lit(False))
+        backfill["backfill_order"] = (high < low) | ((high == low) & number.isNull())
+        backfill["baseline_not_predecessor"] = number.isNotNull() & ~F.coalesce(number + 1 == low, F.lit(False))
+        backfill["baseline_width"] = number.isNotNull() & ~(wide("baseline_hash") & wide("baseline_parent_hash"))
+    out = out.unionByName(violations(owners, backfill, key))
     name = F.concat_ws("/", "owner_id", "interest_id")
     rules = {
         "address_width": F.exists("addresses", lambda a: ~a.rlike("^[0-9a-f]{40}$")),
@@ -110,12 +121,27 @@ def validate_desired_state(owners: DataFrame, interests: DataFrame) -> DataFrame
         "block_with_filter": (F.col("kind") == "block") & ((F.size("addresses") > 0) | (F.size("topics") > 0)),
         "interest_id_missing": F.coalesce(F.col("interest_id") == "", F.lit(True)),
     }
+    if "block_mode" in interests.columns:
+        rules["full_block"] = (F.col("kind") == "block") & (F.col("block_mode") == "full")
+        rules["unknown_block_mode"] = (F.col("kind") == "block") & ~F.coalesce(F.col("block_mode").isin("header", "full"), F.lit(False))
     out = out.unionByName(violations(interests, rules, name))
     twice = interests.groupBy("owner_id", "interest_id").agg(F.count("*").alias("n"))
     out = out.unionByName(violations(twice, {"repeated_interest": F.col("n") > 1}, name))
     return out.unionByName(violations(interests.join(owners, "owner_id", "left_anti"), {"unknown_owner": F.lit(True)}, name))
 
 
+def validate_state_requests(requests: DataFrame, protocol: int) -> DataFrame:
+    """(rule, key) of requests(session_id, protocol_version, expected_revision, new_revision) for a desired state."""
+    expected, new = F.col("expected_revision"), F.col("new_revision")
+    rules = {
+        "protocol_version": ~F.col("protocol_version").eqNullSafe(F.lit(protocol)),
+        "session_missing": F.coalesce(F.col("session_id") == "", F.lit(True)),
+        "revision_without_successor": expected.isNull() | (expected == F.lit(2**63 - 1)),
+        "revision_not_successor": (expected < F.lit(2**63 - 1)) & ~F.coalesce(new - 1 == expected, F.lit(False)),
+    }
+    return violations(requests, rules, F.concat_ws(":", "session_id", "expected_revision"))
+
+
 def exclusive_topology(owners: DataFrame, interests: DataFrame) -> DataFrame:
     """One row: whether base interests and named owners are both there."""
     i = interests.join(owners.select("owner_id"), "owner_id").agg(F.count_if(F.col("owner_id") == "").alias("base"), F.count_if(F.col("owner_id") != "").alias("named"))

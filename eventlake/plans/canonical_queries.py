@@ -230,7 +230,7 @@ def _(s, d):
 
 @query("fn9_content_hash_check", "SELECT number, hash FROM arrivals WHERE number % 50 >= 48 AND arrival % 10 <> 5")
 def _(s, d):
-    return D.block_arrivals(s, d).where(C("hash") != D.block_hash(C("number"))).select("number", "hash")
+    return K.content_hash_violations(D.block_arrivals(s, d), D.block_hash(C("number"))).select("number", "hash")
 
 
 @query("fn10_reorg_shape", _with(f"{_CHAINS}, {_REORGS}", "SELECT chain_id, arrival, chain_id % 4 > 1 AS ok FROM reorgs"))

@@ -445,3 +445,108 @@ def _(s, d):
     })
     records = n.unionByName(n.where("again").withColumn("ordinal", C("ordinal") + 1))
     return V.validate_records(records, D.owners(s, d), D.block_hash(C("number"))).groupBy("rule").agg(F.count("*").alias("n"))
+
+
+# ------------------------------------------------------------------ every rule broken somewhere
+
+_PAYLOADS = """pay AS (SELECT session_id, sequence, page_id, CASE WHEN payload_kind <> 'data' THEN payload_kind WHEN page_id % 31 = 1 THEN 'odd' WHEN page_id % 6 = 5 THEN 'finality' WHEN page_id % 8 = 7 THEN 'barrier' ELSE 'data' END AS kind, checkpoint_neutral, head_number, payload_kind = 'data' AS was FROM deliveries)"""
+
+
+@query(
+    "aud3_payload_rules",
+    _with(
+        _PAYLOADS,
+        """SELECT rule, session_id || ':' || sequence AS key FROM (SELECT *, unnest(list_filter([CASE WHEN kind = 'odd' THEN 'payload_missing' END, CASE WHEN was AND page_id % 31 = 2 THEN 'head_width' END,
+  CASE WHEN kind = 'data' AND page_id % 31 = 3 OR kind = 'barrier' AND page_id % 16 = 15 THEN 'neutral_flag_wrong' END, CASE WHEN kind = 'reorg' AND page_id % 31 = 1 THEN 'reorg_part_missing' END,
+  CASE WHEN kind = 'reorg' AND page_id % 31 = 2 THEN 'reorg_part_width' END, CASE WHEN kind = 'reorg' AND page_id % 31 = 3 THEN 'reorg_shape' END, CASE WHEN kind = 'finality' AND page_id % 12 = 5 THEN 'finality_kind' END,
+  CASE WHEN kind = 'finality' AND page_id % 24 = 11 THEN 'finality_block_missing' END, CASE WHEN kind = 'barrier' AND page_id % 16 = 15 THEN 'empty_barrier_id' END, CASE WHEN kind = 'data' AND page_id % 31 = 4 THEN 'empty_data' END], lambda x: x IS NOT NULL)) AS rule FROM pay)""",
+    ),
+)
+def _(s, d):
+    """All deliveries, some as finality marks and barriers, with each rule of a payload broken on some pages."""
+    p, was = C("page_id"), C("payload_kind") == "data"
+    kind = F.when(~was, C("payload_kind")).when(p % 31 == 1, "odd").when(p % 6 == 5, "finality").when(p % 8 == 7, "barrier").otherwise("data")
+    block = lambda n, branch=0: F.struct(n.alias("number"), D.block_hash(n, branch).alias("hash"), D.block_hash(n - 1, branch).alias("parent_hash"), (n * 3600 + branch).alias("timestamp"))
+    x = D.deliveries(s, d).withColumns({"kind": kind, "is_reorg": C("payload_kind") == "reorg"})
+    barrier, tip = C("kind") == "barrier", C("new_tip")
+    start = barrier & (p < 0)
+    old = block(tip, 1)
+    x = x.withColumns({
+        "ancestor": F.when(C("is_reorg"), block(C("head_number"))),
+        "old_tip": F.when(C("is_reorg") & (p % 31 != 1), F.when(p % 31 == 2, old.withField("hash", F.lit("zz"))).otherwise(old)),
+        "new_tip": F.when(C("is_reorg"), F.when(p % 31 == 3, block(tip).withField("hash", D.block_hash(tip, 1))).otherwise(block(tip))),
+        "finality": F.when(p % 12 == 5, "odd").otherwise("safe"),
+        "block_number": F.when((C("kind") == "finality") & (p % 24 != 11), C("head_number")),
+        "barrier_id": F.when(start, F.concat(F.lit("desired-state:"), C("query_revision").cast("string"))).when(barrier, F.when(p % 16 == 15, "").otherwise(F.concat(F.lit("source-progress:1:"), p.cast("string")))),
+        "checkpoint_neutral": barrier | ((C("kind") == "data") & (p % 31 == 3)),
+        "head_hash": F.when(was & (p % 31 == 2), F.lit("00")).otherwise(C("head_hash")),
+        "n_records": F.when(p % 31 == 4, 0).otherwise(50),
+        "payload_kind": C("kind"),
+    })
+    return L.validate_payloads(x)
+
+
+#: The rule that the sequences of each remainder break.
+_BROKEN = [
+    "desired_state_missing", "desired_state_of_other_row", "acked_cursor", "runtime_cursor", "runtime_ahead", "runtime_conflict", "promise_behind", "pending_not_next", "pending_of_other_row",
+    "pending_cursor", "pending_token", "pending_payload", "pending_not_certifying", "second_reorg", "activation_ahead", "activation_missing", "revision_not_acknowledged",
+]
+
+
+@query("aud7_session_rules", f"SELECT rule, session_id || ':' || sequence AS key FROM deliveries, (SELECT unnest({_BROKEN}) AS rule, unnest(range(0, {len(_BROKEN)})) AS slot) WHERE sequence > 3 AND sequence % 23 = slot")
+def _(s, d):
+    """The row of each session as it stood before every delivery from the fourth on; of 23 in a row seventeen break a rule each."""
+    n = C("sequence")
+    k = {rule: n % 23 == slot for slot, rule in enumerate(_BROKEN)}
+    pick = lambda rule, bad, good: F.when(k[rule], bad).otherwise(good)
+    one, none = F.lit(1).cast("long"), F.lit(None).cast("long")
+    promised = F.when(k["promise_behind"], n * 10 - 10).when(k["pending_not_certifying"] | k["second_reorg"], n * 10)
+    pending = n + F.when(k["pending_not_next"], 1).otherwise(0)
+    rows = D.deliveries(s, d).where("sequence > 3").select(
+        "session_id", C("chain_id"), one.alias("revision"), C("session_id").alias("desired_session"), pick("desired_state_of_other_row", one + 1, one).alias("desired_chain"), pick("desired_state_missing", none, one).alias("desired_revision"),
+        (n - 1).alias("acked"), pick("acked_cursor", one + 1, one).alias("acked_chain"), pick("revision_not_acknowledged", one - 1, one).alias("acked_revision"), (n * 10 - 10).alias("acked_head"),
+        F.when(k["runtime_cursor"], 0).when(k["runtime_ahead"], n).when(k["runtime_conflict"], n - 1).otherwise(n - 2).alias("runtime"), one.alias("runtime_chain"), one.alias("runtime_revision"), F.lit(False).alias("runtime_same"), promised.alias("promised"),
+        pending.alias("pending"), C("session_id").alias("pending_session"), pick("pending_of_other_row", one + 1, one).alias("pending_revision"), (pending + F.when(k["pending_cursor"], 1).otherwise(0)).alias("pending_cursor"),
+        pick("pending_token", F.lit("ff"), F.lpad(F.lower(F.hex(pending)), 16, "0")).alias("pending_token"), F.when(k["second_reorg"], "reorg").when(~k["pending_payload"], "data").alias("pending_kind"), F.lit(False).alias("pending_activates"),
+        (k["promise_behind"] | k["second_reorg"]).alias("pending_certifies"), F.when(k["activation_ahead"], n + 1).when(k["activation_missing"], n).otherwise(1).alias("activation"), n.alias("row"),
+    )
+    return L.validate_session_rows(rows)
+
+
+@query(
+    "own10_state_rules",
+    """SELECT unnest(CASE j % 5 WHEN 1 THEN ['baseline_not_predecessor'] WHEN 3 THEN ['backfill_order'] WHEN 4 THEN ['baseline_width'] ELSE [] END) AS rule, 'user' || j AS key FROM (SELECT DISTINCT user_id // 3 AS j FROM ev)
+UNION ALL SELECT CASE j % 3 WHEN 1 THEN 'full_block' ELSE 'unknown_block_mode' END, 'user' || j || '/head' FROM (SELECT DISTINCT user_id // 3 AS j FROM ev) WHERE j % 3 > 0
+UNION ALL SELECT unnest(list_filter([CASE WHEN r % 11 = 0 THEN 'protocol_version' END, CASE WHEN r % 13 = 0 THEN 'revision_without_successor' WHEN r % 17 = 0 THEN 'revision_not_successor' END], lambda x: x IS NOT NULL)), 's' || user_id || CASE WHEN r % 13 = 0 THEN '' ELSE ':' || (r - 1) END
+FROM (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS r FROM ev)""",
+)
+def _(s, d):
+    """Owners with retained baselines, a block interest each, and a request an event; some break a rule."""
+    j = F.expr("try_cast(substring(owner_id, 5) as bigint)")
+    low = C("from_block")
+    hash_ = F.sha2("owner_id", 256)
+    o = D.owners(s, d).where("owner_id like 'user%'").withColumn("j", j)
+    o = o.withColumns({
+        "to_block_excl": F.when(C("j") % 5 >= 2, F.when(C("j") % 5 == 4, C("to_block_excl")).otherwise(low)).otherwise(C("to_block_excl")),
+        "baseline_number": F.when(C("j") % 5 != 3, low - F.when(C("j") % 5 == 1, 2).otherwise(1)), "baseline_hash": F.when(C("j") % 5 == 4, "ab").otherwise(hash_), "baseline_parent_hash": hash_,
+    })
+    own = D.interests(s, d).where("owner_id like 'user%'").withColumn("block_mode", F.lit(None).cast("string"))
+    heads = own.withColumns({"interest_id": F.lit("head"), "kind": F.lit("block"), "addresses": F.array().cast("array<string>"), "block_mode": F.when(j % 3 == 0, "header").when(j % 3 == 1, "full")})
+    asked = requests(s, d).where("ordinal % 4 = 0")
+    r = C("new_revision")
+    asked = asked.select("session_id", F.when(r % 11 == 0, 2).otherwise(1).alias("protocol_version"), F.when(r % 13 != 0, C("expected_revision")).alias("expected_revision"), (r + F.when((r % 17 == 0) & (r % 13 != 0), 1).otherwise(0)).alias("new_revision"))
+    return T.validate_desired_state(o, own.unionByName(heads)).unionByName(T.validate_state_requests(asked, 1))
+
+
+@query(
+    "str3_reorg_then_replacement",
+    """SELECT d.session_id, d.sequence, CASE WHEN d.sequence > coalesce(f.first, d.sequence) THEN 'held' ELSE 'control' END AS step, CAST(NULL AS BIGINT) AS number FROM deliveries d LEFT JOIN (SELECT session_id, min(sequence) AS first FROM deliveries WHERE payload_kind = 'reorg' AND page_id % 60 = 59 GROUP BY 1) f USING (session_id) WHERE payload_kind = 'reorg'
+UNION ALL SELECT d.session_id, d.sequence, CASE WHEN d.sequence >= coalesce(f.first, d.sequence + 1) THEN 'held' ELSE 'replacement' END, b.number FROM deliveries d JOIN blocks b ON b.number > d.head_number AND b.number <= d.new_tip LEFT JOIN (SELECT session_id, min(sequence) AS first FROM deliveries WHERE payload_kind = 'reorg' AND page_id % 60 = 59 GROUP BY 1) f USING (session_id) WHERE payload_kind = 'reorg'""",
+)
+def _(s, d):
+    """The reorgs of every session and the blocks that replace what they displaced; one control in sixty is never acknowledged."""
+    x = D.deliveries(s, d).where("payload_kind = 'reorg'").select("session_id", "chain_id", "sequence", "token", "page_id", C("head_number").alias("ancestor"), "new_tip")
+    blocks = D.blocks(s, d).select("number", "hash")
+    sessions = x.select("session_id", "chain_id").distinct()
+    per = blocks.join(F.broadcast(sessions)).select("session_id", "chain_id", "number", "hash")  # the sessions are eight
+    return L.reorg_then_replacement(x, per, x.where("page_id % 60 <> 59")).select("session_id", "sequence", "step", "number")

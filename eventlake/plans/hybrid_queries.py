@@ -65,7 +65,7 @@ def _(s, d):
 
 
 _ONE = f"chains AS (SELECT * FROM arrivals), {_REORGS}"
-_RECOVERED = "moved AS (SELECT coalesce(min(ancestor), 400) AS anchor FROM reorgs WHERE ancestor < 400 AND ancestor >= 300)"
+_RECOVERED = "moved AS (SELECT coalesce(min(ancestor), 400) AS anchor FROM reorgs WHERE ancestor < 400)"
 
 
 @query(
@@ -73,13 +73,13 @@ _RECOVERED = "moved AS (SELECT coalesce(min(ancestor), 400) AS anchor FROM reorg
     _with(
         f"{_ONE}, {_RECOVERED}",
         """SELECT 'row' AS kind, block_number AS number, log_index AS at, CASE WHEN block_number <= anchor THEN 'live' ELSE 'history' END AS said FROM logs, moved
-UNION ALL SELECT 'reorg', ancestor, greatest(old_tip, (SELECT max(block_number) FROM log_arrivals)), '' FROM reorgs WHERE ancestor >= 300
+UNION ALL SELECT 'reorg', ancestor, greatest(old_tip, (SELECT max(block_number) FROM log_arrivals)), '' FROM reorgs
 UNION ALL SELECT 'violation', block_number, log_index, 'not_in_history' FROM log_arrivals, moved WHERE NOT removed AND block_number <= anchor AND block_hash <> sha256('b:' || block_number || ':0')""",
     ),
 )
 def _(s, d):
-    """All that live had sent, stale branches too, fails at block 400; history tells of reorgs from height 300 on."""
-    reorgs = K.reorg_events(D.block_arrivals(s, d), CHAIN).where("ancestor >= 300").select("ancestor", "old_tip")
+    """All that live had sent, stale branches too, fails at block 400; history tells of every reorg."""
+    reorgs = K.reorg_events(D.block_arrivals(s, d), CHAIN).select("ancestor", "old_tip")
     live = D.log_arrivals(s, d)
     rows, rebased, alien = H.recover_from_anchor(D.logs(s, d), live, reorgs, 400)
     out = rows.select(F.lit("row").alias("kind"), C("block_number").alias("number"), C("log_index").alias("at"), C("source").alias("said"))
@@ -189,12 +189,12 @@ def _(s, d):
     return H.phase_timeline(chains(s, d), CHAIN, n >= 589, n >= 600, n >= 650).select("chain_id", "arrival", "phase")
 
 
-@query("str15_cross_source_reset", _with(f"{_CHAINS}, {_REORGS}, pos AS (SELECT chain_id, source, CAST(300 + 50 * (source = 'live')::INT AS BIGINT) AS head FROM (SELECT DISTINCT chain_id FROM chains), (VALUES ('live'), ('archive')) t(source))", "SELECT p.chain_id, p.source, CASE WHEN p.source = 'archive' THEN 147 ELSE p.head END AS head, p.source = 'live' AS has_token FROM pos p"))
+@query("str15_cross_source_reset", _with(f"{_CHAINS}, {_REORGS}, pos AS (SELECT chain_id, source, CAST(300 + 50 * (source = 'live')::INT AS BIGINT) AS head FROM (SELECT DISTINCT chain_id FROM chains), (VALUES ('live'), ('archive')) t(source))", "SELECT p.chain_id, p.source, CASE WHEN p.source = 'archive' THEN (SELECT min(ancestor) FROM reorgs) ELSE p.head END AS head, p.source = 'live' AS has_token FROM pos p"))
 def _(s, d):
     c = chains(s, d)
     pos = c.select("chain_id").distinct().withColumn("source", F.explode(F.array(F.lit("live"), F.lit("archive"))))
     pos = pos.select("chain_id", "source", F.when(C("source") == "live", 350).otherwise(300).cast("long").alias("head"), F.lit("t").alias("token"))
-    r = K.reorg_events(c, CHAIN).where("ancestor >= 100").withColumn("source", F.lit("live"))
+    r = K.reorg_events(c, CHAIN).withColumn("source", F.lit("live"))
     return H.cross_source_reset(pos, r).select("chain_id", "source", "head", C("token").isNotNull().alias("has_token"))
 
 

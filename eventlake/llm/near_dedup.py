@@ -4,7 +4,8 @@ Every document is the set of its distinct five-word shingles. Equal sets are one
 groups of copies cost one row. Each independent tree then branches its nodes by chosen minwise
 tokens: all sets of a node that share the chosen token stay together in a child. A node of few sets
 is compared exhaustively; one of many sets is split into chunks that each meet the node's hub, sets
-very like the hub leave the recursion (their links run through it), and the rest branches on. Links
+very like the hub leave the recursion (their links run through it), and the rest branches on. Sets of
+crowded nodes are also grouped by the tokens that few of them share. Links
 are confirmed on the full shingle sets, and linked sets form components.
 """
 
@@ -99,6 +100,8 @@ def candidate_groups(sets: DataFrame) -> DataFrame:
         if crowd.isEmpty():
             break
         crowd = crowd.join(sets, "rep")
+        if depth == 0:
+            small.append(rare_tokens(crowd.select("rep", "sig").dropDuplicates(["rep"])))
         hubs = crowd.groupBy("node").agg(F.min_by(F.struct("rep", "sig"), F.xxhash64("rep", "node")).alias("hub"))
         hubs = cut(hubs, "hubs")
         if hubs.count() <= BROADCAST_HUBS:  # else a crowded node would meet its hub in one task
@@ -125,6 +128,20 @@ def candidate_groups(sets: DataFrame) -> DataFrame:
     return plausible.groupBy("members").agg(F.bool_or("early").alias("early"))
 
 
+def rare_tokens(crowd: DataFrame) -> DataFrame:
+    """(gid, rep, early) of the sets of crowded nodes that share a minwise token which few of them have.
+
+    In a large family of sets that resemble each other below the threshold, most share the tokens of the
+    family, and the hub and chunk rules may part a pair that is more alike. Such a pair shares tokens of its own: where
+    pairs of the family agree in a share f of the coordinates and it in a share j, one of the 64 tokens is its own but
+    for about (1 - (j - f)) ** 64. Groups hold LARGEST_NODE sets at most; tokens of more are the family's, which the
+    recursion branches on.
+    """
+    token = crowd.select("rep", F.posexplode("sig").alias("at", "token")).select("rep", F.xxhash64(F.lit(-1), "at", "token").alias("gid"))
+    few = token.groupBy("gid").agg(F.count("*").alias("n")).where(F.col("n").between(2, LARGEST_NODE))
+    return token.join(few, "gid").select("gid", "rep", F.lit(False).alias("early"))
+
+
 def _plausible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of each group the members that agree with another member in enough minwise values."""
     for batch in batches:

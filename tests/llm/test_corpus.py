@@ -68,6 +68,34 @@ def test_near_duplicates_are_those_of_brute_force(spark, corpus):
             assert (r.n_shingles, r.component_id, r.kept) == (len(sets[r.doc_id]), label[r.doc_id], r.doc_id == label[r.doc_id])
 
 
+def test_pairs_inside_a_large_family_are_found(spark):
+    """400 documents that resemble each other at 0.69, in pairs at 0.82: no pair is parted for good by the hub and chunk rules."""
+    rng, n = random.Random(11), 400
+    base = [f"w{k}" for k in range(n)]
+
+    def changed(words, k):
+        words = list(words)
+        for at in rng.sample(range(n), k):
+            words[at] = f"m{rng.randrange(10**9)}"
+        return words
+
+    texts = []
+    for _ in range(200):
+        root = changed(base, 4)
+        texts += [" ".join(changed(root, 4)), " ".join(changed(root, 4))]
+    sets = [shingles(t) for t in texts]
+    like = lambda a, b: 100 * len(a & b) >= 75 * len(a | b)
+    found = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(table(spark, list(enumerate(texts)))).collect()}
+    linked = [k for k in range(0, 400, 2) if like(sets[k], sets[k + 1])]
+    assert len(linked) > 190 and sum(found[k] == found[k + 1] for k in linked) >= 0.97 * len(linked)
+    label = {k: k for k in found}
+    links = [(a, b) for a, b in itertools.combinations(found, 2) if like(sets[a], sets[b])]
+    for _ in range(40):
+        for a, b in links:
+            label[a] = label[b] = min(label[a], label[b])
+    assert all(label[k] == label[found[k]] for k in found)  # no wrong link
+
+
 def test_near_duplicates_of_repeated_ids(spark):
     rng = random.Random(4)
     words = [f"w{k}" for k in range(500)]

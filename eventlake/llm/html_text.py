@@ -32,13 +32,18 @@ HINT_COUNT = 20  # pages' worth of evidence that a hint is before anything is le
 OUTSIDE = 2.0  # log odds from which a kind of element stands outside articles
 KINDS = 1 << 16  # classes of kinds of tags by hash: a table of fixed size that every kind falls into
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|select|svg|iframe|object|head)\b.*?(?:</\1\s*>|\Z)|<[!?][^>]*(?:>|\Z)|</?[A-Za-z][^>\"']*(?:\"[^\"]*\"[^>\"']*|'[^']*'[^>\"']*)*(?:>|\Z)", re.S | re.I)
+#: Elements that are one part of a page with all they hold, where they have an end tag.
+RAW = frozenset("script style noscript template textarea select svg iframe object head title".split())
+#: Of these the ones that without an end tag hold the rest of the page.
+ENDLESS = frozenset(("script", "style"))
+# A tag ends at the first > outside a quoted value; a quote that follows no = is a character like others.
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</?[A-Za-z](?:[^>=]|=\s*(?:\"[^\"]*\"|'[^']*')|=)*+(?:>|\Z)", re.S)
 _NAME = re.compile(r"<(/?)([A-Za-z][A-Za-z0-9:-]*)")
 _MARK = re.compile(r"\b(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _HIDDEN = re.compile(r"\shidden(?=[\s>=])|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 
 #: Elements that hold no prose.
-CUT = frozenset("form button dialog fieldset script style noscript template textarea select svg iframe object head".split())
+CUT = RAW | frozenset("form button dialog fieldset".split())
 #: Elements, and words of a class, id or role, that hint at an element outside articles.
 HINTS = frozenset(
     "nav header footer aside menu ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promoted promotion navbar navigation menubar breadcrumb breadcrumbs "
@@ -93,13 +98,26 @@ def _tag(source: str) -> Tag:
 
 
 def _parts(page: str) -> Iterator[tuple[bool, str]]:
-    """(is a tag, source) of a page in order; scripts, styles and comments are one tag each."""
-    at = 0
-    for m in _TOKEN.finditer(page):
+    """(is a tag, source) of a page in order; comments, and raw elements with an end tag, are one tag each.
+
+    A raw element that closes itself or has no end tag is a tag like others, but that scripts and styles
+    then hold the rest. Once an end tag is not found it is not looked for again, so a page is read in linear time.
+    """
+    at, endless = 0, set()
+    while m := _TOKEN.search(page, at):
         if m.start() > at:
             yield False, page[at : m.start()]
-        yield True, m[0]
-        at = m.end()
+        end, name = m.end(), _NAME.match(m[0])
+        name = name[2].lower() if name and not name[1] and not m[0].endswith("/>") else ""
+        if name in RAW:
+            close = None if name in endless else re.compile(rf"</{name}\s*>", re.I).search(page, end)
+            if close:
+                end = close.end()
+            else:
+                endless.add(name)
+                end = len(page) if name in ENDLESS else end
+        yield True, page[m.start() : end]
+        at = end
     if at < len(page):
         yield False, page[at:]
 
@@ -123,7 +141,7 @@ def _parsed(page: str) -> tuple[list[str], list[Tag | None]]:
                     tags[start].close = at + 1
                     if tags[start].name == tag.name:
                         break
-        elif tag.name in VOID or source.endswith("/>") or _closed(source, tag.name):
+        elif tag.name in VOID or tag.name in RAW or source.endswith("/>"):
             tag.close = at + 1
         else:
             opened.append(at)
@@ -224,10 +242,6 @@ def main_text(page: str, learned: dict[int, tuple[int, int, int]]) -> str:
     return " ".join(b for b in (" ".join(html.unescape(b).split()) for b in blocks) if b)
 
 
-def _closed(source: str, name: str) -> bool:
-    return bool(re.search(rf"</{name}\s*>\Z", source, re.I))
-
-
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         seen: dict[int, list[int]] = {}

@@ -6,6 +6,7 @@ import html
 import itertools
 import random
 import re
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -439,6 +440,33 @@ def test_html_run_alone_leaves_thin_text_out(monkeypatch):
     assert html_text.main_text(thin + BODY + thin, {}) != PROSE
 
 
+WORDS = "These are words of an article that nobody may lose, and there are more than enough of them here."
+
+
+@pytest.mark.parametrize(
+    "page,text",
+    [
+        (f"<html><head><title>No</title><meta charset=utf-8><body><article><p>{WORDS}</p></article></body>", WORDS),
+        (f"<article><p>{WORDS}</p><svg width=1/><p>{WORDS}</p><iframe src='x'/><p>{WORDS}</p></article>", " ".join([WORDS] * 3)),
+        (f"<article><p>{WORDS}</p><svg><path d=1><p>{WORDS}</p></article>", f"{WORDS} {WORDS}"),
+        (f"<article><p>{WORDS}</p><svg><title>No</title></svg><p>{WORDS}</p><object data=x>No</object></article>", f"{WORDS} {WORDS}"),
+        (f"<article><p title=it's>{WORDS}</p><p title=\"a>b\" alt='>'>{WORDS}</p><p a\"b>{WORDS}</p></article>", " ".join([WORDS] * 3)),
+        (f"<article><p>{WORDS}</p></article><script>if (a < b) No", WORDS),
+        (f"<article><p>{WORDS}</p><SCRIPT>No</SCRIPT ><p>{WORDS}</p></article>", f"{WORDS} {WORDS}"),
+        (f"<article><p>{WORDS} 1 < 2 and x<3</p></article>", f"{WORDS} 1 < 2 and x<3"),
+    ],
+)
+def test_html_of_unclosed_and_odd_tags(page, text):
+    assert html_text.main_text(page, {}) == text
+
+
+def test_html_many_unclosed_elements_are_linear():
+    page = f"<article><p>{WORDS}</p>" + "<svg a='b'><iframe><head>" * 60_000 + "</article>"
+    began = time.time()
+    assert html_text.main_text(page, {}) == WORDS
+    assert time.time() - began < 20
+
+
 def test_html_long_page_is_linear():
     page = "<div>" + "<p>word <b>bold</b></p>" * 50_000 + "</div>"
     assert len(html_text.main_text(page, {}).split()) == 100_000

@@ -103,7 +103,7 @@ def classify_acks_segmented(deliveries: DataFrame, acks: DataFrame, size: int =
     known = deliveries.select(*SLOT, F.col("token").alias("expected"))
     j = acks.join(known, SLOT, "left").withColumn("known", F.col("expected").isNotNull()).withColumn("right", F.coalesce(F.col("token") == F.col("expected"), F.lit(False)))
     j = j.select(*SESSION, "ordinal", "sequence", "known", "right")
-    done = scans.scan(j.where("right").select(*SLOT, "ordinal"), SESSION, ["sequence", "ordinal"], scans.Commits(), size).where("commits")
+    done = scans.scan(j.where("right and sequence > 0").select(*SLOT, "ordinal"), SESSION, ["sequence", "ordinal"], scans.Commits(), size).where("commits")
     own = done.select(*SLOT, F.col("ordinal").alias("at"))
     after = done.select(*SESSION, (F.col("sequence") - 1).alias("sequence"), F.col("ordinal").alias("next_at"))
     j = j.join(own, SLOT, "left").join(after, SLOT, "left")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eventlake.operators import scans
 from eventlake.operators.scan import canonical_interests, violations
 
 APPLIED, DUPLICATE, CONFLICT = "applied", "duplicate", "conflict"
@@ -197,3 +198,22 @@ def activation_delivery(heads: DataFrame, revision: int, start: int) -> DataFram
 def owner_catchup_overlap(records: DataFrame, history: DataFrame) -> DataFrame:
     """Catch-up records whose block is not an exact retained canonical block."""
     return records.where("scope = 'OWNER_CATCHUP'").join(history.select("number", "hash"), ["number", "hash"], "left_anti")
+
+
+def apply_desired_state_segmented(requests: DataFrame, size: int = scans.SEGMENT_ROWS) -> DataFrame:
+    """apply_desired_state where one session holds most requests: its revisions are cut into segments.
+
+    A request for revision r is an arrow to the first later one for r + 1; the applied ones are the path from the first for
+    revision 1, carried over the segments. A request is then judged by when its revision and the next were applied.
+    """
+    ask = requests.where("new_revision = expected_revision + 1 and new_revision > 0").select("session_id", F.col("new_revision").alias("sequence"), "ordinal", F.col("digest").alias("said"))
+    done = scans.scan(ask, ["session_id"], ["sequence", "ordinal"], scans.Commits(), size).where("commits")
+    own = done.select("session_id", F.col("sequence").alias("new_revision"), F.col("ordinal").alias("at"), "said")
+    after = done.select("session_id", (F.col("sequence") - 1).alias("new_revision"), F.col("ordinal").alias("next_at"))
+    j = requests.join(own, ["session_id", "new_revision"], "left").join(after, ["session_id", "new_revision"], "left")
+    o, first = F.col("ordinal"), F.col("new_revision") == 0  # revision 0 stands from the start, without a digest
+    held = (first | (F.col("at") < o)) & (F.col("next_at").isNull() | (o < F.col("next_at")))
+    applied = (F.col("expected_revision") + 1 == F.col("new_revision")) & (o == F.col("at"))
+    same = held & (F.col("digest") == F.when(first, "").otherwise(F.col("said")))
+    outcome = F.when(applied, APPLIED).when(same, DUPLICATE).otherwise(CONFLICT)
+    return j.select("session_id", "ordinal", "expected_revision", "new_revision", outcome.alias("outcome"))

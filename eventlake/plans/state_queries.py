@@ -42,11 +42,20 @@ def requests(s, d):
     return e.select("session_id", F.explode(F.array_compact(rows)).alias("q")).select("session_id", "q.*")
 
 
-@query("own1_apply_desired_state", _with(_REQ, "SELECT session_id, ordinal, expected_revision, new_revision, outcome FROM requests"))
+_ANSWERED = _with(_REQ, "SELECT session_id, ordinal, expected_revision, new_revision, outcome FROM requests")
+
+
+@query("own1_apply_desired_state", _ANSWERED)
 def _(s, d):
     return T.apply_desired_state(requests(s, d))
 
 
+@query("own1_apply_desired_state_segmented", _ANSWERED)
+def _(s, d):
+    """Each session's requests over as many tasks as it has segments."""
+    return T.apply_desired_state_segmented(requests(s, d), 1 << 10)
+
+
 _SHOW = "owner_id, canonical, coalesce(from_block, -1) AS from_block, coalesce(to_block_excl, -1) AS to_block_excl"
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from eventlake.operators import canonical as K
 from eventlake.operators import delivery as L
 from eventlake.operators import scans
+from eventlake.operators import topology as T
 
 
 def chain_rows(seed, n, chains=2):
@@ -115,3 +116,22 @@ def test_acks_are_those_of_the_fold(spark, size):
     got = rows(L.classify_acks_segmented(d, a, size))
     assert got == rows(L.classify_acks(d, a))
     assert {r[3] for r in got} == {"committed", "duplicate", "mismatch", "none_pending"} - ({"none_pending"} if all(1 <= x[3] <= 120 for x in acks) else set())
+
+
+@pytest.mark.parametrize("size", [9, 10**6])
+def test_requests_are_those_of_the_fold(spark, size):
+    rng, rows = random.Random(5), []
+    for s in ("a", "b"):
+        at = 0
+        for k in range(150):
+            kind = rng.random()
+            expected = at + rng.choice([1, -1, 2]) if kind < 0.2 else at
+            new = expected + (1 if rng.random() < 0.9 else 2)
+            rows.append((s, k, expected, new, f"d{new}" if rng.random() < 0.9 else "x"))
+            at += (expected, new) == (at, at + 1)
+            if kind > 0.8:
+                rows.append((s, k, at - 1, at, f"d{at}"))
+    rows = [(s, n, e, r, d) for n, (s, _, e, r, d) in enumerate(rows)] + [("c", 0, -1, 0, ""), ("c", 1, 0, 1, "d1"), ("c", 2, -1, 0, "")]
+    df = spark.createDataFrame(rows, "session_id string, ordinal bigint, expected_revision bigint, new_revision bigint, digest string")
+    got, want = (sorted(map(tuple, f.collect())) for f in (T.apply_desired_state_segmented(df, size), T.apply_desired_state(df)))
+    assert got == want and {r[4] for r in got} == {"applied", "duplicate", "conflict"}

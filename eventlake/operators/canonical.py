@@ -174,13 +174,6 @@ def reorg_shape(ancestor: str, old: str, new: str) -> Column:
     return ok
 
 
-def certified_coverage(heads: DataFrame, session: list[str]) -> DataFrame:
-    """The running highest acknowledged head of each generation, reset below every reorg's ancestor."""
-    w = Window.partitionBy(*session).orderBy("sequence")
-    epoch = F.sum((F.col("payload_kind") == "reorg").cast("int")).over(w)
-    return heads.withColumn("epoch", epoch).withColumn("certified", F.max("head_number").over(Window.partitionBy(*session, "epoch").orderBy("sequence")))
-
-
 def finality_heads(marks: DataFrame, chain: list[str]) -> DataFrame:
     """marks(arrival, finalized, coverage, ancestor): running finalized head and the rule a row breaks."""
     w = Window.partitionBy(*chain).orderBy("arrival")

@@ -66,7 +66,7 @@ def _targets(interests: DataFrame, owners: DataFrame) -> DataFrame:
     return i.select("addresses", F.struct(F.col("topics").alias("accepted"), "owner_id", "canonical", "from_block", "to_block_excl").alias("target"))
 
 
-def _checked(config: DataFrame) -> DataFrame:
+def checked(config: DataFrame) -> DataFrame:
     """Configured rows that become part of every row's plan: MAX_FILTERS at most."""
     if config.limit(MAX_FILTERS + 1).count() > MAX_FILTERS:
         raise ValueError("too many rows of configuration")
@@ -95,7 +95,7 @@ def route_logs(logs: DataFrame, interests: DataFrame, owners: DataFrame, activat
     own, and the audiences are merged. Rows that repeat are routed alike and kept.
     """
     targets = _targets(interests, owners)
-    wild = _checked(targets.where(F.size("addresses") == 0).select("target")).agg(F.collect_list("target").alias("wild"))
+    wild = checked(targets.where(F.size("addresses") == 0).select("target")).agg(F.collect_list("target").alias("wild"))
     cold, hot = _index(targets, slice_size)
     everyone = global_backfill(owners, F.col("block_number"))
     live = F.col("block_number") >= activation
@@ -132,7 +132,7 @@ def route_logs(logs: DataFrame, interests: DataFrame, owners: DataFrame, activat
 def header_rows(blocks: DataFrame, interests: DataFrame, owners: DataFrame, activation: int) -> DataFrame:
     """Headers wanted by an active owner with a block interest: blocks, canonical, owners."""
     wanting = interests.where("kind = 'block'").join(owners, "owner_id").select("owner_id", "canonical", "from_block", "to_block_excl").distinct()
-    every = _checked(wanting).agg(F.collect_list(F.struct("owner_id", "canonical", "from_block", "to_block_excl")).alias("wanting"))
+    every = checked(wanting).agg(F.collect_list(F.struct("owner_id", "canonical", "from_block", "to_block_excl")).alias("wanting"))
     n = F.col("number")
     rows = blocks.join(F.broadcast(every)).withColumns({"everyone": global_backfill(owners, n), "live": n >= activation})  # one row
     own = lambda t: F.coalesce((t["from_block"] <= n) & (t["to_block_excl"].isNull() | (n < t["to_block_excl"])), F.lit(False))

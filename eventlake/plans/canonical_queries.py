@@ -257,10 +257,13 @@ def _(s, d):
 
 @query(
     "win12_certified_coverage",
-    "SELECT session_id, sequence, epoch, max(head_number) OVER (PARTITION BY session_id, epoch ORDER BY sequence) AS certified FROM (SELECT *, CAST(sum(CAST(payload_kind = 'reorg' AS INTEGER)) OVER (PARTITION BY session_id ORDER BY sequence) AS BIGINT) AS epoch FROM deliveries) WHERE payload_kind <> 'barrier'",
+    "SELECT session_id, sequence, max(CASE WHEN payload_kind = 'data' THEN head_number END) OVER (PARTITION BY session_id ORDER BY sequence) AS certified FROM deliveries WHERE payload_kind <> 'barrier'",
 )
 def _(s, d):
-    return K.certified_coverage(D.deliveries(s, d).where("payload_kind <> 'barrier'"), ["session_id"]).select("session_id", "sequence", "epoch", "certified")
+    """The certified head along each session: its reorgs all stay above it, so none clears it (win12_certified_heads has some that do)."""
+    x, reorg = D.deliveries(s, d).where("payload_kind <> 'barrier'"), C("payload_kind") == "reorg"
+    x = x.select("session_id", C("query_revision").alias("generation"), "sequence", F.when(~reorg, C("head_number")).alias("head_number"), F.when(reorg, C("head_number")).alias("ancestor"))
+    return K.certified_heads(x, ["session_id"]).select("session_id", "sequence", "certified")
 
 
 @query(

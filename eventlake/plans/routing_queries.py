@@ -135,7 +135,7 @@ def _(s, d):
     i = D.interests(s, d).where("kind = 'log'").withColumnRenamed("topics", "accepted")
     match = R.log_matches(C("topics"), C("address"), C("addresses"), C("accepted"))
     listed = i.where(F.size("addresses") > 0).withColumn("address", F.explode(F.array_distinct("addresses")))
-    m = D.logs(s, d).join(F.broadcast(i.where(F.size("addresses") == 0)), match).select("owner_id", "data")
+    m = D.logs(s, d).join(F.broadcast(R.checked(i.where(F.size("addresses") == 0))), match).select("owner_id", "data")
     m = m.unionByName(D.logs(s, d).join(listed, "address").where(match).select("owner_id", "data"))
     return m.groupBy("owner_id").agg(F.count("*").alias("n"), F.min("data").alias("least"))
 

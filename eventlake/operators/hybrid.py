@@ -288,9 +288,13 @@ def compare_sources(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def pair_arrivals(a: DataFrame, b: DataFrame, chain: list[str]) -> DataFrame:
-    """Blocks seen (at, and after which time) by both sources with equal hash, less each chain's first: the delay of a after b."""
-    j = a.select(*chain, "number", "hash", F.col("seen").alias("a_seen"), F.col("took").alias("a_took")).join(b.select(*chain, "number", "hash", F.col("seen").alias("b_seen"), F.col("took").alias("b_took")), [*chain, "number", "hash"])
-    first = j.groupBy(*chain).agg(F.min("number").alias("first"))
+    """Blocks seen (at, and after which time) by both sources with equal hash, less each chain's first: the delay of a after b.
+
+    The sources are merged whatever their estimated size: estimates do not see what a chain column multiplies.
+    """
+    right = b.select(*chain, "number", "hash", F.col("seen").alias("b_seen"), F.col("took").alias("b_took"))
+    j = a.select(*chain, "number", "hash", F.col("seen").alias("a_seen"), F.col("took").alias("a_took")).join(right.hint("merge"), [*chain, "number", "hash"])
+    first = F.broadcast(j.groupBy(*chain).agg(F.min("number").alias("first")))  # a row a chain
     return j.join(first, chain).where("number > first").select(*chain, "number", (F.col("a_seen") - F.col("b_seen")).alias("delta"), F.col("a_took"), F.col("b_took"))
 
 

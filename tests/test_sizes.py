@@ -28,3 +28,11 @@ def test_paired_sources_are_merged(generous):
     pairs = H.pair_arrivals(rows, rows.withColumn("seen", F.col("number")), ["chain_id"])
     assert all(j.startswith("SortMergeJoin") for j in joins(pairs) if "hash" in j) and any("hash" in j for j in joins(pairs))
     assert {(r["delta"], r["n"]) for r in pairs.groupBy("delta").agg(F.count("*").alias("n")).collect()} == {(3, 98)}
+
+
+def test_a_chain_and_what_was_observed_are_merged(generous):
+    rows = generous.range(100).selectExpr("id % 2 chain_id", "id number", "cast(id as string) hash", "'p' parent_hash", "id timestamp")
+    seen = rows.withColumn("hash", F.when(F.col("number") < 60, F.col("hash")).otherwise("zz"))
+    found = K.common_ancestor(rows, seen, ["chain_id"])
+    assert [j.split()[0] for j in joins(found)] == ["SortMergeJoin"]
+    assert sorted(map(tuple, found.collect())) == [(0, 58, 0), (1, 59, 0)]

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from eventlake.functions.intervals import dyadic
+
 HEADER, LOG, PROGRESS = 0, 1, 2
 MAX_FILTERS = 4096
 SLICE = 1024  # targets that a row lists
@@ -46,6 +48,34 @@ def counts_for_all(number: Column, activation: int, everyone: Column | None = No
     return number >= activation if everyone is None else (number >= activation) | everyone
 
 
+def blocks_held(blocks: DataFrame, spans: DataFrame) -> DataFrame:
+    """spans(low, high) -> of_low, of_high, n_blocks and first_block of the half-open ranges (null: open) that hold any block.
+
+    Different ranges become dyadic intervals; blocks are counted once a size of interval in use and met by equal keys,
+    so the work is linear in blocks and ranges.
+    """
+    ends = F.broadcast(blocks.agg(F.min("number").alias("least"), (F.max("number") + 1).alias("beyond")))  # one row
+    spans = spans.select("low", "high").where("low IS NOT NULL").distinct().select(F.col("low").alias("of_low"), F.col("high").alias("of_high")).join(ends)
+    spans = spans.select("of_low", "of_high", F.explode(dyadic("greatest(of_low, least)", "least(coalesce(of_high, beyond), beyond)")).alias("p")).select("of_low", "of_high", "p.*")
+    levels = F.broadcast(spans.agg(F.collect_set("level").alias("levels")))  # one row
+    held = blocks.select("number").join(levels).select("number", F.explode("levels").alias("level"))
+    held = held.groupBy("level", F.expr("shiftright(number, level)").alias("part")).agg(F.count("*").alias("n"), F.min("number").alias("first"))
+    return spans.join(held, ["level", "part"]).groupBy("of_low", "of_high").agg(F.sum("n").alias("n_blocks"), F.min("first").alias("first_block"))
+
+
+def active_blocks(blocks: DataFrame, owners: DataFrame, activation: int) -> DataFrame:
+    """owner_id, n_blocks, first_block of the blocks at which each owner is active; owners without any are left out.
+
+    What counts for all is counted once for all, an owner's own backfill over the other blocks.
+    """
+    shared = counts_for_all(F.col("number"), activation, global_backfill(owners, F.col("number")))
+    both = F.broadcast(blocks.where(shared).agg(F.count("*").alias("shared"), F.min("number").alias("shared_first")))  # one row
+    o = owners.select("owner_id", F.col("from_block").alias("low"), F.col("to_block_excl").alias("high"))
+    own = blocks_held(blocks.where(~shared), o)
+    m = o.join(own, (F.col("low") == F.col("of_low")) & F.col("high").eqNullSafe(F.col("of_high")), "left").join(both).select("owner_id", (F.coalesce("n_blocks", F.lit(0)) + F.col("shared")).alias("n"), F.least("first_block", "shared_first").alias("first"))
+    return m.where("n > 0").groupBy("owner_id").agg(F.sum("n").alias("n_blocks"), F.min("first").alias("first_block"))
+
+
 def scope_of(number: Column, activation: int, everyone: Column | None = None) -> Column:
     return F.when(counts_for_all(number, activation, everyone), "CANONICAL_PROGRESS").otherwise("OWNER_CATCHUP")
 

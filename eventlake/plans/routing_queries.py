@@ -154,9 +154,7 @@ def _(s, d):
 
 @query("flt6_interest_active", f"SELECT o.owner_id, count(*) AS n_blocks, min(number) AS first_block FROM owners o JOIN blocks b ON {covered('b.number')} OR coalesce(from_block <= number AND (to_block_excl IS NULL OR number < to_block_excl), false) GROUP BY o.owner_id")
 def _(s, d):
-    o = D.owners(s, d)
-    m = D.blocks(s, d).join(o, R.interest_active(C("number"), ACTIVATION, R.global_backfill(o, C("number"))))
-    return m.groupBy("owner_id").agg(F.count("*").alias("n_blocks"), F.min("number").alias("first_block"))
+    return R.active_blocks(D.blocks(s, d), D.owners(s, d), ACTIVATION)
 
 
 @query("flt8_drop_unrouted", "SELECT count(*) AS kept, (SELECT count(*) FROM logs) AS scanned FROM routed WHERE kind = 1")

@@ -158,7 +158,9 @@ def _(s, d):
 
 @query("bkf1_backfill_covers", "SELECT owner_id, count(*) AS n FROM owners JOIN blocks ON from_block <= number AND (to_block_excl IS NULL OR number < to_block_excl) GROUP BY owner_id")
 def _(s, d):
-    return D.blocks(s, d).join(D.owners(s, d), R.covers(C("number"))).groupBy("owner_id").agg(F.count("*").alias("n"))
+    o = D.owners(s, d).select("owner_id", C("from_block").alias("low"), C("to_block_excl").alias("high"))
+    held = R.blocks_held(D.blocks(s, d), o)
+    return o.join(held, (C("low") == C("of_low")) & C("high").eqNullSafe(C("of_high"))).groupBy("owner_id").agg(F.sum("n_blocks").alias("n"))
 
 
 @query("bkf3_global_backfill", "SELECT number BETWEEN 90 AND 189 OR number >= 500 AS everyone, count(*) AS n FROM blocks GROUP BY 1")

@@ -65,3 +65,22 @@ def test_any_number_of_filters_with_addresses(spark):
     free = spark.range(MAX_FILTERS + 2).selectExpr("'log' kind", "cast(array() as array<string>) addresses", "array(array(cast(id as string))) topics")
     with pytest.raises(ValueError):
         S.scan_logs(logs, free, 0)
+
+
+def test_activity_of_owners_is_counted_by_keys(spark):
+    from eventlake.operators import routing as R
+
+    blocks = spark.range(3, 300).select(F.col("id").alias("number"))
+    spans = [("", True, 20, 25), ("a", False, 0, 7), ("b", False, 290, None), ("c", False, None, None), ("d", False, 7, 7), ("a", False, 22, 40)]
+    owners = spark.createDataFrame(spans, "owner_id string, canonical boolean, from_block bigint, to_block_excl bigint")
+    active = lambda n, low, high: n >= 100 or 20 <= n < 25 or (low is not None and low <= n and (high is None or n < high))
+    want = {}
+    for owner, _, low, high in spans:
+        for n in (n for n in range(3, 300) if active(n, low, high)):
+            count, first = want.get(owner, (0, n))
+            want[owner] = (count + 1, min(first, n))
+    got = R.active_blocks(blocks, owners, 100)
+    assert {r["owner_id"]: (r["n_blocks"], r["first_block"]) for r in got.collect()} == want
+    # Only one-row sides are nested; before, each owner met each block.
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "number" not in "".join(line for line in plan.splitlines() if "Join" in line)

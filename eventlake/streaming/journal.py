@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import heapq
+from collections import OrderedDict
 from collections.abc import Iterable, Iterator
 from typing import Any
 
@@ -37,12 +39,14 @@ class Journal:
     poisoned (a delivery needs more entries or owner associations than the bounds allow, or one did before).
     A reorg forgets the inputs of blocks above its ancestor. When the next delivery begins, entries over
     `capacity` go, the least recently touched first, and more until the owner associations fit; those that
-    the delivery itself touched are protected.
+    the delivery itself touched are protected. Neither a reorg nor a delivery looks at entries that stay.
     """
 
     def __init__(self, capacity: int, associations: int):
         self.capacity, self.most = capacity, associations
-        self.entries: dict[str, dict[str, Any]] = {}
+        self.entries: OrderedDict[str, dict[str, Any]] = OrderedDict()
+        self.at: dict[int, set[str]] = {}  # the entries of each block
+        self.tops: list[int] = []  # a heap of the blocks of `at`, negative, and of some that it no longer has
         self.generations: dict[str, int] = {}
         self.delivery, self.position, self.held, self.poisoned = None, 0, 0, False
         self.own, self.own_held = 0, 0  # entries and associations that the present delivery has touched
@@ -50,7 +54,9 @@ class Journal:
 
     def restore(self, entries: Iterable[tuple], generations: Iterable[tuple], meta: tuple | None) -> None:
         rows = sorted(entries, key=lambda e: e[1])
-        self.entries = {i: {"position": p, "block": b, "digest": d, "delivery": v, "seen": dict(zip(o, g))} for i, p, b, d, v, o, g in rows}
+        self.entries = OrderedDict((i, {"position": p, "block": b, "digest": d, "delivery": v, "seen": dict(zip(o, g))}) for i, p, b, d, v, o, g in rows)
+        for identity, e in self.entries.items():
+            self._place(identity, e["block"])
         self.generations = dict(generations)
         if meta is not None:
             self.delivery, self.position, self.poisoned = meta
@@ -58,16 +64,28 @@ class Journal:
         mine = [e for e in self.entries.values() if e["delivery"] == self.delivery]
         self.own, self.own_held = len(mine), sum(len(e["seen"]) for e in mine)
 
+    def _place(self, identity: str, block: int | None) -> None:
+        if block is not None:
+            if block not in self.at:
+                self.at[block] = set()
+                heapq.heappush(self.tops, -block)
+            self.at[block].add(identity)
+
     def _forget(self, identity: str) -> None:
         e = self.entries.pop(identity)
+        if e["block"] is not None:
+            held = self.at[e["block"]]
+            held.discard(identity)
+            if not held:
+                del self.at[e["block"]]
         self.held -= len(e["seen"])
         if e["delivery"] == self.delivery:
             self.own, self.own_held = self.own - 1, self.own_held - len(e["seen"])
         self.changed.add(identity)
 
     def _next(self, delivery: int) -> None:
-        for identity in list(self.entries):
-            e = self.entries[identity]
+        while self.entries:
+            identity, e = next(iter(self.entries.items()))
             if (len(self.entries) <= self.capacity and self.held <= self.most) or e["delivery"] == self.delivery:
                 break  # what follows was touched later
             self._forget(identity)
@@ -79,8 +97,9 @@ class Journal:
         if row["delivery"] != self.delivery:
             self._next(row["delivery"])
         if row["kind"] == "reorg":
-            for identity in [i for i, e in self.entries.items() if e["block"] is not None and e["block"] > row["ancestor"]]:
-                self._forget(identity)
+            while self.tops and -self.tops[0] > row["ancestor"]:
+                for identity in list(self.at.get(-heapq.heappop(self.tops), ())):
+                    self._forget(identity)
             return "reorg", []
         if row["kind"] == "owner":
             if row["generation"] is None:
@@ -100,6 +119,7 @@ class Journal:
         seen = seen | {o: self.generations.get(o, 0) for o in fresh}
         self.position += 1
         self.entries[row["identity"]] = {"position": self.position, "block": row["block_number"], "digest": row["digest"], "delivery": self.delivery, "seen": seen}
+        self._place(row["identity"], row["block_number"])
         self.changed.add(row["identity"])
         self.held, self.own, self.own_held = self.held + len(seen), self.own + 1, self.own_held + len(seen)
         if self.own > self.capacity or self.own_held > self.most:

@@ -84,3 +84,18 @@ def test_activity_of_owners_is_counted_by_keys(spark):
     # Only one-row sides are nested; before, each owner met each block.
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert "number" not in "".join(line for line in plan.splitlines() if "Join" in line)
+
+
+def test_rows_of_a_micro_batch_are_python_objects_a_few_at_a_time():
+    import pandas as pd
+
+    from eventlake.streaming import cutover as U
+
+    names = [c.split()[0] for c in U.INPUT.split(", ")]
+    kinds = ["ack", "record", "head"]
+    rows = [(1, k * 7919 % 1000, "live", kinds[k % 3], f"i{k}", None if k % 5 == 0 else k, "h", "d", k % 2 == 0, None, 3, None) for k in range(3 * U.CHUNK)]
+    parts = [pd.DataFrame(rows[k :: 4], columns=names) for k in range(4)]
+    got = list(U.in_order(parts))
+    assert sorted(tuple(r[c] for c in names) for r in got if r["block_number"]) == sorted(r for r in rows if r[5])
+    at = [(r["arrival"], U._ORDER[r["kind"]]) for r in got]
+    assert at == sorted(at) and all(type(r["arrival"]) is int for r in got[:9])

@@ -99,3 +99,25 @@ def test_rows_of_a_micro_batch_are_python_objects_a_few_at_a_time():
     assert sorted(tuple(r[c] for c in names) for r in got if r["block_number"]) == sorted(r for r in rows if r[5])
     at = [(r["arrival"], U._ORDER[r["kind"]]) for r in got]
     assert at == sorted(at) and all(type(r["arrival"]) is int for r in got[:9])
+
+
+def test_small_keys_stream_through_tasks_and_large_ones_are_cut(spark):
+    from eventlake.operators import scans
+
+    a = spark.range(4000).selectExpr("id % 400 chain_id", "-id arrival", "id number").unionAll(spark.range(300).selectExpr("-1L", "-id", "id"))
+    want = a.groupBy("chain_id").agg(F.count("*").alias("n"))
+    small = scans.scan(a.where("chain_id >= 0"), ["chain_id"], ["arrival"], scans.Surviving(), 50)
+    assert "Pandas" not in small._jdf.queryExecution().executedPlan().toString()  # no group, and no call, a key
+    got = scans.scan(a, ["chain_id"], ["arrival"], scans.Surviving(), 50)
+    assert sorted(map(tuple, got.groupBy("chain_id").agg(F.count("*")).collect())) == sorted(map(tuple, want.collect()))
+    assert got.where("survives").count() == 4300  # numbers fall along the order
+
+
+@pytest.mark.parametrize("size", [2, 7, 50])
+def test_windows_of_a_chain_run_by_segment(spark, size):
+    from test_scans import chain_rows
+
+    a = spark.createDataFrame(chain_rows(3, 300), "chain_id bigint, arrival bigint, number bigint, hash string, parent_hash string, timestamp bigint")
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    assert rows(K.canonical_chain(a, ["chain_id"], size)) == rows(K.canonical_chain(a, ["chain_id"]))
+    assert rows(K.reorg_events(a, ["chain_id"], size)) == rows(K.reorg_events(a, ["chain_id"]))

@@ -121,3 +121,19 @@ def test_windows_of_a_chain_run_by_segment(spark, size):
     rows = lambda df: sorted(map(tuple, df.collect()))
     assert rows(K.canonical_chain(a, ["chain_id"], size)) == rows(K.canonical_chain(a, ["chain_id"]))
     assert rows(K.reorg_events(a, ["chain_id"], size)) == rows(K.reorg_events(a, ["chain_id"]))
+
+
+def test_the_tracker_takes_chains_by_runs_and_keeps_one_of_them(spark, tmp_path, monkeypatch):
+    import os
+
+    from eventlake.plans import queries as Q
+    from eventlake.plans import stream_queries as SQ
+
+    monkeypatch.setattr(SQ, "shared_path", lambda s, tag: f"{tmp_path}/{tag}")
+    monkeypatch.setattr(SQ, "RUN_ROWS", 1 << 10)
+    sf = "/root/testdata/sf0.001"
+    got = Q.QUERIES["str2_track_canonical"](spark, sf)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, Q.QUERIES["win10_canonical_chain"](spark, sf).collect()))
+    one = SQ.D.block_arrivals(spark, sf).count()
+    assert spark.read.parquet(f"{tmp_path}/arrivals/in").count() == one  # not those of eight chains
+    assert len([f for f in os.listdir(f"{tmp_path}/arrivals/state/offsets") if f.isdigit()]) == -(-8 * one // (1 << 10)) > 4

@@ -137,3 +137,20 @@ def test_the_tracker_takes_chains_by_runs_and_keeps_one_of_them(spark, tmp_path,
     one = SQ.D.block_arrivals(spark, sf).count()
     assert spark.read.parquet(f"{tmp_path}/arrivals/in").count() == one  # not those of eight chains
     assert len([f for f in os.listdir(f"{tmp_path}/arrivals/state/offsets") if f.isdigit()]) == -(-8 * one // (1 << 10)) > 4
+
+
+def test_the_tasks_of_chains_are_many_whatever_the_session_says(spark):
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    n = F.col("id")
+    a = spark.range(4000).select((n % 2).alias("chain_id"), n.alias("arrival"), (n - F.when(n % 100 > 90, 30).otherwise(0)).alias("number"), n.cast("string").alias("hash"))
+    spark.conf.set(name, "1")
+    try:
+        rows = lambda df: df.rdd.glom().map(len).collect()
+        kept = rows(K.canonical_chain(a, ["chain_id"], 100))
+        assert len(kept) == 40 and max(kept) < sum(kept) / 4
+        assert len(rows(K.reorg_events(a, ["chain_id"], 100))) == 40
+        top = K.retain_depth(K.canonical_chain(a, ["chain_id"], 100), 64, ["chain_id"])
+        assert len(rows(top)) == 40 and not any("SortMergeJoin" in j for j in joins(top))
+    finally:
+        spark.conf.set(name, before)

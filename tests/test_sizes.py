@@ -154,3 +154,16 @@ def test_the_tasks_of_chains_are_many_whatever_the_session_says(spark):
         assert len(rows(top)) == 40 and not any("SortMergeJoin" in j for j in joins(top))
     finally:
         spark.conf.set(name, before)
+
+
+@pytest.mark.parametrize("depth", [0, 7, 60])
+def test_a_bounded_chain_shuffles_each_arrival_once(spark, depth):
+    from test_scans import chain_rows
+
+    rows = chain_rows(6, 700) + [(0, 5001, None, "none", "", 0), (0, None, 3, "late", "", 3)]
+    a = spark.createDataFrame(rows, "chain_id bigint, arrival bigint, number bigint, hash string, parent_hash string, timestamp bigint")
+    later = lambda r, x: None not in (r[1], x[1], r[2], x[2]) and x[0] == r[0] and x[1] > r[1] and r[2] - depth <= x[2] <= r[2]
+    want = [r for r in rows if not any(later(r, x) for x in rows)]
+    got = K.canonical_chain_bounded(a, ["chain_id"], depth, 100)
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
+    assert not joins(got) and len(got.rdd.glom().collect()) == 15

@@ -167,3 +167,22 @@ def test_a_bounded_chain_shuffles_each_arrival_once(spark, depth):
     got = K.canonical_chain_bounded(a, ["chain_id"], depth, 100)
     assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
     assert not joins(got) and len(got.rdd.glom().collect()) == 15
+
+
+def test_displaced_rows_are_dealt_by_their_number(spark):
+    from test_scans import chain_rows
+
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    rows = chain_rows(8, 700)
+    a = spark.createDataFrame(rows, "chain_id bigint, arrival bigint, number bigint, hash string, parent_hash string, timestamp bigint")
+    reorgs = [tuple(r) for r in K.reorg_events(a, ["chain_id"]).select("chain_id", "arrival", "ancestor", "old_tip").collect()]
+    want = [r for r in rows if any(c == r[0] and low < r[2] <= high and r[1] < at for c, at, low, high in reorgs)]
+    spark.conf.set(name, "1")
+    try:
+        given = spark.createDataFrame(reorgs, "chain_id bigint, arrival bigint, ancestor bigint, old_tip bigint")
+        got = K.displaced(a, given, ["chain_id"], size=100).select(a.columns)
+        assert sorted(map(tuple, got.collect())) == sorted(want) and want
+        assert len(got.rdd.glom().collect()) == 14
+    finally:
+        spark.conf.set(name, before)

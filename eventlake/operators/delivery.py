@@ -21,7 +21,7 @@ MANY_SESSIONS = 1000
 def new_deliveries(stored: DataFrame, incoming: DataFrame, digest: str = "digest") -> tuple[DataFrame, DataFrame]:
     """(rows to append, violations): an identical redelivery is dropped, other content in a slot is a violation."""
     had = stored.select(*SLOT, F.col(digest).alias("had"))
-    j = incoming.join(had, SLOT, "left")
+    j = incoming.join(had.hint("merge"), SLOT, "left")  # a log is as long as what comes, so it is not broadcast
     return j.where("had is null").drop("had"), j.where(F.col("had").isNotNull() & (F.col("had") != F.col(digest))).select(F.lit("slot_conflict").alias("rule"), *SLOT)
 
 

@@ -186,3 +186,12 @@ def test_displaced_rows_are_dealt_by_their_number(spark):
         assert len(got.rdd.glom().collect()) == 14
     finally:
         spark.conf.set(name, before)
+
+
+def test_a_log_of_deliveries_and_what_comes_are_merged(generous):
+    from eventlake.operators import delivery as L
+
+    rows = generous.range(40).selectExpr("concat('s', id % 2) session_id", "1L chain_id", "id sequence", "cast(id % 5 as string) digest")
+    new, bad = L.new_deliveries(rows.where("sequence < 30"), rows.withColumn("digest", F.when(F.col("sequence") == 7, "x").otherwise(F.col("digest"))))
+    assert all(j.startswith("SortMergeJoin") for df in (new, bad) for j in joins(df))
+    assert new.count() == 10 and [r["sequence"] for r in bad.collect()] == [7]

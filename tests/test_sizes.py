@@ -195,3 +195,23 @@ def test_a_log_of_deliveries_and_what_comes_are_merged(generous):
     new, bad = L.new_deliveries(rows.where("sequence < 30"), rows.withColumn("digest", F.when(F.col("sequence") == 7, "x").otherwise(F.col("digest"))))
     assert all(j.startswith("SortMergeJoin") for df in (new, bad) for j in joins(df))
     assert new.count() == 10 and [r["sequence"] for r in bad.collect()] == [7]
+
+
+def test_records_are_shuffled_once_for_all_windows_of_their_journal(spark):
+    from eventlake.streaming.journal import Journal
+
+    rows = [{"block_hash": f"b{k % 50}", "transaction_hash": f"t{k % 100}", "log_index": 0, "block_number": k % 50, "owners": ["a", f"o{k % 3}", "a"], "arrival": 10 * k, "removed": k % 9 == 0, "digest": "y" if k % 7 == 0 else "x"} for k in range(400)]
+    records = spark.createDataFrame(rows, "block_hash string, transaction_hash string, log_index bigint, block_number bigint, owners array<string>, arrival bigint, removed boolean, digest string")
+    reorgs, generations = [(20, 10**6, 1005), (3, 10**6, 2005)], [("a", 1505, 1), ("o1", 2505, 2)]
+    args = spark.createDataFrame(reorgs, "ancestor bigint, old_tip bigint, arrival bigint"), spark.createDataFrame(generations, "owner_id string, arrival bigint, generation bigint")
+    got = H.deduplicate_generations(records, H.IDENTITY, *args, records.select("block_number"))
+    exchanges = [line for line in got._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in line]
+    assert not any("block_hash" in line or "arrival" in line for line in exchanges)  # before, one for the epochs and four by identity
+    inputs = [r | {"kind": "record", "identity": r["transaction_hash"]} for r in rows]
+    inputs += [{"kind": "reorg", "ancestor": a, "arrival": at} for a, _, at in reorgs] + [{"kind": "owner", "owner_id": o, "generation": g, "arrival": at} for o, at, g in generations]
+    journal, want = Journal(1 << 20, 1 << 20), []
+    for r in sorted(inputs, key=lambda r: r["arrival"]):
+        said = journal.apply(r | {"delivery": r["arrival"]})
+        want += [(r["arrival"], *said)] if r["kind"] == "record" else []
+    assert sorted((r["arrival"], r["verdict"], r["owners"]) for r in got.collect()) == want
+    assert {v for _, v, _ in want} == {"delivered", "suppressed", "passed", "conflict"}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventlake.operators.routing import MAX_FILTERS, log_matches
@@ -101,10 +101,14 @@ def page_cursor_checks(pages: DataFrame, target: int) -> DataFrame:
     return violations(pages, rules, F.col("page_id"))
 
 
+def broken(rules: dict) -> Column:
+    """The names of the rules that a row breaks."""
+    return F.array_compact(F.array(*[F.when(c, F.lit(r)) for r, c in rules.items()]))
+
+
 def violations(df: DataFrame, rules: dict, key) -> DataFrame:
     """One row (rule, key) for each rule that a row breaks."""
-    broken = F.array_compact(F.array(*[F.when(c, F.lit(r)) for r, c in rules.items()]))
-    return df.select(F.explode(broken).alias("rule"), key.cast("string").alias("key"))
+    return df.select(F.explode(broken(rules)).alias("rule"), key.cast("string").alias("key"))
 
 
 def page_guard(blocks: DataFrame, page_blocks: int) -> DataFrame:

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from eventlake.functions.fields import fixed_width, normalize_topics, quantity, topics_problem  # noqa: F401
 
+ROWS_A_TASK = 1 << 16  # logs
+
 
 class Violation(ValueError):
     """Raised by strict() with the first violations."""
@@ -18,15 +20,30 @@ def strict(violations: DataFrame) -> None:
         raise Violation("; ".join(str(r.asDict()) for r in rows))
 
 
+def _by_block(logs: DataFrame, n: int | None = None) -> DataFrame:
+    """Logs dealt by their block's hash, so that what must be single in a block is counted where it then is; a partition for every
+    ROWS_A_TASK of their number `n`, where that is known."""
+    return logs.repartition("block_hash") if n is None else logs.repartition(max(1, -(-n // ROWS_A_TASK)), "block_hash")
+
+
 def duplicate_logs(logs: DataFrame) -> DataFrame:
-    return logs.groupBy("block_hash", "log_index").agg(F.count("*").alias("n")).where("n > 1")
+    return _by_block(logs.select("block_hash", "log_index")).groupBy("block_hash", "log_index").agg(F.count("*").alias("n")).where("n > 1")
+
+
+def identity_conflicts(logs: DataFrame, n: int | None = None) -> DataFrame:
+    """(rule, block_hash, key) of transaction_conflicts, and duplicate_log with the log's index: logs are shuffled once, and
+    sorted groups keep the least and greatest value instead of the distinct ones."""
+    index = F.col("transaction_index").cast("string")
+    one = lambda rule, key, value: F.struct(F.lit(rule).alias("rule"), key.alias("key"), value.alias("value"))
+    held = F.array(one("duplicate_log", F.col("log_index").cast("string"), F.lit(None).cast("string")), one("hash_with_two_indexes", F.col("transaction_hash"), index), one("index_with_two_hashes", index, F.col("transaction_hash")))
+    rows = _by_block(logs.select("block_hash", "log_index", "transaction_index", "transaction_hash"), n).select("block_hash", F.explode(held).alias("held")).select("block_hash", "held.*")
+    g = rows.groupBy("block_hash", "rule", "key").agg(F.count("*").alias("n"), F.min("value").alias("least"), F.max("value").alias("most"))
+    return g.where(F.when(F.col("rule") == "duplicate_log", F.col("n") > 1).otherwise(F.col("least") < F.col("most"))).select("rule", "block_hash", "key")
 
 
 def transaction_conflicts(logs: DataFrame) -> DataFrame:
     """(rule, block_hash, key): a hash with two indexes, or an index with two hashes, within a block."""
-    a = logs.groupBy("block_hash", F.col("transaction_hash").alias("key")).agg(F.count_distinct("transaction_index").alias("n")).where("n > 1").select(F.lit("hash_with_two_indexes").alias("rule"), "block_hash", "key")
-    b = logs.groupBy("block_hash", F.col("transaction_index").cast("string").alias("key")).agg(F.count_distinct("transaction_hash").alias("n")).where("n > 1").select(F.lit("index_with_two_hashes").alias("rule"), "block_hash", "key")
-    return a.unionByName(b)
+    return identity_conflicts(logs).where("rule <> 'duplicate_log'")
 
 
 def block_identity_conflicts(records: DataFrame) -> DataFrame:
@@ -71,11 +88,11 @@ def _log_shape() -> dict[str, Column]:
 def validate_page(blocks: DataFrame, logs: DataFrame, from_block: int, next_block: int, target: int | None = None, archive_height: int | None = None, limits: tuple[int, int, int] | None = None) -> DataFrame:
     """(rule, key) of all structural rules over a range of blocks and its logs.
 
-    Blocks are read once against their predecessors, logs once against their blocks, and once for each of
-    the three keys that must be single. limits are the blocks, logs and bytes of a response.
+    Blocks are read once against their predecessors, logs once against their blocks, and once for the
+    three keys that must be single in a block. limits are the blocks, logs and bytes of a response.
     """
     from eventlake.operators.canonical import link_violations
-    from eventlake.operators.scan import violations
+    from eventlake.operators.scan import broken, violations
 
     out = link_violations(blocks, F.lit(0)).select("rule", F.col("number").cast("string").alias("key"))
     bounds = blocks.agg(F.min("number").alias("low"), F.max("number").alias("high"), F.count("*").alias("n_blocks"))
@@ -93,16 +110,15 @@ def validate_page(blocks: DataFrame, logs: DataFrame, from_block: int, next_bloc
     missing = F.col("number").isNull() | F.col("hash").isNull() | F.col("parent_hash").isNull() | F.col("timestamp").isNull()
     fields = {"block_hash_width": ~fixed_width("hash", 32), "parent_hash_width": ~fixed_width("parent_hash", 32), "missing_field": missing, "quantity_overflow": F.col("timestamp").cast("decimal(38,0)") > F.lit("18446744073709551615").cast("decimal(38,0)")}
     out = out.unionByName(violations(blocks, fields, F.col("number")))
+    n = logs.count()
     known = blocks.select(F.col("number").alias("block_number"), F.col("hash").alias("own_hash"))
-    rules = {
-        "log_out_of_range": (F.col("block_number") < from_block) | (F.col("block_number") >= next_block),
-        "log_without_block": F.col("own_hash").isNull(),
-        "log_block_hash": F.col("own_hash") != F.col("block_hash"),
-        "log_removed": F.col("removed"),
-    }
-    out = out.unionByName(violations(logs.join(known, "block_number", "left"), rules | _log_shape(), F.concat_ws(":", "block_number", "log_index")))
-    out = out.unionByName(duplicate_logs(logs).select(F.lit("duplicate_log").alias("rule"), F.concat_ws(":", "block_hash", "log_index").alias("key")))
-    return out.unionByName(transaction_conflicts(logs).select("rule", F.concat_ws(":", "block_hash", "key").alias("key")))
+    alone = {"log_out_of_range": (F.col("block_number") < from_block) | (F.col("block_number") >= next_block), "log_removed": F.col("removed")} | _log_shape()
+    # Only what a log's own fields say of it goes on to its block, so a task sorts narrow rows and a bounded number.
+    slim = logs.select("block_number", "log_index", "block_hash", broken(alone).alias("own_rules")).repartition(max(1, -(-n // ROWS_A_TASK)), "block_number")
+    rules = {"log_without_block": F.col("own_hash").isNull(), "log_block_hash": F.col("own_hash") != F.col("block_hash")}
+    met = slim.join(known, "block_number", "left").select(F.explode(F.concat("own_rules", broken(rules))).alias("rule"), F.concat_ws(":", "block_number", "log_index").alias("key"))
+    out = out.unionByName(met)
+    return out.unionByName(identity_conflicts(logs, n).select("rule", F.concat_ws(":", "block_hash", "key").alias("key")))
 
 
 def validate_records(records: DataFrame, owners: DataFrame, commitment: Column | None = None) -> DataFrame:

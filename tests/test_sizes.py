@@ -215,3 +215,19 @@ def test_records_are_shuffled_once_for_all_windows_of_their_journal(spark):
         want += [(r["arrival"], *said)] if r["kind"] == "record" else []
     assert sorted((r["arrival"], r["verdict"], r["owners"]) for r in got.collect()) == want
     assert {v for _, v, _ in want} == {"delivered", "suppressed", "passed", "conflict"}
+
+
+def test_logs_of_a_page_are_dealt_by_their_number_and_meet_their_blocks_narrow(spark, monkeypatch):
+    from eventlake.operators import validate as V
+
+    logs = spark.range(300).selectExpr("id div 3 block_number", "'h' || id div 3 block_hash", "id % 3 log_index", "'t' || id % 3 transaction_hash", "id % 3 transaction_index", "'a' address", "array('x') topics", "'d' data", "false removed")
+    logs = logs.unionByName(logs.where("block_number = 7 and log_index = 1").withColumns({"transaction_hash": F.lit("t0"), "removed": F.lit(True)}))
+    blocks = spark.range(100).selectExpr("id number", "'h' || id hash", "'h' || (id - 1) parent_hash", "id timestamp")
+    monkeypatch.setattr(V, "ROWS_A_TASK", 10)
+    got = V.validate_page(blocks.where("number <> 50"), logs, 0, 100)
+    lines = [line for line in got._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange" in line]
+    assert sum("31), REPARTITION_BY_NUM" in line for line in lines) == 2  # before, one partition for any number of logs where they compress well
+    rows = {(r["rule"], r["key"]) for r in got.collect()}
+    assert {r for r in rows if r[0] in ("duplicate_log", "log_removed", "log_without_block", "hash_with_two_indexes", "index_with_two_hashes", "log_block_hash")} == {
+        ("duplicate_log", "h7:1"), ("hash_with_two_indexes", "h7:t0"), ("index_with_two_hashes", "h7:1"), ("log_removed", "7:1"), *[("log_without_block", f"50:{k}") for k in range(3)],
+    }

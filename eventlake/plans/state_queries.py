@@ -454,7 +454,7 @@ def _(s, d):
         "ordinal": F.when(k == 13, C("ordinal") * 2 + 5).otherwise(C("ordinal") * 2),
         "kind": F.when(k == 14, 9).otherwise(kind).cast("long"),
     })
-    records = n.unionByName(n.where("again").withColumn("ordinal", C("ordinal") + 1))
+    records = n.withColumn("ordinal", F.explode(F.when(C("again"), F.array(C("ordinal"), C("ordinal") + 1)).otherwise(F.array("ordinal"))))
     return V.validate_records(records, D.owners(s, d), D.block_hash(C("number"))).groupBy("rule").agg(F.count("*").alias("n"))
 
 

@@ -231,3 +231,17 @@ def test_logs_of_a_page_are_dealt_by_their_number_and_meet_their_blocks_narrow(s
     assert {r for r in rows if r[0] in ("duplicate_log", "log_removed", "log_without_block", "hash_with_two_indexes", "index_with_two_hashes", "log_block_hash")} == {
         ("duplicate_log", "h7:1"), ("hash_with_two_indexes", "h7:t0"), ("index_with_two_hashes", "h7:1"), ("log_removed", "7:1"), *[("log_without_block", f"50:{k}") for k in range(3)],
     }
+
+
+def test_records_are_computed_once_for_all_their_rules(spark):
+    from eventlake.operators import validate as V
+
+    of_log = ["if(kind = 1, 'x' || id % 4, null) transaction_hash", "if(kind = 1, repeat('a', 40), null) address", "cast(array() as array<string>) topics", "if(kind = 1, 'd', null) data", "if(kind = 1, false, null) removed"]
+    rows = spark.range(120).selectExpr("id", "id div 12 page_id", "id % 12 ordinal", "id div 3 number", "id % 3 kind", "'CANONICAL' scope").selectExpr(
+        "*", "0L transaction_index", "0L log_index", "kind <> 1 canonical", "if(kind = 1, array('o'), array()) owners", "'h' || number block_hash", "number block_timestamp", *of_log)
+    again = rows.where("number = 5").withColumns({"owners": F.when(F.col("kind") == 1, F.array(F.lit("nobody"))).otherwise(F.col("owners")), "transaction_index": F.when(F.col("kind") == 1, 7).otherwise(0).cast("long"), "block_timestamp": F.col("number") + 1})
+    owners = spark.createDataFrame([("o",)], "owner_id string")
+    got = V.validate_records(rows.unionByName(again), owners, F.when(F.col("number") == 9, "zz").otherwise(F.col("block_hash")))
+    assert "Range" not in got._jdf.queryExecution().executedPlan().toString()  # before, the source was read for each of the rules' keys
+    counts = {r["rule"]: r["n"] for r in got.where("rule not in ('event_order', 'log_shape')").groupBy("rule").agg(F.count("*").alias("n")).collect()}
+    assert counts == {"owner_unknown": 1, "duplicate_log": 1, "transaction_identity": 1, "duplicate_header": 1, "duplicate_progress": 1, "block_identity": 1, "header_mismatch": 1}

@@ -586,6 +586,15 @@ def test_long_hot_and_repeated_lines(spark, monkeypatch, limit):
     assert sorted((r.doc_id, r.t, list(r.removed)) for r in twice) == [(1, "a b c d\nx", []), (1, "a b c d\nx", []), (1, "y z", []), (2, "y z\na b c d e", [0, 1])]
 
 
+def test_only_lines_that_meet_an_earlier_one_are_looked_up(spark):
+    """Lines without a likely partner used to be kept in the first pass, with themselves, and written twice more."""
+    alone = [" ".join(f"w{k}x{i}" for i in range(12)) + " of the same" for k in range(40)]
+    near = [" ".join(f"n{i}" for i in range(20)) + f" own{k}" for k in range(3)]
+    lines = line_dedup.ranked_lines(table(spark, list(enumerate([*alone, *near]))).select("doc_id", F.lit(0).cast("long").alias("h"), "text"))
+    met = line_dedup._met_heads(lines).select("e.doc_id", F.col("l.doc_id").alias("later")).collect()
+    assert met and {(r.doc_id, r.later) for r in met} <= {(40, 41), (40, 42), (41, 42)}
+
+
 def alnum(text):
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate({c: c + 32 for c in range(65, 91)}))
 

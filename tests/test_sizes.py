@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from eventlake.operators import canonical as K
 from eventlake.operators import hybrid as H
+from eventlake.plans.queries import QUERIES
 
 
 @pytest.fixture
@@ -38,6 +39,43 @@ def test_a_chain_and_what_was_observed_are_merged(generous):
     assert sorted(map(tuple, found.collect())) == [(0, 58, 0), (1, 59, 0)]
 
 
+def heights(spark, n=400):
+    """Arrivals of one chain with reorgs of one to three heights, over more than one bucket: (rows, ancestor, old tip and hash of each reorg)."""
+    rows, at, tip = [], 0, None
+    for k in range(n):
+        number = (1 << 13) - n // 2 + k
+        for branch in range(3 if k % 50 == 40 else 1):  # heights 40 to 42 of fifty come again
+            for back in range(3) if branch else (0,):
+                at += 1
+                rows.append((1, at, number + back, f"{number + back}-{branch}", f"{number + back - 1}-x", number))
+    return spark.createDataFrame(rows, "chain_id bigint, arrival bigint, number bigint, hash string, parent_hash string, timestamp bigint")
+
+
+def test_survivors_and_blocks_of_reorgs_are_those_of_the_plain_forms(spark):
+    a = heights(spark)
+    chain = ["chain_id"]
+    marked = K.surviving(K.by_height(a, 3), chain)
+    want = sorted(map(tuple, K.canonical_chain(a, chain).collect()))
+    assert sorted(map(tuple, marked.where("survives").select(*a.columns).collect())) == want and 0 < len(want) < a.count()
+    reorgs = K.reorg_events(a, chain)
+    rows, kept = a.collect(), {r[2]: tuple(r[2:]) for r in want}
+    expected = []
+    for r in reorgs.collect():
+        old = [tuple(x[2:]) for x in rows if (x.number, x.hash) == (r.old_tip, r.old_tip_hash)]
+        if r.ancestor in kept and r.ancestor + 1 in kept and old:
+            expected.append((r.arrival, kept[r.ancestor], max(old), kept[r.ancestor + 1]))
+    got = K.reorg_blocks(reorgs, marked, chain, 3).collect()
+    assert sorted((r.arrival, tuple(r.anc), tuple(r.old), tuple(r.new)) for r in got) == sorted(expected) and expected
+
+
+def merged(df):
+    return [j for j in joins(df) if j.startswith(("SortMergeJoin", "ShuffledHashJoin"))]
+
+
+def test_blocks_of_reorgs_are_found_where_the_chains_are(spark):
+    assert not merged(QUERIES["fn10_reorg_shape"](spark, "/root/testdata/sf0.001"))  # a join would shuffle all chains by its keys
+
+
 def test_reorgs_and_deliveries_of_a_full_journal_look_at_what_they_change_only():
     import time
 

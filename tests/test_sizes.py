@@ -76,6 +76,17 @@ def test_blocks_of_reorgs_are_found_where_the_chains_are(spark):
     assert not merged(QUERIES["fn10_reorg_shape"](spark, "/root/testdata/sf0.001"))  # a join would shuffle all chains by its keys
 
 
+def test_a_common_ancestor_is_found_where_the_chains_are(spark):
+    assert not merged(QUERIES["jn5_common_ancestor"](spark, "/root/testdata/sf0.001"))
+    block = "chain_id bigint, number bigint, hash string, parent_hash string, timestamp bigint"
+    one = [(1, 1, "a", "p", 1), (1, 2, "b", None, 1), (1, 2, "b", "p", 1), (1, 3, None, "p", 1), (1, None, "n", "p", 1), (2, 9000, "a", "p", 1), (3, 5, "a", "p", 1), (None, 5, "a", "p", 1)]
+    two = [(1, 1, "a", "p", 1), (1, 1, "a", "q", None), (1, 2, "b", None, 1), (1, 2, "b", "p", 2), (1, 3, None, "p", 1), (1, None, "n", "p", 1), (2, 9000, "z", "p", 1), (4, 5, "a", "p", 1), (None, 5, "a", "p", 1)]
+    one, two = spark.createDataFrame(one, block), spark.createDataFrame(two, block)
+    want = sorted(map(tuple, K.common_ancestor(one, two, ["chain_id"]).collect()))
+    got = K.common_ancestor_by_height(K.by_height(one, 3), K.by_height(two, 3), ["chain_id"])
+    assert sorted(map(tuple, got.collect())) == want == [(1, 2, 4), (2, None, 0)]
+
+
 def test_reorgs_and_deliveries_of_a_full_journal_look_at_what_they_change_only():
     import time
 

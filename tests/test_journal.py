@@ -2,6 +2,7 @@
 
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -111,6 +112,41 @@ def test_stream_goes_on_from_its_checkpoint(spark, tmp_path):
     assert {"delivered", "suppressed", "passed", "conflict"} <= {r.verdict for r in out}
 
 
+def test_a_shard_calls_the_store_a_few_times_and_finds_its_journal_again():
+    """However many entries change: the stream's time was that of a call an entry."""
+    calls, rows = [], inputs(11, 4000, 3000)
+
+    class Kept:
+        def __init__(self, *_):
+            self.held = {}
+
+        def __getattr__(self, name):
+            def call(*given):
+                calls.append(name)
+                if name == "clear":
+                    self.held = {}
+                elif name in ("put", "update"):
+                    self.held["v"] = given[0]
+                elif name == "updateValue":
+                    self.held[given[0]] = given[1]
+                elif name == "removeKey":
+                    self.held.pop(given[0], None)
+                return {"exists": bool(self.held), "get": self.held.get("v"), "iterator": iter(list(self.held.items()))}.get(name)
+
+            return call
+
+    class Handle:
+        getMapState = getListState = getValueState = Kept
+
+    shard, got = J._Processor(900, 10**6), []
+    shard.init(Handle())
+    for low in range(0, 4000, 1400):
+        frames = [pd.DataFrame(rows[k : k + 100]) for k in range(low, min(low + 1400, 4000), 100)]
+        got += [(v, list(o)) for f in shard.handleInputRows((1, 0), iter(frames), None) for v, o in zip(f["verdict"], f["owners"])]
+    want, _ = plain(rows, 900, 10**6)
+    assert got == want and len(calls) < 60
+
+
 def test_stream_and_batch_agree_over_shards(spark, tmp_path):
     rng = random.Random(9)
     identity = lambda k: ("b" + str(k % 3), "t" + str(k), k % 2)

@@ -30,7 +30,7 @@ NODE, LARGEST_NODE = 24, 256  # sets of a node that are compared exhaustively: a
 BROADCAST_HUBS = 50_000  # hubs of a level up to which they are broadcast; more are shuffled
 CHUNK = 16  # sets of a chunk of a larger node
 PLAUSIBLE = 0.55  # estimated similarity from which a pair is worth the exact check
-VERY_LIKE = 0.75  # estimated similarity to the hub from which a set leaves the recursion; its chunk still meets it
+VERY_LIKE = 0.9  # estimated similarity to the hub from which a set leaves the recursion; its chunk still meets it
 DEPTH = 24
 
 _MULTIPLIERS = mix(np.arange(1, COORDINATES + 1, dtype=U64) * U64(0x9E3779B97F4A7C15)) | U64(1)

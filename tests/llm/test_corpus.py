@@ -747,3 +747,37 @@ def test_pipeline_of_odd_rows(spark, tmp_path):
     for name, df in (("documents", docs), ("labels", labels), ("benchmark", spark.createDataFrame([], "item_id bigint, text string"))):
         df.limit(0).write.parquet(f"{tmp_path}/empty/{name}.parquet")
     assert pipeline.run(spark, f"{tmp_path}/empty").count() == 0
+
+
+def test_copies_of_copies_in_large_families_are_linked(spark):
+    """A copy of a copy may be like its source only, which is much like the family's hub and may not leave the recursion for that."""
+    rng, docs = random.Random(1), []
+    word = lambda: "w%d" % rng.randrange(10**6)
+    for family, (n, length, edits) in enumerate([(800, 300, 6), (800, 300, 10), (1500, 300, 8), (400, 300, 10), (600, 200, 5)]):
+        members = [[word() for _ in range(length)]]
+        while len(members) < n:
+            c = list(members[max(0, len(members) - 1 - rng.randrange(len(members)))] if rng.random() < 0.5 else members[0])
+            for _ in range(rng.randrange(1, edits + 1)):
+                c[rng.randrange(length)] = word()
+            members.append(c)
+        docs += [(family, m) for m in members]
+    rng.shuffle(docs)
+    sets = [frozenset(tuple(m[k : k + 5]) for k in range(len(m) - 4)) for _, m in docs]
+    top = list(range(len(docs)))
+
+    def find(k):
+        while top[k] != k:
+            top[k] = top[top[k]]
+            k = top[k]
+        return k
+
+    for a in range(len(docs)):
+        for b in range(a):
+            if docs[a][0] == docs[b][0] and find(a) != find(b):
+                common = len(sets[a] & sets[b])
+                if 100 * common >= 75 * (len(sets[a]) + len(sets[b]) - common):
+                    low, high = sorted((find(a), find(b)))
+                    top[high] = low
+    rows = spark.createDataFrame([(k, " ".join(m)) for k, (_, m) in enumerate(docs)], "doc_id bigint, text string")
+    got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(rows).collect()}
+    assert got == {k: find(k) for k in range(len(docs))}
